@@ -49,14 +49,16 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     ``require`` is an optional boolean column: only those rows are trained
     on (e.g. rows with a real visual vector), their weights are recomputed on
     that subset, while the class space (``n_classes``) stays that of the full
-    training set.  The training set is cached for the iterations.
+    training set.  The training set is spread evenly over the cluster's cores
+    and cached for the iterations.
     """
     if n_classes is None:
         row = train.agg(*[(F.max(c) + 1).alias(h) for h, c in labels.items()]).first()
         n_classes = {h: int(row[h]) for h in labels}
     data = train.filter(require) if require is not None else train
     data = data.select(features, *labels.values()).withColumn("_x", array_to_vector(F.col(features)))
-    data = data.cache()
+    # many passes follow: spread the rows over all cores once, then cache
+    data = data.repartition(train.sparkSession.sparkContext.defaultParallelism).cache()
     heads = {}
     try:
         for head, col in labels.items():

@@ -10,8 +10,6 @@ tasks.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,22 +45,19 @@ def pool_frames(joined: DataFrame, dim: int, key: str = "clip_id", vec: str = "e
                 keep=(), dtype: str = "float") -> DataFrame:
     """Element mean of the found frame vectors of each clip.
 
-    ``Summarizer.sum`` aggregates vectors with partial (map-side)
-    aggregation, so no per-element explode and no list of vectors is built;
-    the sum is divided by the number of frames found.
-    A clip with no frame found gets a zero vector (not NULL), mirroring the
-    feature layout; ``found`` tells the two apart.  The mean is not
-    re-normalised.  ``dtype`` is the element type of the result (float
-    for storage, double to keep full precision downstream).
+    The width is fixed, so the element sums are ``dim`` plain ``sum``
+    aggregates: one codegen'd hash aggregate with a map-side partial step, no
+    per-element explode, no object aggregate and no list of vectors.  A
+    missing frame (NULL vector) adds nothing; the sums are divided by the
+    number of frames found.  A clip with no frame found gets a zero vector
+    (not NULL), mirroring the feature layout; ``found`` tells the two apart.
+    The mean is not re-normalised.  ``dtype`` is the element type of the
+    result (float for storage, double to keep full precision downstream).
     """
-    grouped = (joined
-               .withColumn("_v", array_to_vector(F.coalesce(F.col(vec), zero_vector(dim))))
-               .groupBy(key, *keep)
-               .agg(F.count(vec).alias("found"),
-                    F.count(F.lit(1)).alias("sampled"),
-                    Summarizer.sum(F.col("_v")).alias("_s")))
-    # missing frames contribute zero vectors to the sum; divide by the found count
-    mean = F.transform(vector_to_array(F.col("_s"), "float64"), lambda x: (x / F.col("found")).cast(dtype))
+    v = F.col(vec)
+    sums = [F.sum(v[i].cast("double")).alias(f"_s{i}") for i in range(dim)]
+    grouped = joined.groupBy(key, *keep).agg(F.count(v).alias("found"), F.count(F.lit(1)).alias("sampled"), *sums)
+    mean = F.array(*[(F.col(f"_s{i}") / F.col("found")).cast(dtype) for i in range(dim)])
     pooled = F.when(F.col("found") > 0, mean).otherwise(zero_vector(dim, dtype))
     return grouped.select(key, *keep, "found", "sampled", pooled.alias("vec"))
 
