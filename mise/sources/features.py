@@ -68,9 +68,17 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Metric files, either JSON lines or one JSON array per file."""
-    return spark.read.option("multiLine", True).json(path)
+def read_metrics(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """Metric files, either JSON lines (as ``write_metrics`` writes them) or
+    one pretty-printed JSON array per file (as published).  With
+    ``multi_line=None`` the layout is detected: a JSON-lines read that finds
+    only corrupt records is redone in whole-file mode."""
+    if multi_line is None:
+        lines = spark.read.json(path)
+        if lines.columns != ["_corrupt_record"]:
+            return lines
+        multi_line = True
+    return spark.read.option("multiLine", multi_line).json(path)
 
 
 def write_predictions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
