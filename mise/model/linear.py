@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mise.functions.columns import dot, known
+from mise.session import ship_library
 
 # Matrices up to this many weights are inlined as literals.
 LITERAL_WEIGHTS = 4096
@@ -60,6 +61,7 @@ def score(df: DataFrame, features: str, weights: np.ndarray, bias: np.ndarray |
     """Add logits ``out`` = ``W x + b`` for every row of ``df``."""
     if weights.size <= LITERAL_WEIGHTS:
         return df.withColumn(out, linear_logits(features, weights, bias))
+    ship_library(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast((weights, bias))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.DoubleType()))])
     return df.mapInPandas(_score_batches(features, out, bc), schema)

@@ -1,0 +1,214 @@
+"""Shared-trunk two-head network trained with data-parallel Adam.
+
+Trunk ``d → h1 → h2`` with ReLU, then a verb head and a noun head; loss is
+the sum of the two class-weighted cross entropies (weighted means, as a
+weighted ``CrossEntropyLoss``).  Batch-norm and dropout are left out: they
+are not reproducible across engines anyway, and the promise is behaviour
+(loss falls, beats the majority class), not the reference's numbers.
+
+One optimisation step is one Spark job:
+
+1. the current weights go out as a broadcast;
+2. ``mapInPandas`` computes, per partition, the weighted loss numerator, the
+   weight denominator and the gradient of the numerator (numpy on Arrow
+   batches), emitted as fixed-width chunks;
+3. the chunks are summed per chunk id by plain ``sum`` aggregates on the
+   executors; only the summed gradient (one row per chunk) reaches the
+   driver, which applies Adam to the ~10^5 weights.
+
+Each head's output gradient is divided by that head's weight total (a
+constant for full-batch steps, computed once), so the summed gradient is
+exactly that of ``loss_verb + loss_noun``.
+
+A step may use the whole training set (``batch_fraction=1``, the default:
+few, large steps suit Spark) or a seeded Bernoulli sample of it.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from mise.functions.columns import known
+from mise.operators.labels import class_weights
+from mise.session import ship_library
+
+CHUNK = 256
+
+
+def _shapes(d, h1, h2, nv, nn):
+    return [("W1", (d, h1)), ("b1", (h1,)), ("W2", (h1, h2)), ("b2", (h2,)),
+            ("Wv", (h2, nv)), ("bv", (nv,)), ("Wn", (h2, nn)), ("bn", (nn,))]
+
+
+def _unflatten(theta, shapes):
+    out, i = {}, 0
+    for name, shp in shapes:
+        size = int(np.prod(shp))
+        out[name] = theta[i:i + size].reshape(shp)
+        i += size
+    return out
+
+
+def _forward(p, x):
+    a1 = x @ p["W1"] + p["b1"]
+    h1 = np.maximum(a1, 0.0)
+    a2 = h1 @ p["W2"] + p["b2"]
+    h2 = np.maximum(a2, 0.0)
+    return a1, h1, a2, h2, h2 @ p["Wv"] + p["bv"], h2 @ p["Wn"] + p["bn"]
+
+
+def _softmax_nll(z, y):
+    m = z.max(axis=1, keepdims=True)
+    e = np.exp(z - m)
+    s = e.sum(axis=1, keepdims=True)
+    prob = e / s
+    nll = (np.log(s[:, 0]) + m[:, 0]) - z[np.arange(len(y)), y]
+    return prob, nll
+
+
+def _partition_gradient(bc, features, yv_col, yn_col, shapes, n_params):
+    def run(batches):
+        theta, wv, wn, den_v, den_n = bc.value
+        p = _unflatten(theta, shapes)
+        grad = np.zeros(n_params)
+        g = _unflatten(grad, shapes)  # views into grad
+        stats = np.zeros(5)  # num_v, den_v, num_n, den_n, rows
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf[features].to_numpy()).astype(np.float64)
+            yv = pdf[yv_col].to_numpy().astype(np.int64)
+            yn = pdf[yn_col].to_numpy().astype(np.int64)
+            a1, h1, a2, h2, zv, zn = _forward(p, x)
+            pv, nll_v = _softmax_nll(zv, yv)
+            pn, nll_n = _softmax_nll(zn, yn)
+            sv, sn = wv[yv], wn[yn]
+            stats += [float(sv @ nll_v), float(sv.sum()), float(sn @ nll_n), float(sn.sum()), len(pdf)]
+            # d(numerator)/dz for each head: w_y * (softmax - onehot)
+            dzv = pv
+            dzv[np.arange(len(yv)), yv] -= 1.0
+            dzv *= (sv / den_v)[:, None]
+            dzn = pn
+            dzn[np.arange(len(yn)), yn] -= 1.0
+            dzn *= (sn / den_n)[:, None]
+            g["Wv"] += h2.T @ dzv
+            g["bv"] += dzv.sum(axis=0)
+            g["Wn"] += h2.T @ dzn
+            g["bn"] += dzn.sum(axis=0)
+            dh2 = dzv @ p["Wv"].T + dzn @ p["Wn"].T
+            da2 = dh2 * (a2 > 0)
+            g["W2"] += h1.T @ da2
+            g["b2"] += da2.sum(axis=0)
+            dh1 = da2 @ p["W2"].T
+            da1 = dh1 * (a1 > 0)
+            g["W1"] += x.T @ da1
+            g["b1"] += da1.sum(axis=0)
+        n_chunks = (n_params + CHUNK - 1) // CHUNK
+        padded = np.zeros(n_chunks * CHUNK)
+        padded[:n_params] = grad
+        rows = [(-1, np.concatenate([stats, np.zeros(CHUNK - 5)]).tolist())]
+        rows += [(c, padded[c * CHUNK:(c + 1) * CHUNK].tolist()) for c in range(n_chunks)]
+        yield pd.DataFrame(rows, columns=["chunk", "g"])
+    return run
+
+
+@dataclass
+class MLPModel:
+    theta: np.ndarray
+    shapes: list
+    features: str
+    n_classes: dict
+    curve: list = field(default_factory=list)
+
+    def transform(self, df: DataFrame, out=("zv", "zn")) -> DataFrame:
+        """Add the two logits columns (``array<double>``)."""
+        ship_library(df.sparkSession)
+        bc = df.sparkSession.sparkContext.broadcast(self.theta)
+        shapes, feats = self.shapes, self.features
+
+        def run(batches):
+            p = _unflatten(bc.value, shapes)
+            for pdf in batches:
+                x = (np.stack(pdf[feats].to_numpy()).astype(np.float64) if len(pdf)
+                     else np.zeros((0, p["W1"].shape[0])))
+                zv, zn = _forward(p, x)[4:]
+                pdf[out[0]], pdf[out[1]] = list(zv), list(zn)
+                yield pdf
+        schema = T.StructType(df.schema.fields + [T.StructField(o, T.ArrayType(T.DoubleType())) for o in out])
+        return df.mapInPandas(run, schema)
+
+    def training_curve(self, spark) -> DataFrame:
+        """Per step: example-weighted loss (sum of the two heads) and rows."""
+        return spark.createDataFrame(self.curve, "step int, loss double, rows long")
+
+
+def fit_mlp(train: DataFrame, features: str, labels=("yv", "yn"), n_classes: dict | None = None,
+            hidden=(256, 128), steps: int = 40, lr: float = 1e-3, weight_decay: float = 1e-4,
+            batch_fraction: float = 1.0, seed: int = 0) -> MLPModel:
+    """Train the two-head network on rows with both labels known."""
+    spark = train.sparkSession
+    ship_library(spark)
+    sc = spark.sparkContext
+    yv_col, yn_col = labels
+    data = train.filter(known(yv_col) & known(yn_col)).select(features, yv_col, yn_col)
+    if n_classes is None:
+        r = data.agg((F.max(yv_col) + 1).alias("v"), (F.max(yn_col) + 1).alias("n")).first()
+        n_classes = {"verb": int(r.v), "noun": int(r.n)}
+    nv, nn = n_classes["verb"], n_classes["noun"]
+    d = len(data.select(features).first()[0])
+    data = data.repartition(sc.defaultParallelism).cache()
+    wv = np.ones(nv)
+    for r in class_weights(data, yv_col, nv).collect():
+        wv[r.class_id] = r.w
+    wn = np.ones(nn)
+    for r in class_weights(data, yn_col, nn).collect():
+        wn[r.class_id] = r.w
+    # weight totals of the loss denominators (per class count times weight);
+    # a sampled step uses the expected total of its sample
+    counts = data.groupBy(yv_col, yn_col).count().collect()
+    den_v = float(sum(r["count"] * wv[r[yv_col]] for r in counts)) * min(batch_fraction, 1.0)
+    den_n = float(sum(r["count"] * wn[r[yn_col]] for r in counts)) * min(batch_fraction, 1.0)
+
+    shapes = _shapes(d, hidden[0], hidden[1], nv, nn)
+    rng = np.random.default_rng(seed)
+    parts = []
+    for name, shp in shapes:
+        fan_in = shp[0] if len(shp) == 2 else (d if name == "b1" else hidden[0] if name == "b2" else hidden[1])
+        bound = 1.0 / np.sqrt(fan_in)
+        parts.append(rng.uniform(-bound, bound, size=shp).ravel())
+    theta = np.concatenate(parts)
+    n_params = theta.size
+    m = np.zeros(n_params)
+    v = np.zeros(n_params)
+    b1, b2, eps = 0.9, 0.999, 1e-8
+    n_chunks = (n_params + CHUNK - 1) // CHUNK
+    curve = []
+    try:
+        for step in range(1, steps + 1):
+            batch = data if batch_fraction >= 1.0 else data.sample(fraction=batch_fraction, seed=seed * 100003 + step)
+            bc = sc.broadcast((theta, wv, wn, den_v, den_n))
+            parts_df = batch.mapInPandas(_partition_gradient(bc, features, yv_col, yn_col, shapes, n_params),
+                                         "chunk int, g array<double>")
+            summed = parts_df.groupBy("chunk").agg(*[F.sum(F.col("g")[i]).alias(f"s{i}") for i in range(CHUNK)])
+            rows = {r["chunk"]: np.array([r[f"s{i}"] for i in range(CHUNK)]) for r in summed.collect()}
+            bc.unpersist()
+            stats = rows[-1]
+            if stats[1] <= 0 or stats[3] <= 0:
+                continue
+            grad = np.concatenate([rows[c] for c in range(n_chunks)])[:n_params]
+            curve.append((step, float(stats[0] / stats[1] + stats[2] / stats[3]), int(stats[4])))
+            g = grad + weight_decay * theta
+            m = b1 * m + (1 - b1) * g
+            v = b2 * v + (1 - b2) * g * g
+            mh = m / (1 - b1 ** step)
+            vh = v / (1 - b2 ** step)
+            theta = theta - lr * mh / (np.sqrt(vh) + eps)
+    finally:
+        data.unpersist()
+    return MLPModel(theta, shapes, features, dict(n_classes), curve)

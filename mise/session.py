@@ -61,3 +61,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint root for written intermediates."""
     root = checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Make ``mise`` importable by Python workers (what ``--py-files`` does):
+    the package is zipped once per application and registered with
+    ``addPyFile``, which distributes it to every executor.  Operators that
+    run Python on executors call this before planning."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    from pathlib import Path
+    pkg = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="mise-lib-")) / "mise_lib.zip"
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for f in pkg.rglob("*.py"):
+            zf.write(f, str(Path("mise") / f.relative_to(pkg)))
+    sc.addPyFile(str(out))
+    _SHIPPED.add(sc.applicationId)

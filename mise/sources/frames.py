@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mise.functions.columns import parse_frame_no
+from mise.session import ship_library
 
 
 def read_frames(spark: SparkSession, root: str, with_content: bool = True) -> DataFrame:
@@ -70,6 +71,7 @@ def _list_members(batches):
 
 def list_archive_members(archives: DataFrame) -> DataFrame:
     """``archives(video_id, archive)`` → one row per frame member."""
+    ship_library(archives.sparkSession)
     return archives.select("video_id", "archive").mapInPandas(_list_members, _MEMBER_SCHEMA)
 
 
@@ -87,6 +89,7 @@ def _read_members(batches):
 def read_archive_members(members: DataFrame) -> DataFrame:
     """Fetch the bytes of the listed members (already filtered to the needed
     frames).  Rows are spread by Spark; each batch opens an archive once."""
+    ship_library(members.sparkSession)
     return members.mapInPandas(_read_members, _CONTENT_SCHEMA)
 
 

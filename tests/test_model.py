@@ -59,3 +59,50 @@ def test_centroid_scorer_and_both_scoring_paths(spark):
     b = {r.id: r.z2 for r in big.collect()}
     assert all(np.allclose(a[k], b[k]) for k in a)
     assert w.shape == (4, 8)
+
+
+def test_mlp_loss_falls_and_beats_majority(spark):
+    from mise.model.mlp import fit_mlp
+    df = planted(spark)
+    train, val = df.filter("split = 'train'"), df.filter("split = 'val'")
+    m = fit_mlp(train, "x", ("yv", "yn"), hidden=(32, 16), steps=30, lr=0.03)
+    curve = [r.loss for r in m.training_curve(spark).orderBy("step").collect()]
+    assert len(curve) == 30 and curve[-1] < 0.5 * curve[0]
+    out = EV.with_predictions(m.transform(val), {"pv": "zv", "pn": "zn"})
+    acc = out.agg(F.avg((F.col("yv") == F.col("pv")).cast("double")).alias("a")).first().a
+    majority = val.agg(F.avg((F.col("yv") == 0).cast("double")).alias("a")).first().a
+    assert acc > majority + 0.2
+    again = fit_mlp(train, "x", ("yv", "yn"), hidden=(32, 16), steps=3, lr=0.03)
+    assert [round(r.loss, 9) for r in again.training_curve(spark).orderBy("step").collect()] == [round(x, 9) for x in curve[:3]]
+
+
+def test_mlp_gradient_matches_finite_difference():
+    from mise.model import mlp
+    rnd = np.random.default_rng(1)
+    d, nv, nn = 3, 4, 2
+    shapes = mlp._shapes(d, 5, 4, nv, nn)
+    n = sum(int(np.prod(s)) for _, s in shapes)
+    theta = rnd.normal(0, 0.5, n)
+    x = rnd.normal(size=(6, d))
+    yv, yn = rnd.integers(0, nv, 6), rnd.integers(0, nn, 6)
+    wv, wn = rnd.uniform(0.5, 2, nv), rnd.uniform(0.5, 2, nn)
+
+    def loss(t):
+        p = mlp._unflatten(t, shapes)
+        zv, zn = mlp._forward(p, x)[4:]
+        _, a = mlp._softmax_nll(zv, yv)
+        _, b = mlp._softmax_nll(zn, yn)
+        return wv[yv] @ a / wv[yv].sum() + wn[yn] @ b / wn[yn].sum()
+
+    import pandas as pd
+
+    class BC:
+        value = (theta, wv, wn, wv[yv].sum(), wn[yn].sum())
+    pdf = pd.DataFrame({"x": list(x), "yv": yv, "yn": yn})
+    out = next(mlp._partition_gradient(BC, "x", "yv", "yn", shapes, n)([pdf]))
+    grad = np.concatenate([np.array(g) for c, g in sorted(zip(out.chunk, out.g)) if c >= 0])[:n]
+    eps = 1e-6
+    for i in rnd.choice(n, 25, replace=False):
+        e = np.zeros(n)
+        e[i] = eps
+        assert abs((loss(theta + e) - loss(theta - e)) / (2 * eps) - grad[i]) < 1e-5

@@ -95,3 +95,21 @@ def test_read_frames_directory(spark, tmp_dir):
     _write(f"{tmp_dir}/frames/A/notes.txt", "x")
     got = SR.read_frames(spark, f"{tmp_dir}/frames", with_content=False)
     assert sorted((r.video_id, r.frame_no) for r in got.collect()) == [("A", 1), ("A", 2), ("B", 1)]
+
+
+def test_visual_features_pipeline(spark, tmp_dir):
+    import numpy as np
+    from mise.operators.encoders import byte_histogram, visual_features
+    a = f"{tmp_dir}/V1.tar"
+    _tar(a, [(f"frames/frame_{i:010d}.jpg", bytes([i % 256]) * 10) for i in range(0, 40)])
+    archives = spark.createDataFrame([("V1", a)], "video_id string, archive string")
+    clips = spark.createDataFrame([(1, "V1", 0, 20), (2, "V1", 30, 50), (3, "V9", 0, 5)],
+                                  "clip_id long, video_id string, start_frame long, stop_frame long")
+    got = {r.clip_id: r for r in visual_features(clips, archives, 64).collect()}
+    assert (got[1].found, got[2].found, got[3].found) == (3, 1, 0)
+    enc = byte_histogram(64)
+    unit = lambda b: enc([b])[0] / np.linalg.norm(enc([b])[0])
+    want1 = np.mean([unit(bytes([f]) * 10) for f in (0, 10, 20)], axis=0)
+    assert np.allclose(got[1].vec, want1, atol=1e-6)
+    assert np.allclose(got[2].vec, unit(bytes([30]) * 10), atol=1e-6)
+    assert not any(got[3].vec)
