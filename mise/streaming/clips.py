@@ -1,0 +1,62 @@
+"""Clip streams.
+
+The row-level operators (label encoding against a static mapping, feature
+assembly, scoring, decoding) carry no state, so they apply unchanged to a
+streaming DataFrame: a stream-static join against the fitted mapping, then
+the same column expressions.  Sinks keep their progress in a checkpoint
+folder under ``spark.checkpoint.dir``, so a restarted query resumes where it
+stopped and a lost executor only replays the current micro-batch.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from mise.operators.labels import encode_labels
+from mise.session import scratch_path
+
+
+def read_clip_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """New clip files under ``path`` as a stream (schema given up front)."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
+def encode_stream(stream: DataFrame, mappings: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Encode label columns of a stream: ``{out: (mapping, class column)}``.
+    Unseen or NULL classes give ``-1``."""
+    for out, (mapping, col) in mappings.items():
+        stream = encode_labels(stream, mapping, col, out=out)
+    return stream
+
+
+def running_class_counts(stream: DataFrame, col: str) -> DataFrame:
+    """Rows per class so far (streaming aggregate; state kept per class)."""
+    return stream.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_stream(df: DataFrame, path: str, fmt: str = "parquet", checkpoint: str | None = None,
+                 output_mode: str = "append", available_now: bool = True) -> StreamingQuery:
+    """Start a sink with a durable checkpoint.  ``available_now`` processes
+    what is there and stops (incremental batch runs); otherwise the query
+    keeps running on the default trigger."""
+    ckpt = checkpoint or scratch_path(df.sparkSession, "stream-ckpt")
+    writer = df.writeStream.format(fmt).option("checkpointLocation", ckpt).outputMode(output_mode)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(path)
+
+
+def upsert_counts(batch: DataFrame, batch_id: int, path: str) -> None:
+    """``foreachBatch`` body for the running counts: each micro-batch writes
+    the full current counts (complete output) to its own folder, so a replayed
+    batch overwrites its own result."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

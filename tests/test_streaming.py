@@ -1,0 +1,33 @@
+from pyspark.sql import functions as F
+
+from mise.operators.labels import encode_labels, fit_mapping
+from mise.streaming import clips as ST
+
+
+def test_stream_encode_matches_batch(spark, tmp_dir):
+    rows = [(i, f"V{i % 3}", i % 7 if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "clip_id long, video_id string, noun_class int")
+    df.filter("clip_id < 30").write.parquet(f"{tmp_dir}/in/part1")
+    df.filter("clip_id >= 30").write.parquet(f"{tmp_dir}/in/part2")
+    mapping = fit_mapping(df.filter("clip_id < 20"), "noun_class")
+    stream = ST.read_clip_stream(spark, f"{tmp_dir}/in/*", df.schema)
+    q = ST.write_stream(ST.encode_stream(stream, {"y": (mapping, "noun_class")}), f"{tmp_dir}/out",
+                        checkpoint=f"{tmp_dir}/ckpt")
+    q.awaitTermination(120)
+    got = {r.clip_id: r.y for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    want = {r.clip_id: r.y for r in encode_labels(df, mapping, "noun_class").collect()}
+    assert got == want and len(got) == 60
+
+
+def test_running_counts(spark, tmp_dir):
+    df = spark.createDataFrame([(i, f"c{i % 4}") for i in range(40)], "clip_id long, verb string")
+    df.write.parquet(f"{tmp_dir}/in2")
+    stream = ST.read_clip_stream(spark, f"{tmp_dir}/in2", df.schema, max_files_per_trigger=1)
+    counts = ST.running_class_counts(stream, "verb")
+    q = (counts.writeStream.outputMode("complete").option("checkpointLocation", f"{tmp_dir}/ckpt2")
+         .foreachBatch(lambda b, i: ST.upsert_counts(b, i, f"{tmp_dir}/counts"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    last = spark.read.parquet(f"{tmp_dir}/counts").agg(F.max("batch")).first()[0]
+    got = {r.verb: r.n for r in spark.read.parquet(f"{tmp_dir}/counts").filter(F.col("batch") == last).collect()}
+    assert got == {"c0": 10, "c1": 10, "c2": 10, "c3": 10}
