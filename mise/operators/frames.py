@@ -42,22 +42,33 @@ def join_frames(samples: DataFrame, frames: DataFrame, vec: str = "embedding", k
 
 
 def pool_frames(joined: DataFrame, dim: int, key: str = "clip_id", vec: str = "embedding",
-                keep=(), dtype: str = "float") -> DataFrame:
+                keep=(), dtype: str = "float", bounded: bool = True) -> DataFrame:
     """Element mean of the found frame vectors of each clip.
 
-    The width is fixed, so the element sums are ``dim`` plain ``sum``
-    aggregates: one codegen'd hash aggregate with a map-side partial step, no
-    per-element explode, no object aggregate and no list of vectors.  A
-    missing frame (NULL vector) adds nothing; the sums are divided by the
-    number of frames found.  A clip with no frame found gets a zero vector
-    (not NULL), mirroring the feature layout; ``found`` tells the two apart.
-    The mean is not re-normalised.  ``dtype`` is the element type of the
-    result (float for storage, double to keep full precision downstream).
+    ``bounded=True`` (frame samples): every clip has exactly ``n`` sampled
+    rows, so its found vectors -- at most ``n``, a parameter, not a data size
+    -- are gathered and summed element-wise with array functions; the cost is
+    linear in the width.  ``bounded=False`` (groups of any size, e.g. all
+    frames in a clip's range): ``dim`` typed ``sum`` aggregates with a
+    map-side partial step, no list at all.
+
+    Missing frames (NULL vectors) add nothing; the sum is divided by the
+    number found.  A clip with no frame found gets a zero vector (not NULL),
+    mirroring the feature layout; ``found`` tells the two apart.  The mean is
+    not re-normalised.  ``dtype`` is the element type of the result (float
+    for storage, double to keep full precision downstream).
     """
     v = F.col(vec)
-    sums = [F.sum(v[i].cast("double")).alias(f"_s{i}") for i in range(dim)]
-    grouped = joined.groupBy(key, *keep).agg(F.count(v).alias("found"), F.count(F.lit(1)).alias("sampled"), *sums)
-    mean = F.array(*[(F.col(f"_s{i}") / F.col("found")).cast(dtype) for i in range(dim)])
+    counts = [F.count(v).alias("found"), F.count(F.lit(1)).alias("sampled")]
+    if bounded:
+        grouped = joined.groupBy(key, *keep).agg(*counts, F.collect_list(v).alias("_vs"))
+        total = F.aggregate(F.col("_vs"), zero_vector(dim, "double"),
+                            lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b.cast("double")))
+        mean = F.transform(total, lambda x: (x / F.col("found")).cast(dtype))
+    else:
+        sums = [F.sum(v[i].cast("double")).alias(f"_s{i}") for i in range(dim)]
+        grouped = joined.groupBy(key, *keep).agg(*counts, *sums)
+        mean = F.array(*[(F.col(f"_s{i}") / F.col("found")).cast(dtype) for i in range(dim)])
     pooled = F.when(F.col("found") > 0, mean).otherwise(zero_vector(dim, dtype))
     return grouped.select(key, *keep, "found", "sampled", pooled.alias("vec"))
 

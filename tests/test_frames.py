@@ -49,3 +49,13 @@ def test_frames_in_range_matches_brute_force(spark):
 def test_available_semi_join(spark):
     arch = spark.createDataFrame([("A",), ("A",)], "video_id string")
     assert sorted(r.clip_id for r in FR.available(_clips(spark), arch).collect()) == [1, 4]
+
+
+def test_pool_unbounded_path_agrees(spark):
+    s = FR.explode_samples(_clips(spark))
+    j = FR.join_frames(s, _frames(spark))
+    a = {r.clip_id: (r.found, list(r.vec)) for r in FR.pool_frames(j, 2, dtype="double").collect()}
+    b = {r.clip_id: (r.found, list(r.vec)) for r in FR.pool_frames(j, 2, dtype="double", bounded=False).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0] and all(abs(x - y) < 1e-12 for x, y in zip(a[k][1], b[k][1]))
