@@ -35,7 +35,10 @@ def imbalance(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
 
 def split_summary(df: DataFrame, split: str = "split", video: str = "video_id",
                   text: str = "narration", labels=("verb_class", "noun_class")) -> DataFrame:
-    """Rows, videos, and whether narration and labels are present, per split."""
+    """Rows, videos, columns holding data, and whether narration and labels
+    are present, per split (one table holds every split; a split whose files
+    lack a column has it all NULL)."""
+    data_cols = [c for c in df.columns if c != split]
     any_label = F.lit(False)
     for c in labels:
         any_label = any_label | F.col(c).isNotNull()
@@ -43,6 +46,7 @@ def split_summary(df: DataFrame, split: str = "split", video: str = "video_id",
     return df.groupBy(split).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct(video).alias("videos"),
+        sum((F.max(F.col(c).isNotNull()).cast("int") for c in data_cols), F.lit(0)).alias("columns"),
         F.max(F.col(text).isNotNull()).alias("has_narration"),
         has_labels.alias("has_labels"))
 

@@ -311,8 +311,13 @@ def q_imbalance_index(spark, d):
     return PR.imbalance(S.clips(spark, d).filter(F.col("split") == "train"), "verb_class")
 
 
-@query("split_summary", oracle(["clips"], """
-select split, count(*) rows, count(distinct video_id) videos, bool_or(narration is not null) has_narration,
+_CLIP_COLS = ["clip_id", "video_id", "start_frame", "stop_frame", "verb_class", "noun_class", "verb", "noun", "narration"]
+
+
+@query("split_summary", oracle(["clips"], f"""
+select split, count(*) rows, count(distinct video_id) videos,
+  cast({" + ".join(f"(case when count({c}) > 0 then 1 else 0 end)" for c in _CLIP_COLS)} as int) columns,
+  bool_or(narration is not null) has_narration,
   bool_or(verb_class is not null or noun_class is not null) has_labels from clips group by split"""))
 def q_split_summary(spark, d):
     return PR.split_summary(S.clips(spark, d))

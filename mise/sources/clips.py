@@ -33,6 +33,17 @@ def read_clips(spark: SparkSession, path: str, schema: T.StructType | None = CLI
     return df
 
 
+def prepare_clips(df: DataFrame) -> DataFrame:
+    """Data-preparation step: when the table has ``verb`` and ``noun``, add
+    ``action_label`` and ``duration_frames`` (decided from the schema at plan
+    time; unlabelled tables pass through unchanged)."""
+    from mise.functions.columns import action_label, duration_frames
+    if {"verb", "noun"} <= set(df.columns):
+        df = df.withColumn("action_label", action_label("verb", "noun"))
+        df = df.withColumn("duration_frames", duration_frames("start_frame", "stop_frame"))
+    return df
+
+
 def write_clips(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Prepared-metadata sink.  Parquet is partitioned by ``split`` so later
     reads of one split prune the others."""

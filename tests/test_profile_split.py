@@ -22,6 +22,7 @@ def test_split_summary_and_rare(spark):
                                "split string, video_id string, narration string, verb_class int")
     got = {r.split: r for r in PR.split_summary(df, labels=("verb_class",)).collect()}
     assert got["train"].videos == 2 and got["train"].has_narration and got["train"].has_labels
+    assert got["train"].columns == 3 and got["test"].columns == 1
     assert not got["test"].has_narration and not got["test"].has_labels
     assert [r.verb_class for r in PR.rare_classes(df, "verb_class", threshold=3).collect()] == [1]
 

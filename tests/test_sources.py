@@ -113,3 +113,12 @@ def test_visual_features_pipeline(spark, tmp_dir):
     assert np.allclose(got[1].vec, want1, atol=1e-6)
     assert np.allclose(got[2].vec, unit(bytes([30]) * 10), atol=1e-6)
     assert not any(got[3].vec)
+
+
+def test_prepare_clips_only_with_labels(spark, tmp_dir):
+    _write(f"{tmp_dir}/demo/a.csv", DEMO)
+    _write(f"{tmp_dir}/test/a.csv", TEST)
+    demo = SC.prepare_clips(SC.read_clips(spark, f"{tmp_dir}/demo"))
+    assert [(r.action_label, r.duration_frames) for r in demo.collect()][0] == ("open door", 195)
+    test = SC.prepare_clips(SC.read_clips(spark, f"{tmp_dir}/test"))
+    assert "action_label" not in test.columns
