@@ -36,6 +36,19 @@ def byte_histogram(dim: int = 64) -> Callable[[list], np.ndarray]:
     return encode
 
 
+def number_text(dim: int) -> Callable[[list], np.ndarray]:
+    """Encoder for frames stored as comma-separated numbers (e.g. vectors
+    exported as text): parses them back.  Exact, model-free."""
+    def encode(blobs: list) -> np.ndarray:
+        out = np.zeros((len(blobs), dim), dtype=np.float64)
+        for i, b in enumerate(blobs):
+            if b:
+                vals = np.array(bytes(b).decode("ascii").split(","), dtype=np.float32)
+                out[i, :min(dim, vals.size)] = vals[:dim]
+        return out
+    return encode
+
+
 def _encode_batches(factory: EncoderFactory, content: str, out: str, normalize: bool):
     def run(batches):
         encode = factory()  # once per worker task
@@ -63,7 +76,8 @@ def encode_frames(frames: DataFrame, factory: EncoderFactory = lambda: byte_hist
 
 
 def visual_features(clips: DataFrame, archives: DataFrame, dim: int,
-                    factory: EncoderFactory = lambda: byte_histogram(64), n: int = 3) -> DataFrame:
+                    factory: EncoderFactory = lambda: byte_histogram(64), n: int = 3,
+                    normalize: bool = True, dtype: str = "float") -> DataFrame:
     """Clip visual vectors from frame archives, end to end:
 
     sample ``n`` frames per clip → distinct needed ``(video_id, frame_no)`` →
@@ -76,6 +90,6 @@ def visual_features(clips: DataFrame, archives: DataFrame, dim: int,
     needed = samples.select("video_id", "frame_no").distinct()
     from mise.sources.frames import read_frame_archives
     content = read_frame_archives(archives, needed.withColumn("frame_no", needed["frame_no"].cast("int")))
-    vectors = encode_frames(content, factory)
+    vectors = encode_frames(content, factory, normalize=normalize)
     vectors = vectors.withColumn("frame_no", vectors["frame_no"].cast("long"))
-    return FR.pool_frames(FR.join_frames(samples, vectors), dim)
+    return FR.pool_frames(FR.join_frames(samples, vectors), dim, dtype=dtype)

@@ -259,6 +259,28 @@ def q_frame_pool(spark, d):
     return p.select("clip_id", F.round(C.sq_norm("vec"), R6).alias("n2"))
 
 
+@query("archive_features", oracle(["pool", "clips"], f"""
+select clips.clip_id, round(coalesce(n2, 0), {R6}) n2 from clips
+left join (select clip_id, sum(a * a) n2 from pool group by clip_id) q on clips.clip_id = q.clip_id"""))
+def q_archive_features(spark, d):
+    """Frame archives end to end.  The frame set (one shared set, so one
+    video) is exported by Spark tasks as tar archives of 500 frames, each
+    frame stored as its numbers in text; the clips' visual vectors are then
+    built from the archives: needed frames, header listing, semi join, ranged
+    reads, one decode per needed frame, frame join, mean pool."""
+    from mise.operators.encoders import number_text, visual_features
+    from mise.sources.frames import write_frame_archives
+    frames = S.frames(spark, d).select(
+        F.lit("shared").alias("video_id"), "frame_no",
+        F.encode(F.array_join(F.transform("embedding", lambda x: x.cast("string")), ","), "US-ASCII").alias("content"))
+    listing_path = scratch_path(spark, "archive-listing")
+    write_frame_archives(frames, scratch_path(spark, "archives"), per_archive=500).write.parquet(listing_path)
+    archives = spark.read.parquet(listing_path)  # archives written once, listing read back
+    clips = S.clips(spark, d).withColumn("video_id", F.lit("shared"))
+    pooled = visual_features(clips, archives, 64, factory=lambda: number_text(64), normalize=False, dtype="double")
+    return pooled.select("clip_id", F.round(C.sq_norm("vec"), R6).alias("n2"))
+
+
 @query("missing_frames", oracle(["clip_frame", "clips", "frames"], """
 select split, sum(case when frame_no is null then 1e0 else 0e0 end) missing
 from clip_frame join clips on clip_frame.clip_id = clips.clip_id

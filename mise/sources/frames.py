@@ -99,3 +99,34 @@ def read_frame_archives(archives: DataFrame, needed: DataFrame) -> DataFrame:
     members = list_archive_members(archives)
     wanted = members.join(needed.select("video_id", "frame_no").distinct(), ["video_id", "frame_no"], "left_semi")
     return read_archive_members(wanted)
+
+
+def _write_archives(root: str, per_archive: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import io
+        video, part = pdf["video_id"].iloc[0], int(pdf["_part"].iloc[0])
+        folder = os.path.join(root, str(video))
+        os.makedirs(folder, exist_ok=True)
+        path = os.path.join(folder, f"part-{part:06d}.tar")
+        tmp = path + ".inprogress"
+        with tarfile.open(tmp, "w") as tar:
+            for fno, content in sorted(zip(pdf["frame_no"], pdf["content"])):
+                data = bytes(content)
+                info = tarfile.TarInfo(f"{video}/frame_{int(fno):010d}.jpg")
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+        os.replace(tmp, path)  # a retried task rewrites the same archive
+        return pd.DataFrame({"video_id": [video], "archive": [path]})
+    return run
+
+
+def write_frame_archives(frames: DataFrame, root: str, per_archive: int = 1000) -> DataFrame:
+    """Write frames ``(video_id, frame_no, content)`` as tar archives under
+    ``root/{video_id}/part-NNNNNN.tar``, at most ``per_archive`` frame numbers
+    per archive, and return the listing ``(video_id, archive)``.  Each archive
+    is one bounded group; a retried task rewrites its archive atomically.
+    ``root`` must be a folder every worker mounts."""
+    ship_library(frames.sparkSession)
+    grouped = frames.withColumn("_part", F.floor(F.col("frame_no") / per_archive))
+    return grouped.groupBy("video_id", "_part").applyInPandas(
+        _write_archives(root, per_archive), "video_id string, archive string")
