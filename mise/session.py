@@ -36,8 +36,8 @@ def local_session(cores: int | str = "*", partitions: int | None = None, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    When the session names none (local tests), a scratch folder is set once;
-    a cluster session is expected to name a shared folder itself.
+    When the session names none and runs in local mode (tests), a scratch
+    folder is set once; a cluster session must name a shared folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,7 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="mise-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = tempfile.mkdtemp(prefix="mise-ckpt-")  # local mode only (tests)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
