@@ -150,7 +150,7 @@ class MLPModel:
 
 def fit_mlp(train: DataFrame, features: str, labels=("yv", "yn"), n_classes: dict | None = None,
             hidden=(256, 128), steps: int = 40, lr: float = 1e-3, weight_decay: float = 1e-4,
-            batch_fraction: float = 1.0, seed: int = 0) -> MLPModel:
+            batch_fraction: float = 1.0, seed: int = 0, present_only: bool = False) -> MLPModel:
     """Train the two-head network on rows with both labels known."""
     spark = train.sparkSession
     ship_library(spark)
@@ -164,10 +164,10 @@ def fit_mlp(train: DataFrame, features: str, labels=("yv", "yn"), n_classes: dic
     d = len(data.select(features).first()[0])
     data = data.repartition(sc.defaultParallelism).cache()
     wv = np.ones(nv)
-    for r in class_weights(data, yv_col, nv).collect():
+    for r in class_weights(data, yv_col, nv, present_only).collect():
         wv[r.class_id] = r.w
     wn = np.ones(nn)
-    for r in class_weights(data, yn_col, nn).collect():
+    for r in class_weights(data, yn_col, nn, present_only).collect():
         wn[r.class_id] = r.w
     # weight totals of the loss denominators (per class count times weight);
     # a sampled step uses the expected total of its sample

@@ -43,13 +43,14 @@ class TwoHeadModel:
 
 
 def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_classes: dict[str, int] | None = None,
-                 require=None, max_iter: int = 50, reg: float = 1e-4, seed: int = 0) -> TwoHeadModel:
+                 require=None, max_iter: int = 50, reg: float = 1e-4, present_only: bool = False) -> TwoHeadModel:
     """Fit one weighted multinomial head per ``{head: label column}``.
 
     ``require`` is an optional boolean column: only those rows are trained
     on (e.g. rows with a real visual vector), their weights are recomputed on
     that subset, while the class space (``n_classes``) stays that of the full
-    training set.  The training set is spread evenly over the cluster's cores
+    training set (``present_only`` scales the weights over the classes the
+    subset has).  The training set is spread evenly over the cluster's cores
     and cached for the iterations.
     """
     if n_classes is None:
@@ -62,7 +63,7 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     heads = {}
     try:
         for head, col in labels.items():
-            w = class_weights(data.filter(known(col)), col, n_classes[head])
+            w = class_weights(data.filter(known(col)), col, n_classes[head], present_only=present_only)
             rows = data.filter(known(col)).join(w.select(F.col("class_id").alias(col), F.col("w").alias("_w")), col)
             lr = LogisticRegression(featuresCol="_x", labelCol=col, weightCol="_w", family="multinomial",
                                     maxIter=max_iter, regParam=reg, standardization=False)

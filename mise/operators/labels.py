@@ -105,17 +105,27 @@ def class_space(df: DataFrame, col: str) -> Column:
     return df.select((F.max(col) + 1).cast("long")).scalar()
 
 
-def class_weights(df: DataFrame, col: str, n_classes) -> DataFrame:
+def class_weights(df: DataFrame, col: str, n_classes, present_only: bool = False) -> DataFrame:
     """Inverse-frequency weights over ids ``0 .. n_classes-1``:
     ``w = 1 / max(count, 1)`` (absent classes count as 1), scaled so the
     weights sum to ``n_classes``.  ``n_classes`` may be an int or a scalar
     column (e.g. ``class_space`` of the full training set).  The total is a
-    scalar subquery; no cross join and no driver round trip."""
+    scalar subquery; no cross join and no driver round trip.
+
+    ``present_only=True``: absent classes get weight 0 and stay out of the
+    scaling, so the present classes' weights sum to their number (otherwise a
+    small masked subset leaves most of the sum to classes it never sees)."""
     spark = df.sparkSession
     n = F.lit(n_classes) if isinstance(n_classes, int) else n_classes
     ids = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("class_id"))
     counts = df.groupBy(F.col(col).cast("long").alias("class_id")).agg(F.count(F.lit(1)).alias("_n"))
+    cnt = F.coalesce(F.col("_n"), F.lit(0))
     raw = ids.join(counts, "class_id", "left").select(
-        "class_id", (F.lit(1.0) / F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))).alias("_w"))
+        "class_id", (F.lit(1.0) / F.greatest(cnt, F.lit(1))).alias("_w"), (cnt > 0).alias("_present"))
+    if present_only:
+        raw = raw.withColumn("_w", F.when(F.col("_present"), F.col("_w")).otherwise(F.lit(0.0)))
+        scale = raw.select(F.count_if("_present").cast("double")).scalar()
+    else:
+        scale = n
     total = raw.select(F.sum("_w")).scalar()
-    return raw.select("class_id", (F.col("_w") / total * n).alias("w"))
+    return raw.select("class_id", (F.col("_w") / total * scale).alias("w"))

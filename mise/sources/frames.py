@@ -36,6 +36,18 @@ def read_frames(spark: SparkSession, root: str, with_content: bool = True) -> Da
     return df.select(*cols)
 
 
+def local_path(uri: str) -> str:
+    """A folder URI as a path Python tasks can open: ``file:`` URIs are
+    stripped to their path; other schemes need a mount and are refused."""
+    if uri.startswith("file://"):
+        return uri[len("file://"):]
+    if uri.startswith("file:"):
+        return uri[len("file:"):]
+    if "://" in uri:
+        raise ValueError(f"archives need a mounted folder, not {uri}")
+    return uri
+
+
 _MEMBER_SCHEMA = "video_id string, frame_no int, archive string, offset long, size long"
 _CONTENT_SCHEMA = "video_id string, frame_no int, content binary"
 
@@ -127,6 +139,7 @@ def write_frame_archives(frames: DataFrame, root: str, per_archive: int = 1000)
     is one bounded group; a retried task rewrites its archive atomically.
     ``root`` must be a folder every worker mounts."""
     ship_library(frames.sparkSession)
+    root = local_path(root)
     grouped = frames.withColumn("_part", F.floor(F.col("frame_no") / per_archive))
     return grouped.groupBy("video_id", "_part").applyInPandas(
         _write_archives(root, per_archive), "video_id string, archive string")

@@ -67,3 +67,10 @@ def test_unseen_rows(spark):
     df = spark.createDataFrame([(-1, 0), (-1, -1), (2, 1)], "a long, b long")
     r = LB.unseen_rows(df, ["a", "b"]).first()
     assert (r.a_unseen, r.b_unseen) == (2, 1)
+
+
+def test_class_weights_present_only(spark):
+    df = spark.createDataFrame([(0,)] * 4 + [(2,)], "y int")
+    got = {r.class_id: round(r.w, 6) for r in LB.class_weights(df, "y", 3, present_only=True).collect()}
+    # raw .25 and 1 over the two present classes, scaled to sum to 2
+    assert got == {0: 0.4, 1: 0.0, 2: 1.6}
