@@ -29,19 +29,34 @@ LITERAL_WEIGHTS = 4096
 ABSENT_LOGIT = -1.0e9  # shared low logit of classes the model never saw
 
 
+def _matrix_literal(weights: np.ndarray) -> Column:
+    """A weight matrix as one constant ``array<array<double>>`` (Catalyst
+    folds the literal arrays into a single value)."""
+    rows = np.nan_to_num(np.asarray(weights, dtype=np.float64), nan=0.0, posinf=0.0, neginf=0.0)
+    return F.array(*[F.array(*[F.lit(float(v)) for v in r]) for r in rows])
+
+
+def _vector_literal(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def _logits(x: Column, w: Column, b: Column, absent: Column) -> Column:
+    """``W x + b`` row by row of the (constant) matrix; rows marked absent
+    score the shared low logit."""
+    return F.transform(w, lambda row, i: F.when(absent[i] > 0, F.lit(ABSENT_LOGIT)).otherwise(dot(x, row) + b[i]))
+
+
+def _parts(weights: np.ndarray, bias: np.ndarray | None):
+    k = weights.shape[0]
+    absent = [0.0 if np.all(np.isfinite(r)) else 1.0 for r in weights]
+    return _matrix_literal(weights), _vector_literal(bias if bias is not None else np.zeros(k)), _vector_literal(absent)
+
+
 def linear_logits(features, weights: np.ndarray, bias: np.ndarray | None = None) -> Column:
-    """``W x + b`` as an array column (literal matrix; for small ``W``)."""
+    """``W x + b`` as an array column; the matrix is a single constant and
+    the product one ``transform`` (for small ``W``)."""
     x = F.col(features) if isinstance(features, str) else features
-    rows = []
-    for k, w in enumerate(weights):
-        if not np.all(np.isfinite(w)):
-            rows.append(F.lit(ABSENT_LOGIT))
-            continue
-        z = dot(x, F.array(*[F.lit(float(v)) for v in w]))
-        if bias is not None:
-            z = z + F.lit(float(bias[k]))
-        rows.append(z)
-    return F.array(*rows)
+    return _logits(x, *_parts(weights, bias))
 
 
 def _score_batches(features: str, out: str, bc):
@@ -97,3 +112,33 @@ def fit_centroids(df: DataFrame, features: str, label: str, n_classes: int | Non
         if r["c"] < k:
             mat[r["c"]] = r["m"].toArray()
     return CentroidModel(mat, sorted(r["c"] for r in rows))
+
+
+def fit_centroids_grouped(df: DataFrame, features: str, label: str, by: str) -> dict:
+    """One centroid model per value of ``by`` (e.g. per ablation mode) from a
+    single aggregate: ``groupBy(by, label)`` class means, one collect of the
+    (groups x classes) rows -- not one job per model."""
+    rows = (df.filter(known(label))
+            .groupBy(F.col(by).alias("g"), F.col(label).cast("long").alias("c"))
+            .agg(Summarizer.mean(array_to_vector(F.col(features))).alias("m"))
+            .collect())
+    models = {}
+    for g in sorted({r["g"] for r in rows}):
+        mine = [r for r in rows if r["g"] == g]
+        k = max(r["c"] for r in mine) + 1
+        mat = np.full((k, len(mine[0]["m"])), np.nan)
+        for r in mine:
+            mat[r["c"]] = r["m"].toArray()
+        models[g] = CentroidModel(mat, sorted(r["c"] for r in mine))
+    return models
+
+
+def score_grouped(df: DataFrame, features: str, models: dict, by: str, out: str = "z") -> DataFrame:
+    """Logits from the model of each row's group: the groups' matrices are
+    one constant map keyed by group (small models), looked up per row -- no
+    join, no per-model job."""
+    parts = {g: _parts(m.centroids, None) for g, m in models.items()}
+    w = F.create_map(*[c for g in models for c in (F.lit(g), parts[g][0])])[F.col(by)]
+    b = F.create_map(*[c for g in models for c in (F.lit(g), parts[g][1])])[F.col(by)]
+    a = F.create_map(*[c for g in models for c in (F.lit(g), parts[g][2])])[F.col(by)]
+    return df.withColumn(out, _logits(F.col(features), w, b, a))

@@ -715,21 +715,24 @@ _ABL_LONG = " union all ".join(
 
 
 def _ablation(spark, d):
-    """Scored rows of every mode (feature slice) tagged and evaluated in one
-    grouped pass."""
+    """Every mode (feature slice) in one plan: rows tagged with their mode,
+    centroids of all modes from one grouped aggregate per head, scoring by
+    the row's mode, metrics in one grouped pass."""
     from functools import reduce
 
-    from mise.model.linear import fit_centroids
+    from mise.model.linear import fit_centroids_grouped, score_grouped
     train, test = S.scored_split(spark, d)
-    parts = []
-    for mode, lo, hi in _MODES:
-        x = F.slice("embedding", lo + 1, hi - lo + 1)
-        tr, te = train.withColumn("x", x), test.withColumn("x", x)
-        mv = fit_centroids(tr.filter(F.col("label") != 9), "x", "label")
-        mn = fit_centroids(tr, "x", "yn")
-        scored = mn.transform(mv.transform(te, "x", "zv"), "x", "zn")
-        parts.append(scored.select(F.lit(mode).alias("mode"), "vec_id", "yv", "yn", "zv", "zn"))
-    return EV.evaluate_heads(reduce(DataFrame.unionByName, parts), by=("mode",))
+
+    def tagged(df):
+        return reduce(DataFrame.unionByName, [
+            df.select(F.lit(mode).alias("mode"), F.slice("embedding", lo + 1, hi - lo + 1).alias("x"),
+                      *[c for c in df.columns if c != "embedding"])
+            for mode, lo, hi in _MODES])
+    tr, te = tagged(train), tagged(test)
+    mv = fit_centroids_grouped(tr.filter(F.col("label") != 9), "x", "label", "mode")
+    mn = fit_centroids_grouped(tr, "x", "yn", "mode")
+    scored = score_grouped(score_grouped(te, "x", mv, "mode", "zv"), "x", mn, "mode", "zn")
+    return EV.evaluate_heads(scored.select("mode", "vec_id", "yv", "yn", "zv", "zn"), by=("mode",))
 
 
 @query("ablation_table", oracle(["vec_el"], _ABL + "select * from abl"))
@@ -802,7 +805,10 @@ def q_blind_predictions(spark, d):
     lab = LB.encode_labels(LB.encode_labels(c, vmap, "verb_class", out="yv"), nmap, "noun_class", out="yn")
     data = lab.join(vis, "clip_id")
     train = data.filter(F.col("split") == "train")
-    model = fit_two_head(train, "vec", {"verb": "yv", "noun": "yn"}, require=C.has_modality("vec"), max_iter=30)
+    # class spaces of the full training set = sizes of the fitted mappings (ids 0..k-1)
+    spaces = {"verb": vmap.count(), "noun": nmap.count()}
+    model = fit_two_head(train, "vec", {"verb": "yv", "noun": "yn"}, n_classes=spaces,
+                         require=C.has_modality("vec"), max_iter=30)
     val = model.transform(data.filter(F.col("split") == "val"), {"verb": "zv", "noun": "zn"})
     pred = val.select("clip_id", "video_id", "start_frame", "stop_frame",
                       C.argmax("zv").cast("long").alias("pred_verb_class"),

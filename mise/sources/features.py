@@ -7,8 +7,6 @@ position.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +14,12 @@ from mise.schema import MAPPING_SCHEMA
 
 
 def to_long(df: DataFrame, key: str, split_col: str, modalities: dict[str, str], dtype: str = "float") -> DataFrame:
-    """Wide feature columns ``{modality: column}`` to the long layout."""
-    parts = [df.select(F.col(key).cast("string").alias("clip_id"), F.col(split_col).alias("split"),
-                       F.lit(m).alias("modality"), F.col(c).cast(f"array<{dtype}>").alias("vec"))
-             for m, c in modalities.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """Wide feature columns ``{modality: column}`` to the long layout in one
+    pass (``unpivot``), keeping rows whose modality is present."""
+    wide = df.select(F.col(key).cast("string").alias("clip_id"), F.col(split_col).alias("split"),
+                     *[F.col(c).cast(f"array<{dtype}>").alias(m) for m, c in modalities.items()])
+    return (wide.unpivot(["clip_id", "split"], list(modalities), "modality", "vec")
+            .filter(F.col("vec").isNotNull()))
 
 
 def write_features(df: DataFrame, path: str, mode: str = "overwrite") -> None:
