@@ -22,20 +22,22 @@ def dense_rank_values(df: DataFrame, col: str, out: str) -> DataFrame:
     computed without moving the value table into one task.
 
     The distinct values are range-partitioned and written to the checkpoint
-    folder (so partitions are fixed); each partition counts its rows, the
-    per-partition counts (one row per partition, a proven bound) give the
-    offsets, and a local row number plus the offset is the global rank.
+    folder (so partitions are fixed); each partition counts its rows -- one
+    number per partition, a proven bound, the only thing the driver sees --
+    and a local row number plus the partition's offset (a constant map) is
+    the global rank.
     """
     values = df.select(F.col(col)).filter(F.col(col).isNotNull()).distinct()
     ordered = cut_lineage(values.repartitionByRange(col).sortWithinPartitions(col))
     tagged = ordered.withColumn("_p", F.spark_partition_id())
-    offsets = (tagged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_off", F.coalesce(
-                   F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0))))
+    counts = sorted((r["_p"], r["n"]) for r in tagged.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, total = [], 0
+    for p, n in counts:
+        offsets += [F.lit(p), F.lit(total)]
+        total += n
     local = tagged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(col)))
-    return (local.join(F.broadcast(offsets.select("_p", "_off")), "_p")
-            .select(F.col(col), (F.col("_off") + F.col("_r") - 1).cast("long").alias(out)))
+    offset = F.create_map(*offsets)[F.col("_p")] if offsets else F.lit(0)
+    return local.select(F.col(col), (offset + F.col("_r") - 1).cast("long").alias(out))
 
 
 def fit_mapping(df: DataFrame, col: str) -> DataFrame:
@@ -88,9 +90,11 @@ def text_reference(df: DataFrame, class_col: str, text_col: str, order_col: str)
 def decode_text(df: DataFrame, mapping: DataFrame, reference: DataFrame, id_col: str, out: str) -> DataFrame:
     """Id → source class → text.  No text → the class string; id outside the
     mapping → the id as text."""
-    m = sized(mapping)
-    names = m.join(reference, "class_name", "left").select(
+    names = mapping.join(reference, "class_name", "left").select(
         F.col("class_id").alias("_cid"), F.coalesce(F.col("text"), F.col("class_name")).alias("_name"))
+    # one row per mapping row: broadcast when the mapping's size check allows
+    small = mapping.limit(BROADCAST_MAPPING_ROWS + 1).count() <= BROADCAST_MAPPING_ROWS
+    names = F.broadcast(names) if small else names
     return (df.join(names, F.col(id_col) == F.col("_cid"), "left")
             .withColumn(out, F.coalesce(F.col("_name"), F.col(id_col).cast("string"))).drop("_cid", "_name"))
 
