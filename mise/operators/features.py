@@ -43,22 +43,42 @@ def fallback_features(primary: Column, secondary, dim: int, dtype: str = "float"
                       zero_vector(dim, dtype))
 
 
-def encode_text(df: DataFrame, text: str, out: str = "text_vec", dim: int = TEXT_DIM) -> DataFrame:
-    """Built-in text encoder: whitespace tokens, hashed term counts of width
-    ``dim``, L2-normalised; whole texts, all JVM-side (MLlib transformers).
-
-    Runs once per **distinct** text: texts are keyed by their SHA-256, the
-    distinct texts are encoded, and rows are joined back on the key, so the
-    row side never ships its text through the join.  Adds ``out`` and
-    ``{out}_tokens``.
+def encode_text(df: DataFrame, text: str, out: str = "text_vec", dim: int = TEXT_DIM,
+                factory=None) -> DataFrame:
+    """Text encoder over whole texts, run once per **distinct** text: texts
+    are keyed by their SHA-256, the distinct texts are encoded, and rows are
+    joined back on the key, so the row side never ships its text through the
+    join.  Adds ``out`` and ``{out}_tokens``.
+
+    Built in (``factory=None``): whitespace tokens, hashed term counts of
+    width ``dim``, L2-normalised -- all JVM-side (MLlib transformers).  A
+    plug-in encoder (a sentence model, say) is a factory returning
+    ``encode(list[str]) -> ndarray (n, dim)``; it is built once per task and
+    fed Arrow batches (``mapInPandas``).
     """
     keyed = df.withColumn("_h", F.sha2(clean_text(text), 256))
     distinct = df.select(clean_text(text).alias("_t")).distinct().withColumn("_h", F.sha2("_t", 256))
     tok = RegexTokenizer(inputCol="_t", outputCol="_tok", pattern=r"\s+", gaps=True, toLowercase=True)
-    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
-    norm = Normalizer(inputCol="_tf", outputCol="_n", p=2.0)
-    enc = norm.transform(tf.transform(tok.transform(distinct)))
-    enc = enc.select("_h", F.size("_tok").alias(f"{out}_tokens"), vector_to_array("_n", "float32").alias(out))
+    tokens = F.size("_tok").alias(f"{out}_tokens")
+    if factory is None:
+        tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
+        norm = Normalizer(inputCol="_tf", outputCol="_n", p=2.0)
+        enc = norm.transform(tf.transform(tok.transform(distinct)))
+        enc = enc.select("_h", tokens, vector_to_array("_n", "float32").alias(out))
+    else:
+        from mise.session import ship_library
+        ship_library(df.sparkSession)
+        counted = tok.transform(distinct).select("_h", "_t", tokens)
+        schema = f"_h string, {out}_tokens int, {out} array<float>"
+
+        def run(batches):
+            import numpy as np
+            encode = factory()
+            for pdf in batches:
+                if len(pdf):
+                    vecs = np.asarray(encode(list(pdf["_t"])), dtype=np.float32)
+                    yield pdf[["_h", f"{out}_tokens"]].assign(**{out: list(vecs)})
+        enc = counted.mapInPandas(run, schema)
     return keyed.join(enc, "_h", "left").drop("_h")
 
 

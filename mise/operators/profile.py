@@ -17,8 +17,15 @@ def class_counts(df: DataFrame, col: str, k: int | None = None, name: str = "n")
     return out.limit(k) if k else out
 
 
-def class_cardinality(df: DataFrame, cols=("verb_class", "noun_class")) -> DataFrame:
-    """Distinct classes per column and distinct class combinations."""
+def class_cardinality(df: DataFrame, cols=("verb_class", "noun_class"), approx: bool = False,
+                      rsd: float = 0.01) -> DataFrame:
+    """Distinct classes per column and distinct class combinations; with
+    ``approx=True`` HyperLogLog++ sketches (relative error ``rsd``) replace
+    the exact distinct counts."""
+    if approx:
+        aggs = [F.approx_count_distinct(F.col(c), rsd).alias(f"{c}_distinct") for c in cols]
+        aggs.append(F.approx_count_distinct(F.struct(*[F.col(c) for c in cols]), rsd).alias("pairs_distinct"))
+        return df.agg(*aggs)
     aggs = [F.count_distinct(F.col(c)).alias(f"{c}_distinct") for c in cols]
     aggs.append(F.count_distinct(*[F.col(c) for c in cols]).alias("pairs_distinct"))
     return df.agg(*aggs)

@@ -30,3 +30,9 @@ def metric_gain(df: DataFrame, metrics, base: str, id_col: str = "mode") -> Data
     return (long.join(F.broadcast(b), "metric", "inner")
             .withColumn("abs_gain", F.round(F.col("value") - F.col("base_value"), 6))
             .withColumn("rel_gain", F.round(F.try_divide(F.col("value"), F.col("base_value")) - 1.0, 6)))
+
+
+def round_metrics(df: DataFrame, metrics, digits: int = 3) -> DataFrame:
+    """Metric columns rounded half-up for display (3 or 4 decimals in the
+    published tables); compute on unrounded values."""
+    return df.select(*[F.round(F.col(c), digits).alias(c) if c in set(metrics) else F.col(c) for c in df.columns])

@@ -44,3 +44,18 @@ def test_split_leakage_flags_demo_video(spark):
 def test_text_label_leak(spark):
     df = spark.createDataFrame([("open door", "open"), ("take it", "put"), (None, "x")], "t string, v string")
     assert SP.text_label_leak(df, "t", {"leak": F.col("v")}).first().leak == round(1 / 3, 6)
+
+
+def test_cardinality_exact_and_approx(spark):
+    df = spark.createDataFrame([(i % 7, i % 5) for i in range(100)], "verb_class int, noun_class int")
+    e = PR.class_cardinality(df).first()
+    a = PR.class_cardinality(df, approx=True).first()
+    assert (e.verb_class_distinct, e.noun_class_distinct, e.pairs_distinct) == (7, 5, 35)
+    assert (a.verb_class_distinct, a.noun_class_distinct) == (7, 5) and abs(a.pairs_distinct - 35) <= 2
+
+
+def test_round_metrics(spark):
+    from mise.operators.report import round_metrics
+    df = spark.createDataFrame([("t", 0.97251, 0.5)], "mode string, verb_top1 double, x double")
+    r = round_metrics(df, ["verb_top1"], 3).first()
+    assert (r.mode, r.verb_top1, r.x) == ("t", 0.973, 0.5)

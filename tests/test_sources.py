@@ -122,3 +122,15 @@ def test_prepare_clips_only_with_labels(spark, tmp_dir):
     assert [(r.action_label, r.duration_frames) for r in demo.collect()][0] == ("open door", 195)
     test = SC.prepare_clips(SC.read_clips(spark, f"{tmp_dir}/test"))
     assert "action_label" not in test.columns
+
+
+def test_text_encoder_plugin_runs_once_per_distinct_text(spark):
+    from mise.operators.features import encode_text
+
+    def factory():
+        import numpy as np
+        return lambda texts: np.array([[len(t), t.count(" ")] for t in texts], dtype=float)
+    df = spark.createDataFrame([(1, "open door"), (2, "open door"), (3, None), (4, "take the knife")],
+                               "id int, narration string")
+    got = {r.id: (r.tv_tokens, list(r.tv)) for r in encode_text(df, "narration", "tv", 2, factory).collect()}
+    assert got == {1: (2, [9.0, 1.0]), 2: (2, [9.0, 1.0]), 3: (0, [0.0, 0.0]), 4: (3, [14.0, 2.0])}
