@@ -98,10 +98,12 @@ def top_confusions(df: DataFrame, label: str, pred: str, k: int = 10) -> DataFra
 
 def weighted_log_loss(df: DataFrame, label: str, logits: str, weights: DataFrame, by=()) -> DataFrame:
     """Class-weighted cross entropy: ``sum(w[y] * nll) / sum(w[y])`` over known
-    labels.  ``weights(class_id, w)`` is one row per class; the planner picks
-    the join strategy from its measured size."""
-    o = df.filter(known(label)).join(weights.select(F.col("class_id").alias("_c"), F.col("w").alias("_w")),
-                                     F.col(label) == F.col("_c"), "inner")
+    labels.  ``weights(class_id, w)`` is one row per class: it is broadcast
+    after a row-count check, so a class holding a third of the rows is not one
+    task's work (beyond the limit the join is left to the planner and AQE)."""
+    from mise.operators.labels import sized
+    w = sized(weights.select(F.col("class_id").alias("_c"), F.col("w").alias("_w")))
+    o = df.filter(known(label)).join(w, F.col(label) == F.col("_c"), "inner")
     return o.groupBy(*by).agg(F.round(F.sum(F.col("_w") * nll(logits, label)) / F.sum("_w"), DIGITS).alias("loss"))
 
 

@@ -59,3 +59,27 @@ def test_pool_unbounded_path_agrees(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][0] == b[k][0] and all(abs(x - y) < 1e-12 for x, y in zip(a[k][1], b[k][1]))
+
+
+def test_hot_video_pools_exactly_and_joins_on_frames(spark):
+    """One video holds a third of the clips; results stay exact and the frame
+    join is keyed by frame, not by video alone."""
+    import numpy as np
+    n = 3000
+    clips = spark.createDataFrame(
+        [(i, "HOT" if i % 3 == 0 else f"V{i % 50}", i % 200, i % 200 + i % 40) for i in range(n)],
+        "clip_id long, video_id string, start_frame long, stop_frame long")
+    frames = spark.createDataFrame(
+        [(v, f, [float(f), float(len(v))]) for v in ["HOT"] + [f"V{k}" for k in range(50)] for f in range(0, 240, 2)],
+        "video_id string, frame_no long, embedding array<float>")
+    joined = FR.join_frames(FR.explode_samples(clips), frames)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "frame_no" in plan.split("Join")[1].split("\n")[0]
+    got = {r.clip_id: (r.found, list(r.vec)) for r in FR.pool_frames(joined, 2, dtype="double").collect()}
+    for i in (0, 3, 1, 2, 2997):
+        s, e = i % 200, i % 200 + i % 40
+        v = "HOT" if i % 3 == 0 else f"V{i % 50}"
+        samples = [int(x) for x in np.linspace(s, e, 3).astype(int)]
+        hits = [f for f in samples if f % 2 == 0 and f < 240]
+        want = [np.mean(hits), float(len(v))] if hits else [0.0, 0.0]
+        assert got[i][0] == len(hits) and np.allclose(got[i][1], want)
