@@ -79,8 +79,9 @@ def frame_path(video="video_id", frame_no="frame_no", root: str = "frames") -> C
 def parse_frame_no(path) -> Column:
     """Frame number from a frame file path; NULL when the base name does not
     start with ``frame_`` or the number part is not an integer."""
-    base = F.regexp_extract(_c(path), r"([^/]*)$", 1)
-    token = F.regexp_extract(base, r"^frame_([^_.]*)", 1)
+    base = F.substring_index(_c(path), "/", -1)  # text after the last '/'
+    rest = F.substring(base, len("frame_") + 1, 1 << 30)
+    token = F.substring_index(F.substring_index(rest, "_", 1), ".", 1)  # up to the next '_' or '.'
     return F.when(base.startswith("frame_"), token.try_cast("int"))
 
 
