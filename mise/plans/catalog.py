@@ -291,7 +291,7 @@ def q_missing_frames(spark, d):
 
 
 @query("frame_range_join", oracle(["clips", "frames"], """
-select clip_id, count(*) n_frames, sum(frame_no) sum_frame
+select clip_id, count(*) n_frames, cast(sum(frame_no) as bigint) sum_frame
 from clips join frames on frame_no between start_frame and stop_frame group by clip_id"""))
 def q_frame_range_join(spark, d):
     pairs = FR.frames_in_range(S.clips(spark, d), S.frames(spark, d), keys=())
