@@ -19,7 +19,7 @@ from mise.operators import report as RP
 from mise.operators import split as SP
 from mise.plans import standins as S
 from mise.plans.standins import oracle
-from mise.session import scratch_path
+from mise.session import cut_lineage, scratch_path
 from mise.sources import clips as SC
 from mise.sources import features as SF
 from mise.sources.tables import read_table
@@ -803,7 +803,8 @@ def q_blind_predictions(spark, d):
     vmap, nmap = _verb_mapping(spark, d), LB.fit_mapping(c.filter(F.col("split") == "train"), "noun_class")
     vis = _pooled(spark, d, keep=()).select("clip_id", "vec")
     lab = LB.encode_labels(LB.encode_labels(c, vmap, "verb_class", out="yv"), nmap, "noun_class", out="yn")
-    data = lab.join(vis, "clip_id")
+    # features and labels of all clips, written once: training and scoring both read them
+    data = cut_lineage(lab.join(vis, "clip_id"))
     train = data.filter(F.col("split") == "train")
     # class spaces of the full training set = sizes of the fitted mappings (ids 0..k-1)
     spaces = {"verb": vmap.count(), "noun": nmap.count()}
