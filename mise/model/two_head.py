@@ -12,7 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mise.functions.columns import known
@@ -20,6 +21,12 @@ from mise.model.linear import ABSENT_LOGIT
 from mise.operators.labels import class_weights
 
 
+def as_vector(df: DataFrame, col: str) -> Column:
+    """Feature column as an ML vector: vectors (dense or sparse) pass
+    through, arrays are converted."""
+    return F.col(col) if isinstance(df.schema[col].dataType, VectorUDT) else array_to_vector(F.col(col))
+
+
 @dataclass
 class TwoHeadModel:
     heads: dict[str, LogisticRegressionModel]
@@ -30,7 +37,7 @@ class TwoHeadModel:
         """Add one logits column per head (``array<double>`` padded to the
         head's class space with a shared low logit)."""
         out = out or {h: f"z_{h}" for h in self.heads}
-        df = df.withColumn("_x", array_to_vector(F.col(self.features)))
+        df = df.withColumn("_x", as_vector(df, self.features))
         for head, model in self.heads.items():
             model = model.copy()
             model.setFeaturesCol("_x").setRawPredictionCol("_raw").setProbabilityCol("_prob").setPredictionCol("_pred")
@@ -57,7 +64,7 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
         row = train.agg(*[(F.max(c) + 1).alias(h) for h, c in labels.items()]).first()
         n_classes = {h: int(row[h]) for h in labels}
     data = train.filter(require) if require is not None else train
-    data = data.select(features, *labels.values()).withColumn("_x", array_to_vector(F.col(features)))
+    data = data.select(features, *labels.values()).withColumn("_x", as_vector(data, features))
     # many passes follow: spread the rows over all cores once, then cache
     data = data.repartition(train.sparkSession.sparkContext.defaultParallelism).cache()
     heads = {}

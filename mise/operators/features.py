@@ -44,7 +44,7 @@ def fallback_features(primary: Column, secondary, dim: int, dtype: str = "float"
 
 
 def encode_text(df: DataFrame, text: str, out: str = "text_vec", dim: int = TEXT_DIM,
-                factory=None) -> DataFrame:
+                factory=None, as_vector: bool = False) -> DataFrame:
     """Text encoder over whole texts, run once per **distinct** text: texts
     are keyed by their SHA-256, the distinct texts are encoded, and rows are
     joined back on the key, so the row side never ships its text through the
@@ -54,7 +54,8 @@ def encode_text(df: DataFrame, text: str, out: str = "text_vec", dim: int = TEXT
     width ``dim``, L2-normalised -- all JVM-side (MLlib transformers).  A
     plug-in encoder (a sentence model, say) is a factory returning
     ``encode(list[str]) -> ndarray (n, dim)``; it is built once per task and
-    fed Arrow batches (``mapInPandas``).
+    fed Arrow batches (``mapInPandas``).  ``as_vector=True`` keeps the built-in
+    encoder's output as a sparse ML vector (for MLlib estimators).
     """
     keyed = df.withColumn("_h", F.sha2(clean_text(text), 256))
     distinct = df.select(clean_text(text).alias("_t")).distinct().withColumn("_h", F.sha2("_t", 256))
@@ -64,7 +65,8 @@ def encode_text(df: DataFrame, text: str, out: str = "text_vec", dim: int = TEXT
         tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
         norm = Normalizer(inputCol="_tf", outputCol="_n", p=2.0)
         enc = norm.transform(tf.transform(tok.transform(distinct)))
-        enc = enc.select("_h", tokens, vector_to_array("_n", "float32").alias(out))
+        vec = F.col("_n") if as_vector else vector_to_array("_n", "float32")
+        enc = enc.select("_h", tokens, vec.alias(out))
     else:
         from mise.session import ship_library
         ship_library(df.sparkSession)

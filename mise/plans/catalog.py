@@ -819,3 +819,41 @@ def q_blind_predictions(spark, d):
     nref = LB.text_reference(train_rows, "noun_class", "noun", "clip_id")
     return to_predictions(decode_predictions(pred, vmap, vref, nmap, nref),
                           ["clip_id", "video_id", "start_frame", "stop_frame"])
+
+
+@query("fusion_ablation")
+def q_fusion_ablation(spark, d):
+    """The trained ablation: per mode (text, object, text+object, video) a
+    class-weighted two-head model on the training clips, evaluated on the
+    validation clips in one grouped pass.  Text = hashed narration (a sparse
+    vector), object = noun one-hot over the training mapping, video = pooled
+    frame vectors (zeros when no frame was found); the video mode trains only
+    on clips with a real visual vector.  Features and labels are written once
+    and read by every mode; a mode's features are its streams assembled in
+    the fixed order text, object, visual."""
+    from functools import reduce
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from mise.model.two_head import fit_two_head
+    c = S.clips(spark, d)
+    train_rows = c.filter(F.col("split") == "train")
+    vmap, nmap = _verb_mapping(spark, d), LB.fit_mapping(train_rows, "noun_class")
+    feats = FE.one_hot(FE.encode_text(c, "narration", "t", 384, as_vector=True), nmap, "noun_class", "o")
+    vis = _pooled(spark, d, keep=()).select("clip_id", "vec")
+    lab = LB.encode_labels(LB.encode_labels(FE.align("clip_id", feats, vis), vmap, "verb_class", "yv"),
+                           nmap, "noun_class", "yn")
+    data = cut_lineage(lab.select("clip_id", "split", "yv", "yn", "t", array_to_vector("o").alias("o"),
+                                  array_to_vector("vec").alias("v")))
+    spaces = {"verb": vmap.count(), "noun": nmap.count()}
+    parts = []
+    for mode in ("t", "o", "to", "v"):
+        cols = FE.mode_streams(mode)
+        dm = VectorAssembler(inputCols=cols, outputCol="x").transform(data)
+        model = fit_two_head(dm.filter(F.col("split") == "train"), "x", {"verb": "yv", "noun": "yn"},
+                             n_classes=spaces, require=C.has_modality(vector_to_array(F.col("v"))) if mode == "v" else None,
+                             max_iter=10)
+        scored = model.transform(dm.filter(F.col("split") == "val"), {"verb": "zv", "noun": "zn"})
+        parts.append(scored.select(F.lit(mode).alias("mode"), "yv", "yn", "zv", "zn"))
+    return EV.evaluate_heads(reduce(DataFrame.unionByName, parts), by=("mode",))
