@@ -59,3 +59,10 @@ def test_round_metrics(spark):
     df = spark.createDataFrame([("t", 0.97251, 0.5)], "mode string, verb_top1 double, x double")
     r = round_metrics(df, ["verb_top1"], 3).first()
     assert (r.mode, r.verb_top1, r.x) == ("t", 0.973, 0.5)
+
+
+def test_assign_split_rejects_bad_fractions(spark):
+    import pytest
+    df = spark.createDataFrame([("V1",)], "video_id string")
+    with pytest.raises(ValueError):
+        SP.assign_split(df, "video_id", (("train", 70), ("val", 10)))

@@ -134,3 +134,18 @@ def test_text_encoder_plugin_runs_once_per_distinct_text(spark):
                                "id int, narration string")
     got = {r.id: (r.tv_tokens, list(r.tv)) for r in encode_text(df, "narration", "tv", 2, factory).collect()}
     assert got == {1: (2, [9.0, 1.0]), 2: (2, [9.0, 1.0]), 3: (0, [0.0, 0.0]), 4: (3, [14.0, 2.0])}
+
+
+def test_read_features_with_optional_labels(spark, tmp_dir):
+    df = spark.createDataFrame([("c1", "val", [1.0], [2.0]), ("c2", "val", [3.0], None), ("c3", "train", [5.0], [6.0])],
+                               "clip_id string, split string, text array<float>, visual array<float>")
+    SF.write_features(SF.to_long(df, "clip_id", "split", {"text": "text", "visual": "visual"}), f"{tmp_dir}/f")
+    labels = spark.createDataFrame([("c1", "val", 4, 7), ("c3", "train", 1, 2)], "clip_id string, split string, yv int, yn int")
+    labels.write.parquet(f"{tmp_dir}/labels")
+    got = {r.clip_id: r for r in SF.read_features(spark, f"{tmp_dir}/f", "val", ["text", "visual"],
+                                                  labels_path=f"{tmp_dir}/labels").collect()}
+    assert set(got) == {"c1", "c2"}
+    assert list(got["c1"].visual) == [2.0] and got["c2"].visual is None
+    assert (got["c1"].yv, got["c2"].yv) == (4, None)
+    plain = SF.read_features(spark, f"{tmp_dir}/f", "val", ["text"])
+    assert plain.columns == ["clip_id", "text"]
