@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from mise.schema import UNKNOWN_CLASS, UNSEEN_ID
 from mise.session import cut_lineage
 
-# Mappings up to this many rows are broadcast; larger ones are shuffle joined.
-BROADCAST_MAPPING_ROWS = 2_000_000
+# Mappings up to this many rows (about 10-20 MB of class names and ids) are
+# broadcast; larger ones are shuffle joined, with AQE splitting hot keys.
+BROADCAST_MAPPING_ROWS = 200_000
 
 
 def dense_rank_values(df: DataFrame, col: str, out: str) -> DataFrame:
