@@ -74,3 +74,15 @@ def test_class_weights_present_only(spark):
     got = {r.class_id: round(r.w, 6) for r in LB.class_weights(df, "y", 3, present_only=True).collect()}
     # raw .25 and 1 over the two present classes, scaled to sum to 2
     assert got == {0: 0.4, 1: 0.0, 2: 1.6}
+
+
+def test_encode_beyond_broadcast_limit_uses_shuffle_join(spark, monkeypatch):
+    monkeypatch.setattr(LB, "BROADCAST_MAPPING_ROWS", 1)
+    monkeypatch.setattr(LB.sized, "__defaults__", (1,))
+    train = spark.createDataFrame([(3,), (5,), (7,)], "c int")
+    m = LB.fit_mapping(train, "c")
+    val = spark.createDataFrame([(1, 5), (2, 999), (3, 7)], "k int, c int")
+    out = LB.encode_labels(val, m, "c")
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString() or \
+        spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert {r.k: r.y for r in out.collect()} == {1: 1, 2: -1, 3: 2}
