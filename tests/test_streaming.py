@@ -31,3 +31,18 @@ def test_running_counts(spark, tmp_dir):
     last = spark.read.parquet(f"{tmp_dir}/counts").agg(F.max("batch")).first()[0]
     got = {r.verb: r.n for r in spark.read.parquet(f"{tmp_dir}/counts").filter(F.col("batch") == last).collect()}
     assert got == {"c0": 10, "c1": 10, "c2": 10, "c3": 10}
+
+
+def test_scoring_a_stream_matches_batch(spark, tmp_dir):
+    from mise.functions.columns import argmax
+    from mise.model.linear import fit_centroids
+    rows = [(i, [float(i % 3 == 0), float(i % 3 == 1), float(i % 3 == 2)], i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "clip_id long, x array<double>, y int")
+    model = fit_centroids(df, "x", "y")
+    df.write.parquet(f"{tmp_dir}/in3")
+    stream = ST.read_clip_stream(spark, f"{tmp_dir}/in3", df.schema)
+    scored = model.transform(stream, "x", "z").select("clip_id", argmax("z").alias("pred"))
+    ST.write_stream(scored, f"{tmp_dir}/out3", checkpoint=f"{tmp_dir}/ckpt3").awaitTermination(120)
+    got = {r.clip_id: r.pred for r in spark.read.parquet(f"{tmp_dir}/out3").collect()}
+    want = {r.clip_id: r.pred for r in model.transform(df, "x", "z").select("clip_id", argmax("z").alias("pred")).collect()}
+    assert got == want and set(got.values()) == {0, 1, 2}
