@@ -201,3 +201,13 @@ def oracle(views, sql: str) -> str:
 def clip_samples(spark: SparkSession, d: str, n: int = 3) -> DataFrame:
     c = clips(spark, d)
     return c.select("clip_id", "video_id", "split", F.posexplode(sample_frames("start_frame", "stop_frame", n)).alias("i", "frame_no"))
+
+
+def register_views(spark: SparkSession, d: str) -> None:
+    """Expose the stand-in views (and the base tables) as temp views so users
+    can write Spark SQL over them: ``clips``, ``clip_times``, ``frames``,
+    ``archives`` plus every table of the data directory."""
+    from mise.sources.tables import register_tables
+    register_tables(spark, d)
+    for name, build in (("clips", clips), ("clip_times", clip_times), ("frames", frames), ("archives", archives)):
+        build(spark, d).createOrReplaceTempView(name)

@@ -35,3 +35,14 @@ def test_every_oracle_has_a_query():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["clip_id", "n2"] and df.count() > 0
+
+
+def test_sql_over_registered_views_matches_operators(spark):
+    from mise.operators.profile import class_counts
+    from mise.plans import standins as S
+    S.register_views(spark, SF)
+    sql = spark.sql("select verb, count(*) n from clips where split = 'train' group by verb "
+                    "order by n desc, verb limit 5").collect()
+    api = class_counts(S.clips(spark, SF).filter("split = 'train'"), "verb", k=5).collect()
+    assert [tuple(r) for r in sql] == [tuple(r) for r in api]
+    assert spark.sql("select count(*) from frames").first()[0] == S.frames(spark, SF).count()
