@@ -8,6 +8,7 @@ weighting, same two heads, same class spaces; not the same numbers.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -50,7 +51,8 @@ class TwoHeadModel:
 
 
 def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_classes: dict[str, int] | None = None,
-                 require=None, max_iter: int = 50, reg: float = 1e-4, present_only: bool = False) -> TwoHeadModel:
+                 require=None, max_iter: int = 50, reg: float = 1e-4, present_only: bool = False,
+                 parallelism: int = 2) -> TwoHeadModel:
     """Fit one weighted multinomial head per ``{head: label column}``.
 
     ``require`` is an optional boolean column: only those rows are trained
@@ -58,7 +60,8 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     that subset, while the class space (``n_classes``) stays that of the full
     training set (``present_only`` scales the weights over the classes the
     subset has).  The training set is spread evenly over the cluster's cores
-    and cached for the iterations.
+    and cached for the iterations.  The heads are fitted concurrently
+    (``parallelism`` threads submitting Spark jobs, as MLlib's tuning does).
     """
     if n_classes is None:
         row = train.agg(*[(F.max(c) + 1).alias(h) for h, c in labels.items()]).first()
@@ -67,14 +70,17 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     data = data.select(features, *labels.values()).withColumn("_x", as_vector(data, features))
     # many passes follow: spread the rows over all cores once, then cache
     data = data.repartition(train.sparkSession.sparkContext.defaultParallelism).cache()
-    heads = {}
+    def fit(head_col):
+        head, col = head_col
+        w = class_weights(data.filter(known(col)), col, n_classes[head], present_only=present_only)
+        rows = data.filter(known(col)).join(w.select(F.col("class_id").alias(col), F.col("w").alias("_w")), col)
+        lr = LogisticRegression(featuresCol="_x", labelCol=col, weightCol="_w", family="multinomial",
+                                maxIter=max_iter, regParam=reg, standardization=False)
+        return head, lr.fit(rows.withColumn(col, F.col(col).cast("double")))
+
     try:
-        for head, col in labels.items():
-            w = class_weights(data.filter(known(col)), col, n_classes[head], present_only=present_only)
-            rows = data.filter(known(col)).join(w.select(F.col("class_id").alias(col), F.col("w").alias("_w")), col)
-            lr = LogisticRegression(featuresCol="_x", labelCol=col, weightCol="_w", family="multinomial",
-                                    maxIter=max_iter, regParam=reg, standardization=False)
-            heads[head] = lr.fit(rows.withColumn(col, F.col(col).cast("double")))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            heads = dict(pool.map(fit, labels.items()))
     finally:
         data.unpersist()
     return TwoHeadModel(heads, dict(n_classes), features)

@@ -847,13 +847,16 @@ def q_fusion_ablation(spark, d):
     data = cut_lineage(lab.select("clip_id", "split", "yv", "yn", "t", array_to_vector("o").alias("o"),
                                   array_to_vector("vec").alias("v")))
     spaces = {"verb": vmap.count(), "noun": nmap.count()}
-    parts = []
-    for mode in ("t", "o", "to", "v"):
-        cols = FE.mode_streams(mode)
-        dm = VectorAssembler(inputCols=cols, outputCol="x").transform(data)
+    def run(mode):
+        dm = VectorAssembler(inputCols=FE.mode_streams(mode), outputCol="x").transform(data)
         model = fit_two_head(dm.filter(F.col("split") == "train"), "x", {"verb": "yv", "noun": "yn"},
                              n_classes=spaces, require=C.has_modality(vector_to_array(F.col("v"))) if mode == "v" else None,
                              max_iter=10)
         scored = model.transform(dm.filter(F.col("split") == "val"), {"verb": "zv", "noun": "zn"})
-        parts.append(scored.select(F.lit(mode).alias("mode"), "yv", "yn", "zv", "zn"))
+        return scored.select(F.lit(mode).alias("mode"), "yv", "yn", "zv", "zn")
+
+    # the modes' models are independent: fit them concurrently (jobs from a thread pool)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        parts = list(pool.map(run, ("t", "o", "to", "v")))
     return EV.evaluate_heads(reduce(DataFrame.unionByName, parts), by=("mode",))
