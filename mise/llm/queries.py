@@ -7,12 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.llm import exact_dedup, mixing
+from mise.llm import exact_dedup, mixing, pieces, simhash, toxicity
 from mise.llm.common import read_table
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 
+def _held_out(remainder: int, of: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~_held_out(1, 3)))
+    return (toxicity.scored(docs.select("doc_id", "text"), model)
+            .select("doc_id", _held_out(1, 3).alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(read_table(spark, sf_dir, "documents"))
 
@@ -25,6 +41,10 @@ from d join g on d.norm = g.norm
 """
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return (mixing.mixed(docs)
@@ -57,7 +77,10 @@ select doc_id, size, source_size, target, size * copies as taken, copies from k
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_sentencepiece": op3_sentencepiece,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
 }
 
