@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.llm import exact_dedup, mixing, pieces, simhash, toxicity
+from mise.llm import exact_dedup, html_text, line_dedup, mixing, pieces, simhash, toxicity
 from mise.llm.common import read_table
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -25,10 +25,45 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (line_dedup.without_runs(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256")))
+
+
+# Windows are the shortest runs with three lines or fifty words.
+_OP2 = r"""
+with raw as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+                    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as raw_no from documents),
+norm as (select *, trim(regexp_replace(line, '[ 	-]+', ' ', 'g')) as norm from raw),
+num as (select *, row_number() over (partition by doc_id order by raw_no) as no,
+               len(string_split(norm, ' ')) as words from norm where norm <> ''),
+nxt as (select *, lead(norm, 1) over w as n1, lead(norm, 2) over w as n2, lead(words, 1) over w as w1
+        from num window w as (partition by doc_id order by no)),
+len as (select *, case when words >= 50 then 1 when words + w1 >= 50 then 2 else 3 end as size from nxt),
+win as (select doc_id, no, size, case size when 1 then norm when 2 then norm || chr(10) || n1
+                                  else norm || chr(10) || n1 || chr(10) || n2 end as content from len),
+pos as (select *, first_value(doc_id) over f as d0, first_value(no) over f as no0 from win where content is not null
+        window f as (partition by content order by doc_id, no)),
+cut as (select doc_id, case when d0 = doc_id then greatest(no, no0 + size) else no end as a, no + size as b
+        from pos where d0 <> doc_id or no0 <> no),
+gone as (select distinct doc_id, unnest(range(a, b)) as no from cut where a < b),
+kept as (select n.doc_id, n.raw_no, n.line, m.no is not null as is_line, g.no is not null as is_gone
+         from norm n left join num m on n.doc_id = m.doc_id and n.raw_no = m.raw_no
+                     left join gone g on m.doc_id = g.doc_id and m.no = g.no)
+select doc_id, count(*) filter (is_line) as n_lines, count(*) filter (is_gone) as n_deleted,
+       sha256(coalesce(string_agg(line, chr(10) order by raw_no) filter (not is_gone), '')) as text_sha256
+from kept group by doc_id
+"""
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(read_table(spark, sf_dir, "documents"))
 
@@ -78,13 +113,16 @@ select doc_id, size, source_size, target, size * copies as taken, copies from k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_line_dedup": op2_line_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_html": op5_html,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": _OP2,
     "op7_exact_dedup": _OP7,
     "op10_mixing": _OP10,
 }
