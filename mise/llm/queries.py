@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.llm import exact_dedup, html_text, line_dedup, mixing, pieces, simhash, toxicity
+from mise.llm import exact_dedup, html_text, line_dedup, mixing, pieces, simhash, spotsigs, toxicity
 from mise.llm.common import read_table
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -34,7 +34,8 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP2 = r"""
 with raw as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
                     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as raw_no from documents),
-norm as (select *, trim(regexp_replace(line, '[ 	-]+', ' ', 'g')) as norm from raw),
+norm as (select *, trim(regexp_replace(line, '[ 	-
+]+', ' ', 'g')) as norm from raw),
 num as (select *, row_number() over (partition by doc_id order by raw_no) as no,
                len(string_split(norm, ' ')) as words from norm where norm <> ''),
 nxt as (select *, lead(norm, 1) over w as n1, lead(norm, 2) over w as n2, lead(words, 1) over w as w1
@@ -64,6 +65,10 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(read_table(spark, sf_dir, "documents"))
 
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_html": op5_html,
+    "op6_spotsigs": op6_spotsigs,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
