@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.llm import exact_dedup, html_text, line_dedup, mixing, pieces, simhash, spotsigs, toxicity
+from mise.llm import exact_dedup, html_text, line_dedup, mixing, pieces, pii, simhash, spotsigs, toxicity
 from mise.llm.common import read_table
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -81,6 +81,10 @@ from d join g on d.norm = g.norm
 """
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -123,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html": op5_html,
     "op6_spotsigs": op6_spotsigs,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
 }
