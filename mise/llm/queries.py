@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.llm import exact_dedup, html_text, line_dedup, mixing, pieces, pii, simhash, spotsigs, toxicity
+from mise.llm import exact_dedup, html_text, line_dedup, maxent_lm, mixing, pieces, pii, simhash, spotsigs, toxicity
 from mise.llm.common import read_table
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -61,6 +61,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.scored(read_table(spark, sf_dir, "documents"), _held_out(0, 10))
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(read_table(spark, sf_dir, "pages"))
 
@@ -124,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_html": op5_html,
     "op6_spotsigs": op6_spotsigs,
     "op7_exact_dedup": op7_exact_dedup,
