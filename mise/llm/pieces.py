@@ -321,6 +321,17 @@ def _ids(_: Pieces, encoded: Iterator[np.ndarray]) -> list[pa.Array]:
     return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))]
 
 
+def _both(pieces: Pieces, encoded: Iterator[np.ndarray]) -> list[pa.Array]:
+    parts = list(encoded)
+    return [*_digests(pieces, iter(parts)), *_ids(pieces, iter(parts))]
+
+
+def encoded_with_digests(docs: DataFrame, model_file: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As ``digests``, with ``ids array<int>`` as well."""
+    return _rows(docs, model_file or default_model(), _both,
+                 "n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>", list(carry))
+
+
 def encoded(docs: DataFrame, model_file: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns and ``ids array<int>``."""
     return _rows(docs, model_file or default_model(), _ids, "ids array<int>", list(carry))
