@@ -181,7 +181,10 @@ class Model:
         return z
 
     def of(self, mask: int) -> float:
-        return self.start + sum(RATE * t.of(mask) for t in self.trees)
+        z = self.start
+        for tree in self.trees:  # in the order of the column's sum
+            z += RATE * tree.of(mask)
+        return z
 
 
 def fit(counts: Sequence[tuple[int, int, int, int, int]], bits: int, precision: float = PRECISION) -> Model | None:
