@@ -43,7 +43,8 @@ END = b""  # no word is empty
 CLASSES, SINGLE = 64, 24
 OWN = 1_024  # tokens that stand for themselves in a history
 PAIRS = 4_096  # buckets of hashed pairs
-HEAD = 300_000
+HEAD = 100_000
+BANDS = 8  # frequency bands for each doubling of a count
 ROUNDS = 2
 PRIOR = 20.0
 FLUSH = 200_000
@@ -139,7 +140,17 @@ def _masses(counts: DataFrame, shared) -> np.ndarray:
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(head).collect()  # bounded
+    # the lowest frequency band from which on there are at most `head` tokens: a few hundred
+    # sums reach the driver, then those tokens, not a sorted list from every task
+    band = F.floor(F.log2("c") * BANDS)
+    left, lowest = head, math.inf
+    for r in counts.groupBy(band.alias("band")).agg(F.count("*").alias("n")).orderBy(F.desc("band")).collect():
+        left -= r["n"]
+        if left < 0:
+            break
+        lowest = r["band"]
+    top = counts.filter(band >= lowest).collect() if lowest < math.inf else []  # bounded by `head`
+    top = sorted(top, key=lambda r: (-r["c"], bytes(r["token"])))
     often = [bytes(r["token"]) for r in top]
     single = {t: i for i, t in enumerate([END, *[t for t in often if t != END]][:SINGLE])}
     shape = F.concat(F.substring("token", 1, 2), F.when(F.substring("token", -1, 1).cast("string").rlike(r"^[^0-9A-Za-z.,\x{80}-\x{10FFFF}]$"),
