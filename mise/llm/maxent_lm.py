@@ -45,10 +45,11 @@ OWN = 1_024  # tokens that stand for themselves in a history
 PAIRS = 4_096  # buckets of hashed pairs
 HEAD = 100_000
 BANDS = 8  # frequency bands for each doubling of a count
-ROUNDS = 2
+ROUNDS = 1
 PRIOR = 20.0
 FLUSH = 200_000
-BLOCK = 1 << 15
+BLOCK, PART = 1 << 15, 1 << 12
+LARGEST = 15.0
 _START = OWN + CLASSES  # what stands before a text
 _WIDTH = _START + 1
 ROWS = 3 * _WIDTH + PAIRS
@@ -209,28 +210,36 @@ def _encode(docs: DataFrame, shared) -> DataFrame:
 
 
 def feature_rows(signs: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """The weight rows (tokens, 4) that are on for each token of some texts."""
-    place = np.arange(len(signs)) - np.repeat(starts, lens)
-    before = []
+    """The weight rows (4, tokens) that are on for each token of some texts."""
+    on = np.full((4, len(signs)), _START, np.int32)
+    place = np.arange(len(signs), dtype=np.int32) - np.repeat(starts.astype(np.int32), lens)
     for k in (1, 2, 3):
-        shifted = np.full(len(signs), _START, np.int64)
-        shifted[k:] = signs[:-k] if k < len(signs) else signs[:0]
-        before.append(np.where(place >= k, shifted, _START))
-    one, two, three = before
-    pair = ((one * 40_503 + two * 65_599) >> 3) % PAIRS
-    return np.stack([one, _WIDTH + two, 2 * _WIDTH + three, 3 * _WIDTH + pair], axis=1)
-
-
-def log_softmax(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Natural log probabilities (tokens, classes)."""
-    z = bias + weights[rows[:, 0]]
-    for f in range(1, rows.shape[1]):
-        z += weights[rows[:, f]]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+        if k < len(signs):
+            np.copyto(on[k - 1, k:], signs[:-k], where=place[k:] >= k, casting="unsafe")
+    on[3] = 3 * _WIDTH + ((on[0] * 40_503 + on[1] * 65_599) >> 3) % PAIRS
+    on[1] += _WIDTH
+    on[2] += 2 * _WIDTH
+    return on
+
+
+def logits(on: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Bias and the weights that are on, (tokens, classes); within float32's
+    range for exp, as no weight is above ``LARGEST``."""
+    z = np.take(weights, on[0], axis=0)
+    z += bias
+    more = np.empty_like(z)
+    for f in range(1, len(on)):
+        z += np.take(weights, on[f], axis=0, out=more, mode="clip")
     return z
 
 
+def log_softmax(on: np.ndarray, weights: np.ndarray, bias: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Natural log probability of each token's class ``of``."""
+    z = logits(on, weights, bias)
+    own = z[np.arange(len(of)), of]
+    return own - np.log(np.exp(z, out=z).sum(axis=1, dtype=np.float64))
+
+
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = column.offsets.to_numpy()
     values = column.values.to_numpy(zero_copy_only=False)[ends[0]: ends[-1]].astype(np.int64)
@@ -272,36 +281,40 @@ def train(rows: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Model:
 
     def observed(table: np.ndarray, signs: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
         flat = table.reshape(-1)
-        of = classes[signs]
-        on = feature_rows(signs, starts, lens)
-        for f in range(on.shape[1]):
-            flat += np.bincount(on[:, f] * CLASSES + of, minlength=len(flat))
+        of = classes[signs].astype(np.int32)
+        for on in feature_rows(signs, starts, lens):
+            flat += np.bincount(on * CLASSES + of, minlength=len(flat))
 
     seen = _table(rows, observed, 1.0)
     prior = seen[:_WIDTH].sum(axis=0) + 0.1
     prior /= prior.sum()
     share = (seen + PRIOR * prior) / (seen.sum(axis=1, keepdims=True) + PRIOR)
     scale = np.concatenate([np.full(n, s) for n, s in zip((_WIDTH, _WIDTH, _WIDTH, PAIRS), _FIRST, strict=True)])
-    model = Model((scale[:, None] * np.log(share / prior)).astype(np.float32), np.log(prior).astype(np.float32))
+    first = np.clip(scale[:, None] * np.log(share / prior), -LARGEST, LARGEST)
+    model = Model(first.astype(np.float32), np.log(prior).astype(np.float32))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
 
         def expected(table: np.ndarray, signs: np.ndarray, starts: np.ndarray, lens: np.ndarray, shared=shared) -> None:
-            on = feature_rows(signs, starts, lens)
-            now = shared.value
+            on, now = feature_rows(signs, starts, lens), shared.value
+            ends = np.append(np.arange(3) * _WIDTH, 3 * _WIDTH), (_WIDTH, _WIDTH, _WIDTH, PAIRS)
+            p = np.empty((CLASSES, BLOCK))
             for at in range(0, len(signs), BLOCK):
-                part = on[at: at + BLOCK]
-                p = np.exp(log_softmax(part, now.weights, now.bias))
-                for f in range(part.shape[1]):
-                    order = np.argsort(part[:, f].astype(np.int16), kind="stable")
-                    ids = part[order, f]
-                    first = np.nonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))[0]
-                    table[ids[first]] += np.add.reduceat(p[order], first, axis=0)
+                n = min(BLOCK, len(signs) - at)
+                for part in range(0, n, PART):  # what fits a processor's cache
+                    z = logits(on[:, at + part: at + min(n, part + PART)], now.weights, now.bias)
+                    np.exp(z, out=z)
+                    z /= z.sum(axis=1, keepdims=True)
+                    p[:, part: part + len(z)] = z.T
+                for f, (first, size) in enumerate(zip(*ends, strict=True)):
+                    ids = on[f, at: at + n] - first
+                    for c in range(CLASSES):
+                        table[first: first + size, c] += np.bincount(ids, weights=p[c, :n], minlength=size)
 
         guess = _table(rows, expected, _FIXED)
         # along the gradient: a row's step is the log ratio of observed to expected counts, damped where counts are few
         step = np.log((seen + PRIOR * prior) / (guess + PRIOR * prior)) * 0.5
-        model = Model((model.weights + step).astype(np.float32), model.bias)
+        model = Model(np.clip(model.weights + step, -LARGEST, LARGEST).astype(np.float32), model.bias)
         shared.unpersist()
     return model
 
@@ -331,10 +344,9 @@ def scored(docs: DataFrame, held_out: Column, head: int = HEAD, rounds: int = RO
             signs, starts, lens = _flat(batch.column("signs"))
             on, of = feature_rows(signs, starts, lens), of_sign[signs]
             each = np.empty(len(signs))
-            for at in range(0, len(signs), BLOCK):
-                part = log_softmax(on[at: at + BLOCK], now.weights, now.bias)
-                block = of[at: at + BLOCK]
-                each[at: at + BLOCK] = part[np.arange(len(block)), block] / math.log(10) - of_class[block]
+            for at in range(0, len(signs), PART):
+                block = of[at: at + PART]
+                each[at: at + PART] = log_softmax(on[:, at: at + PART], now.weights, now.bias, block) / math.log(10) - of_class[block]
             total = np.add.reduceat(each, starts)  # every row has a token at least: the end
             columns = [batch.column(c) for c in ("doc_id", "held_out", "row_key", "n_tokens", "n_known", "logs")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(total)], ["doc_id", "held_out", "row_key", "n_tokens", "n_known", "logs", "classes"])
