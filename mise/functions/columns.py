@@ -137,16 +137,20 @@ def argmax(logits) -> Column:
 
 def label_rank(logits, label) -> Column:
     """1-based rank of the true label among the logits: classes with a larger
-    logit, or an equal logit and a lower index, come first.  No sort."""
+    logit, or an equal logit and a lower index, come first.  No sort.  A label
+    outside the logits ranks behind every class (no ``k`` reaches it); without
+    logits the rank is NULL."""
     z, y = _c(logits), _c(label)
     zy = F.get(z, y)
-    return (F.size(F.filter(z, lambda x, i: (x > zy) | ((x == zy) & (i < y)))) + 1).cast("int")
+    rank = F.size(F.filter(z, lambda x, i: (x > zy) | ((x == zy) & (i < y)))) + 1
+    behind = F.lit(2**31 - 1)
+    return F.when(z.isNotNull(), F.when(zy.isNull(), behind).otherwise(rank)).cast("int")
 
 
 def in_top_k(logits, label, k: int) -> Column:
     """True label among the ``k`` best classes (``k`` capped by the width).
-    NULL for unknown labels."""
-    return F.when(known(label), label_rank(logits, label) <= F.lit(k))
+    NULL for unknown labels; a row without logits is a miss."""
+    return F.when(known(label), F.coalesce(label_rank(logits, label) <= F.lit(k), F.lit(False)))
 
 
 def topk_classes(logits, k: int) -> Column:
@@ -163,7 +167,8 @@ def log_sum_exp(logits) -> Column:
 
 
 def nll(logits, label) -> Column:
-    """Negative log-likelihood of the true label under softmax(logits)."""
+    """Negative log-likelihood of the true label under softmax(logits); NULL
+    for a label outside the logits."""
     return log_sum_exp(logits) - F.get(_c(logits), _c(label))
 
 

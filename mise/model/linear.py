@@ -2,12 +2,9 @@
 
 A fitted model is a small weight matrix held by the driver (one row per
 class, as MLlib models hold their coefficients).  Scoring adds a logits
-column ``array<double>`` whose index is the class id:
-
-* small models are applied as a literal matrix with array functions, which
-  stays in the JVM;
-* larger ones go through ``mapInPandas`` with the matrix broadcast once per
-  executor and one BLAS product per Arrow batch.
+column ``array<double>`` whose index is the class id, by one path for every
+size: the matrix is broadcast once per executor (its size is checked) and one
+matrix product scores an Arrow batch.
 """
 
 from __future__ import annotations
@@ -17,69 +14,60 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mise.functions.columns import dot, known
+from mise.functions.columns import known
 from mise.session import ship_library
 
-# Matrices up to this many weights are inlined as literals.
-LITERAL_WEIGHTS = 4096
 ABSENT_LOGIT = -1.0e9  # shared low logit of classes the model never saw
 
 
-def _matrix_literal(weights: np.ndarray) -> Column:
-    """A weight matrix as one constant ``array<array<double>>`` (Catalyst
-    folds the literal arrays into a single value)."""
-    rows = np.nan_to_num(np.asarray(weights, dtype=np.float64), nan=0.0, posinf=0.0, neginf=0.0)
-    return F.array(*[F.array(*[F.lit(float(v)) for v in r]) for r in rows])
-
-
-def _vector_literal(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
-def _logits(x: Column, w: Column, b: Column, absent: Column) -> Column:
-    """``W x + b`` row by row of the (constant) matrix; rows marked absent
-    score the shared low logit."""
-    return F.transform(w, lambda row, i: F.when(absent[i] > 0, F.lit(ABSENT_LOGIT)).otherwise(dot(x, row) + b[i]))
-
-
-def _parts(weights: np.ndarray, bias: np.ndarray | None):
-    k = weights.shape[0]
-    absent = [0.0 if np.all(np.isfinite(r)) else 1.0 for r in weights]
-    return _matrix_literal(weights), _vector_literal(bias if bias is not None else np.zeros(k)), _vector_literal(absent)
-
+#: Weights of all groups that are broadcast at most (512 MB of doubles).
+MOST_WEIGHTS = 64 << 20
 
-def linear_logits(features, weights: np.ndarray, bias: np.ndarray | None = None) -> Column:
-    """``W x + b`` as an array column; the matrix is a single constant and
-    the product one ``transform`` (for small ``W``)."""
-    x = F.col(features) if isinstance(features, str) else features
-    return _logits(x, *_parts(weights, bias))
 
+def _score_batches(features: str, out: str, by: str | None, bc):
+    def logits(x, weights, bias):
+        if x.shape[1] != weights.shape[1]:
+            raise ValueError(f"{features} has width {x.shape[1]}, the model {weights.shape[1]}")
+        z = x @ np.nan_to_num(weights, nan=0.0, neginf=0.0, posinf=0.0).T + (0.0 if bias is None else bias)
+        z[:, ~np.all(np.isfinite(weights), axis=1)] = ABSENT_LOGIT
+        return z
 
-def _score_batches(features: str, out: str, bc):
     def run(batches):
-        w, b = bc.value
+        models = bc.value
         for pdf in batches:
-            x = np.stack(pdf[features].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, w.shape[1]))
-            z = x @ np.nan_to_num(w, nan=0.0, neginf=0.0).T + (b if b is not None else 0.0)
-            z[:, ~np.all(np.isfinite(w), axis=1)] = ABSENT_LOGIT
-            pdf[out] = list(z)
+            result = np.full(len(pdf), None, dtype=object)
+            there = pdf[features].notna().to_numpy()
+            group = pdf[by].to_numpy() if by else np.full(len(pdf), None)
+            for g, (weights, bias) in models.items():
+                rows = np.nonzero(there & (group == g if by else True))[0]
+                if len(rows):
+                    x = np.stack(pdf[features].to_numpy()[rows]).astype(np.float64)
+                    for i, z in zip(rows, logits(x, weights, bias), strict=True):
+                        result[i] = z
+            pdf[out] = result
             yield pdf
     return run
 
 
-def score(df: DataFrame, features: str, weights: np.ndarray, bias: np.ndarray | None = None,
-          out: str = "z") -> DataFrame:
-    """Add logits ``out`` = ``W x + b`` for every row of ``df``."""
-    if weights.size <= LITERAL_WEIGHTS:
-        return df.withColumn(out, linear_logits(features, weights, bias))
+def _score(df: DataFrame, features: str, models: dict, by: str | None, out: str) -> DataFrame:
+    size = sum(w.size for w, _ in models.values())
+    if size > MOST_WEIGHTS:
+        raise ValueError(f"{size} weights are too many to broadcast")
     ship_library(df.sparkSession)
-    bc = df.sparkSession.sparkContext.broadcast((weights, bias))
+    bc = df.sparkSession.sparkContext.broadcast(models)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.DoubleType()))])
-    return df.mapInPandas(_score_batches(features, out, bc), schema)
+    return df.mapInPandas(_score_batches(features, out, by, bc), schema)
+
+
+def score(df: DataFrame, features: str, weights: np.ndarray, bias: np.ndarray | None = None,
+          out: str = "z") -> DataFrame:
+    """Add logits ``out`` = ``W x + b`` for every row of ``df``.  NULL features
+    give NULL logits; a vector of another width is an error."""
+    return _score(df, features, {None: (weights, bias)}, None, out)
 
 
 @dataclass
@@ -92,6 +80,12 @@ class CentroidModel:
         return score(df, features, self.centroids, None, out)
 
 
+def _check_size(weights: int) -> None:
+    """Labels are dense ids (``fit_mapping``); a raw id would ask for a huge matrix."""
+    if weights > MOST_WEIGHTS:
+        raise ValueError(f"a model of {weights} weights; encode the labels first")
+
+
 def fit_centroids(df: DataFrame, features: str, label: str, n_classes: int | None = None) -> CentroidModel:
     """Class means of the feature vectors over rows with a known label.
 
@@ -105,12 +99,15 @@ def fit_centroids(df: DataFrame, features: str, label: str, n_classes: int | Non
             .collect())
     if not rows:
         raise ValueError("no labelled rows to fit")
-    k = n_classes if n_classes is not None else max(r["c"] for r in rows) + 1
+    top = max(r["c"] for r in rows) + 1
+    k = n_classes if n_classes is not None else top
+    if top > k:
+        raise ValueError(f"label {top - 1} is outside a class space of {k}")
     d = len(rows[0]["m"])
+    _check_size(k * d)
     mat = np.full((k, d), np.nan)
     for r in rows:
-        if r["c"] < k:
-            mat[r["c"]] = r["m"].toArray()
+        mat[r["c"]] = r["m"].toArray()
     return CentroidModel(mat, sorted(r["c"] for r in rows))
 
 
@@ -126,6 +123,7 @@ def fit_centroids_grouped(df: DataFrame, features: str, label: str, by: str) ->
     for g in sorted({r["g"] for r in rows}):
         mine = [r for r in rows if r["g"] == g]
         k = max(r["c"] for r in mine) + 1
+        _check_size(k * len(mine[0]["m"]))
         mat = np.full((k, len(mine[0]["m"])), np.nan)
         for r in mine:
             mat[r["c"]] = r["m"].toArray()
@@ -134,11 +132,6 @@ def fit_centroids_grouped(df: DataFrame, features: str, label: str, by: str) ->
 
 
 def score_grouped(df: DataFrame, features: str, models: dict, by: str, out: str = "z") -> DataFrame:
-    """Logits from the model of each row's group: the groups' matrices are
-    one constant map keyed by group (small models), looked up per row -- no
-    join, no per-model job."""
-    parts = {g: _parts(m.centroids, None) for g, m in models.items()}
-    w = F.create_map(*[c for g in models for c in (F.lit(g), parts[g][0])])[F.col(by)]
-    b = F.create_map(*[c for g in models for c in (F.lit(g), parts[g][1])])[F.col(by)]
-    a = F.create_map(*[c for g in models for c in (F.lit(g), parts[g][2])])[F.col(by)]
-    return df.withColumn(out, _logits(F.col(features), w, b, a))
+    """Logits from the model of each row's group (NULL for a group without a
+    model): all matrices travel in one broadcast of checked size."""
+    return _score(df, features, {g: (m.centroids, None) for g, m in models.items()}, by, out)

@@ -19,7 +19,12 @@ from pyspark.sql import functions as F
 
 from mise.functions.columns import known
 from mise.model.linear import ABSENT_LOGIT
-from mise.operators.labels import class_weights
+from mise.operators.labels import class_weights, sized
+from mise.session import cut_lineage
+
+
+#: Steps at most; training ends when the objective's change is within MLlib's tolerance.
+MAX_ITER = 100
 
 
 def as_vector(df: DataFrame, col: str) -> Column:
@@ -45,13 +50,21 @@ class TwoHeadModel:
             scored = model.transform(df)
             z = vector_to_array(F.col("_raw"), "float64")
             width = self.n_classes[head]
+            if model.numClasses > width:
+                raise ValueError(f"{head}: the model has {model.numClasses} classes, the class space {width}")
             pad = F.array_repeat(F.lit(ABSENT_LOGIT), width)
             df = scored.withColumn(out[head], F.slice(F.concat(z, pad), 1, width)).drop("_raw", "_prob", "_pred")
         return df.drop("_x")
 
 
+    def training_curve(self, spark) -> DataFrame:
+        """``head, step, loss``: the objective after each step of the optimiser."""
+        rows = [(h, i, float(v)) for h, m in self.heads.items() for i, v in enumerate(m.summary.objectiveHistory)]
+        return spark.createDataFrame(rows, "head string, step int, loss double")
+
+
 def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_classes: dict[str, int] | None = None,
-                 require=None, max_iter: int = 50, reg: float = 1e-4, present_only: bool = False,
+                 require=None, max_iter: int = MAX_ITER, reg: float = 1e-4, present_only: bool = False,
                  parallelism: int = 2) -> TwoHeadModel:
     """Fit one weighted multinomial head per ``{head: label column}``.
 
@@ -72,8 +85,12 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     data = data.repartition(train.sparkSession.sparkContext.defaultParallelism).cache()
     def fit(head_col):
         head, col = head_col
-        w = class_weights(data.filter(known(col)), col, n_classes[head], present_only=present_only)
-        rows = data.filter(known(col)).join(w.select(F.col("class_id").alias(col), F.col("w").alias("_w")), col)
+        # a row per class of the model: cut and checked once, then broadcast, so no row is shuffled by its label
+        w = cut_lineage(class_weights(data.filter(known(col)), col, n_classes[head], present_only=present_only))
+        w = sized(w.select(F.col("class_id").alias(col), F.col("w").alias("_cw")))
+        missing = F.raise_error(F.concat(F.lit(f"{col} outside the class space: "), F.col(col).cast("string"))).cast("double")
+        rows = (data.filter(known(col)).join(w, col, "left")
+                .withColumn("_w", F.when(F.col("_cw").isNull(), missing).otherwise(F.col("_cw"))))
         lr = LogisticRegression(featuresCol="_x", labelCol=col, weightCol="_w", family="multinomial",
                                 maxIter=max_iter, regParam=reg, standardization=False)
         return head, lr.fit(rows.withColumn(col, F.col(col).cast("double")))

@@ -3,7 +3,7 @@ assembly with zero fill, width fitting, fallback chain, alignment."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import HashingTF, Normalizer, OneHotEncoder, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from mise.schema import TEXT_DIM
 MODE_LETTERS = {"t": "text", "o": "object", "v": "visual"}
 MODE_NAMES = {"text": "t", "object": "o", "fusion": "to", "video": "v", "visual": "v"}
 STREAM_ORDER = ("t", "o", "v")
+EMPTY_SALT = 64
 
 
 def mode_streams(mode: str) -> list[str]:
@@ -45,53 +46,60 @@ def fallback_features(primary: Column, secondary, dim: int, dtype: str = "float"
 
 def encode_text(df: DataFrame, text: str, out: str = "text_vec", dim: int = TEXT_DIM,
                 factory=None, as_vector: bool = False) -> DataFrame:
-    """Text encoder over whole texts, run once per **distinct** text: texts
-    are keyed by their SHA-256, the distinct texts are encoded, and rows are
-    joined back on the key, so the row side never ships its text through the
-    join.  Adds ``out`` and ``{out}_tokens``.
+    """Text encoder over whole texts.  Adds ``out`` and ``{out}_tokens``.
 
     Built in (``factory=None``): whitespace tokens, hashed term counts of
-    width ``dim``, L2-normalised -- all JVM-side (MLlib transformers).  A
-    plug-in encoder (a sentence model, say) is a factory returning
-    ``encode(list[str]) -> ndarray (n, dim)``; it is built once per task and
-    fed Arrow batches (``mapInPandas``).  ``as_vector=True`` keeps the built-in
-    encoder's output as a sparse ML vector (for MLlib estimators).
+    width ``dim``, L2-normalised -- JVM-side (MLlib transformers), row by row:
+    hashing a text costs less than shuffling it.  ``as_vector=True`` keeps the
+    output as a sparse ML vector (for MLlib estimators).
+
+    A plug-in encoder (a sentence model, say) is a factory returning
+    ``encode(list[str]) -> ndarray (n, dim)``; it is built once per task, fed
+    Arrow batches (``mapInPandas``) and sees each distinct text once: texts are
+    grouped by their SHA-256 and rows are joined back on it.  Empty and NULL
+    texts, which may be many, are spread over salted copies of their key.
     """
-    keyed = df.withColumn("_h", F.sha2(clean_text(text), 256))
-    distinct = df.select(clean_text(text).alias("_t")).distinct().withColumn("_h", F.sha2("_t", 256))
     tok = RegexTokenizer(inputCol="_t", outputCol="_tok", pattern=r"\s+", gaps=True, toLowercase=True)
-    tokens = F.size("_tok").alias(f"{out}_tokens")
     if factory is None:
         tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
         norm = Normalizer(inputCol="_tf", outputCol="_n", p=2.0)
-        enc = norm.transform(tf.transform(tok.transform(distinct)))
+        enc = norm.transform(tf.transform(tok.transform(df.withColumn("_t", clean_text(text)))))
         vec = F.col("_n") if as_vector else vector_to_array("_n", "float32")
-        enc = enc.select("_h", tokens, vec.alias(out))
-    else:
-        from mise.session import ship_library
-        ship_library(df.sparkSession)
-        counted = tok.transform(distinct).select("_h", "_t", tokens)
-        schema = f"_h string, {out}_tokens int, {out} array<float>"
-
-        def run(batches):
-            import numpy as np
-            encode = factory()
-            for pdf in batches:
-                if len(pdf):
-                    vecs = np.asarray(encode(list(pdf["_t"])), dtype=np.float32)
-                    yield pdf[["_h", f"{out}_tokens"]].assign(**{out: list(vecs)})
-        enc = counted.mapInPandas(run, schema)
-    return keyed.join(enc, "_h", "left").drop("_h")
+        return enc.select(*df.columns, F.size("_tok").alias(f"{out}_tokens"), vec.alias(out))
+    from mise.session import ship_library
+    ship_library(df.sparkSession)
+    empties = [f"empty-{i}" for i in range(EMPTY_SALT)]
+    salted = F.concat(F.lit("empty-"), F.floor(F.rand(1) * EMPTY_SALT).cast("string"))
+    keyed = df.withColumn("_h", F.when(clean_text(text) == "", salted).otherwise(F.sha2(clean_text(text), 256)))
+    distinct = (df.select(clean_text(text).alias("_t")).groupBy(F.sha2("_t", 256).alias("_h")).agg(F.first("_t").alias("_t")))
+    counted = tok.transform(distinct).select("_h", "_t", F.size("_tok").alias(f"{out}_tokens"))
+    schema = f"_h string, {out}_tokens int, {out} array<float>, _empty boolean"
+
+    def run(batches):
+        import numpy as np
+        encode = factory()
+        for pdf in batches:
+            if len(pdf):
+                vecs = np.asarray(encode(list(pdf["_t"])), dtype=np.float32)
+                yield pdf[["_h", f"{out}_tokens"]].assign(**{out: list(vecs), "_empty": (pdf["_t"] == "").to_numpy()})
+
+    enc = counted.mapInPandas(run, schema)
+    enc = enc.withColumn("_h", F.explode(F.when(F.col("_empty"), F.array(*[F.lit(e) for e in empties])).otherwise(F.array("_h"))))
+    return keyed.join(enc.drop("_empty"), "_h", "left").drop("_h")
 
 
 def one_hot(df: DataFrame, mapping: DataFrame, col: str, out: str = "object_vec") -> DataFrame:
-    """One-hot of the class string over the mapping's classes (width = number
-    of classes); an unseen or NULL class gives an all-zero vector."""
+    """One-hot of the class string over the mapping's classes, a sparse vector
+    (width = number of classes); an unseen or NULL class gives the empty vector."""
     width = mapping.count()
+    if width == 0:
+        raise ValueError("the mapping has no class")
     enc = encode_labels(df, mapping, col, out="_idx")
-    vec = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
-                      lambda i: F.when(i == F.col("_idx"), F.lit(1.0)).otherwise(F.lit(0.0)).cast("float"))
-    return enc.withColumn(out, vec if width > 0 else F.array().cast("array<float>")).drop("_idx")
+    enc = enc.withColumn("_idx", F.when(F.col("_idx") < 0, width).otherwise(F.col("_idx")).cast("double"))
+    # what lies behind the last class is kept as a class of its own, and that one is dropped
+    last = df.sparkSession.createDataFrame([(float(width - 1),)], "_idx double")
+    encoder = OneHotEncoder(inputCol="_idx", outputCol=out, handleInvalid="keep", dropLast=True).fit(last)
+    return encoder.transform(enc).drop("_idx")
 
 
 def one_hot_index(vec) -> Column:

@@ -34,10 +34,13 @@ def needed_frames(clips: DataFrame, n: int = FRAMES_PER_CLIP, keys=("video_id",)
 
 def join_frames(samples: DataFrame, frames: DataFrame, vec: str = "embedding", keys=("video_id",)) -> DataFrame:
     """Left join of sampled frames to frame vectors on ``(*keys, frame_no)``;
-    a frame that is not there leaves ``vec`` NULL and ``hit`` NULL.  The
+    a frame that is not there leaves ``vec`` NULL and ``hit`` NULL, and a frame
+    that is there twice is one frame.  The
     strategy (broadcast or shuffle) is left to the planner and AQE, which
     measure the frame side at run time."""
-    right = frames.select(*keys, "frame_no", F.col(vec).alias(vec), F.lit(True).alias("hit"))
+    # a frame listed twice counts once (the smallest vector, whichever file it came from)
+    right = (frames.groupBy(*keys, "frame_no").agg(F.min(F.col(vec)).alias(vec))
+             .withColumn("hit", F.lit(True)))
     return samples.join(right, [*keys, "frame_no"], "left")
 
 

@@ -16,6 +16,7 @@ from mise.session import cut_lineage
 # Mappings up to this many rows (about 10-20 MB of class names and ids) are
 # broadcast; larger ones are shuffle joined, with AQE splitting hot keys.
 BROADCAST_MAPPING_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
 def dense_rank_values(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -54,7 +55,15 @@ def sized(mapping: DataFrame, limit: int = BROADCAST_MAPPING_ROWS) -> DataFrame:
     """Broadcast hint for a mapping whose row count is checked to be at most
     ``limit``; beyond it the join stays a shuffle join.  Call on a mapping
     that is already materialised (``fit_mapping`` output or a file)."""
-    return F.broadcast(mapping) if mapping.limit(limit + 1).count() <= limit else mapping
+    return F.broadcast(mapping) if _small(mapping, limit) else mapping
+
+
+def _small(table: DataFrame, limit: int = BROADCAST_MAPPING_ROWS, bytes_limit: int = BROADCAST_BYTES) -> bool:
+    """At most ``limit`` rows and ``bytes_limit`` bytes of text: two sums, made where the rows are."""
+    texts = [F.sum(F.octet_length(F.col(f.name))) for f in table.schema.fields if f.dataType.simpleString() == "string"]
+    size = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0))
+    rows, held = table.agg(F.count(F.lit(1)), size).first()
+    return rows <= limit and held + 16 * rows <= bytes_limit
 
 
 def encode_labels(df: DataFrame, mapping: DataFrame, col: str, out: str = "y",
@@ -93,10 +102,9 @@ def decode_text(df: DataFrame, mapping: DataFrame, reference: DataFrame, id_col:
     mapping → the id as text."""
     names = mapping.join(reference, "class_name", "left").select(
         F.col("class_id").alias("_cid"), F.coalesce(F.col("text"), F.col("class_name")).alias("_name"))
-    # one row per mapping row: broadcast when the mapping's size check allows
-    small = mapping.limit(BROADCAST_MAPPING_ROWS + 1).count() <= BROADCAST_MAPPING_ROWS
-    names = F.broadcast(names) if small else names
-    return (df.join(names, F.col(id_col) == F.col("_cid"), "left")
+    # one text per class, also if the reference has several; the joined table's size is checked
+    names = names.groupBy("_cid").agg(F.max("_name").alias("_name"))
+    return (df.join(sized(names), F.col(id_col) == F.col("_cid"), "left")
             .withColumn(out, F.coalesce(F.col("_name"), F.col(id_col).cast("string"))).drop("_cid", "_name"))
 
 

@@ -23,12 +23,13 @@ def flag_best(df: DataFrame, metrics, id_col: str = "mode") -> DataFrame:
 
 def metric_gain(df: DataFrame, metrics, base: str, id_col: str = "mode") -> DataFrame:
     """Gain of each model over the ``base`` model per metric: absolute
-    difference and relative change (NULL when the base value is 0).  The
-    base side is one row per metric."""
-    long = metrics_long(df, metrics, id_col)
-    b = long.filter(F.col(id_col) == base).select("metric", F.col("value").alias("base_value"))
-    return (long.join(F.broadcast(b), "metric", "inner")
-            .withColumn("abs_gain", F.round(F.col("value") - F.col("base_value"), 6))
+    difference and relative change (NULL when the base value is 0).  The base
+    comes by a window over the metric, which holds one row per model, so the table is
+    read once."""
+    base_value = F.max(F.when(F.col(id_col) == base, F.col("value"))).over(Window.partitionBy("metric"))
+    held = F.max(F.col(id_col) == base).over(Window.partitionBy("metric"))  # no base row: no gains
+    long = metrics_long(df, metrics, id_col).withColumns({"base_value": base_value, "_held": held}).filter("_held").drop("_held")
+    return (long.withColumn("abs_gain", F.round(F.col("value") - F.col("base_value"), 6))
             .withColumn("rel_gain", F.round(F.try_divide(F.col("value"), F.col("base_value")) - 1.0, 6)))
 
 

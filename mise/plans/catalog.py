@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,15 +47,14 @@ R6 = 6  # float results are rounded to 6 decimals on both sides
 def _pooled(spark, d, keep=("split",)):
     """Clip visual vectors: 3 sampled frames → frame join → mean pool."""
     c = S.clips(spark, d)
-    samples = FR.explode_samples(c, keys=(), keep=keep)
-    joined = FR.join_frames(samples, S.frames(spark, d), vec="embedding", keys=())
+    samples = FR.explode_samples(c, keep=keep)
+    joined = FR.join_frames(samples, S.frames(spark, d), vec="embedding")
     return FR.pool_frames(joined, dim=64, keep=keep, dtype="double")
 
 
 def _noun_mapping(spark, d):
     c = S.clips(spark, d)
-    train = c.filter((F.col("split") == "train") & (F.col("noun_class") % 11 != 5))
-    return LB.fit_mapping(train, "noun_class")
+    return LB.fit_mapping(c.filter(F.col("split") == "train"), "noun_class")
 
 
 def _verb_mapping(spark, d):
@@ -155,12 +155,12 @@ def q_seconds_to_frames(spark, d):
 
 @query("frame_sample", oracle(["clip_frame"], "select clip_id, cast(i as int) i, fno frame_no from clip_frame"))
 def q_frame_sample(spark, d):
-    return FR.explode_samples(S.clips(spark, d), keys=())
+    return FR.explode_samples(S.clips(spark, d)).select("clip_id", "i", "frame_no")
 
 
 @query("frame_path", oracle(["clip_frame", "clips"], """
 select clip_frame.clip_id, cast(i as int) i,
-  'frames/' || video_id || '/frame_' || lpad(cast(fno as varchar), 10, '0') || '.jpg' path
+  'frames/' || clips.video_id || '/frame_' || lpad(cast(fno as varchar), 10, '0') || '.jpg' path
 from clip_frame join clips on clip_frame.clip_id = clips.clip_id"""))
 def q_frame_path(spark, d):
     s = FR.explode_samples(S.clips(spark, d), keys=("video_id",))
@@ -170,7 +170,7 @@ def q_frame_path(spark, d):
 def _mixed_names_duck():
     return """
 select clip_frame.clip_id, cast(i as int) i,
-  'frames/' || video_id || '/' || case i when 0 then 'frame_' || lpad(cast(fno as varchar), 10, '0') || '.jpg'
+  'frames/' || clips.video_id || '/' || case i when 0 then 'frame_' || lpad(cast(fno as varchar), 10, '0') || '.jpg'
                                        when 1 then 'frame_' || cast(fno as varchar) || '_x.png'
                                        else 'thumb_' || cast(fno as varchar) || '.jpg' end path
 from clip_frame join clips on clip_frame.clip_id = clips.clip_id"""
@@ -231,7 +231,7 @@ def q_fit_width(spark, d):
 # ------------------------------------------------------------------ frames
 
 @query("needed_frames", oracle(["clip_frame", "clips"], """
-select distinct video_id, fno frame_no from clip_frame join clips on clip_frame.clip_id = clips.clip_id"""))
+select distinct video_id, fno frame_no from clip_frame"""))
 def q_needed_frames(spark, d):
     return FR.needed_frames(S.clips(spark, d), keys=("video_id",))
 
@@ -244,10 +244,9 @@ def q_available_videos(spark, d):
 
 @query("clip_frame_join", oracle(["clip_frame", "frames"], """
 select clip_id, cast(i as int) i, fno frame_no, f.frame_no is not null found
-from clip_frame left join frames f on fno = f.frame_no"""))
+from clip_frame c left join frames f on c.video_id = f.video_id and c.fno = f.frame_no"""))
 def q_clip_frame_join(spark, d):
-    s = FR.explode_samples(S.clips(spark, d), keys=())
-    j = FR.join_frames(s, S.frames(spark, d), keys=())
+    j = FR.join_frames(FR.explode_samples(S.clips(spark, d)), S.frames(spark, d))
     return j.select("clip_id", "i", "frame_no", F.col("hit").isNotNull().alias("found"))
 
 
@@ -259,42 +258,55 @@ def q_frame_pool(spark, d):
     return p.select("clip_id", F.round(C.sq_norm("vec"), R6).alias("n2"))
 
 
-@query("archive_features", oracle(["pool", "clips"], f"""
-select clips.clip_id, round(coalesce(n2, 0), {R6}) n2 from clips
-left join (select clip_id, sum(a * a) n2 from pool group by clip_id) q on clips.clip_id = q.clip_id"""))
+@query("archive_features", oracle(["unit_pool", "clips"], """
+select clips.clip_id, round(coalesce(n2, 0), 4) n2 from clips
+left join (select clip_id, sum(a * a) n2 from unit_pool group by clip_id) q on clips.clip_id = q.clip_id"""))
 def q_archive_features(spark, d):
-    """Frame archives end to end.  The frame set (one shared set, so one
-    video) is exported by Spark tasks as tar archives of 500 frames, each
-    frame stored as its numbers in text; the clips' visual vectors are then
-    built from the archives: needed frames, header listing, semi join, ranged
-    reads, one decode per needed frame, frame join, mean pool."""
+    """Frame archives end to end.  Each video's frames are exported by Spark
+    tasks as tar archives of 50 frames, each frame stored as its numbers in
+    text; the clips' visual vectors are then built from the archives: needed
+    frames, header listing, semi join, ranged reads, one decode per needed frame,
+    L2 step in float32, frame join, mean pool."""
     from mise.operators.encoders import number_text, visual_features
-    from mise.sources.frames import write_frame_archives
+    from mise.plans.frame_files import write_frame_archives
     frames = S.frames(spark, d).select(
-        F.lit("shared").alias("video_id"), "frame_no",
+        "video_id", "frame_no",
         F.encode(F.array_join(F.transform("embedding", lambda x: x.cast("string")), ","), "US-ASCII").alias("content"))
     listing_path = scratch_path(spark, "archive-listing")
-    write_frame_archives(frames, scratch_path(spark, "archives"), per_archive=500).write.parquet(listing_path)
+    write_frame_archives(frames, scratch_path(spark, "archives"), per_archive=50).write.parquet(listing_path)
     archives = spark.read.parquet(listing_path)  # archives written once, listing read back
-    clips = S.clips(spark, d).withColumn("video_id", F.lit("shared"))
-    pooled = visual_features(clips, archives, 64, factory=lambda: number_text(64), normalize=False, dtype="double")
-    return pooled.select("clip_id", F.round(C.sq_norm("vec"), R6).alias("n2"))
+    pooled = visual_features(S.clips(spark, d), archives, 64, factory=lambda: number_text(64), normalize=True, dtype="double")
+    return pooled.select("clip_id", F.round(C.sq_norm("vec"), 4).alias("n2"))
+
+
+@query("frame_files", oracle(["frames"], """
+select video_id, frame_no, cast(length(video_id || ':' || cast(frame_no as varchar)) as bigint) size from frames"""))
+def q_frame_files(spark, d):
+    """Frames written as one file each and read back as binary files."""
+    from mise.plans.frame_files import write_frame_files
+    from mise.sources.frames import read_frames
+    root = scratch_path(spark, "frame-files")
+    frames = S.frames(spark, d).select("video_id", "frame_no", F.encode(
+        F.concat_ws(":", "video_id", F.col("frame_no").cast("string")), "UTF-8").alias("content"))
+    write_frame_files(frames, root).write.format("noop").mode("overwrite").save()
+    return read_frames(spark, root).select("video_id", F.col("frame_no").cast("long").alias("frame_no"),
+                                           F.octet_length("content").cast("long").alias("size"))
 
 
 @query("missing_frames", oracle(["clip_frame", "clips", "frames"], """
 select split, sum(case when frame_no is null then 1e0 else 0e0 end) missing
-from clip_frame join clips on clip_frame.clip_id = clips.clip_id
-left join frames on fno = frame_no group by split"""))
+from clip_frame c join clips on c.clip_id = clips.clip_id
+left join frames f on c.video_id = f.video_id and c.fno = f.frame_no group by split"""))
 def q_missing_frames(spark, d):
-    s = FR.explode_samples(S.clips(spark, d), keys=(), keep=("split",))
-    return FR.missing_frames(FR.join_frames(s, S.frames(spark, d), keys=()), by=("split",))
+    s = FR.explode_samples(S.clips(spark, d), keep=("split",))
+    return FR.missing_frames(FR.join_frames(s, S.frames(spark, d)), by=("split",))
 
 
 @query("frame_range_join", oracle(["clips", "frames"], """
 select clip_id, count(*) n_frames, cast(sum(frame_no) as bigint) sum_frame
-from clips join frames on frame_no between start_frame and stop_frame group by clip_id"""))
+from clips join frames on clips.video_id = frames.video_id and frame_no between start_frame and stop_frame group by clip_id"""))
 def q_frame_range_join(spark, d):
-    pairs = FR.frames_in_range(S.clips(spark, d), S.frames(spark, d), keys=())
+    pairs = FR.frames_in_range(S.clips(spark, d), S.frames(spark, d))
     return pairs.groupBy("clip_id").agg(F.count(F.lit(1)).alias("n_frames"), F.sum("frame_no").alias("sum_frame"))
 
 
@@ -319,6 +331,20 @@ def q_top_classes(spark, d):
     return PR.class_counts(S.clips(spark, d).filter(F.col("split") == "train"), "verb", k=20)
 
 
+@query("top_nouns", oracle(["clips"], """
+select noun, count(*) n from clips where split = 'train' group by noun order by n desc, noun limit 20"""))
+def q_top_nouns(spark, d):
+    return PR.class_counts(S.clips(spark, d).filter(F.col("split") == "train"), "noun", k=20)
+
+
+@query("top_actions", oracle(["clips"], """
+select verb || ' ' || noun action_label, count(*) n from clips where split = 'train'
+group by 1 order by n desc, action_label limit 20"""))
+def q_top_actions(spark, d):
+    c = S.clips(spark, d).filter(F.col("split") == "train").select(C.action_label().alias("action_label"))
+    return PR.class_counts(c, "action_label", k=20)
+
+
 @query("class_cardinality", oracle(["clips"], """
 select count(distinct verb_class) verb_class_distinct, count(distinct noun_class) noun_class_distinct,
   count(distinct (verb_class, noun_class)) pairs_distinct from clips where split = 'train'"""))
@@ -353,9 +379,9 @@ def q_n_classes(spark, d):
 
 
 @query("rare_classes", oracle(["clips"], """
-select verb_class, count(*) n from clips where split = 'train' group by verb_class having count(*) < 100"""))
+select verb_class, count(*) n from clips where split = 'train' group by verb_class having count(*) < 10"""))
 def q_rare_classes(spark, d):
-    return PR.rare_classes(S.clips(spark, d).filter(F.col("split") == "train"), "verb_class", threshold=100)
+    return PR.rare_classes(S.clips(spark, d).filter(F.col("split") == "train"), "verb_class")
 
 
 @query("sample_rows", oracle(["clips"], """
@@ -383,6 +409,23 @@ def q_label_encode(spark, d):
     return LB.encode_labels(c, _noun_mapping(spark, d), "noun_class", out="y").select("clip_id", "y")
 
 
+@query("label_encode_strict", oracle(["clips", "verb_map"], """
+select clip_id, class_id y from clips join verb_map m on cast(verb_class as string) = class_name where split = 'train'"""))
+def q_label_encode_strict(spark, d):
+    """Strict encoding, which raises on a class outside the mapping; training rows have none."""
+    c = S.clips(spark, d).filter(F.col("split") == "train")
+    return LB.encode_labels(c, _verb_mapping(spark, d), "verb_class", out="y", on_unseen="error").select("clip_id", "y")
+
+
+@query("mapping_io", oracle([_NOUN_MAP], "select class_name, class_id, 'string' kind from noun_map"))
+def q_mapping_io(spark, d):
+    """A mapping saved and loaded again; class names stay strings."""
+    path = scratch_path(spark, "mapping")
+    SF.write_mapping(_noun_mapping(spark, d), path)
+    m = SF.read_mapping(spark, path)
+    return m.withColumn("kind", F.typeof("class_name"))
+
+
 @query("unseen_rows", oracle(["clips", _NOUN_MAP, "verb_map"], """
 select count(*) filter (where coalesce(v.class_id, -1) = -1) yv_unseen,
        count(*) filter (where coalesce(n.class_id, -1) = -1) yn_unseen
@@ -429,26 +472,41 @@ def q_label_decode_text(spark, d):
     return LB.decode_text(e, m, ref, "y", "name").select("clip_id", "name")
 
 
-@query("class_weights", oracle(["clips"], f"""
+def _class_weights_sql(subset: str) -> str:
+    return f"""
 with k as (select max(verb_class) + 1 n_cls from clips where split = 'train'),
  r as (select unnest(range(0, n_cls)) cid from k),
- c as (select verb_class, count(*) n from clips where split = 'train' and video_id = 'V1' group by verb_class),
+ c as (select verb_class, count(*) n from clips where split = 'train'{subset} group by verb_class),
  w as (select cid, 1e0 / greatest(coalesce(n, 0), 1) w from r left join c on cid = verb_class),
  t as (select sum(w) s from w)
-select cid class_id, round(w / s * n_cls, {R6}) w from w, t, k"""))
-def q_class_weights(spark, d):
+select cid class_id, round(w / s * n_cls, {R6}) w from w, t, k"""
+
+
+def _class_weights(spark, d, subset=None):
     train = S.clips(spark, d).filter(F.col("split") == "train")
     n = LB.class_space(train, "verb_class")
-    w = LB.class_weights(train.filter(F.col("video_id") == "V1"), "verb_class", n)
+    w = LB.class_weights(train if subset is None else train.filter(subset), "verb_class", n)
     return w.select("class_id", F.round("w", R6).alias("w"))
 
 
+@query("class_weights", oracle(["clips"], _class_weights_sql("")))
+def q_class_weights(spark, d):
+    return _class_weights(spark, d)
+
+
+@query("class_weights_masked", oracle(["clips"], _class_weights_sql(" and video_id = 'V1'")))
+def q_class_weights_masked(spark, d):
+    """Weights of the training subset of one video, over the full class space."""
+    return _class_weights(spark, d, F.col("video_id") == "V1")
+
+
 @query("one_hot", oracle(["clips", _NOUN_MAP], """
 select clip_id, coalesce(class_id, -1) hot, (select count(*) from noun_map) width from clips
 left join noun_map m on cast(noun_class as string) = class_name where split = 'val'"""))
 def q_one_hot(spark, d):
     c = S.clips(spark, d).filter(F.col("split") == "val")
-    v = FE.one_hot(c, _noun_mapping(spark, d), "noun_class", out="obj")
+    v = FE.one_hot(c, _noun_mapping(spark, d), "noun_class", out="v")
+    v = v.withColumn("obj", vector_to_array("v", "float32"))
     return v.select("clip_id", FE.one_hot_index("obj").alias("hot"), F.size("obj").cast("long").alias("width"))
 
 
@@ -537,17 +595,33 @@ def q_confusion_counts(spark, d):
     return EV.confusion(_scored(spark, d), "yv", "pv")
 
 
-@query("weighted_log_loss", oracle(["logits"], """
-with l as (select vec_id, y, max(z) mx from logits where y >= 0 group by vec_id, y),
+_LOSS_W = """
+ cw as (select cid, 1e0 / greatest(coalesce(n, 0), 1) w0 from (select unnest(range(0, 9)) cid) r
+        left join (select label, count(*) n from embeddings where vec_id % 5 <> 0 group by label) c on cid = label),
+ w as (select cid, w0 / (select sum(w0) from cw) * 9 w from cw),"""
+
+
+@query("weighted_log_loss", oracle(["logits"], "with " + _LOSS_W.strip() + """
+ l as (select vec_id, y, max(z) mx from logits where y >= 0 group by vec_id, y),
  e as (select l.vec_id, l.y, mx + ln(sum(exp(z - mx))) lse from l join logits on l.vec_id = logits.vec_id group by l.vec_id, l.y, mx),
  n as (select e.y, lse - z nll from e join logits on e.vec_id = logits.vec_id and e.y = cls)
-select round(sum(nll / (y + 1)) / sum(1e0 / (y + 1)), 6) loss from n"""))
+select round(sum(nll * w.w) / sum(w.w), 6) loss from n join w on n.y = w.cid"""))
 def q_weighted_log_loss(spark, d):
-    s = _two_head(spark, d)
-    # stand-in class weights 1 / (class + 1) over the classes of the labels
-    w = s.select(F.col("yv").alias("class_id")).filter(C.known("class_id")).distinct().withColumn(
-        "w", F.lit(1.0) / (F.col("class_id") + 1))
-    return EV.weighted_log_loss(s, "yv", "zv", w)
+    """Weights from the training rows' label counts over the head's nine classes."""
+    train, _ = S.scored_split(spark, d)
+    w = cut_lineage(LB.class_weights(train.filter(F.col("label") != 9), "label", 9))
+    return EV.weighted_log_loss(_two_head(spark, d), "yv", "zv", w)
+
+
+@query("topk_narrow_space", oracle(["rk_v"], """
+with o as (select vec_id, y, cls, row_number() over (partition by vec_id order by r) r from rk_v where y >= 0 and cls < 5)
+select count(distinct vec_id) n,
+  round(sum(case when r = 1 and cls = y then 1e0 else 0e0 end) / count(distinct vec_id), 6) top1,
+  round(sum(case when r <= 5 and cls = y then 1e0 else 0e0 end) / count(distinct vec_id), 6) top5 from o"""))
+def q_topk_narrow_space(spark, d):
+    """Logits of the first five classes only: labels outside them are misses."""
+    s = _two_head(spark, d).withColumn("zv", F.slice("zv", 1, 5))
+    return EV.topk_accuracy(s, "yv", "zv", ks=(1, 5))
 
 
 @query("correct_flags", oracle(["two_head"], """
@@ -607,7 +681,7 @@ def _object_visual(spark, d):
     c = S.clips(spark, d)
     m = _noun_mapping(spark, d)
     width = m.count()
-    o = FE.one_hot(c, m, "noun_class", out="obj")
+    o = FE.one_hot(c, m, "noun_class", out="obj").withColumn("obj", vector_to_array("obj", "float32"))
     v = _pooled(spark, d, keep=()).select("clip_id", F.when(F.col("found") > 0, F.col("vec")).alias("visual"))
     return FE.align("clip_id", o, v), width
 
@@ -627,6 +701,25 @@ def q_fuse_features(spark, d):
                     F.round(C.sq_norm(x), R6).alias("n2"))
 
 
+@query("text_object_fusion", oracle(["clips", _NOUN_MAP], """
+select clip_id, 384 + (select count(*) from noun_map) width, 'array<float>' kind, coalesce(class_id, -1) hot,
+  case when narration is null then 0e0 else 1e0 end text_n2, case when class_id is null then 0e0 else 1e0 end object_n2
+from clips left join noun_map m on cast(noun_class as string) = class_name"""))
+def q_text_object_fusion(spark, d):
+    """Text and object streams in their fixed order, as float32: the hashed
+    narration (unit length, zeros without one), then the noun one-hot."""
+    m = _noun_mapping(spark, d)
+    k = m.count()
+    t = FE.one_hot(FE.encode_text(S.clips(spark, d), "narration", "t", 384), m, "noun_class", "o")
+    t = t.withColumn("o", vector_to_array("o", "float32"))
+    x = FE.assemble("ot", {"t": "t", "o": "o"}, {"t": 384, "o": k})
+    t = t.select("clip_id", x.alias("x"))
+    return t.select("clip_id", F.size("x").cast("long").alias("width"), F.typeof("x").alias("kind"),
+                    FE.one_hot_index(F.slice("x", 385, k)).alias("hot"),
+                    F.round(C.sq_norm(F.slice("x", 1, 384)), 4).alias("text_n2"),
+                    F.round(C.sq_norm(F.slice("x", 385, k)), 4).alias("object_n2"))
+
+
 @query("feature_fallback", oracle(["clips", _NOUN_MAP, "pool"], f"""
 select clips.clip_id,
   case when narration is not null then 'primary' when q.clip_id is not null then 'secondary' else 'zeros' end source,
@@ -646,7 +739,8 @@ def q_feature_fallback(spark, d):
 
 
 @query("align_modalities", oracle(["clips", _NOUN_MAP, "clip_frame", "frames"], """
-with f as (select clip_id, count(frames.frame_no) found from clip_frame left join frames on fno = frames.frame_no group by clip_id)
+with f as (select clip_id, count(frames.frame_no) found from clip_frame c
+           left join frames on c.video_id = frames.video_id and c.fno = frames.frame_no group by clip_id)
 select clips.clip_id, video_id, found, coalesce(class_id, -1) y
 from clips join f on clips.clip_id = f.clip_id
 left join noun_map m on cast(noun_class as string) = class_name"""))
@@ -746,6 +840,15 @@ def q_best_flags(spark, d):
     return RP.flag_best(_ablation(spark, d), METRICS)
 
 
+@query("metrics_display", oracle(["vec_el"], _ABL + "select mode, verb_n, noun_n, action_n, "
+                                  + ", ".join(f"round({m}, 3) {m}" for m in METRICS) + " from abl"))
+def q_metrics_display(spark, d):
+    """The ablation's metrics saved as JSON lines, loaded and rounded for display."""
+    path = scratch_path(spark, "metrics")
+    SF.write_metrics(_ablation(spark, d), path)
+    return RP.round_metrics(SF.read_metrics(spark, path), METRICS, 3)
+
+
 @query("metric_gain", oracle(["vec_el"], _ABL + f", l as ({_ABL_LONG})\n" + """
 select l.mode, l.metric, l.value, b.value base_value, round(l.value - b.value, 6) abs_gain,
   round(l.value / nullif(b.value, 0) - 1, 6) rel_gain
@@ -756,7 +859,7 @@ def q_metric_gain(spark, d):
 
 # -------------------------------------------------------------- predictions
 
-@query("prediction_table", oracle(["clips", "verb_map"], """
+_PREDICTIONS = oracle(["clips", "verb_map"], """
 with tr as (select noun_class, m.class_id yv from clips join verb_map m on cast(verb_class as string) = m.class_name
             where split = 'train'),
  cnt as (select noun_class, yv, count(*) n from tr group by noun_class, yv),
@@ -770,7 +873,10 @@ with tr as (select noun_class, m.class_id yv from clips join verb_map m on cast(
            from p left join verb_map vm on pred_verb_class = vm.class_id
            left join vref on vm.class_name = vref.class_name
            left join nref on cast(pred_noun_class as varchar) = nref.class_name)
-select *, pred_verb || ' ' || pred_noun pred_action from named"""))
+select *, pred_verb || ' ' || pred_noun pred_action from named""")
+
+
+@query("prediction_table", _PREDICTIONS)
 def q_prediction_table(spark, d):
     """Object-only baseline: the most frequent (encoded) verb of the clip's
     noun class in training; noun = the object class.  Decoded to text
@@ -781,7 +887,8 @@ def q_prediction_table(spark, d):
     vmap = _verb_mapping(spark, d)
     enc = LB.encode_labels(train, vmap, "verb_class", out="yv")
     model = fit_majority(enc, "noun_class", "yv", out="pred_verb_class")
-    val = c.filter(F.col("split") == "val").join(model, "noun_class", "left").withColumn(
+    # a row per noun class of the training set, its size checked; no clip is shuffled by its class
+    val = c.filter(F.col("split") == "val").join(LB.sized(cut_lineage(model)), "noun_class", "left").withColumn(
         "pred_noun_class", F.col("noun_class"))
     vref = LB.text_reference(train, "verb_class", "verb", "clip_id")
     nref = LB.text_reference(train, "noun_class", "noun", "clip_id")
@@ -791,67 +898,119 @@ def q_prediction_table(spark, d):
     return to_predictions(named, ["clip_id", "video_id", "start_frame", "stop_frame"])
 
 
-@query("blind_predictions")
+@query("prediction_sink", _PREDICTIONS)
+def q_prediction_sink(spark, d):
+    """The prediction table written and read again."""
+    path = scratch_path(spark, "predictions")
+    SF.write_predictions(q_prediction_table(spark, d), path)
+    return spark.read.parquet(path)
+
+
+def _trained_inputs(spark, d):
+    """Per clip the three streams and the encoded labels, written once as Parquet by
+    split, with the fitted mappings: text = hashed narration (sparse), object =
+    noun one-hot (sparse), visual = pooled frame vectors (zeros without a frame)."""
+    from pyspark.ml.functions import array_to_vector
+    c = S.clips(spark, d)
+    train = c.filter(F.col("split") == "train")
+    vmap, nmap = _verb_mapping(spark, d), LB.fit_mapping(train, "noun_class")
+    feats = FE.one_hot(FE.encode_text(c, "narration", "t", 384, as_vector=True), nmap, "noun_class", "o")
+    vis = _pooled(spark, d, keep=()).select("clip_id", "vec")
+    lab = LB.encode_labels(LB.encode_labels(FE.align("clip_id", feats, vis), vmap, "verb_class", "yv"), nmap, "noun_class", "yn")
+    path = scratch_path(spark, "trained-inputs")
+    (lab.select("clip_id", "video_id", "start_frame", "stop_frame", "split", "yv", "yn", "t", "o", "vec", array_to_vector("vec").alias("v"))
+     .write.partitionBy("split").parquet(path))
+    return spark.read.parquet(path), vmap, nmap, {"verb": vmap.count(), "noun": nmap.count()}
+
+
+@query("blind_predictions", oracle(["clips"], """
+select clip_id, video_id, start_frame, stop_frame, true verb_in_space, true noun_in_space, true action_named
+from clips where split = 'val'"""))
 def q_blind_predictions(spark, d):
+    """What SQL can state of ``blind_table``: one row per blind clip, every
+    prediction a class of the training mapping, every action named."""
+    named, vmap, nmap = blind_table(spark, d)
+    inside = [LB.sized(m.select(F.col("class_id").alias(p), F.lit(True).alias(f))) for m, p, f in
+              ((vmap, "pred_verb_class", "verb_in_space"), (nmap, "pred_noun_class", "noun_in_space"))]
+    return (named.join(inside[0], "pred_verb_class", "left").join(inside[1], "pred_noun_class", "left")
+            .select("clip_id", "video_id", "start_frame", "stop_frame", F.coalesce("verb_in_space", F.lit(False)).alias("verb_in_space"),
+                    F.coalesce("noun_in_space", F.lit(False)).alias("noun_in_space"),
+                    (F.col("pred_action") == F.concat_ws(" ", "pred_verb", "pred_noun")).alias("action_named")))
+
+
+def blind_table(spark, d):
     """Visual-only two-head model trained on the training clips that have a
     real visual vector (weights recomputed on that subset, class space of
-    the full training set), applied to the validation clips as if blind,
-    decoded to a prediction table."""
+    the full training set), applied to validation clips that carry neither labels nor
+    narration (the columns aren't there), decoded to a prediction table.  With the mappings."""
     from mise.model.predict import decode_predictions, to_predictions
     from mise.model.two_head import fit_two_head
-    c = S.clips(spark, d)
-    vmap, nmap = _verb_mapping(spark, d), LB.fit_mapping(c.filter(F.col("split") == "train"), "noun_class")
-    vis = _pooled(spark, d, keep=()).select("clip_id", "vec")
-    lab = LB.encode_labels(LB.encode_labels(c, vmap, "verb_class", out="yv"), nmap, "noun_class", out="yn")
-    # features and labels of all clips, written once: training and scoring both read them
-    data = cut_lineage(lab.join(vis, "clip_id"))
-    train = data.filter(F.col("split") == "train")
-    # class spaces of the full training set = sizes of the fitted mappings (ids 0..k-1)
-    spaces = {"verb": vmap.count(), "noun": nmap.count()}
-    model = fit_two_head(train, "vec", {"verb": "yv", "noun": "yn"}, n_classes=spaces,
-                         require=C.has_modality("vec"), max_iter=30)
-    val = model.transform(data.filter(F.col("split") == "val"), {"verb": "zv", "noun": "zn"})
+    data, vmap, nmap, spaces = _trained_inputs(spark, d)
+    model = fit_two_head(data.filter(F.col("split") == "train"), "vec", {"verb": "yv", "noun": "yn"}, n_classes=spaces,
+                         require=C.has_modality("vec"))
+    blind = data.filter(F.col("split") == "val").select("clip_id", "video_id", "start_frame", "stop_frame", "vec")
+    val = model.transform(blind, {"verb": "zv", "noun": "zn"})
     pred = val.select("clip_id", "video_id", "start_frame", "stop_frame",
                       C.argmax("zv").cast("long").alias("pred_verb_class"),
                       C.argmax("zn").cast("long").alias("pred_noun_class"))
-    train_rows = c.filter(F.col("split") == "train")
+    train_rows = S.clips(spark, d).filter(F.col("split") == "train")
     vref = LB.text_reference(train_rows, "verb_class", "verb", "clip_id")
     nref = LB.text_reference(train_rows, "noun_class", "noun", "clip_id")
     return to_predictions(decode_predictions(pred, vmap, vref, nmap, nref),
-                          ["clip_id", "video_id", "start_frame", "stop_frame"])
+                          ["clip_id", "video_id", "start_frame", "stop_frame"]), vmap, nmap
+
+
+_MAJORITY = """
+with tr as (select * from clips where split = 'train'), va as (select * from clips where split = 'val'),
+ mv as (select verb_class from tr group by verb_class order by count(*) desc, cast(verb_class as varchar) limit 1),
+ mn as (select noun_class from tr group by noun_class order by count(*) desc, cast(noun_class as varchar) limit 1),
+ kv as (select * from va where verb_class in (select verb_class from tr)),
+ kn as (select * from va where noun_class in (select noun_class from tr)),
+ s as (select (select count(*) from kv) verb_n, (select count(*) from kn) noun_n,
+  (select count(*) from kv where noun_class in (select noun_class from tr)) action_n,
+  round((select avg(case when verb_class = (select verb_class from mv) then 1e0 else 0e0 end) from kv), 6) verb_majority,
+  round((select avg(case when noun_class = (select noun_class from mn) then 1e0 else 0e0 end) from kn), 6) noun_majority)
+"""
 
 
-@query("fusion_ablation")
+@query("fusion_ablation", oracle(["clips"], _MAJORITY + """
+select mode, verb_n, noun_n, action_n, verb_majority, noun_majority, verb_beats, noun_beats
+from s, (values ('t', true, true), ('o', null, true), ('to', true, true), ('v', null, null)) m(mode, verb_beats, noun_beats)"""))
 def q_fusion_ablation(spark, d):
+    """What SQL can state of ``trained_ablation``: the heads' denominators, the rates of
+    the training set's commonest classes, and that a head beats that rate where its mode
+    has seen what tells the class (the narration both, the object the noun)."""
+    data, _, _, _ = inputs = _trained_inputs(spark, d)
+    table = trained_ablation(inputs)
+    rates = data.filter("split = 'train'")
+    majority = {}
+    for head, y in (("verb", "yv"), ("noun", "yn")):
+        top = rates.groupBy(y).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), y).limit(1).select(y).scalar()
+        majority[head] = (data.filter((F.col("split") == "val") & C.known(y))
+                          .agg(F.round(F.avg((F.col(y) == top).cast("double")), R6)).scalar())
+    seen = {"verb": F.col("mode").isin("t", "to"), "noun": F.col("mode").isin("t", "o", "to")}
+    return (table.withColumns({f"{h}_majority": m for h, m in majority.items()})
+            .select("mode", "verb_n", "noun_n", "action_n", "verb_majority", "noun_majority",
+                    *[F.when(seen[h], F.col(f"{h}_top1") > F.col(f"{h}_majority")).alias(f"{h}_beats") for h in majority]))
+
+
+def trained_ablation(inputs) -> DataFrame:
     """The trained ablation: per mode (text, object, text+object, video) a
-    class-weighted two-head model on the training clips, evaluated on the
-    validation clips in one grouped pass.  Text = hashed narration (a sparse
-    vector), object = noun one-hot over the training mapping, video = pooled
-    frame vectors (zeros when no frame was found); the video mode trains only
-    on clips with a real visual vector.  Features and labels are written once
-    and read by every mode; a mode's features are its streams assembled in
-    the fixed order text, object, visual."""
+    class-weighted two-head model on the training clips, fitted to its
+    tolerance and evaluated on the validation clips in one grouped pass.  The
+    video mode trains only on clips with a real visual vector.  A mode's
+    features are its streams in the fixed order text, object, visual."""
     from functools import reduce
 
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import array_to_vector, vector_to_array
 
     from mise.model.two_head import fit_two_head
-    c = S.clips(spark, d)
-    train_rows = c.filter(F.col("split") == "train")
-    vmap, nmap = _verb_mapping(spark, d), LB.fit_mapping(train_rows, "noun_class")
-    feats = FE.one_hot(FE.encode_text(c, "narration", "t", 384, as_vector=True), nmap, "noun_class", "o")
-    vis = _pooled(spark, d, keep=()).select("clip_id", "vec")
-    lab = LB.encode_labels(LB.encode_labels(FE.align("clip_id", feats, vis), vmap, "verb_class", "yv"),
-                           nmap, "noun_class", "yn")
-    data = cut_lineage(lab.select("clip_id", "split", "yv", "yn", "t", array_to_vector("o").alias("o"),
-                                  array_to_vector("vec").alias("v")))
-    spaces = {"verb": vmap.count(), "noun": nmap.count()}
+    data, _, _, spaces = inputs
+
     def run(mode):
         dm = VectorAssembler(inputCols=FE.mode_streams(mode), outputCol="x").transform(data)
         model = fit_two_head(dm.filter(F.col("split") == "train"), "x", {"verb": "yv", "noun": "yn"},
-                             n_classes=spaces, require=C.has_modality(vector_to_array(F.col("v"))) if mode == "v" else None,
-                             max_iter=10)
+                             n_classes=spaces, require=C.has_modality("vec") if mode == "v" else None)
         scored = model.transform(dm.filter(F.col("split") == "val"), {"verb": "zv", "noun": "zn"})
         return scored.select(F.lit(mode).alias("mode"), "yv", "yn", "zv", "zn")
 
@@ -860,3 +1019,16 @@ def q_fusion_ablation(spark, d):
     with ThreadPoolExecutor(max_workers=4) as pool:
         parts = list(pool.map(run, ("t", "o", "to", "v")))
     return EV.evaluate_heads(reduce(DataFrame.unionByName, parts), by=("mode",))
+
+
+@query("training_curve", oracle([], "select head, true falls, true ends_lowest from (values ('verb'), ('noun')) t(head)"))
+def q_training_curve(spark, d):
+    """The loss curve of a trained text model: per head the loss falls and ends lowest."""
+    from mise.model.two_head import fit_two_head
+    c = S.clips(spark, d).filter(F.col("split") == "train")
+    c = FE.encode_text(c, "narration", "t", 384, as_vector=True)
+    c = LB.encode_labels(c, _verb_mapping(spark, d), "verb_class", "yv")
+    c = LB.encode_labels(c, _noun_mapping(spark, d), "noun_class", "yn")
+    curve = fit_two_head(c, "t", {"verb": "yv", "noun": "yn"}).training_curve(spark)
+    return curve.groupBy("head").agg((F.max_by("loss", "step") < F.min_by("loss", "step")).alias("falls"),
+                                     (F.max_by("loss", "step") <= F.min("loss") + 1e-9).alias("ends_lowest"))

@@ -2,14 +2,15 @@
 
 The reference's own inputs (clip CSVs, feature matrices, frame archives) are
 not available, so clips, frames and scored rows are derived from the given
-tables: every clip is an ``orders`` row, every frame an ``embeddings`` row.
-The work of every query therefore grows with those tables.
+tables: every clip is an ``orders`` row, every frame an ``embeddings`` row of one
+of 27 videos, and clips start anywhere in their video.  The work of every query grows with
+those tables.
 
 Each view exists twice: as a Spark DataFrame (used by the queries) and as
 DuckDB SQL text (used by the oracle queries).  The modulo arithmetic below is
-how the synthetic clips get their videos, classes and missing frames; it
-defines the data, it does not sample it -- every row of ``orders`` and
-``embeddings`` is used.
+how the synthetic clips get their videos and classes; it defines the data, it
+does not sample it -- every row of ``orders`` and ``embeddings`` is used.  Missing
+frames, missing videos and unseen classes arise from the data.
 """
 
 from __future__ import annotations
@@ -17,20 +18,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.functions.columns import sample_frames
 from mise.sources.tables import read_table
 
 # ---------------------------------------------------------------- Spark side
 
 
-def _verb_class(c):
+VIDEOS = 27
+
+
+def _verb_class(c, o):
+    """A long tail: cubic, and a few classes of single clips."""
     m = c % 100
-    return F.floor(m * m * m * 59 / F.lit(1e6)).cast("long")
+    return F.when(o % 9973 == 0, 59 + F.floor(o / 9973) % 50).otherwise(F.floor(m * m * m * 59 / F.lit(1e6))).cast("long")
 
 
-def _noun_class(o):
+def _noun_class(c, o):
+    """Quadratic; a tenth of the validation clips shows objects that no training video has."""
     m = o % 100
-    return F.floor(m * m * 229 / F.lit(1e4)).cast("long")
+    new = F.when((c % VIDEOS >= 22) & (o % 10 == 0), 300).otherwise(0)
+    return (F.floor(m * m * 229 / F.lit(1e4)) + new).cast("long")
+
+
+def _frames_per_video(spark: SparkSession, d: str):
+    """How many frame numbers the videos reach, as a scalar subquery."""
+    e = read_table(spark, d, "embeddings")
+    return e.select((F.floor(F.max("vec_id") / VIDEOS) + 1).cast("long")).scalar()
 
 
 def _elapsed_text(cs):
@@ -44,19 +56,20 @@ def _elapsed_text(cs):
 def clips(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-    v, n = _verb_class(ck), _noun_class(ok)
+    v, n = _verb_class(ck, ok), _noun_class(ck, ok)
+    start = ok % _frames_per_video(spark, d)
     return o.select(
         ok.alias("clip_id"),
         F.concat(F.lit("V"), (ck % 27).cast("string")).alias("video_id"),
         F.when(ck % 27 < 22, F.lit("train")).otherwise(F.lit("val")).alias("split"),
-        (ok % 480).alias("start_frame"),
-        (ok % 480 + ck % 90).alias("stop_frame"),
+        start.alias("start_frame"),
+        (start + ck % 30).alias("stop_frame"),
         v.alias("verb_class"),
         n.alias("noun_class"),
         F.concat(F.lit("verb_"), v.cast("string")).alias("verb"),
         F.concat(F.lit("noun_"), n.cast("string"), F.when(ok % 3 == 0, F.lit("b")).otherwise(F.lit("a"))).alias("noun"),
         F.when(ok % 5 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("does noun_"), n.cast("string"))).alias("narration"),
+         .otherwise(F.concat(F.lit("verb_"), v.cast("string"), F.lit(" the noun_"), n.cast("string"))).alias("narration"),
     )
 
 
@@ -70,9 +83,11 @@ def clip_times(spark: SparkSession, d: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, d: str) -> DataFrame:
-    """One shared frame set: ``frame_no`` = ``vec_id``, every seventh missing."""
+    """Frames keyed by video and number; every ``embeddings`` row is one.  Clips
+    that end behind their video's last frame have missing frames."""
     e = read_table(spark, d, "embeddings")
-    return e.filter(F.col("vec_id") % 7 != 3).select(F.col("vec_id").alias("frame_no"), "embedding")
+    return e.select(F.concat(F.lit("V"), (F.col("vec_id") % VIDEOS).cast("string")).alias("video_id"),
+                    F.floor(F.col("vec_id") / VIDEOS).cast("long").alias("frame_no"), "embedding")
 
 
 def embeddings(spark: SparkSession, d: str) -> DataFrame:
@@ -80,12 +95,9 @@ def embeddings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def archives(spark: SparkSession, d: str) -> DataFrame:
-    """Archive listing: one row per video that has frames on disk (videos of
-    customers with a positive balance)."""
-    c = read_table(spark, d, "customer")
-    return (c.filter(F.col("c_acctbal") > 0)
-            .select(F.concat(F.lit("V"), (F.col("c_custkey") % 27).cast("string")).alias("video_id"))
-            .distinct())
+    """Archive listing: one row per video that has frames on disk (a video per
+    ``nation`` row, so two of the 27 have none)."""
+    return read_table(spark, d, "nation").select(F.concat(F.lit("V"), F.col("n_nationkey").cast("string")).alias("video_id"))
 
 
 # Verb head: the embedding label, label 9 held out of training (unseen).
@@ -104,18 +116,19 @@ def scored_split(spark: SparkSession, d: str):
 
 DUCK = {
     "clips": """
-select o_orderkey clip_id,
-  concat('V', cast(o_custkey % 27 as string)) video_id,
-  case when o_custkey % 27 < 22 then 'train' else 'val' end split,
-  o_orderkey % 480 start_frame,
-  o_orderkey % 480 + o_custkey % 90 stop_frame,
-  cast(floor((o_custkey % 100)*(o_custkey % 100)*(o_custkey % 100)*59 / 1e6) as bigint) verb_class,
-  cast(floor((o_orderkey % 100)*(o_orderkey % 100)*229 / 1e4) as bigint) noun_class,
-  concat('verb_', cast(cast(floor((o_custkey % 100)*(o_custkey % 100)*(o_custkey % 100)*59 / 1e6) as bigint) as string)) verb,
-  concat('noun_', cast(cast(floor((o_orderkey % 100)*(o_orderkey % 100)*229 / 1e4) as bigint) as string),
-         case when o_orderkey % 3 = 0 then 'b' else 'a' end) noun,
-  case when o_orderkey % 5 = 0 then null else concat('does noun_', cast(cast(floor((o_orderkey % 100)*(o_orderkey % 100)*229 / 1e4) as bigint) as string)) end narration
-from orders""",
+select clip_id, video_id, split, start_frame, start_frame + o_custkey % 30 stop_frame, verb_class, noun_class,
+  concat('verb_', cast(verb_class as string)) verb,
+  concat('noun_', cast(noun_class as string), case when clip_id % 3 = 0 then 'b' else 'a' end) noun,
+  case when clip_id % 5 = 0 then null
+       else concat('verb_', cast(verb_class as string), ' the noun_', cast(noun_class as string)) end narration
+from (select o_orderkey clip_id, o_custkey, concat('V', cast(o_custkey % 27 as string)) video_id,
+        case when o_custkey % 27 < 22 then 'train' else 'val' end split,
+        o_orderkey % (select max(vec_id) // 27 + 1 from embeddings) start_frame,
+        case when o_orderkey % 9973 = 0 then cast(59 + (o_orderkey // 9973) % 50 as bigint)
+             else cast(floor((o_custkey % 100)*(o_custkey % 100)*(o_custkey % 100)*59 / 1e6) as bigint) end verb_class,
+        cast(floor((o_orderkey % 100)*(o_orderkey % 100)*229 / 1e4) as bigint)
+          + case when o_custkey % 27 >= 22 and o_orderkey % 10 = 0 then 300 else 0 end noun_class
+      from orders) t""",
     "clip_times": """
 select clip_id,
   lpad(cast(s // 360000 as varchar), 2, '0') || ':' || lpad(cast((s // 6000) % 60 as varchar), 2, '0') || ':' ||
@@ -124,14 +137,16 @@ select clip_id,
   lpad(cast((e // 100) % 60 as varchar), 2, '0') || '.' || lpad(cast(e % 100 as varchar), 2, '0') stop_timestamp
 from (select o_orderkey clip_id, (o_orderkey * 37) % 360000 s, (o_orderkey * 37) % 360000 + o_custkey % 900 + 10 e
       from orders) t""",
-    "frames": "select vec_id frame_no, embedding from embeddings where vec_id % 7 <> 3",
+    "frames": """
+select concat('V', cast(vec_id % 27 as string)) video_id, vec_id // 27 frame_no, embedding from embeddings""",
+    "frame_el": """
+select video_id, frame_no, unnest(range(0, len(embedding))) pos, unnest(embedding) v from frames""",
     "vec_el": "select vec_id, label, unnest(range(0, len(embedding))) pos, unnest(embedding) v from embeddings",
     "clip_frame": """
-select clip_id, 0 i, start_frame fno from clips
-union all select clip_id, 1, cast(floor(start_frame + (stop_frame - start_frame) / 2e0) as bigint) from clips
-union all select clip_id, 2, stop_frame from clips""",
-    "archives": """
-select distinct concat('V', cast(c_custkey % 27 as string)) video_id from customer where c_acctbal > 0""",
+select clip_id, video_id, 0 i, start_frame fno from clips
+union all select clip_id, video_id, 1, cast(floor(start_frame + (stop_frame - start_frame) / 2e0) as bigint) from clips
+union all select clip_id, video_id, 2, stop_frame from clips""",
+    "archives": "select concat('V', cast(n_nationkey as string)) video_id from nation",
     # centroid logits, verb head (label; 9 unseen) and noun head (label % 3)
     "ce_v": """
 select label cls, pos, avg(cast(v as double)) c from vec_el where vec_id % 5 <> 0 and label <> 9 group by label, pos""",
@@ -148,17 +163,20 @@ from vec_el join ce_n on vec_el.pos = ce_n.pos where vec_id % 5 = 0 group by vec
     "two_head": """
 select v.vec_id, v.y yv, v.cls pv, n.y yn, n.cls pn
 from rk_v v join rk_n n on v.vec_id = n.vec_id where v.r = 1 and n.r = 1""",
-    # noun mapping fitted on train without the classes with noun_class % 11 = 5 (so val has unseen classes)
     "noun_map": """
 select class_name, cast(row_number() over (order by class_name) - 1 as bigint) class_id
-from (select distinct cast(noun_class as string) class_name from clips
-      where split = 'train' and noun_class % 11 <> 5) t""",
+from (select distinct cast(noun_class as string) class_name from clips where split = 'train') t""",
     "verb_map": """
 select class_name, cast(row_number() over (order by class_name) - 1 as bigint) class_id
 from (select distinct cast(verb_class as string) class_name from clips where split = 'train') t""",
     "pool": """
-select clip_id, pos, avg(cast(v as double)) a from clip_frame
-join vec_el on fno = vec_id where vec_id % 7 <> 3 group by clip_id, pos""",
+select clip_id, pos, avg(cast(v as double)) a from clip_frame c
+join frame_el f on c.video_id = f.video_id and c.fno = f.frame_no group by clip_id, pos""",
+    "unit_pool": """
+with n as (select video_id, frame_no, sqrt(sum(cast(v as double) * cast(v as double))) nrm from frame_el group by video_id, frame_no)
+select clip_id, pos, avg(cast(v as double) / nrm) a from clip_frame c
+join frame_el f on c.video_id = f.video_id and c.fno = f.frame_no
+join n on f.video_id = n.video_id and f.frame_no = n.frame_no group by clip_id, pos""",
 }
 
 # Which views each view reads (so an oracle pulls in what it needs, in order).
@@ -169,7 +187,8 @@ DEPS = {
     "rk_v": ["logits"], "rk_n": ["logits_n"],
     "two_head": ["rk_v", "rk_n"],
     "noun_map": ["clips"], "verb_map": ["clips"],
-    "pool": ["clip_frame", "vec_el"],
+    "frame_el": ["frames"],
+    "pool": ["clip_frame", "frame_el"], "unit_pool": ["clip_frame", "frame_el"],
 }
 
 
@@ -198,11 +217,6 @@ def oracle(views, sql: str) -> str:
     return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body
 
 
-def clip_samples(spark: SparkSession, d: str, n: int = 3) -> DataFrame:
-    c = clips(spark, d)
-    return c.select("clip_id", "video_id", "split", F.posexplode(sample_frames("start_frame", "stop_frame", n)).alias("i", "frame_no"))
-
-
 def register_views(spark: SparkSession, d: str) -> None:
     """Expose the stand-in views (and the base tables) as temp views so users
     can write Spark SQL over them: ``clips``, ``clip_times``, ``frames``,

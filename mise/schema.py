@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 FPS = 60
 FRAMES_PER_CLIP = 3
 TEXT_DIM = 384
-OBJECT_DIM = 123
-VISUAL_DIM = 512
 UNKNOWN_CLASS = "unknown"
 UNSEEN_ID = -1
 
@@ -35,18 +33,7 @@ CLIP_SCHEMA = T.StructType([
     T.StructField("duration_frames", T.LongType()),
 ])
 
-# Long-form feature table: one row per (clip, modality); partitioned on disk
-# by split and modality so a mode reads only its streams.
-FEATURE_SCHEMA = T.StructType([
-    T.StructField("clip_id", T.StringType()),
-    T.StructField("split", T.StringType()),
-    T.StructField("modality", T.StringType()),
-    T.StructField("vec", T.ArrayType(T.FloatType())),
-])
-
 MAPPING_SCHEMA = T.StructType([
     T.StructField("class_name", T.StringType()),
     T.StructField("class_id", T.LongType()),
 ])
-
-METRIC_NAMES = ("verb_top1", "verb_top5", "verb_f1", "noun_top1", "noun_top5", "noun_f1", "action_top1")

@@ -26,7 +26,8 @@ def read_clips(spark: SparkSession, path: str, schema: T.StructType | None = CLI
     extra = [T.StructField(c, T.StringType()) for c in header if c not in {f.name for f in fields}]
     by_name = {f.name: f for f in fields + extra}
     ordered = T.StructType([by_name[c] for c in header])
-    df = (spark.read.option("header", True).option("mode", "FAILFAST")
+    # a file with another header fails instead of being read by position
+    df = (spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
           .schema(ordered).csv(path))
     if split is not None:
         df = df.withColumn("split", F.lit(split))

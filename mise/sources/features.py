@@ -38,7 +38,7 @@ def read_features(spark: SparkSession, path: str, split: str, modalities, labels
     mods = list(modalities)
     long = (spark.read.parquet(path)
             .filter((F.col("split") == split) & F.col("modality").isin(mods)))
-    wide = long.groupBy("clip_id").pivot("modality", mods).agg(F.first("vec"))
+    wide = long.groupBy("clip_id").pivot("modality", mods).agg(F.max("vec"))
     if labels_path:
         labels = spark.read.parquet(labels_path).filter(F.col("split") == split).drop("split")
         wide = wide.join(labels, "clip_id", "left")
@@ -47,7 +47,7 @@ def read_features(spark: SparkSession, path: str, split: str, modalities, labels
 
 def write_mapping(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Label mapping ``class_name, class_id`` (small: one row per class)."""
-    out = df.select("class_name", "class_id").coalesce(1).write.mode("overwrite")
+    out = df.select("class_name", "class_id").write.mode("overwrite")
     if fmt == "csv":
         out.option("header", True).csv(path)
     else:
@@ -64,20 +64,14 @@ def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 def write_metrics(df: DataFrame, path: str) -> None:
     """Metric rows as JSON lines (one object per model)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def read_metrics(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
-    """Metric files, either JSON lines (as ``write_metrics`` writes them) or
-    one pretty-printed JSON array per file (as published).  With
-    ``multi_line=None`` the layout is detected: a JSON-lines read that finds
-    only corrupt records is redone in whole-file mode."""
-    if multi_line is None:
-        lines = spark.read.json(path)
-        if lines.columns != ["_corrupt_record"]:
-            return lines
-        multi_line = True
-    return spark.read.option("multiLine", multi_line).json(path)
+    df.write.mode("overwrite").json(path)
+
+
+def read_metrics(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Metric files: JSON lines (as ``write_metrics`` writes them) or, with
+    ``multi_line=True``, one pretty-printed JSON array per file (as published).
+    A record that doesn't parse is an error."""
+    return spark.read.option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def write_predictions(df: DataFrame, path: str, fmt: str = "parquet") -> None:

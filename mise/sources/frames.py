@@ -12,7 +12,6 @@ task's work:
 
 from __future__ import annotations
 
-import os
 import tarfile
 
 import pandas as pd
@@ -36,62 +35,59 @@ def read_frames(spark: SparkSession, root: str, with_content: bool = True) -> Da
     return df.select(*cols)
 
 
-def local_path(uri: str) -> str:
-    """A folder URI as a path Python tasks can open: ``file:`` URIs are
-    stripped to their path; other schemes need a mount and are refused."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    if "://" in uri:
-        raise ValueError(f"archives need a mounted folder, not {uri}")
-    return uri
+def open_filesystem(uri: str):
+    """The store of a URI and the path in it, opened where the code runs (any
+    scheme the Arrow library knows: file, hdfs, s3, gs; a plain path is local or mounted)."""
+    from pyarrow import fs
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    return fs.FileSystem.from_uri(uri)
 
 
-_MEMBER_SCHEMA = "video_id string, frame_no int, archive string, offset long, size long"
+_MEMBER_SCHEMA = "video_id string, name string, archive string, offset long, size long"
 _CONTENT_SCHEMA = "video_id string, frame_no int, content binary"
+#: Bytes of an archive that one reading task takes at a time.
+RANGE_BYTES = 4 << 20
 
 
-def _frame_no(name: str):
-    base = os.path.basename(name)
-    if not base.startswith("frame_"):
-        return None
-    try:
-        return int(base.split("_")[1].split(".")[0])
-    except ValueError:
-        return None
+def _tasks(df: DataFrame) -> int:
+    """Partitions for work whose input rows are few but whose files are large."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def _list_members(batches):
+    columns = ["video_id", "name", "archive", "offset", "size"]
     for pdf in batches:
-        for video_id, path in zip(pdf["video_id"], pdf["archive"]):
+        for video_id, uri in zip(pdf["video_id"], pdf["archive"]):
+            store, path = open_filesystem(uri)
             rows = []
-            with tarfile.open(path, mode="r:") as tar:
+            with store.open_input_file(path) as fh, tarfile.open(fileobj=fh, mode="r:") as tar:
                 for member in tar:
-                    if not member.isfile():
-                        continue
-                    fno = _frame_no(member.name)
-                    if fno is None:
-                        continue
-                    rows.append((video_id, fno, path, member.offset_data, member.size))
+                    if member.isfile():
+                        rows.append((video_id, member.name, uri, member.offset_data, member.size))
                     if len(rows) >= 10_000:
-                        yield pd.DataFrame(rows, columns=["video_id", "frame_no", "archive", "offset", "size"])
+                        yield pd.DataFrame(rows, columns=columns)
                         rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=["video_id", "frame_no", "archive", "offset", "size"])
+                yield pd.DataFrame(rows, columns=columns)
 
 
 def list_archive_members(archives: DataFrame) -> DataFrame:
-    """``archives(video_id, archive)`` → one row per frame member."""
+    """``archives(video_id, archive)`` → one row per frame member, read from the
+    tar headers; the listing is spread by archive first."""
     ship_library(archives.sparkSession)
-    return archives.select("video_id", "archive").mapInPandas(_list_members, _MEMBER_SCHEMA)
+    spread = archives.select("video_id", "archive").repartition(_tasks(archives), "archive")
+    members = spread.mapInPandas(_list_members, _MEMBER_SCHEMA).withColumn("frame_no", parse_frame_no("name"))
+    return members.filter(F.col("frame_no").isNotNull()).select("video_id", "frame_no", "archive", "offset", "size")
 
 
 def _read_members(batches):
     for pdf in batches:
         out = []
-        for path, grp in pdf.groupby("archive", sort=False):
-            with open(path, "rb") as fh:
+        for uri, grp in pdf.groupby("archive", sort=False):
+            store, path = open_filesystem(uri)
+            with store.open_input_file(path) as fh:
                 for v, fno, off, size in zip(grp["video_id"], grp["frame_no"], grp["offset"], grp["size"]):
                     fh.seek(int(off))
                     out.append((v, int(fno), fh.read(int(size))))
@@ -100,9 +96,12 @@ def _read_members(batches):
 
 def read_archive_members(members: DataFrame) -> DataFrame:
     """Fetch the bytes of the listed members (already filtered to the needed
-    frames).  Rows are spread by Spark; each batch opens an archive once."""
+    frames).  Members are spread by archive and byte range, so a large archive
+    is read by many tasks, each in the order of its offsets."""
     ship_library(members.sparkSession)
-    return members.mapInPandas(_read_members, _CONTENT_SCHEMA)
+    spread = (members.repartition(_tasks(members), "archive", F.floor(F.col("offset") / RANGE_BYTES))
+              .sortWithinPartitions("archive", "offset"))
+    return spread.mapInPandas(_read_members, _CONTENT_SCHEMA)
 
 
 def read_frame_archives(archives: DataFrame, needed: DataFrame) -> DataFrame:
@@ -111,35 +110,3 @@ def read_frame_archives(archives: DataFrame, needed: DataFrame) -> DataFrame:
     members = list_archive_members(archives)
     wanted = members.join(needed.select("video_id", "frame_no").distinct(), ["video_id", "frame_no"], "left_semi")
     return read_archive_members(wanted)
-
-
-def _write_archives(root: str, per_archive: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        import io
-        video, part = pdf["video_id"].iloc[0], int(pdf["_part"].iloc[0])
-        folder = os.path.join(root, str(video))
-        os.makedirs(folder, exist_ok=True)
-        path = os.path.join(folder, f"part-{part:06d}.tar")
-        tmp = path + ".inprogress"
-        with tarfile.open(tmp, "w") as tar:
-            for fno, content in sorted(zip(pdf["frame_no"], pdf["content"])):
-                data = bytes(content)
-                info = tarfile.TarInfo(f"{video}/frame_{int(fno):010d}.jpg")
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
-        os.replace(tmp, path)  # a retried task rewrites the same archive
-        return pd.DataFrame({"video_id": [video], "archive": [path]})
-    return run
-
-
-def write_frame_archives(frames: DataFrame, root: str, per_archive: int = 1000) -> DataFrame:
-    """Write frames ``(video_id, frame_no, content)`` as tar archives under
-    ``root/{video_id}/part-NNNNNN.tar``, at most ``per_archive`` frame numbers
-    per archive, and return the listing ``(video_id, archive)``.  Each archive
-    is one bounded group; a retried task rewrites its archive atomically.
-    ``root`` must be a folder every worker mounts."""
-    ship_library(frames.sparkSession)
-    root = local_path(root)
-    grouped = frames.withColumn("_part", F.floor(F.col("frame_no") / per_archive))
-    return grouped.groupBy("video_id", "_part").applyInPandas(
-        _write_archives(root, per_archive), "video_id string, archive string")

@@ -84,3 +84,42 @@ def test_best_flags_ties_and_gain(spark):
     g = {(r.mode, r.metric): r for r in RP.metric_gain(m, ["noun_top1", "action_top1"], base="t").collect()}
     assert g[("to", "action_top1")].abs_gain == pytest.approx(0.042)
     assert g[("to", "action_top1")].rel_gain == pytest.approx(0.986 / 0.944 - 1, abs=1e-6)
+
+
+def test_label_outside_the_logits_is_a_miss(spark):
+    df = scored(spark, [(1, 5, [1.0, 2.0], 0, [1.0, 0.0]), (2, 1, [1.0, 2.0], 0, [1.0, 0.0])])
+    r = EV.topk_accuracy(df, "yv", "zv", ks=(1, 5)).first()
+    assert (r.n, r.top1, r.top5) == (2, 0.5, 0.5)
+    w = spark.createDataFrame([(c, 1.0) for c in range(6)], "class_id int, w double")
+    with pytest.raises(Exception, match="no logit for label 5"):
+        EV.weighted_log_loss(df, "yv", "zv", w).collect()
+
+
+def test_class_without_a_weight_is_an_error(spark):
+    df = scored(spark, [(1, 0, [1.0, 2.0], 0, [1.0, 0.0]), (2, 1, [1.0, 2.0], 0, [1.0, 0.0])])
+    with pytest.raises(Exception, match="no weight for label 1"):
+        EV.weighted_log_loss(df, "yv", "zv", spark.createDataFrame([(0, 1.0)], "class_id int, w double")).collect()
+
+
+def test_missing_logits_are_counted_as_misses(spark):
+    df = scored(spark, [(1, 0, [2.0, 1.0], 0, [1.0, 0.0]), (2, 0, None, 0, [1.0, 0.0])])
+    r = EV.topk_accuracy(df, "yv", "zv", ks=(1,)).first()
+    assert (r.n, r.top1) == (2, 0.5)
+    e = EV.evaluate_heads(df.selectExpr("'m' mode", "*")).first()
+    assert (e.verb_n, e.verb_top1, e.action_n, e.action_top1) == (2, 0.5, 2, 0.5)
+
+
+def test_group_without_known_labels_keeps_its_row(spark):
+    df = scored(spark, [(1, -1, [2.0, 1.0], -1, [1.0, 0.0])]).selectExpr("'m' mode", "*")
+    e = EV.evaluate_heads(df).first()
+    assert (e.mode, e.verb_n, e.verb_top1, e.verb_f1, e.action_n, e.action_top1) == ("m", 0, None, None, 0, None)
+
+
+def test_evaluation_reads_its_input_once(spark):
+    from mise.operators import report as RP
+    path = "/root/testdata/sf0.001/embeddings.parquet"
+    e = spark.read.parquet(path).selectExpr("'m' mode", "label yv", "embedding zv", "label yn", "embedding zn")
+    table = EV.evaluate_heads(e)
+    for df in (table, RP.flag_best(table, ["verb_top1", "noun_f1"]), RP.metric_gain(table, ["verb_top1"], base="m"),
+               EV.macro_f1(EV.with_predictions(e, {"p": "zv"}), "yv", "p")):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -83,3 +83,9 @@ def test_hot_video_pools_exactly_and_joins_on_frames(spark):
         hits = [f for f in samples if f % 2 == 0 and f < 240]
         want = [np.mean(hits), float(len(v))] if hits else [0.0, 0.0]
         assert got[i][0] == len(hits) and np.allclose(got[i][1], want)
+
+
+def test_frame_listed_twice_counts_once(spark):
+    frames = _frames(spark).unionByName(_frames(spark))
+    p = {r.clip_id: r for r in FR.pool_frames(FR.join_frames(FR.explode_samples(_clips(spark)), frames), 2, dtype="double").collect()}
+    assert (p[2].found, p[2].sampled, list(p[2].vec)) == (2, 3, [6.0, 6.0])

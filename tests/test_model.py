@@ -1,8 +1,9 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from mise.functions import columns as C
-from mise.model.linear import fit_centroids, score
+from mise.model.linear import fit_centroids, fit_centroids_grouped, score, score_grouped
 from mise.model.two_head import fit_two_head
 from mise.operators import evaluate as EV
 
@@ -42,67 +43,43 @@ def test_masked_training_keeps_class_space(spark):
     assert len(z) == 4
 
 
-def test_centroid_scorer_and_both_scoring_paths(spark):
+def test_scoring_has_one_null_rule(spark):
     df = planted(spark)
     model = fit_centroids(df, "x", "yv")
     assert model.centroids.shape == (4, 8)
-    small = model.transform(df, "x", "z").select("id", "z")
-    w = np.repeat(model.centroids, 200, axis=1)[:, :8]  # same matrix, forced through the batch path
-    from mise.model import linear
-    old = linear.LITERAL_WEIGHTS
-    linear.LITERAL_WEIGHTS = 0
-    try:
-        big = score(df, "x", model.centroids, None, "z2").select("id", "z2")
-    finally:
-        linear.LITERAL_WEIGHTS = old
-    a = {r.id: r.z for r in small.collect()}
-    b = {r.id: r.z2 for r in big.collect()}
-    assert all(np.allclose(a[k], b[k]) for k in a)
-    assert w.shape == (4, 8)
-
-
-def test_mlp_loss_falls_and_beats_majority(spark):
-    from mise.model.mlp import fit_mlp
+    some = df.select("id", F.when(F.col("id") % 3 != 0, F.col("x")).alias("x"), "yv")
+    got = {r.id: r for r in model.transform(some, "x", "z").collect()}
+    assert all((r.z is None) == (r.x is None) for r in got.values())
+    assert all(np.allclose(r.z, model.centroids @ np.array(r.x)) for r in got.values() if r.x is not None)
+    wide = np.zeros((59, 384))  # wider than what was once scored another way
+    wide[:, :8] = 1.0
+    big = df.limit(5).select(F.concat("x", F.array_repeat(F.lit(0.0), 376)).alias("x"))
+    assert all(np.allclose(r.z, sum(r.x)) for r in score(big, "x", wide).collect())
+    with pytest.raises(Exception, match="width"):
+        score(df, "x", np.zeros((2, 9))).collect()
+
+
+def test_scoring_by_group(spark):
+    df = planted(spark).withColumn("g", F.when(F.col("id") % 2 == 0, "a").otherwise("b"))
+    models = fit_centroids_grouped(df, "x", "yv", "g")
+    more = df.unionByName(df.limit(1).withColumn("g", F.lit("none")))
+    for r in score_grouped(more, "x", models, "g").limit(50).collect():
+        assert r.z is None if r.g == "none" else np.allclose(r.z, models[r.g].centroids @ np.array(r.x))
+
+
+def test_labels_outside_the_class_space_are_errors(spark):
     df = planted(spark)
-    train, val = df.filter("split = 'train'"), df.filter("split = 'val'")
-    m = fit_mlp(train, "x", ("yv", "yn"), hidden=(32, 16), steps=30, lr=0.03)
-    curve = [r.loss for r in m.training_curve(spark).orderBy("step").collect()]
-    assert len(curve) == 30 and curve[-1] < 0.5 * curve[0]
-    out = EV.with_predictions(m.transform(val), {"pv": "zv", "pn": "zn"})
-    acc = out.agg(F.avg((F.col("yv") == F.col("pv")).cast("double")).alias("a")).first().a
-    majority = val.agg(F.avg((F.col("yv") == 0).cast("double")).alias("a")).first().a
-    assert acc > majority + 0.2
-    again = fit_mlp(train, "x", ("yv", "yn"), hidden=(32, 16), steps=3, lr=0.03)
-    assert [round(r.loss, 9) for r in again.training_curve(spark).orderBy("step").collect()] == [round(x, 9) for x in curve[:3]]
-
-
-def test_mlp_gradient_matches_finite_difference():
-    from mise.model import mlp
-    rnd = np.random.default_rng(1)
-    d, nv, nn = 3, 4, 2
-    shapes = mlp._shapes(d, 5, 4, nv, nn)
-    n = sum(int(np.prod(s)) for _, s in shapes)
-    theta = rnd.normal(0, 0.5, n)
-    x = rnd.normal(size=(6, d))
-    yv, yn = rnd.integers(0, nv, 6), rnd.integers(0, nn, 6)
-    wv, wn = rnd.uniform(0.5, 2, nv), rnd.uniform(0.5, 2, nn)
-
-    def loss(t):
-        p = mlp._unflatten(t, shapes)
-        zv, zn = mlp._forward(p, x)[4:]
-        _, a = mlp._softmax_nll(zv, yv)
-        _, b = mlp._softmax_nll(zn, yn)
-        return wv[yv] @ a / wv[yv].sum() + wn[yn] @ b / wn[yn].sum()
-
-    import pandas as pd
-
-    class BC:
-        value = (theta, wv, wn, wv[yv].sum(), wn[yn].sum())
-    pdf = pd.DataFrame({"x": list(x), "yv": yv, "yn": yn})
-    out = next(mlp._partition_gradient(BC, "x", "yv", "yn", shapes, n)([pdf]))
-    grad = np.concatenate([np.array(g) for c, g in sorted(zip(out.chunk, out.g)) if c >= 0])[:n]
-    eps = 1e-6
-    for i in rnd.choice(n, 25, replace=False):
-        e = np.zeros(n)
-        e[i] = eps
-        assert abs((loss(theta + e) - loss(theta - e)) / (2 * eps) - grad[i]) < 1e-5
+    with pytest.raises(ValueError, match="outside"):
+        fit_centroids(df, "x", "yv", n_classes=2)
+    with pytest.raises(ValueError, match="encode the labels"):
+        fit_centroids(df.withColumn("yv", F.lit(2_000_000_000)), "x", "yv")
+    with pytest.raises(Exception, match="outside the class space"):
+        fit_two_head(df, "x", {"verb": "yv"}, n_classes={"verb": 2})
+
+
+def test_training_curve_falls(spark):
+    m = fit_two_head(planted(spark), "x", {"verb": "yv", "noun": "yn"})
+    curve = m.training_curve(spark)
+    for head in ("verb", "noun"):
+        loss = [r.loss for r in curve.filter(F.col("head") == head).orderBy("step").collect()]
+        assert len(loss) > 3 and loss[-1] < loss[0]

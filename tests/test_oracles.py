@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from mise.plans.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,11 +17,11 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, key):
     from tools.oracle_check import rows_of
-    got = E.queries()[key](spark, SF).toPandas()
-    want = con.execute(E.oracle_sql()[key]).fetchdf()
+    got = QUERIES[key](spark, SF).toPandas()
+    want = con.execute(ORACLES[key]).fetchdf()
     c1, r1 = rows_of(got)
     c2, r2 = rows_of(want)
     assert c1 == c2

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from mise.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -16,24 +16,63 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cross_or_nested_loop_join(spark, key):
-    plan = plan_of(E.queries()[key](spark, SF))
+    plan = plan_of(QUERIES[key](spark, SF))
     for bad in BAD:
         assert bad not in plan, f"{key}: {bad}"
 
 
 def test_range_join_is_bucketed_equi_join(spark):
-    plan = plan_of(E.queries()["frame_range_join"](spark, SF))
+    plan = plan_of(QUERIES["frame_range_join"](spark, SF))
     assert re.search(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[_b", plan)
 
 
 def test_scans_are_pruned(spark):
-    plan = plan_of(E.queries()["label_encode"](spark, SF))
+    plan = plan_of(QUERIES["label_encode"](spark, SF))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and all("o_totalprice" not in s and "o_orderdate" not in s for s in schemas)
 
 
 def test_mapping_join_is_broadcast_after_size_check(spark):
-    plan = plan_of(E.queries()["label_encode"](spark, SF))
+    plan = plan_of(QUERIES["label_encode"](spark, SF))
     assert "BroadcastHashJoin" in plan
+
+
+def final_plan(df):
+    """The plan after adaptive execution: run it, then ask again."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan_of(df)
+
+
+def test_final_plans_have_no_nested_loop(spark):
+    for key in ("frame_range_join", "label_decode_text", "ablation_table", "fuse_features"):
+        plan = final_plan(QUERIES[key](spark, SF))
+        assert "isFinalPlan=true" in plan or "AdaptiveSparkPlan" not in plan
+        assert not any(bad in plan for bad in BAD)
+
+
+def test_range_join_is_keyed_by_video_and_bucket(spark):
+    plan = plan_of(QUERIES["frame_range_join"](spark, SF))
+    assert re.search(r"Join \[video_id#\d+, _b#", plan)
+
+
+def test_trained_rows_are_not_shuffled_by_label(spark):
+    """On a huge synthetic frame the class weights are broadcast."""
+    from pyspark.sql import functions as F
+
+    from mise.operators.labels import class_weights, sized
+    from mise.session import cut_lineage
+    rows = spark.range(2_000_000_000).select((F.col("id") % 59).alias("y"))
+    small = spark.range(5_000).select((F.col("id") % 59).alias("y"))
+    w = sized(cut_lineage(class_weights(small, "y", 59)).withColumnRenamed("class_id", "y"))
+    plan = plan_of(rows.join(w, "y", "left"))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_evaluation_keys_scan_once_per_table(spark):
+    """The scored table is read once for each metric table."""
+    for key in ("ablation_table", "best_flags", "metric_gain"):
+        plan = plan_of(QUERIES[key](spark, SF))
+        assert plan.count("FileScan") == 3  # one scored read for each of the three modes

@@ -9,6 +9,8 @@ from mise.sources import clips as SC
 from mise.sources import features as SF
 from mise.sources import frames as SR
 
+# Fixed golden values: a header and three rows of published clip metadata, kept for their edges
+# (a colon in a noun, a time whose frame number is cut off, not rounded).
 DEMO = """narration_id,participant_id,video_id,start_timestamp,stop_timestamp,start_frame,stop_frame,narration,verb,verb_class,noun,noun_class
 P01_01_0,P01,P01_01,00:00:00.14,00:00:03.37,8,202,open door,open,3,door,3
 P01_01_4,P01,P01_01,00:00:15.25,00:00:16.40,915,983,take celery,take,0,celery,223
@@ -52,7 +54,7 @@ def test_mapping_round_trip_keeps_strings(spark, tmp_dir):
 
 def test_metrics_json_array_file(spark, tmp_dir):
     _write(f"{tmp_dir}/m/metrics.json", json.dumps([{"mode": "t", "verb@1": 0.973}, {"mode": "o", "verb@1": 0.122}], indent=2))
-    df = SF.read_metrics(spark, f"{tmp_dir}/m")
+    df = SF.read_metrics(spark, f"{tmp_dir}/m", multi_line=True)
     assert sorted((r["mode"], r["verb@1"]) for r in df.collect()) == [("o", 0.122), ("t", 0.973)]
     SF.write_metrics(df, f"{tmp_dir}/m2")
     assert SF.read_metrics(spark, f"{tmp_dir}/m2").count() == 2
@@ -82,6 +84,10 @@ def test_frame_archives_read_only_needed(spark, tmp_dir):
     archives = spark.createDataFrame([("P01_01", a), ("P01_02", b)], "video_id string, archive string")
     members = SR.list_archive_members(archives)
     assert members.count() == 10
+    assert members.rdd.getNumPartitions() > 1
+    assert SR.read_archive_members(members).rdd.getNumPartitions() > 1
+    uris = archives.withColumn("archive", F.concat(F.lit("file://"), F.col("archive")))  # a store by URI
+    assert SR.read_archive_members(SR.list_archive_members(uris)).count() == 10
     needed = spark.createDataFrame([("P01_01", 3), ("P01_01", 7), ("P01_02", 3), ("P01_02", 9)], "video_id string, frame_no int")
     got = {(r.video_id, r.frame_no): bytes(r.content) for r in SR.read_frame_archives(archives, needed).collect()}
     assert got == {("P01_01", 3): bytes([3]) * 4, ("P01_01", 7): bytes([7]) * 8, ("P01_02", 3): bytes([103])}
@@ -149,3 +155,25 @@ def test_read_features_with_optional_labels(spark, tmp_dir):
     assert (got["c1"].yv, got["c2"].yv) == (4, None)
     plain = SF.read_features(spark, f"{tmp_dir}/f", "val", ["text"])
     assert plain.columns == ["clip_id", "text"]
+
+
+def test_csv_file_with_another_header_fails(spark, tmp_dir):
+    import pytest
+    _write(f"{tmp_dir}/two/a.csv", TEST)
+    _write(f"{tmp_dir}/two/b.csv", "narration_id,participant_id,start_frame,video_id,stop_frame\nx,y,1,z,2\n")
+    with pytest.raises(Exception):
+        SC.read_clips(spark, f"{tmp_dir}/two").collect()
+
+
+def test_partly_broken_metrics_fail(spark, tmp_dir):
+    import pytest
+    _write(f"{tmp_dir}/m/metrics.json", '{"mode": "t", "f1": 0.5}\n{"mode": \n')
+    with pytest.raises(Exception):
+        SF.read_metrics(spark, f"{tmp_dir}/m").collect()
+
+
+def test_empty_texts_are_spread_for_a_plugin(spark):
+    from mise.operators.features import encode_text
+    df = spark.createDataFrame([(i, None if i % 2 else "") for i in range(200)], "id int, narration string")
+    got = encode_text(df, "narration", "tv", 1, lambda: (lambda texts: [[7.0]] * len(texts)))
+    assert {(r.tv_tokens, r.tv[0]) for r in got.collect()} == {(0, 7.0)} and got.count() == 200
