@@ -36,3 +36,28 @@ def with_suffix_free(df: DataFrame, name: str) -> str:
     while name.lower() in have:
         name = f"_{name}"
     return name
+
+
+#: A key with more than one SHARES-th of all rows (so there are fewer than SHARES of
+#: them, whatever the input) is dealt over SALT parts in ``join_groups``.
+SHARES, SALT, LEAST = 1_000, 32, 200
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], n: str, spread: list[str]) -> DataFrame:
+    """``rows`` joined with ``groups``, which has a row per key and in ``n`` the rows
+    of that key; ``n`` is left out.  ``groups`` should be materialised.
+
+    The few keys that hold a large share of the rows are known by their counts (a
+    bounded list of hashes): their rows are dealt by the ``spread`` columns over copies of
+    the group's row, so no task gets a whole hot group."""
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    code = F.xxhash64(*keys)
+    hot = [r["h"] for r in groups.filter(F.col(n) > max(total // SHARES, LEAST)).select(code.alias("h")).collect()]
+    slim = groups.drop(n)
+    if not hot:
+        return rows.join(slim, keys)
+    part = with_suffix_free(rows, "part")
+    dealt = F.pmod(F.xxhash64(*spread), F.lit(SALT)).cast("int")
+    left = rows.withColumn(part, F.when(code.isin(hot), dealt).otherwise(F.lit(0)))
+    copies = F.when(code.isin(hot), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(slim.withColumn(part, F.explode(copies)), [*keys, part]).drop(part)

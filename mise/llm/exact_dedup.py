@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mise.llm.common import SPACE, text_of, with_suffix_free
+from mise.llm.common import SPACE, join_groups, text_of, with_suffix_free, written
 from mise.session import cut_lineage
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
@@ -77,7 +77,7 @@ def recipes(df: DataFrame, name: str = "recipe", bits: int = 64, **cut) -> DataF
 
 
 def _groups(rows: DataFrame, recipe: str) -> DataFrame:
-    """Per recipe: the id that stays, rows, and rows that carry that id."""
+    """Per recipe: the id that stays, and the rows; summed per id first."""
     by_id = rows.groupBy(recipe, "doc_id").agg(F.count("*").alias("n"))
     return by_id.groupBy(recipe).agg(F.min("doc_id").alias("keep_id"), F.sum("n").alias("group_size"))
 
@@ -86,8 +86,9 @@ def copy_groups(docs: DataFrame, bits: int = 64) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     slim = docs.select(docs["doc_id"], docs["text"])
     rows = recipes(slim, bits=bits)
-    rows = rows.select("doc_id", "recipe", F.sha2(normalised(text_of(rows)), 256).alias("text_sha256"))
-    return (rows.join(_groups(rows, "recipe"), "recipe")
+    rows = written(rows.select("doc_id", "recipe", F.sha2(normalised(text_of(rows)), 256).alias("text_sha256")), "recipes")
+    groups = cut_lineage(_groups(rows, "recipe").withColumn("n", F.col("group_size")))
+    return (join_groups(rows, groups, ["recipe"], "n", ["doc_id"])
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     "text_sha256"))
 
@@ -97,10 +98,11 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     recipe, doc_id = with_suffix_free(docs, "recipe"), with_suffix_free(docs, "kept_id")
     rows = recipes(docs, name=recipe)
     by_id = rows.groupBy(recipe, "doc_id").agg(F.count("*").alias("n"))
-    groups = cut_lineage(by_id.groupBy(recipe).agg(F.min("doc_id").alias(doc_id),
-                                                   F.min_by("n", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("n")))
-    repeated = not groups.filter("n > 1").isEmpty()
-    out = rows.join(groups.drop("n"), recipe).filter(F.col("doc_id").eqNullSafe(F.col(doc_id)))
+    groups = cut_lineage(by_id.groupBy(recipe).agg(F.min("doc_id").alias(doc_id), F.sum("n").alias("n"),
+                                                   F.min_by("n", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("same")))
+    repeated = not groups.filter("same > 1").isEmpty()
+    out = (join_groups(rows, groups.drop("same"), [recipe], "n", ["doc_id"])
+           .filter(F.col("doc_id").eqNullSafe(F.col(doc_id))))
     if repeated:  # rows repeated with the same id and text
         out = out.dropDuplicates([recipe, "doc_id"])
     return out.select(docs.columns)

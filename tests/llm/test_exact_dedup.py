@@ -64,3 +64,17 @@ def test_drop_copies_leaves_one_of_repeated_rows_and_keeps_odd_columns(spark):
 def test_empty(empty):
     assert X.copy_groups(empty).count() == 0
     assert X.drop_copies(empty).count() == 0
+
+
+def test_hot_groups_are_dealt_out(spark, frame, monkeypatch):
+    """A third of all rows in one group: no part of the join holds it whole."""
+    from mise.llm import common
+    monkeypatch.setattr(common, "LEAST", 10)
+    rows = [(i, "the same text" if i % 3 == 0 else f"text {i}") for i in range(3000)]
+    assert rows_of(X.copy_groups(frame(rows))) == brute(rows)
+    left = spark.createDataFrame([(i, 0 if i % 3 == 0 else i) for i in range(3000)], "doc_id long, key long")
+    groups = left.groupBy("key").agg({"*": "count"}).withColumnRenamed("count(1)", "n")
+    joined = common.join_groups(left, groups, ["key"], "n", ["doc_id"])
+    assert joined.count() == 3000 and joined.columns == ["key", "doc_id"]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in plan
