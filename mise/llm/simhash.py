@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mise.llm.common import text_of, with_suffix_free, written
+from mise.llm.common import join_groups, text_of, with_suffix_free, written
 from mise.llm.components import components
 from mise.llm.golay import nearby_indices
 from mise.session import cut_lineage, ship_library
@@ -133,13 +133,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
                     pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
-    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")))
     joined = components(links(nodes, distance, pair_limit))
     linked = nodes.join(joined, nodes["fp"] == joined["node"])
     smallest = linked.groupBy("label").agg(F.min("least_id").alias("component_id"))
     where = linked.join(smallest, "label").select("fp", "component_id")
-    ids = nodes.join(where, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
-    return (prints.join(ids, "fp")
+    ids = cut_lineage(nodes.join(where, "fp", "left")
+                      .select("fp", "n", F.coalesce("component_id", "least_id").alias("component_id")))
+    return (join_groups(prints, ids, ["fp"], "n", ["doc_id"])
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
