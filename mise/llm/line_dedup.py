@@ -29,8 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mise.llm.common import text_of, written
-from mise.session import ship_library
+from mise.llm.common import join_groups, text_of, written
+from mise.session import cut_lineage, ship_library
 
 MIN_LINES, MIN_WORDS = 3, 50
 
@@ -97,9 +97,9 @@ def later_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash"))
                      .otherwise(F.lit(0).cast("long")).alias("tie"), "at", "text_hash")
     shared = shared.withColumn("place", place)
-    first = (shared.groupBy("low", "high").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-             .filter("n > 1").drop("n"))
-    late = shared.join(first, ["low", "high"]).filter("place > first")
+    first = cut_lineage(shared.groupBy("low", "high").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+                        .filter("n > 1"))
+    late = join_groups(shared, first, ["low", "high"], "n", ["doc_id", "at"]).filter("place > first")
     same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash"))
     start = F.when(same, F.greatest("at", F.col("first.at") + F.col("size"))).otherwise(F.col("at"))
     return (late.select("doc_id", "text_hash", start.alias("start"), (F.col("at") + F.col("size")).alias("stop"))
