@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", partitions: int | None = None, app: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
     )
@@ -59,10 +60,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint root for written intermediates."""
+    """A fresh folder under the checkpoint root for written intermediates; it
+    lives until ``clear_scratch``."""
     root = checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders that ``scratch_path`` gave out in this application, in
+    whatever store they are, and return their number.  Call it when no DataFrame
+    that reads them is needed any more.  Checkpoints go with their DataFrames where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
+    jvm, paths = spark.sparkContext._jvm, _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    return len(paths)
 
 
 _SHIPPED: set = set()

@@ -177,3 +177,12 @@ def test_empty_texts_are_spread_for_a_plugin(spark):
     df = spark.createDataFrame([(i, None if i % 2 else "") for i in range(200)], "id int, narration string")
     got = encode_text(df, "narration", "tv", 1, lambda: (lambda texts: [[7.0]] * len(texts)))
     assert {(r.tv_tokens, r.tv[0]) for r in got.collect()} == {(0, 7.0)} and got.count() == 200
+
+
+def test_scratch_folders_are_cleared(spark):
+    from mise.session import clear_scratch, scratch_path
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file://").removeprefix("file:")
+    assert os.path.isdir(local)
+    assert clear_scratch(spark) >= 1 and not os.path.exists(local)
