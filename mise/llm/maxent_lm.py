@@ -11,9 +11,10 @@ words keep their smoothed corpus frequency, and unseen words share 0.1 there.
 Training sees every training document: counts and features are gathered by
 Spark from the whole corpus; weights start from the observed feature counts,
 and in each round every task adds up, in sparse numpy batches, how often the model
-expects each class with each feature; the sums meet in Spark, and the weights
-move along the gradient (observed against expected).  Model and updates have
-a fixed size; what the tasks send grows with the corpus.
+expects each class with each feature; the sums meet in Spark, and weights and bias
+move along the gradient (observed against expected), until the likelihood of the
+training tokens stops rising.  Model and updates have a fixed size; what the tasks send
+grows with the corpus.
 
 Counts of the ``head`` most frequent tokens travel with the tasks; the others
 (whose number has no bound) are joined in Spark, so every text is scored against all counts.
@@ -45,10 +46,11 @@ OWN = 1_024  # tokens that stand for themselves in a history
 PAIRS = 4_096  # buckets of hashed pairs
 HEAD = 100_000
 BANDS = 8  # frequency bands for each doubling of a count
-ROUNDS = 1
+GAIN = 5e-3  # nats a token by which a round must raise the training likelihood for another one
+DAMP, LEAST_DAMP = 0.5, 0.125
 PRIOR = 20.0
 FLUSH = 200_000
-BLOCK, PART = 1 << 15, 1 << 12
+PART = 1 << 12
 LARGEST = 15.0
 _START = OWN + CLASSES  # what stands before a text
 _WIDTH = _START + 1
@@ -216,6 +218,11 @@ def feature_rows(signs: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.
     for k in (1, 2, 3):
         if k < len(signs):
             np.copyto(on[k - 1, k:], signs[:-k], where=place[k:] >= k, casting="unsafe")
+    return _as_rows(on)
+
+
+def _as_rows(on: np.ndarray) -> np.ndarray:
+    """Signs one, two and three before (and a line to fill) as weight rows, in place."""
     on[3] = 3 * _WIDTH + ((on[0] * 40_503 + on[1] * 65_599) >> 3) % PAIRS
     on[1] += _WIDTH
     on[2] += 2 * _WIDTH
@@ -248,78 +255,130 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _table(rows: DataFrame, per_batch, scale: float) -> np.ndarray:
-    """Sums over all rows of what ``per_batch`` adds to a (ROWS, CLASSES) table."""
+    """Sums over all rows of what ``per_batch`` adds to a (ROWS + 1, CLASSES) table: the
+    model's rows, and one for the likelihood's sum."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((ROWS, CLASSES))
+        table = np.zeros((ROWS + 1, CLASSES))
         for batch in batches:
             if batch.num_rows:
-                per_batch(table, *_flat(batch.column("signs")))
+                per_batch(table, batch)
         on = np.nonzero(table.any(axis=1))[0]
         values = np.rint(table[on] * scale).astype(np.int64)
         flat = pa.array(values.ravel())
         ends = pa.array(np.arange(len(on) + 1) * CLASSES, pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.ListArray.from_arrays(ends, flat)], ["row", "v"])
 
-    sums = (rows.select("signs").mapInArrow(run, "row int, v array<long>").groupBy("row")
+    sums = (rows.mapInArrow(run, "row int, v array<long>").groupBy("row")
             .agg(*[F.sum(F.get("v", F.lit(c))).alias(f"c{c}") for c in range(CLASSES)]))
-    out = np.zeros((ROWS, CLASSES))
+    out = np.zeros((ROWS + 1, CLASSES))
     for r in sums.collect():  # bounded: the model's rows
         out[r["row"]] = r[1:]
     return out / scale
 
 
+def _contexts(rows: DataFrame) -> DataFrame:
+    """``key, n``: the histories (three signs in one number) of all tokens and how often each occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
+
+        for batch in batches:
+            if batch.num_rows:
+                on = feature_rows(*_flat(batch.column("signs"))).astype(np.int64)
+                held.append((on[0] * _WIDTH + on[1] - _WIDTH) * _WIDTH + on[2] - 2 * _WIDTH)
+            if sum(map(len, held)) > 10 * FLUSH:
+                yield out()
+        yield out()
+
+    return rows.select("signs").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
 @dataclass
 class Model:
     weights: np.ndarray
     bias: np.ndarray
+    likelihoods: list[float] = field(default_factory=list)  # of the training tokens, in nats a token, as rounds measured them
+
 
+def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
+    """The model of encoded rows, from all of them in every round.
 
-def train(rows: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """The model of encoded rows, from all of them in every round."""
+    Rounds go on until the likelihood of the training tokens stops rising: a step that raises it by less than
+    ``gain`` is the last one, and one that lowers it is taken back and tried again half as long."""
     spark = rows.sparkSession
     classes = words.classes()
 
-    def observed(table: np.ndarray, signs: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+    def observed(table: np.ndarray, batch: pa.RecordBatch) -> None:
+        signs, starts, lens = _flat(batch.column("signs"))
         flat = table.reshape(-1)
         of = classes[signs].astype(np.int32)
         for on in feature_rows(signs, starts, lens):
             flat += np.bincount(on * CLASSES + of, minlength=len(flat))
 
-    seen = _table(rows, observed, 1.0)
+    seen = _table(rows.select("signs"), observed, 1.0)[:ROWS]
     prior = seen[:_WIDTH].sum(axis=0) + 0.1
     prior /= prior.sum()
     share = (seen + PRIOR * prior) / (seen.sum(axis=1, keepdims=True) + PRIOR)
     scale = np.concatenate([np.full(n, s) for n, s in zip((_WIDTH, _WIDTH, _WIDTH, PAIRS), _FIRST, strict=True)])
     first = np.clip(scale[:, None] * np.log(share / prior), -LARGEST, LARGEST)
     model = Model(first.astype(np.float32), np.log(prior).astype(np.float32))
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(model)
-
-        def expected(table: np.ndarray, signs: np.ndarray, starts: np.ndarray, lens: np.ndarray, shared=shared) -> None:
-            on, now = feature_rows(signs, starts, lens), shared.value
-            ends = np.append(np.arange(3) * _WIDTH, 3 * _WIDTH), (_WIDTH, _WIDTH, _WIDTH, PAIRS)
-            p = np.empty((CLASSES, BLOCK))
-            for at in range(0, len(signs), BLOCK):
-                n = min(BLOCK, len(signs) - at)
-                for part in range(0, n, PART):  # what fits a processor's cache
-                    z = logits(on[:, at + part: at + min(n, part + PART)], now.weights, now.bias)
-                    np.exp(z, out=z)
-                    z /= z.sum(axis=1, keepdims=True)
-                    p[:, part: part + len(z)] = z.T
-                for f, (first, size) in enumerate(zip(*ends, strict=True)):
-                    ids = on[f, at: at + n] - first
-                    for c in range(CLASSES):
-                        table[first: first + size, c] += np.bincount(ids, weights=p[c, :n], minlength=size)
-
-        guess = _table(rows, expected, _FIXED)
-        # along the gradient: a row's step is the log ratio of observed to expected counts, damped where counts are few
-        step = np.log((seen + PRIOR * prior) / (guess + PRIOR * prior)) * 0.5
-        model = Model(np.clip(model.weights + step, -LARGEST, LARGEST).astype(np.float32), model.bias)
+    tokens = seen[:_WIDTH].sum()
+    if not tokens:
+        return model
+
+    # what is expected depends on the history alone: each is looked at once in a round, for all its tokens
+    contexts = written(_contexts(rows), "lm-contexts")
+    by_class = seen[:_WIDTH].sum(axis=0)
+
+    def measured(now: Model) -> tuple[np.ndarray, float]:
+        """How often the model expects each class with each feature, and the likelihood."""
+        shared = spark.sparkContext.broadcast(now)
+
+        def expected(table: np.ndarray, batch: pa.RecordBatch) -> None:
+            key, times, now = batch.column("key").to_numpy(), batch.column("n").to_numpy(), shared.value
+            on = _as_rows(np.array([key // (_WIDTH * _WIDTH), key // _WIDTH % _WIDTH, key % _WIDTH, key], np.int32))
+            p = np.empty((CLASSES, len(key)))
+            for at in range(0, len(key), PART):  # what fits a processor's cache
+                z = logits(on[:, at: at + PART], now.weights, now.bias)
+                np.exp(z, out=z)
+                total, n = z.sum(axis=1, keepdims=True), times[at: at + PART, None]
+                table[ROWS, 0] += (n * np.log(total, dtype=np.float64)).sum()
+                z *= (n / total).astype(np.float32)
+                p[:, at: at + PART] = z.T
+            for f, (first, size) in enumerate(((0, _WIDTH), (_WIDTH, _WIDTH), (2 * _WIDTH, _WIDTH), (3 * _WIDTH, PAIRS))):
+                ids = on[f] - first
+                for c in range(CLASSES):
+                    table[first: first + size, c] += np.bincount(ids, weights=p[c], minlength=size)
+
+        out = _table(contexts, expected, _FIXED)
         shared.unpersist()
+        return out[:ROWS], float(((seen * now.weights).sum() + by_class @ now.bias - out[ROWS, 0]) / tokens)
+
+    guess, reached = measured(model)
+    model.likelihoods.append(reached)
+    damp = DAMP
+    while damp >= LEAST_DAMP:
+        # along the gradient: a row's step is the log ratio of observed to expected counts, damped where counts are few
+        step = np.log((seen + PRIOR * prior) / (guess + PRIOR * prior)) * damp
+        shift = np.log((by_class + PRIOR * prior) / (guess[:_WIDTH].sum(axis=0) + PRIOR * prior)) * damp
+        further = Model(np.clip(model.weights + step, -LARGEST, LARGEST).astype(np.float32),
+                        np.clip(model.bias + shift, -LARGEST, LARGEST).astype(np.float32), model.likelihoods)
+        there, now = measured(further)
+        model.likelihoods.append(now)
+        if now < reached:
+            damp /= 2
+            continue
+        risen, model, guess, reached = now - reached, further, there, now
+        if risen < gain:
+            break
     return model
 
 
-def scored(docs: DataFrame, held_out: Column, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+def scored(docs: DataFrame, held_out: Column, head: int = HEAD, gain: float = GAIN) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of
     every row; the model learns from the rows that aren't held out."""
     spark = docs.sparkSession
@@ -330,7 +389,7 @@ def scored(docs: DataFrame, held_out: Column, head: int = HEAD, rounds: int = RO
     shared = spark.sparkContext.broadcast(words)  # bounded by HEAD tokens
     words.mass = _masses(counts, shared)
     rows = written(_encode(own, shared), "lm-rows")
-    model = train(rows.filter(~F.col("held_out")), words, rounds)
+    model = train(rows.filter(~F.col("held_out")), words, gain)
     inside = np.log10(words.mass)
     classes = words.classes()
     weights = spark.sparkContext.broadcast((model, classes, inside))  # of fixed size

@@ -62,3 +62,26 @@ def test_odd_inputs(frame, empty):
     assert len(got) == 4 and all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 for r in got)
     got = X.scored(frame(rows), F.when(F.col("doc_id") > 0, False)).collect()
     assert {r["doc_id"]: r["held_out"] for r in got} == {None: True, 1: False, 2: False}
+
+
+def test_training_goes_on_until_the_likelihood_stops_rising(spark, frame):
+    docs = frame([(i, t) for i, t in sample() if i < 300]).select("doc_id", F.lit(False).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    words = X.vocabulary(X._count(docs.select("text")))
+    rows = X._encode(docs, spark.sparkContext.broadcast(words)).cache()
+    classes = words.classes()
+
+    def likelihood(model):
+        each = []
+        for r in rows.collect():
+            signs = np.array(r["signs"], np.int64)
+            on = X.feature_rows(signs, np.array([0]), np.array([len(signs)]))
+            each.extend(X.log_softmax(on, model.weights, model.bias, classes[signs]))
+        return float(np.mean(each))
+
+    one, full = X.train(rows, words, gain=math.inf), X.train(rows, words)
+    assert len(one.likelihoods) == 2 and len(full.likelihoods) > 2  # the first weights', and one for each round
+    assert math.isclose(likelihood(one), max(one.likelihoods), rel_tol=1e-4)
+    assert math.isclose(likelihood(full), max(full.likelihoods), rel_tol=1e-4)
+    assert likelihood(full) > likelihood(one) + X.GAIN
+    again = X.train(rows, words, gain=X.GAIN / 5)  # what is left is small
+    assert max(again.likelihoods) >= max(full.likelihoods)
