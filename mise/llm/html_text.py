@@ -39,14 +39,15 @@ _TAG = re.compile(
     r"<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*>", re.S)
 _CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CLASS_ONLY = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements whose content is never part of an article.
 APART = frozenset("nav footer aside form script style noscript template button select option textarea title iframe svg math "
                   "dialog menu object canvas audio video head label input".split())
-#: Words in class, id or role that mark menus, adverts, notices and comments.
+#: Whole class names, ids or roles that mark menus, adverts, notices and comments.
 MARKED = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
                    "notice notices popup modal overlay newsletter subscribe signup sidebar aside widget widgets menu nav "
                    "navbar navigation breadcrumb breadcrumbs pagination pager footer masthead share sharing social related "
@@ -68,13 +69,22 @@ class Node:
     apart: bool
     article: bool
     parent: Node | None
+    mark: int = 0  # where the tag ends of the marked element around it, if that is why it is apart
     score: float = 0.0
     blocks: list[str] = field(default_factory=list)
 
 
-def _words(rest: str) -> set[str]:
-    found = {w for m in _CLASS.finditer(rest) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())}
-    return found & MARKED
+def _marked(rest: str) -> bool:
+    """Whether a class name, id or role (a number at its end aside) is one of the marked words."""
+    return any(re.sub(r"[-_]?\d+$", "", w) in MARKED for m in _CLASS.finditer(rest) for w in (m[1] or m[2] or m[3] or "").lower().split())
+
+
+def _hidden(rest: str) -> bool:
+    for m in _ATTRIBUTE.finditer(rest):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _UNSEEN.search(value):
+            return True
+    return False
 
 
 def _label(tag: str, rest: str) -> str:
@@ -87,7 +97,21 @@ def _label(tag: str, rest: str) -> str:
 
 def parse(page: str) -> list[Node]:
     """The page's elements in order, each with the blocks of text in it (also in
-    those below it) that are outside menus and the like, and its score."""
+    those below it) that are outside menus and the like, and its score.
+
+    If all of a page's articles lie in elements that are marked or hidden, those that hold them
+    are read like others; they are known by where their tags end."""
+    plain: set[int] = set()
+    while True:
+        nodes, holders = _parse(page, plain)
+        if not holders:
+            return nodes
+        plain |= holders
+
+
+def _parse(page: str, plain: set[int]) -> tuple[list[Node], set[int]]:
+    """The elements, and the marked ones that hold articles if no article is elsewhere."""
+    free, holders = False, set()
     root = Node("", "", False, False, None)
     stack, nodes = [root], [root]
     text: list[str] = []
@@ -175,8 +199,14 @@ def parse(page: str) -> list[Node]:
         if name in VOID:
             continue
         up = stack[-1]
-        apart = (up.apart or name in APART or (name == "header" and not up.article)
-                 or bool(rest) and name not in ("html", "body", "article", "main") and (bool(_words(rest)) or bool(_HIDDEN.search(rest))))
+        always = name in APART or (name == "header" and not up.article)
+        marked = (not up.apart and not always and bool(rest) and name not in ("html", "body", "article", "main") and at not in plain
+                  and (_marked(rest) or _hidden(rest)))
+        apart = up.apart or always or marked
+        if name in ("article", "main"):
+            free = free or not apart
+            if up.mark:
+                holders.add(up.mark)
         if name in BLOCK or apart != up.apart:
             node = Node(name, f"{up.path}>{_label(name, rest)}" if up.path else _label(name, rest), apart,
                         up.article or name in ("article", "main"), up)
@@ -186,6 +216,7 @@ def parse(page: str) -> list[Node]:
         else:
             node = Node(name, up.path, apart, up.article, up)
             nodes.append(node)
+        node.mark = at if marked else 0 if always else up.mark
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
@@ -194,7 +225,7 @@ def parse(page: str) -> list[Node]:
         if name == "a":
             in_link += 1
     flush()
-    return nodes
+    return nodes, set() if free else holders
 
 
 _INLINE_OR_LINE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th blockquote pre figcaption address".split()) | frozenset(

@@ -59,3 +59,19 @@ def test_given_pages(spark):
         blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner))
         want[r["page_id"]] = "\n\n".join(b for b in blocks if b)
     assert {r["page_id"]: r["text"] for r in X.main_text(pages).collect()} == want
+
+
+@pytest.mark.parametrize("wrap", [
+    'class="wrap" style="overflow:hidden"', 'class="overflow-hidden"', 'aria-hidden="false"', 'class="content has-sidebar"', 'class="no-comments"',
+    'class="with-ads"', 'data-note="hidden"', 'id="modal"', 'class="sidebar"', "hidden",
+])
+def test_wrappers_keep_their_article(wrap):
+    page = "<body><nav>menu</nav><div {}>{}</div><p>after</p></body>"
+    assert X.extract(page.format(wrap, "<article><p>The story of the page.</p></article>")) == "The story of the page."
+
+
+@pytest.mark.parametrize("wrap", ["hidden", 'hidden=""', 'aria-hidden="true"', 'style="color:red; display: none"', "style='visibility:hidden'",
+                                  'class="box sidebar"', "id=comments-2"])
+def test_hidden_and_marked_elements_go(wrap):
+    page = f"<body><article><p>The story.</p><div {wrap}><p>not this</p></div></article><div {wrap}><article><p>nor this</p></article></div></body>"
+    assert X.extract(page) == "The story."
