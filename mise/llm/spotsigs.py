@@ -3,8 +3,9 @@
 Wherever an anchor (a very common word) stands, the anchor and the next
 ``CHAIN`` content words behind it form a spot signature; common words in between are
 skipped.  A text's fingerprint is the sorted set of its signatures' hashes (32 bits,
-hex).  A text with fewer than ``FEW`` signatures also takes the chain behind each
-of its words, so short texts have a fingerprint too.  Likeness is the Jaccard index of
+hex).  Every text, whatever its length, also takes the pair that each of its words
+makes with the next one, so short texts have a fingerprint too and near copies are
+compared by one rule.  Likeness is the Jaccard index of
 two sets.  ``near_pairs`` finds all pairs at or above a threshold: sets are
 partitioned by length (a set can only be like sets of similar length), each gives its
 rarest signatures as keys, and candidates are verified.
@@ -27,7 +28,6 @@ from mise.llm.common import text_of
 from mise.session import cut_lineage
 
 CHAIN = 2
-FEW = 8
 THRESHOLD = 0.8
 BLOCK_ROWS, MOST_BLOCKS = 2_000, 2_000
 
@@ -63,13 +63,8 @@ def signatures(text: Column) -> Column:
             spots = F.transform(both["marked"], lambda s, k: F.when(
                 s["w"].isin(ANCHORS) & F.get(both["content"], s["i"] - k).isNotNull(),
                 _hash(s["w"], *[F.get(both["content"], s["i"] - k + c) for c in range(CHAIN)])))
-            spots = F.array_distinct(F.array_compact(spots))
-
-            def filled(found: Column) -> Column:
-                more = F.transform(words, lambda w, i: _hash(F.lit(""), w, F.get(words, i + 1)))
-                return F.when(F.size(found) >= FEW, found).otherwise(F.array_union(found, more))
-
-            return _let(spots, filled)
+            pairs = F.transform(words, lambda w, i: _hash(F.lit(""), w, F.get(words, i + 1)))
+            return F.array_union(F.array_compact(spots), pairs)
 
         return _let(F.struct(content.alias("content"), marked.alias("marked")), made)
 

@@ -71,3 +71,16 @@ def test_near_pairs(frame, empty):
     want = {(a, b) for a, b in itertools.combinations(ids, 2) if len(prints[a] & prints[b]) / len(prints[a] | prints[b]) >= 0.8}
     assert {(r["a"], r["b"]) for r in X.near_pairs(frame(rows)).collect()} == want and want
     assert X.near_pairs(empty).count() == 0
+
+
+def test_near_copies_with_few_signatures(spark):
+    """Whether a text has 7, 8 or 9 spot signatures doesn't change how it is compared."""
+    def text(spots):
+        return " ".join(f"the w{i}a w{i}b w{i}c w{i}d w{i}e" for i in range(spots))
+
+    rows = spark.createDataFrame([(n, text(n)) for n in (7, 8, 9)], "n int, t string").select("n", X.signatures(X.F.col("t")).alias("s")).collect()
+    sets = {r["n"]: set(r["s"]) for r in rows}
+    for a, b in ((7, 8), (8, 9), (7, 9)):
+        assert len(sets[a] & sets[b]) / len(sets[a] | sets[b]) > 0.7
+    for n, s in sets.items():
+        assert len(s) == n + 6 * n  # spots, and each word with the next
