@@ -4,10 +4,10 @@ The lines of a text (blank ones aside) are hashed.  From each line on, the
 shortest run with ``min_lines`` lines or ``min_words`` words is a window, and a
 window's smallest line hash (the last of equals) is its fingerprint.  Any repeated
 run that long holds a window that is the same in both places, so it has a fingerprint
-in common: a guarantee, not a chance.  Positions are joined on the fingerprint;
-those that stand alone (most) go no further.  The others are extended both ways to
-the edges of their windows and joined with the earliest position where the
-whole window agrees; windows that follow one another grow to whole runs when the
+in common: a guarantee, not a chance.  Windows whose fingerprint stands alone (most) go
+no further.  The others are grouped by the hash of the whole window, with the earliest
+position of each; nothing is extended beyond a window, so lines behind the last
+whole window of a repeated run stay.  Windows that follow one another grow to runs when the
 lines they cover are put together.  All lines of later runs are deleted; the
 earliest occurrence, by ``doc_id`` and line, stays.
 
