@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.llm import exact_dedup, html_text, line_dedup, maxent_lm, mixing, pieces, pii, simhash, spotsigs, toxicity
-from mise.llm.common import read_table
+from mise.llm import (
+    exact_dedup,
+    html_text,
+    line_dedup,
+    maxent_lm,
+    mixing,
+    periodic_runs,
+    pieces,
+    pii,
+    simhash,
+    spotsigs,
+    toxicity,
+)
+from mise.llm.common import WORD, read_table, text_of
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
@@ -124,6 +136,38 @@ k as (select *, (floor(rate) + case when draw < rate - floor(rate) then 1 else 0
 select doc_id, size, source_size, target, size * copies as taken, copies from k
 """
 
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: texts of which a tenth, by the id's hash, repeats a block of its words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    own = docs.select("doc_id", text_of(docs).alias("text"), h.alias("h"), F.floor(h / 10).alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    own = own.withColumn("words", words).withColumn("n", F.size("words"))
+    own = own.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    own = own.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(block, (F.floor(rest / F.col("p")) + 1).cast("int"))), F.lit(1), rest)
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return own.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periods(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))), 1)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = periodic_runs.periodic_runs(docs)
+    some = F.size("runs") > 0
+    found = found.withColumn("best", F.when(some, best))
+    length = -F.col("best.less")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"),
+        F.col("best.period").alias("period"), F.floor(1000 * length / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -135,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
