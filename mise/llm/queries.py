@@ -16,6 +16,7 @@ from mise.llm import (
     periodic_runs,
     pieces,
     pii,
+    ranked_search,
     simhash,
     spotsigs,
     toxicity,
@@ -168,6 +169,28 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+          r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+_OP12 = f"""
+with doc as (select doc_id, row_number() over () as row, {_TERMS} as terms from documents),
+own as (select row, doc_id, len(terms)::bigint as n, unnest(terms) as term from doc where len(terms) > 0),
+total as (select count(*)::bigint as docs, sum(len(terms))::bigint as terms from doc where len(terms) > 0),
+asked as (select item_id, term, count(*)::bigint as times
+          from (select item_id, unnest({_TERMS}) as term from (select distinct item_id, text from benchmark)) group by item_id, term),
+found as (select row, doc_id, n, term, count(*)::bigint as tf from own where term in (select term from asked) group by row, doc_id, n, term),
+weight as (select term, floor(1000 * ln((2 * max(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w from found, total group by term),
+scored as (select item_id, row, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total.terms))))::bigint as score
+           from asked join found using (term) join weight using (term), total group by item_id, row, doc_id),
+placed as (select *, row_number() over (partition by item_id order by score desc, doc_id, row) as rank from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from placed where rank <= 10
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -180,10 +203,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
     "op2_line_dedup": _OP2,
     "op7_exact_dedup": _OP7,
     "op10_mixing": _OP10,
+    "op12_ranked_search": _OP12,
 }
