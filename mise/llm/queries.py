@@ -17,6 +17,7 @@ from mise.llm import (
     pieces,
     pii,
     ranked_search,
+    secret_scan,
     simhash,
     spotsigs,
     toxicity,
@@ -191,6 +192,56 @@ placed as (select *, row_number() over (partition by item_id order by score desc
 select item_id, rank::int as rank, doc_id, score from placed where rank <= 10
 """
 
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(read_table(spark, sf_dir, "documents"))
+
+
+
+def _op13_sql() -> str:
+    """Every window counted anew; RE2 has no possessive repeats and no back references."""
+    def text(pattern: str) -> str:
+        return "'" + pattern.replace("}+", "}").replace("*+", "*").replace("'", "''") + "'"
+
+    same = "|".join(("\\" + c if c in "+/=-" else c) + "{8}" for c in secret_scan.CLASSES["entropy_base64"][0])
+    allowed = [p.replace(r"|(.)\1{7}", "|" + same) for p in secret_scan.ALLOWED]
+    kinds = " union all ".join(
+        f"select row, '{kind}' as kind, {place} as place, string_split_regex(text, {text(pattern)}) as gaps,"
+        f" regexp_extract_all(text, {text(pattern)}) as hits, regexp_extract_all(text, {text(pattern)}, 1) as vals from d"
+        for place, (kind, pattern) in enumerate([*secret_scan.BASE.items(), ("candidate", secret_scan.CANDIDATE)]))
+    short = " or ".join(f"(kind = '{kind}' and length(val) < {least})" for kind, least in secret_scan.LEAST.items())
+    classes = " ".join(f"when regexp_full_match(val, '[{alphabet.replace('-', chr(92) + '-')}]+')"
+                       f" then {{'kind': '{kind}', 'place': {3 + place}, 'most': {secret_scan.largest_sum(bits)}::bigint}}"
+                       for place, (kind, (alphabet, bits)) in enumerate(secret_scan.CLASSES.items()))
+    window = f"substr(val, i, {secret_scan.WINDOW})"
+    powers = ", ".join(f"{p}::bigint" for p in secret_scan._POWERS[1:])
+    return f"""
+with d as (select doc_id, row_number() over () as row, coalesce(text, '') as text from documents),
+k as ({kinds}),
+u as (select row, kind, place, unnest(range(1, len(hits) + 1)) as k, gaps, hits, vals from k),
+m as (select row, kind, place, hits[k] as hit, vals[k] as val, right(gaps[k], {secret_scan.LEFT}) as before,
+             list_sum(list_transform(gaps[1:k], lambda g: length(g)))::bigint
+               + coalesce(list_sum(list_transform(hits[1:k - 1], lambda g: length(g))), 0)::bigint as pos from u),
+base as (select row, kind, place, pos, pos + length(hit) as stop from m where kind <> 'candidate' and not ({short})),
+cand as (select row, pos, val, case {classes} end as class from m where kind = 'candidate'
+         and not ({' or '.join(f'regexp_matches(val, {text(p)})' for p in allowed)})
+         and not ({' or '.join(f'regexp_matches(before, {text(p)})' for p in secret_scan.ALLOWED_LEFT)})),
+win as (select *, unnest(range(1, length(val) - {secret_scan.WINDOW} + 2)) as i from cand),
+hit as (select row, pos, class, i from win where list_sum(list_transform(list_distinct(string_split({window}, '')),
+          lambda c: ([{powers}])[length({window}) - length(replace({window}, c, ''))])) <= class.most),
+found as (select row, class.kind as kind, class.place as place, pos + min(i) - 1 as pos, pos + max(i) - 1 + {secret_scan.WINDOW} as stop
+          from hit group by row, pos, class),
+more as (select * from found f where not exists (select 1 from base b where b.row = f.row and b.pos < f.stop and f.pos < b.stop)),
+spans as (select *, true as is_base from base union all select *, false from more),
+listed as (select row, string_agg(kind || ':' || pos || ':' || stop, ',' order by pos, place) as spans,
+                  string_agg(kind || ':' || pos || ':' || stop, ',' order by pos, place) filter (is_base) as kept,
+                  {', '.join(f"count(*) filter (kind = '{kind}') as n_{kind}" for kind in secret_scan.BASE)} from spans group by row)
+select doc_id, {', '.join(f'coalesce(n_{kind}, 0) as n_{kind}' for kind in secret_scan.BASE)},
+       sha256(coalesce(kept, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join listed using (row)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -204,6 +255,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_ranked_search": op12_ranked_search,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -211,4 +263,5 @@ ORACLES: dict[str, str] = {
     "op7_exact_dedup": _OP7,
     "op10_mixing": _OP10,
     "op12_ranked_search": _OP12,
+    "op13_secret_scan": _op13_sql(),
 }
