@@ -10,11 +10,18 @@ tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mise.functions.columns import sample_frames, zero_vector
 from mise.schema import FRAMES_PER_CLIP
+from mise.session import cut_lineage
+
+#: Frame numbers that one bitmap holds (4 KB), and the bitmaps that are broadcast at most (64 MB).
+BITMAP_FRAMES = 32_768
+BROADCAST_BITMAPS = 16_384
+#: Frame numbers of one block of running sums.
+SCAN_BLOCK = 1_024
 
 
 def explode_samples(clips: DataFrame, n: int = FRAMES_PER_CLIP, key: str = "clip_id",
@@ -32,12 +39,42 @@ def needed_frames(clips: DataFrame, n: int = FRAMES_PER_CLIP, keys=("video_id",)
     return samples.select(*keys, "frame_no").distinct()
 
 
-def join_frames(samples: DataFrame, frames: DataFrame, vec: str = "embedding", keys=("video_id",)) -> DataFrame:
+def needed_bitmaps(samples: DataFrame, keys=("video_id",)) -> DataFrame:
+    """The sampled frames as bitmaps: ``(*keys, bucket, bitmap)``, one of 4 KB for each
+    32,768 frame numbers of a video that any clip samples from.  Tasks combine their own bits
+    first, so a frame that many clips sample costs no more than one."""
+    return (samples.groupBy(*keys, F.floor(F.col("frame_no") / BITMAP_FRAMES).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.pmod(F.col("frame_no"), F.lit(BITMAP_FRAMES)).cast("long")).alias("bitmap")))
+
+
+def in_bitmap(bitmap: str, position: Column) -> Column:
+    """Whether the bit at a position is set."""
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.get(F.array(*[byte.bitwiseAND(F.lit(1 << i)) != 0 for i in range(8)]), (position % 8).cast("int"))
+
+
+def prune_frames(frames: DataFrame, samples: DataFrame, keys=("video_id",), limit: int = BROADCAST_BITMAPS) -> DataFrame:
+    """Frames that some clip samples.  The needed set goes to the frames as bitmaps of checked
+    number, so vectors that nobody needs are dropped where they are read and never enter a
+    shuffle; with more bitmaps than ``limit`` it is a semi join on the frame key."""
+    bitmaps = cut_lineage(needed_bitmaps(samples, keys))
+    if bitmaps.count() > limit:
+        return frames.join(samples.select(*keys, "frame_no"), [*keys, "frame_no"], "left_semi")
+    own = frames.withColumn("bucket", F.floor(F.col("frame_no") / BITMAP_FRAMES))
+    position = F.pmod(F.col("frame_no"), F.lit(BITMAP_FRAMES))
+    return own.join(F.broadcast(bitmaps), [*keys, "bucket"]).filter(in_bitmap("bitmap", position)).select(*frames.columns)
+
+
+def join_frames(samples: DataFrame, frames: DataFrame, vec: str = "embedding", keys=("video_id",),
+                pruned: bool = False) -> DataFrame:
     """Left join of sampled frames to frame vectors on ``(*keys, frame_no)``;
     a frame that is not there leaves ``vec`` NULL and ``hit`` NULL, and a frame
-    that is there twice is one frame.  The
+    that is there twice is one frame.  Frames that nobody samples are left out
+    before anything is shuffled (``pruned=True``: the caller has done so).  The
     strategy (broadcast or shuffle) is left to the planner and AQE, which
     measure the frame side at run time."""
+    if not pruned:
+        frames = prune_frames(frames, samples, keys)
     # a frame listed twice counts once (the smallest vector, whichever file it came from)
     right = (frames.groupBy(*keys, "frame_no").agg(F.min(F.col(vec)).alias(vec))
              .withColumn("hit", F.lit(True)))
@@ -100,6 +137,48 @@ def frames_in_range(clips: DataFrame, frames: DataFrame, key: str = "clip_id", k
     return j.select(key, *keys, "frame_no", *frame_cols)
 
 
+def pool_ranges(clips: DataFrame, frames: DataFrame, dim: int, key: str = "clip_id", vec: str = "embedding", keys=("video_id",),
+                start: str = "start_frame", stop: str = "stop_frame", keep=(), dtype: str = "float",
+                block: int = SCAN_BLOCK) -> DataFrame:
+    """Element mean of **all** frames of each clip's range, from running sums.
+
+    A clip's sum is the running sum at its end less the one before its start, so a clip
+    costs two rows however long it is; no pairs of clips and frames.  Running sums take two
+    levels: sums of blocks of ``block`` frame numbers, added up per video over the blocks before (one row a
+    block), and sums inside each block.  The places where clips begin and end are put among the
+    frames as rows of their own (each place once, so a place that a third of all clips share is
+    one row) and read the running sum off.  A block's window holds at most ``2 * block`` rows.
+
+    Returns ``(key, *keep, found, vec)``; ``found`` is the number of frames in the range, a clip without
+    one gets zeros.  A range given backwards is the same range.  A frame listed twice counts
+    once; NULL vectors are missing frames."""
+    lo, hi = F.least(F.col(start), F.col(stop)), F.greatest(F.col(start), F.col(stop))
+    ends = clips.select(key, *keys, *keep, (lo - 1).alias("_lo"), hi.alias("_hi"))
+    places = ends.select(*keys, F.explode(F.array("_lo", "_hi")).alias("frame_no")).filter("frame_no is not null").distinct()
+    own = frames.filter(F.col(vec).isNotNull()).groupBy(*keys, "frame_no").agg(F.min(vec).alias("_v"))
+    empty = F.lit(None).cast(own.schema["_v"].dataType)
+    rows = (own.withColumn("_place", F.lit(False)).unionByName(places.select(*keys, "frame_no", empty.alias("_v"), F.lit(True).alias("_place")))
+            .withColumn("_b", F.floor(F.col("frame_no") / block)))
+    names = ["_n", *[f"_s{i}" for i in range(dim)]]
+    values = [F.when(F.col("_v").isNotNull(), 1).otherwise(0).cast("long").alias("_n"),
+              *[F.coalesce(F.get("_v", F.lit(i)).cast("double"), F.lit(0.0)).alias(f"_s{i}") for i in range(dim)]]
+    flat = rows.select(*keys, "_b", "frame_no", "_place", *values)
+    blocks = flat.groupBy(*keys, "_b").agg(*[F.sum(n).alias(n) for n in names])
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*keys, "_b", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_o{n}") for n in names])
+    inside = Window.partitionBy(*keys, "_b").orderBy("frame_no", "_place").rowsBetween(Window.unboundedPreceding, 0)
+    local = flat.select(*keys, "_b", "frame_no", "_place", *[F.sum(n).over(inside).alias(n) for n in names]).filter("_place")
+    read = (local.join(offsets, [*keys, "_b"])
+            .select(*keys, F.col("frame_no").alias("_at"), (F.col("_n") + F.col("_o_n")).alias("_n"),
+                    F.array(*[F.col(n) + F.col(f"_o{n}") for n in names[1:]]).alias("_p")))
+    for side in ("_lo", "_hi"):
+        at = read.select(*keys, F.col("_at").alias(side), F.col("_n").alias(f"{side}_n"), F.col("_p").alias(f"{side}_p"))
+        ends = ends.join(at, [*keys, side], "left")
+    found = F.coalesce(F.col("_hi_n") - F.col("_lo_n"), F.lit(0))
+    mean = F.zip_with("_hi_p", "_lo_p", lambda b, a: ((b - a) / found).cast(dtype))
+    return ends.select(key, *keep, found.alias("found"), F.when(found > 0, mean).otherwise(zero_vector(dim, dtype)).alias("vec"))
+
+
 def available(clips: DataFrame, archives: DataFrame, video: str = "video_id") -> DataFrame:
     """Clips whose video has a frame archive (semi join)."""
     return clips.join(archives.select(video), video, "left_semi")

@@ -310,6 +310,25 @@ def q_frame_range_join(spark, d):
     return pairs.groupBy("clip_id").agg(F.count(F.lit(1)).alias("n_frames"), F.sum("frame_no").alias("sum_frame"))
 
 
+@query("range_pool", oracle(["clips", "frames", "frame_el"], f"""
+with p as (select clip_id, pos, avg(cast(v as double)) a, count(*) n from clips join frame_el f
+           on clips.video_id = f.video_id and f.frame_no between start_frame and stop_frame group by clip_id, pos)
+select clips.clip_id, coalesce(n, 0) found, round(coalesce(n2, 0), {R6}) n2, round(coalesce(e0, 0), {R6}) e0 from clips
+left join (select clip_id, max(n) n, sum(a * a) n2, max(case when pos = 0 then a end) e0 from p group by clip_id) q on clips.clip_id = q.clip_id"""))
+def q_range_pool(spark, d):
+    """Mean of all frames of each clip, by running sums."""
+    p = FR.pool_ranges(S.clips(spark, d), S.frames(spark, d), dim=64, dtype="double")
+    return p.select("clip_id", "found", F.round(C.sq_norm("vec"), R6).alias("n2"), F.round(F.get("vec", 0), R6).alias("e0"))
+
+
+@query("needed_bitmaps", oracle(["clip_frame"], """
+select video_id, fno // 32768 bucket, count(distinct fno) n from clip_frame group by video_id, fno // 32768"""))
+def q_needed_bitmaps(spark, d):
+    """The needed frames as bitmaps, counted by their bits."""
+    b = FR.needed_bitmaps(FR.explode_samples(S.clips(spark, d)))
+    return b.select("video_id", "bucket", F.bitmap_count("bitmap").alias("n"))
+
+
 @query("has_modality", oracle(["pool"], "select clip_id from pool group by clip_id having max(abs(a)) > 0"))
 def q_has_modality(spark, d):
     return _pooled(spark, d).filter(C.has_modality("vec")).select("clip_id")

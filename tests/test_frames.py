@@ -89,3 +89,49 @@ def test_frame_listed_twice_counts_once(spark):
     frames = _frames(spark).unionByName(_frames(spark))
     p = {r.clip_id: r for r in FR.pool_frames(FR.join_frames(FR.explode_samples(_clips(spark)), frames), 2, dtype="double").collect()}
     assert (p[2].found, p[2].sampled, list(p[2].vec)) == (2, 3, [6.0, 6.0])
+
+
+def test_range_pool_matches_plain_means(spark):
+    import random
+    rnd = random.Random(3)
+    frames = [(v, f, [float(rnd.randrange(-9, 9)), float(f)]) for v in "ABC" for f in range(-7, 90) if rnd.random() < 0.6]
+    frames += frames[:5] + [("A", 200, None)]
+    clips = [(i, rnd.choice("ABCD"), rnd.randrange(-20, 120), rnd.randrange(-20, 120)) for i in range(150)]
+    clips += [(200 + i, "A", 3, 60) for i in range(40)] + [(300, "A", None, 5), (301, "A", 200, 200)]
+    cdf = spark.createDataFrame(clips, "clip_id long, video_id string, start_frame long, stop_frame long").repartition(5)
+    fdf = spark.createDataFrame(frames, "video_id string, frame_no long, embedding array<float>").repartition(4)
+    for block in (4, 1024):
+        got = {r.clip_id: (r.found, list(r.vec)) for r in FR.pool_ranges(cdf, fdf, 2, dtype="double", block=block).collect()}
+        assert len(got) == len(clips)
+        for i, v, s, e in clips:
+            low, high = (min(s, e), max(s, e)) if s is not None else (s, s)
+            mine = {f: x for w, f, x in frames if w == v and x is not None and low is not None and low <= f <= high}
+            want = [sum(x[k] for x in mine.values()) / len(mine) if mine else 0.0 for k in (0, 1)]
+            # a range with one end unknown is that of the other end
+            if s is None:
+                continue
+            assert got[i][0] == len(mine) and all(abs(a - b) < 1e-9 for a, b in zip(got[i][1], want))
+
+
+def test_unneeded_vectors_are_dropped_before_the_shuffle(spark):
+    samples, frames = FR.explode_samples(_clips(spark)), _frames(spark)
+    far = frames.unionByName(frames.withColumn("frame_no", F.col("frame_no") + 40_000)).unionByName(
+        frames.withColumn("frame_no", F.col("frame_no") - 70_000))
+    for limit in (FR.BROADCAST_BITMAPS, 0):
+        kept = FR.prune_frames(far, samples, limit=limit)
+        assert sorted((r.video_id, r.frame_no) for r in kept.collect()) == [("A", 0), ("A", 5), ("A", 10), ("B", 0), ("B", 10)]
+    plan = FR.join_frames(samples, far)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line and any("min(embedding" in x for x in lines[:i]))
+    below = "\n".join(lines[exchange:])
+    assert "BroadcastHashJoin" in below and "bitmap" in below
+
+
+def test_bitmaps_hold_every_sampled_frame(spark):
+    rows = [("A", n) for n in (0, 1, 7, 8, 32_767, 32_768, 65_535, 65_536, 10**9, -1, -32_768, -32_769)]
+    samples = spark.createDataFrame([*rows, *rows, ("B", 5)], "video_id string, frame_no long")
+    counts = {(r.video_id, r.bucket): r.n for r in FR.needed_bitmaps(samples).select("video_id", "bucket", F.bitmap_count("bitmap").alias("n")).collect()}
+    assert counts == {("A", 0): 5, ("A", 1): 2, ("A", 2): 1, ("A", 10**9 // 32_768): 1, ("A", -1): 2, ("A", -2): 1, ("B", 0): 1}
+    every = spark.createDataFrame([(v, n + k) for v, n in rows for k in (-1, 0, 1)], "video_id string, frame_no long").distinct()
+    kept = {(r.video_id, r.frame_no) for r in FR.prune_frames(every, samples).collect()}
+    assert kept == set(rows)
