@@ -76,19 +76,23 @@ def encode_frames(frames: DataFrame, factory: EncoderFactory = lambda: byte_hist
 
 def visual_features(clips: DataFrame, archives: DataFrame, dim: int,
                     factory: EncoderFactory = lambda: byte_histogram(64), n: int = 3,
-                    normalize: bool = True, dtype: str = "float") -> DataFrame:
+                    normalize: bool = True, dtype: str = "float", streamed: bool = False) -> DataFrame:
     """Clip visual vectors from frame archives, end to end:
 
     sample ``n`` frames per clip → distinct needed ``(video_id, frame_no)`` →
     header listing of the archives, semi join to the needed set, ranged reads
+    (``streamed=True``: one pass over each archive, which may be compressed)
     → encode each needed frame once → join back to the samples → mean pool
     (zeros when nothing was found).  Returns ``(clip_id, found, sampled,
     vec)``.
     """
+    from mise.sources.frames import read_frame_archives, stream_archives
     samples = FR.explode_samples(clips, n=n)
-    needed = samples.select("video_id", "frame_no").distinct()
-    from mise.sources.frames import read_frame_archives
-    content = read_frame_archives(archives, needed.withColumn("frame_no", needed["frame_no"].cast("int")))
+    if streamed:
+        content = stream_archives(archives, FR.needed_bitmaps(samples))
+    else:
+        needed = samples.select("video_id", "frame_no").distinct()
+        content = read_frame_archives(archives, needed.withColumn("frame_no", needed["frame_no"].cast("int")))
     vectors = encode_frames(content, factory, normalize=normalize)
     vectors = vectors.withColumn("frame_no", vectors["frame_no"].cast("long"))
-    return FR.pool_frames(FR.join_frames(samples, vectors), dim, dtype=dtype)
+    return FR.pool_frames(FR.join_frames(samples, vectors, pruned=True), dim, dtype=dtype)

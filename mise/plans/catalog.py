@@ -258,27 +258,81 @@ def q_frame_pool(spark, d):
     return p.select("clip_id", F.round(C.sq_norm("vec"), R6).alias("n2"))
 
 
-@query("archive_features", oracle(["unit_pool", "clips"], """
+_ARCHIVE_FEATURES = oracle(["unit_pool", "clips"], """
 select clips.clip_id, round(coalesce(n2, 0), 4) n2 from clips
-left join (select clip_id, sum(a * a) n2 from unit_pool group by clip_id) q on clips.clip_id = q.clip_id"""))
-def q_archive_features(spark, d):
-    """Frame archives end to end.  Each video's frames are exported by Spark
-    tasks as tar archives of 50 frames, each frame stored as its numbers in
-    text; the clips' visual vectors are then built from the archives: needed
-    frames, header listing, semi join, ranged reads, one decode per needed frame,
-    L2 step in float32, frame join, mean pool."""
+left join (select clip_id, sum(a * a) n2 from unit_pool group by clip_id) q on clips.clip_id = q.clip_id""")
+
+
+def _from_archives(spark, d, **kw):
+    """Clip vectors built from tar archives of 50 frames, each frame stored as its numbers in text."""
     from mise.operators.encoders import number_text, visual_features
     from mise.plans.frame_files import write_frame_archives
     frames = S.frames(spark, d).select(
         "video_id", "frame_no",
         F.encode(F.array_join(F.transform("embedding", lambda x: x.cast("string")), ","), "US-ASCII").alias("content"))
     listing_path = scratch_path(spark, "archive-listing")
-    write_frame_archives(frames, scratch_path(spark, "archives"), per_archive=50).write.parquet(listing_path)
+    write_frame_archives(frames, scratch_path(spark, "archives"), per_archive=50, gzip_odd=bool(kw)).write.parquet(listing_path)
     archives = spark.read.parquet(listing_path)  # archives written once, listing read back
-    pooled = visual_features(S.clips(spark, d), archives, 64, factory=lambda: number_text(64), normalize=True, dtype="double")
+    pooled = visual_features(S.clips(spark, d), archives, 64, factory=lambda: number_text(64), normalize=True, dtype="double", **kw)
     return pooled.select("clip_id", F.round(C.sq_norm("vec"), 4).alias("n2"))
 
 
+@query("archive_features", _ARCHIVE_FEATURES)
+def q_archive_features(spark, d):
+    """Frame archives end to end: needed frames, header listing, semi join, ranged reads, one
+    decode per needed frame, L2 step in float32, frame join, mean pool."""
+    return _from_archives(spark, d)
+
+
+@query("archive_stream", _ARCHIVE_FEATURES)
+def q_archive_stream(spark, d):
+    """The same from archives of which every other one is compressed: one sequential pass over each,
+    the needed frames of its video beside it as bitmaps."""
+    return _from_archives(spark, d, streamed=True)
+
+
+#: Frames drawn as 8 x 8 grey images; every 41st file of the table is broken.
+_PIXEL = "least(greatest(floor(({v} + 1e0) * 128e0), 0e0), 255e0)"
+
+
+def _images(spark, d):
+    from mise.plans.frame_files import with_png, write_frame_files
+    from mise.sources.frames import read_images
+    e = S.frames(spark, d)
+    byte = F.transform("embedding", lambda v: F.lpad(F.hex(F.least(F.greatest(F.floor((v.cast("double") + 1.0) * 128.0), F.lit(0)), F.lit(255))), 2, "0"))
+    pixels = F.when((F.col("frame_no") * 27 + F.substring("video_id", 2, 9).cast("long")) % 41 != 7, F.unhex(F.array_join(byte, "")))
+    root = scratch_path(spark, "frame-images")
+    write_frame_files(with_png(e.select("video_id", "frame_no", pixels.alias("pixels")), "pixels", 8), root).write.format("noop").mode("overwrite").save()
+    return read_images(spark, root)
+
+
+@query("image_files", oracle(["frames", "frame_el"], f"""
+with p as (select video_id, frame_no, cast(sum({_PIXEL.format(v='cast(v as double)')}) as bigint) light from frame_el group by video_id, frame_no),
+ b as (select *, (frame_no * 27 + cast(substr(video_id, 2) as bigint)) % 41 <> 7 ok from p)
+select video_id, count(*) files, count(*) filter (not ok) broken, cast(coalesce(sum(light) filter (ok), 0) as bigint) light,
+  cast(max(case when ok then 64 end) as bigint) pixels from b group by video_id"""))
+def q_image_files(spark, d):
+    """Image files decoded: per video its files, those that can't be decoded, and the sum of all pixels."""
+    i = _images(spark, d)
+    light = F.aggregate("pixels", F.lit(0).cast("long"), lambda a, x: a + x)
+    return i.groupBy("video_id").agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(~F.col("ok")).alias("broken"), F.coalesce(F.sum(light), F.lit(0)).alias("light"),
+        F.max(F.col("height") * F.col("width") * F.col("channels")).cast("long").alias("pixels"))
+
+
+@query("image_features", oracle(["clip_frame", "frame_el", "clips"], f"""
+with px as (select video_id, frame_no, pos, {_PIXEL.format(v='cast(v as double)')} / 255e0 x from frame_el
+            where (frame_no * 27 + cast(substr(video_id, 2) as bigint)) % 41 <> 7),
+ p as (select clip_id, pos, avg(x) a, count(*) n from clip_frame c join px f on c.video_id = f.video_id and c.fno = f.frame_no group by clip_id, pos)
+select clips.clip_id, coalesce(n, 0) found, round(coalesce(n2, 0), {R6}) n2 from clips
+left join (select clip_id, max(n) n, sum(a * a) n2 from p group by clip_id) q on clips.clip_id = q.clip_id"""))
+def q_image_features(spark, d):
+    """Mean pixels of the clips' sampled frames, from image files; broken files are missing frames."""
+    vectors = _images(spark, d).filter("ok").select("video_id", "frame_no", F.transform("pixels", lambda x: x / F.lit(255.0)).alias("embedding"))
+    pooled = FR.pool_frames(FR.join_frames(FR.explode_samples(S.clips(spark, d)), vectors), 64, dtype="double")
+    return pooled.select("clip_id", "found", F.round(C.sq_norm("vec"), R6).alias("n2"))
+
+
 @query("frame_files", oracle(["frames"], """
 select video_id, frame_no, cast(length(video_id || ':' || cast(frame_no as varchar)) as bigint) size from frames"""))
 def q_frame_files(spark, d):
