@@ -127,6 +127,32 @@ def known(label) -> Column:
     return _c(label) >= 0
 
 
+def sparse(vec, dtype: str = "double") -> Column:
+    """An ML vector as ``struct<size, indices, values>`` of its non-zero elements, whichever form
+    it has; nothing as wide as the vector is made from a sparse one."""
+    v = F.unwrap_udt(_c(vec))
+    there = F.filter(F.sequence(F.lit(0), F.size(v["values"]) - 1), lambda i: F.get(v["values"], i) != 0)
+    dense = v["type"] == 1
+    return F.when(v.isNotNull(), F.struct(
+        F.when(dense, F.size(v["values"])).otherwise(v["size"]).alias("size"),
+        F.when(dense, there).otherwise(v["indices"]).alias("indices"),
+        F.when(dense, F.filter(v["values"], lambda x: x != 0)).otherwise(v["values"]).cast(f"array<{dtype}>").alias("values")))
+
+
+def first_index(parts, start: int = 0, width: int | Column | None = None) -> Column:
+    """The first non-zero position of a ``sparse`` vector in a slice (counted from its start), -1 without one."""
+    p = _c(parts)
+    inside = F.filter(p["indices"], lambda i: (i >= start) if width is None else (i >= start) & (i < F.lit(start) + width))
+    return F.coalesce(F.get(inside, F.lit(0)) - start, F.lit(-1)).cast("long")
+
+
+def slice_sq_norm(parts, start: int, width: int | Column) -> Column:
+    """Sum of squares of a slice of a ``sparse`` vector."""
+    p = _c(parts)
+    pairs = F.zip_with(p["indices"], p["values"], lambda i, x: F.when((i >= start) & (i < F.lit(start) + width), x.cast("double")).otherwise(0.0))
+    return F.aggregate(pairs, F.lit(0.0).cast("double"), lambda acc, x: acc + x * x)
+
+
 # --- logits ----------------------------------------------------------------
 
 def argmax(logits) -> Column:

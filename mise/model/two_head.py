@@ -8,6 +8,7 @@ weighting, same two heads, same class spaces; not the same numbers.
 
 from __future__ import annotations
 
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -72,8 +73,8 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     on (e.g. rows with a real visual vector), their weights are recomputed on
     that subset, while the class space (``n_classes``) stays that of the full
     training set (``present_only`` scales the weights over the classes the
-    subset has).  The training set is spread evenly over the cluster's cores
-    and cached for the iterations.  The heads are fitted concurrently
+    subset has).  The training set is cached for the iterations; a fit
+    that ends at ``max_iter`` is reported as a warning.  The heads are fitted concurrently
     (``parallelism`` threads submitting Spark jobs, as MLlib's tuning does).
     """
     if n_classes is None:
@@ -81,8 +82,9 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
         n_classes = {h: int(row[h]) for h in labels}
     data = train.filter(require) if require is not None else train
     data = data.select(features, *labels.values()).withColumn("_x", as_vector(data, features))
-    # many passes follow: spread the rows over all cores once, then cache
-    data = data.repartition(train.sparkSession.sparkContext.defaultParallelism).cache()
+    # many passes follow: cached in the input's partitions, spread only if they are fewer than the cores
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    data = (data.repartition(cores) if data.rdd.getNumPartitions() < cores else data).cache()
     def fit(head_col):
         head, col = head_col
         # a row per class of the model: cut and checked once, then broadcast, so no row is shuffled by its label
@@ -93,7 +95,10 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
                 .withColumn("_w", F.when(F.col("_cw").isNull(), missing).otherwise(F.col("_cw"))))
         lr = LogisticRegression(featuresCol="_x", labelCol=col, weightCol="_w", family="multinomial",
                                 maxIter=max_iter, regParam=reg, standardization=False)
-        return head, lr.fit(rows.withColumn(col, F.col(col).cast("double")))
+        model = lr.fit(rows.withColumn(col, F.col(col).cast("double")))
+        if model.summary.totalIterations >= max_iter:
+            warnings.warn(f"{head}: {max_iter} steps taken, the objective had not settled", stacklevel=2)
+        return head, model
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

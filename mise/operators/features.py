@@ -3,8 +3,9 @@ assembly with zero fill, width fitting, fallback chain, alignment."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, Normalizer, OneHotEncoder, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import HashingTF, Normalizer, OneHotEncoder, RegexTokenizer, VectorAssembler, VectorSizeHint
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,28 @@ def assemble(mode: str, columns: dict[str, str], dims: dict[str, int], dtype: st
     return F.concat(*[zero_fill(columns[s], dims[s], dtype) for s in mode_streams(mode)])
 
 
+def assemble_vectors(df: DataFrame, mode: str, columns: dict[str, str], dims: dict[str, int], out: str = "x") -> DataFrame:
+    """``assemble`` for ML vectors: sparse streams stay sparse, so a row costs its non-zero
+    elements and not the width of the class space.  Array streams are converted; a missing stream
+    (NULL) is zeros of its width."""
+    streams = mode_streams(mode)
+    made = df.select("*", *[F.coalesce(_vector(df, columns[s]), array_to_vector(zero_vector(dims[s], "double"))).alias(f"_in_{s}") for s in streams])
+    for s in streams:
+        made = VectorSizeHint(inputCol=f"_in_{s}", size=dims[s], handleInvalid="error").transform(made)
+    made = VectorAssembler(inputCols=[f"_in_{s}" for s in streams], outputCol=out).transform(made)
+    return made.drop(*[f"_in_{s}" for s in streams])
+
+
+def _vector(df: DataFrame, col: str) -> Column:
+    return F.col(col) if isinstance(df.schema[col].dataType, VectorUDT) else F.when(F.col(col).isNotNull(), array_to_vector(F.col(col)))
+
+
+def fallback_vectors(primary: Column, secondary, dim: int) -> Column:
+    """``fallback_features`` with a (sparse) ML vector as primary and result."""
+    sec = F.col(secondary) if isinstance(secondary, str) else secondary
+    return F.coalesce(primary, array_to_vector(F.coalesce(F.when(sec.isNotNull(), fit_width(sec, dim, "double")), zero_vector(dim, "double"))))
+
+
 def fallback_features(primary: Column, secondary, dim: int, dtype: str = "float") -> Column:
     """Per row: the primary vector when present, else the secondary vector
     fitted to ``dim``, else zeros."""
@@ -88,10 +111,10 @@ def encode_text(df: DataFrame, text: str, out: str = "text_vec", dim: int = TEXT
     return keyed.join(enc.drop("_empty"), "_h", "left").drop("_h")
 
 
-def one_hot(df: DataFrame, mapping: DataFrame, col: str, out: str = "object_vec") -> DataFrame:
+def one_hot(df: DataFrame, mapping: DataFrame, col: str, out: str = "object_vec", width: int | None = None) -> DataFrame:
     """One-hot of the class string over the mapping's classes, a sparse vector
-    (width = number of classes); an unseen or NULL class gives the empty vector."""
-    width = mapping.count()
+    (width = number of classes, counted if not given); an unseen or NULL class gives the empty vector."""
+    width = mapping.count() if width is None else width
     if width == 0:
         raise ValueError("the mapping has no class")
     enc = encode_labels(df, mapping, col, out="_idx")
