@@ -44,7 +44,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256")))
 
 
-# Windows are the shortest runs with three lines or fifty words.
+# Windows are the shortest runs with three lines or fifty words, grown to the right up to three lines.
 _OP2 = r"""
 with raw as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
                     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as raw_no from documents),
@@ -54,11 +54,12 @@ num as (select *, row_number() over (partition by doc_id order by raw_no) as no,
                len(string_split(norm, ' ')) as words from norm where norm <> ''),
 nxt as (select *, lead(norm, 1) over w as n1, lead(norm, 2) over w as n2, lead(words, 1) over w as w1
         from num window w as (partition by doc_id order by no)),
-len as (select *, case when words >= 50 then 1 when words + w1 >= 50 then 2 else 3 end as size from nxt),
+len as (select nxt.*, size from nxt, (values (1), (2), (3)) s(size)
+        where size >= case when words >= 50 then 1 when words + w1 >= 50 then 2 else 3 end),
 win as (select doc_id, no, size, case size when 1 then norm when 2 then norm || chr(10) || n1
                                   else norm || chr(10) || n1 || chr(10) || n2 end as content from len),
 pos as (select *, first_value(doc_id) over f as d0, first_value(no) over f as no0 from win where content is not null
-        window f as (partition by content order by doc_id, no)),
+        window f as (partition by content, size order by doc_id, no)),
 cut as (select doc_id, case when d0 = doc_id then greatest(no, no0 + size) else no end as a, no + size as b
         from pos where d0 <> doc_id or no0 <> no),
 gone as (select distinct doc_id, unnest(range(a, b)) as no from cut where a < b),
