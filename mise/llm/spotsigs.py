@@ -1,17 +1,17 @@
 """SpotSigs fingerprints (DataFrame functions only).
 
-Wherever an anchor (a very common word) stands, the anchor and the next
-``CHAIN`` content words behind it form a spot signature; common words in between are
-skipped.  A text's fingerprint is the sorted set of its signatures' hashes (32 bits,
-hex).  Every text, whatever its length, also takes the pair that each of its words
-makes with the next one, so short texts have a fingerprint too and near copies are
-compared by one rule.  Likeness is the Jaccard index of
+Wherever an anchor (a common word from a fixed list, and the beginning of the text) stands, the anchor and
+the next ``CHAIN`` content words behind it form a spot signature; common words in between are
+skipped, and at the end of a text a chain has the words that are left.  A text's fingerprint is the
+sorted set of its signatures' hashes (32 bits, hex).  The list holds all common words and not
+articles and forms of "to be" alone, and the beginning counts, so short texts have spots too and
+every text is read by the same rule.  Likeness is the Jaccard index of
 two sets.  ``near_pairs`` finds all pairs at or above a threshold: sets are
 partitioned by length (a set can only be like sets of similar length), each gives its
 rarest signatures as keys, and candidates are verified.
 
 Defined results: null and empty texts, and texts without a letter or digit, have the empty
-fingerprint; two empty fingerprints have likeness 1, an empty and another one 0;
+fingerprint (no other text has); two empty fingerprints have likeness 1, an empty and another one 0;
 documents follow one another by descending id, nulls last, equal ids by text;
 the first document follows the last, so a single one follows itself; repeated
 rows each get a row; an empty table gives an empty result; whole texts are read.
@@ -31,13 +31,12 @@ CHAIN = 2
 THRESHOLD = 0.8
 BLOCK_ROWS, MOST_BLOCKS = 2_000, 2_000
 
-#: Words that signatures start from, and further common words that chains skip.
-ANCHORS = ("the a an is was it that there this are der die das ist ein eine war es "
-           "le la les un une est des il el los las una es son lo").split()
-COMMON = ("of and to in for on with be as by at from or not but have has had he she they we you his her its "
-          "und in von mit zu den dem des sich auf für nicht als im auch an bei nach "
-          "de du et en que qui pour dans sur par pas au aux avec ne se "
-          "y por con para su al del no se como más").split()
+#: Common words, from which signatures start and which chains skip.
+ANCHORS = ("the a an is was it that there this are of and to in for on with be as by at from or not but "
+           "have has had he she they we you his her its "
+           "der die das ist ein eine war es und in von mit zu den dem des sich auf für nicht als im auch an bei nach "
+           "le la les un une est de du et en que qui pour dans sur par pas au aux avec ne se "
+           "el los las una son lo y por con para su al del no como más").split()
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -51,22 +50,24 @@ def _hash(*parts: Column) -> Column:
 
 def signatures(text: Column) -> Column:
     """The sorted set of signature hashes of a text, ``array<int>``."""
-    stops = sorted(set(ANCHORS) | set(COMMON))
+    anchors = sorted(set(ANCHORS))
 
     def chains(words: Column) -> Column:
-        content = F.filter(words, lambda w: ~w.isin(stops))
-        marked = F.filter(F.transform(words, lambda w, i: F.when(w.isin(stops), F.struct(w.alias("w"), i.alias("i")))),
+        content = F.filter(words, lambda w: ~w.isin(anchors))
+        begin = F.when(F.size(words) > 0, F.struct(F.lit("").alias("w"), F.lit(0).alias("i")))
+        marked = F.filter(F.transform(words, lambda w, i: F.when(w.isin(anchors), F.struct(w.alias("w"), i.alias("i")))),
                           lambda s: s.isNotNull())
 
         def made(both: Column) -> Column:
+            def spot(word: Column, at: Column) -> Column:
+                return _hash(word, *[F.get(both["content"], at + c) for c in range(CHAIN)])
+
             # the k-th common word, at i, has i - k content words before it
-            spots = F.transform(both["marked"], lambda s, k: F.when(
-                s["w"].isin(ANCHORS) & F.get(both["content"], s["i"] - k).isNotNull(),
-                _hash(s["w"], *[F.get(both["content"], s["i"] - k + c) for c in range(CHAIN)])))
-            pairs = F.transform(words, lambda w, i: _hash(F.lit(""), w, F.get(words, i + 1)))
-            return F.array_union(F.array_compact(spots), pairs)
+            spots = F.transform(both["marked"], lambda s, k: spot(s["w"], s["i"] - k))
+            first = F.when(both["begin"].isNotNull(), spot(both["begin"]["w"], both["begin"]["i"]))
+            return F.array_union(spots, F.array_compact(F.array(first)))
 
-        return _let(F.struct(content.alias("content"), marked.alias("marked")), made)
+        return _let(F.struct(content.alias("content"), marked.alias("marked"), begin.alias("begin")), made)
 
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     return F.array_sort(_let(words, chains))

@@ -54,10 +54,10 @@ def test_order_of_odd_ids(frame, empty):
 
 def test_near_pairs(frame, empty):
     rng = random.Random(8)
-    words = ["the", "a", "is"] + [f"n{i}" for i in range(400)]
+    words = ["the", "a", "is"] * 30 + [f"n{i}" for i in range(400)]
     rows = []
     for g in range(12):
-        base = [rng.choice(words) for _ in range(rng.choice([30, 150]))]
+        base = [rng.choice(words) for _ in range(rng.choice([150, 500]))]
         for k in range(4):
             text = list(base)
             for _ in range(k * 2):
@@ -73,6 +73,30 @@ def test_near_pairs(frame, empty):
     assert X.near_pairs(empty).count() == 0
 
 
+def plain_signatures(text):
+    """(anchor, content words behind it) of each spot, word by word."""
+    import re
+    words = re.findall(r"[^\W_]+", text.lower())
+    spots = {("", *[w for w in words if w not in X.ANCHORS][:X.CHAIN])} if words else set()
+    for i, w in enumerate(words):
+        if w in X.ANCHORS:
+            spots.add((w, *[v for v in words[i:] if v not in X.ANCHORS][:X.CHAIN]))
+    return spots
+
+
+def test_every_member_is_a_spot(spark):
+    texts = [t or "" for _, t in sample()] + ["the the", "cat", "of", "cat the", "x y z w"]
+    rows = spark.createDataFrame([(t,) for t in set(texts)], "t string").select("t", X.signatures(X.F.col("t")).alias("s")).collect()
+    for r in rows:
+        assert len(r["s"]) == len(set(r["s"])) == len(plain_signatures(r["t"]))
+    # the same spots have the same hashes wherever they stand
+    found = {}
+    for r in rows:
+        for other in rows:
+            found[r["t"], other["t"]] = (len(set(r["s"]) & set(other["s"])), len(plain_signatures(r["t"]) & plain_signatures(other["t"])))
+    assert all(a == b for a, b in found.values())
+
+
 def test_near_copies_with_few_signatures(spark):
     """Whether a text has 7, 8 or 9 spot signatures doesn't change how it is compared."""
     def text(spots):
@@ -81,6 +105,5 @@ def test_near_copies_with_few_signatures(spark):
     rows = spark.createDataFrame([(n, text(n)) for n in (7, 8, 9)], "n int, t string").select("n", X.signatures(X.F.col("t")).alias("s")).collect()
     sets = {r["n"]: set(r["s"]) for r in rows}
     for a, b in ((7, 8), (8, 9), (7, 9)):
-        assert len(sets[a] & sets[b]) / len(sets[a] | sets[b]) > 0.7
-    for n, s in sets.items():
-        assert len(s) == n + 6 * n  # spots, and each word with the next
+        assert len(sets[a] & sets[b]) / len(sets[a] | sets[b]) == (a + 1) / (b + 1)
+    assert {n: len(s) for n, s in sets.items()} == {7: 8, 8: 9, 9: 10}
