@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mise.functions.columns import known
@@ -57,6 +57,21 @@ class TwoHeadModel:
             df = scored.withColumn(out[head], F.slice(F.concat(z, pad), 1, width)).drop("_raw", "_prob", "_pred")
         return df.drop("_x")
 
+    def save(self, path: str) -> None:
+        """Write the heads with MLlib's own writers and the class spaces beside them, to any store."""
+        for head, model in self.heads.items():
+            model.write().overwrite().save(f"{path}/heads/{head}")
+        spark = SparkSession.active()
+        rows = [(h, int(self.n_classes[h]), self.features) for h in self.heads]
+        spark.createDataFrame(rows, "head string, n_classes int, features string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, path: str) -> TwoHeadModel:
+        """A saved model, in whatever session is active; it scores like the one that was saved (a
+        training curve isn't part of a saved model)."""
+        rows = SparkSession.active().read.schema("head string, n_classes int, features string").json(f"{path}/meta").collect()
+        heads = {r["head"]: LogisticRegressionModel.load(f"{path}/heads/{r['head']}") for r in rows}
+        return cls(heads, {r["head"]: r["n_classes"] for r in rows}, rows[0]["features"])
 
     def training_curve(self, spark) -> DataFrame:
         """``head, step, loss``: the objective after each step of the optimiser."""

@@ -86,3 +86,24 @@ def distribution_compare(left: DataFrame, left_col: str, right: DataFrame, right
         F.count(F.lit(1)).alias("right_n"))
     return a.join(b, name, "full_outer").select(
         name, F.coalesce("left_n", F.lit(0)).alias("left_n"), F.coalesce("right_n", F.lit(0)).alias("right_n"))
+
+
+def class_sketches(df: DataFrame, cols, by=("split",), lg_k: int = 12, items: int = 1_000) -> DataFrame:
+    """Mergeable states of distinct and frequent classes per group: ``(*by, column, hll, top)``.
+
+    A row holds a HyperLogLog sketch (at most ``2 ** lg_k`` registers) and a frequent-items sketch (at most
+    ``items`` classes) of one column, so it can be stored per split or day and merged
+    later without the rows.  NULL classes are not counted."""
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("class")) for c in cols]))
+    long = df.select(*by, values.alias("_e")).select(*by, "_e.*").filter(F.col("class").isNotNull())
+    return long.groupBy(*by, "column").agg(F.hll_sketch_agg("class", lg_k).alias("hll"),
+                                           F.expr(f"approx_top_k_accumulate(class, {items})").alias("top"))
+
+
+def merged_sketches(sketches: DataFrame, k: int, by=()) -> DataFrame:
+    """``(*by, column, distinct, top)`` of merged states: the estimated number of classes and the ``k``
+    most frequent ones as ``array<struct<item, count>>``.  The estimate's relative standard error is
+    about ``0.83 / sqrt(2 ** lg_k)``; counts are exact while a state has room for all classes."""
+    return sketches.groupBy(*by, "column").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("hll")).alias("distinct"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(top), {k})").alias("top"))

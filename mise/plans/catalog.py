@@ -591,6 +591,16 @@ def q_group_split(spark, d):
     return SP.assign_split(c, "video_id")
 
 
+@query("group_split_sized", oracle(["clips"], """
+with g as (select video_id, count(*) n from clips group by video_id),
+ c as (select video_id, n, sum(n) over (order by md5(video_id), video_id rows between unbounded preceding and current row) - n before, sum(n) over () total from g)
+select clip_id, clips.video_id, case when before * 100 < total * 80 then 'train' when before * 100 < total * 90 then 'val' else 'test' end split
+from clips join c on clips.video_id = c.video_id"""))
+def q_group_split_sized(spark, d):
+    """Whole videos dealt so that every split meets its share of the clips."""
+    return SP.assign_split_by_size(S.clips(spark, d).select("clip_id", "video_id"), "video_id").select("clip_id", "video_id", "split")
+
+
 @query("split_leakage", oracle(["clips"], """
 select video_id, count(distinct s) n from
  (select video_id, case when clip_id % 1000 = 7 then 'demo' else split end s from clips) t
@@ -744,6 +754,64 @@ def q_distribution_compare(spark, d):
     return PR.distribution_compare(train, "label", _scored(spark, d), "pv")
 
 
+# ------------------------------------------- sketches, SQL functions
+
+@query("sketched_classes", oracle(["clips"], """
+with l as (select split, 'verb_class' col, cast(verb_class as varchar) class, clip_id from clips
+           union all select split, 'noun_class', cast(noun_class as varchar), clip_id from clips union all select split, 'clip_id', cast(clip_id as varchar), clip_id from clips),
+ n as (select col, class, count(*) n from l group by col, class),
+ t as (select *, row_number() over (partition by col order by n desc, class) r from n)
+select col "column", count(*) exact, true is_near, cast(max(case when r = 1 then n end) as bigint) most from t group by col"""))
+def q_sketched_classes(spark, d):
+    """Distinct and frequent classes from states stored per split and merged later; the estimate
+    lies within four standard errors of the exact number."""
+    c = S.clips(spark, d)
+    cols = ("verb_class", "noun_class", "clip_id")
+    path = scratch_path(spark, "class-sketches")
+    PR.class_sketches(c, cols).write.parquet(path)
+    merged = PR.merged_sketches(spark.read.parquet(path), 1)
+    exact = c.select(*[F.count_distinct(x).alias(x) for x in cols]).unpivot([], list(cols), "column", "exact")
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.col("exact") * (4 * 0.83 / 2 ** 6)
+    # a state has room for all classes of a head; of the clips' ids each occurs once
+    most = F.when(F.col("column") == "clip_id", F.lit(1)).otherwise(F.get("top", F.lit(0))["count"]).cast("long")
+    return merged.join(F.broadcast(exact), "column").select("column", "exact", near.alias("is_near"), most.alias("most"))
+
+
+def _sql(spark, d, text):
+    from mise.plans.sql_functions import register_functions
+    register_functions(spark)
+    return spark.sql(text, clips=S.clips(spark, d), times=S.clip_times(spark, d), frames=S.frames(spark, d))
+
+
+@query("sql_seconds_to_frames", ORACLES["seconds_to_frames"])
+def q_sql_seconds_to_frames(spark, d):
+    return _sql(spark, d, """select clip_id, seconds_to_frame(elapsed_seconds(start_timestamp), 60) start_frame,
+      seconds_to_frame(elapsed_seconds(stop_timestamp), 60) stop_frame from {times}""")
+
+
+@query("sql_frame_sample", ORACLES["frame_sample"])
+def q_sql_frame_sample(spark, d):
+    return _sql(spark, d, """with c as (select clip_id, sample_frames(start_frame, stop_frame, 3) numbers from {clips})
+      select clip_id, s.i, s.frame_no from c lateral view posexplode(numbers) s as i, frame_no""")
+
+
+@query("sql_frame_parse", ORACLES["frame_parse"])
+def q_sql_frame_parse(spark, d):
+    return _sql(spark, d, """with c as (select clip_id, video_id, sample_frames(start_frame, stop_frame, 3) numbers from {clips}),
+      p as (select clip_id, s.i, case s.i when 0 then frame_path(video_id, s.n)
+        when 1 then concat('frames/', video_id, '/frame_', s.n, '_x.png') else concat('frames/', video_id, '/thumb_', s.n, '.jpg') end path
+      from c lateral view posexplode(numbers) s as i, n)
+      select clip_id, i, frame_number(path) frame_no from p where frame_number(path) is not null""")
+
+
+@query("sql_range_join", ORACLES["frame_range_join"])
+def q_sql_range_join(spark, d):
+    return _sql(spark, d, """with k as (select *, frame_buckets(start_frame, stop_frame, 64) buckets from {clips}),
+      c as (select clip_id, video_id, start_frame, stop_frame, b.bucket from k lateral view explode(buckets) b as bucket)
+      select clip_id, count(*) n_frames, sum(frame_no) sum_frame from c join {frames} f
+      on c.video_id = f.video_id and c.bucket = floor(f.frame_no / 64) and f.frame_no between start_frame and stop_frame group by clip_id""")
+
+
 # ----------------------------------------------------------------- features
 
 def _object_visual(spark, d):
@@ -821,6 +889,16 @@ def q_align_modalities(spark, d):
     return FE.align("clip_id", meta, vis, lab)
 
 
+@query("bucketed_align", ORACLES["align_modalities"])
+def q_bucketed_align(spark, d):
+    """Three modalities stored in buckets of the clip id and aligned without a shuffle."""
+    c = S.clips(spark, d)
+    tables = {"meta": c.select("clip_id", "video_id"), "visual": _pooled(spark, d, keep=()).select("clip_id", "found"),
+              "label": LB.encode_labels(c, _noun_mapping(spark, d), "noun_class", out="y").select("clip_id", "y")}
+    stored = [SF.write_bucketed(t, f"mise_{n}_features", scratch_path(spark, f"bucketed-{n}")) for n, t in tables.items()]
+    return FE.align("clip_id", *stored)
+
+
 @query("text_features", """
 select doc_id, cast(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) as int) tokens,
   case when len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) > 0 then 1e0 else 0e0 end n2
@@ -881,16 +959,12 @@ def _ablation(spark, d):
     """Every mode (feature slice) in one plan: rows tagged with their mode,
     centroids of all modes from one grouped aggregate per head, scoring by
     the row's mode, metrics in one grouped pass."""
-    from functools import reduce
-
     from mise.model.linear import fit_centroids_grouped, score_grouped
     train, test = S.scored_split(spark, d)
 
     def tagged(df):
-        return reduce(DataFrame.unionByName, [
-            df.select(F.lit(mode).alias("mode"), F.slice("embedding", lo + 1, hi - lo + 1).alias("x"),
-                      *[c for c in df.columns if c != "embedding"])
-            for mode, lo, hi in _MODES])
+        modes = F.array(*[F.struct(F.lit(mode).alias("mode"), F.slice("embedding", lo + 1, hi - lo + 1).alias("x")) for mode, lo, hi in _MODES])
+        return df.select(F.explode(modes).alias("m"), *[c for c in df.columns if c != "embedding"]).select("m.*", *[c for c in df.columns if c != "embedding"])
     tr, te = tagged(train), tagged(test)
     mv = fit_centroids_grouped(tr.filter(F.col("label") != 9), "x", "label", "mode")
     mn = fit_centroids_grouped(tr, "x", "yn", "mode")
@@ -1142,6 +1216,21 @@ def trained_scores(inputs) -> DataFrame:
         return reduce(DataFrame.unionByName, list(pool.map(run, ("t", "o", "to", "v"))))
 
 
+@query("saved_model", oracle(["clips"], "select clip_id, true same_verb, true same_noun from clips where split = 'val'"))
+def q_saved_model(spark, d):
+    """An object model saved and loaded again: every validation clip gets the same logits."""
+    from mise.model.two_head import TwoHeadModel, fit_two_head
+    c = S.clips(spark, d)
+    train = c.filter(F.col("split") == "train")
+    vmap, nmap = _verb_mapping(spark, d), _noun_mapping(spark, d)
+    t = FE.one_hot(LB.encode_labels(LB.encode_labels(c, vmap, "verb_class", "yv"), nmap, "noun_class", "yn"), nmap, "noun_class", "o")
+    model = fit_two_head(t.filter(F.col("split") == "train"), "o", {"verb": "yv", "noun": "yn"}, max_iter=5)
+    path = scratch_path(spark, "two-head-model")
+    model.save(path)
+    both = TwoHeadModel.load(path).transform(model.transform(t.filter(F.col("split") == "val"), {"verb": "v1", "noun": "n1"}), {"verb": "v2", "noun": "n2"})
+    return both.select("clip_id", (F.col("v1") == F.col("v2")).alias("same_verb"), (F.col("n1") == F.col("n2")).alias("same_noun"))
+
+
 @query("training_curve", oracle(["clips"], """
 select 'verb' head, round(ln(count(distinct verb_class)), 6) first_loss, true falls, true ends_lowest from clips where split = 'train'
 union all select 'noun', round(ln(count(distinct noun_class)), 6), true, true from clips where split = 'train'"""))

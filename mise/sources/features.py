@@ -45,6 +45,16 @@ def read_features(spark: SparkSession, path: str, split: str, modalities, labels
     return wide
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "clip_id", buckets: int = 16) -> DataFrame:
+    """Store a feature table in ``buckets`` files by its key, sorted, and return it read back.  Tables
+    stored with the same key and number of buckets join on it without a shuffle."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").mode("overwrite")
+     .saveAsTable(table))
+    return spark.table(table)
+
+
 def write_mapping(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Label mapping ``class_name, class_id`` (small: one row per class)."""
     out = df.select("class_name", "class_id").write.mode("overwrite")

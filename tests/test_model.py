@@ -83,3 +83,14 @@ def test_training_curve_falls(spark):
     for head in ("verb", "noun"):
         loss = [r.loss for r in curve.filter(F.col("head") == head).orderBy("step").collect()]
         assert len(loss) > 3 and loss[-1] < loss[0]
+
+
+def test_saved_model_scores_alike(spark, tmp_dir):
+    from mise.model.two_head import TwoHeadModel, fit_two_head
+    rows = spark.createDataFrame([(i, [float(i % 3 == k) for k in range(3)], i % 3, i % 2) for i in range(60)], "id int, x array<double>, yv int, yn int")
+    model = fit_two_head(rows, "x", {"verb": "yv", "noun": "yn"}, n_classes={"verb": 5, "noun": 2}, max_iter=10)
+    model.save(f"{tmp_dir}/model")
+    loaded = TwoHeadModel.load(f"{tmp_dir}/model")
+    assert (loaded.n_classes, loaded.features) == ({"verb": 5, "noun": 2}, "x")
+    one, two = ({r.id: (list(r.z_verb), list(r.z_noun)) for r in m.transform(rows).collect()} for m in (model, loaded))
+    assert one == two and len(one[0][0]) == 5

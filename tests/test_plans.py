@@ -70,4 +70,15 @@ def test_evaluation_keys_scan_once_per_table(spark):
     """The scored table is read once for each metric table."""
     for key in ("ablation_table", "best_flags", "metric_gain"):
         plan = plan_of(QUERIES[key](spark, SF))
-        assert plan.count("FileScan") == 3  # one scored read for each of the three modes
+        assert plan.count("FileScan") == 1  # the modes are slices of one read
+
+
+def test_bucketed_features_align_without_a_shuffle(spark):
+    plan = plan_of(QUERIES["bucketed_align"](spark, SF))
+    assert plan.count("SortMergeJoin") + plan.count("HashJoin") == 2 and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("key", ["sql_seconds_to_frames", "sql_frame_sample", "sql_frame_parse", "sql_range_join"])
+def test_sql_functions_are_put_in_place(spark, key):
+    plan = plan_of(QUERIES[key](spark, SF))
+    assert not any(x in plan for x in ("Python", "SQLScalarFunction", "NestedLoop"))

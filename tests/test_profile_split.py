@@ -66,3 +66,43 @@ def test_assign_split_rejects_bad_fractions(spark):
     df = spark.createDataFrame([("V1",)], "video_id string")
     with pytest.raises(ValueError):
         SP.assign_split(df, "video_id", (("train", 70), ("val", 10)))
+
+
+def test_sized_split_meets_its_fractions(spark):
+    import hashlib
+    import random
+
+    from pyspark.sql import functions as F
+
+    from mise.operators.split import assign_split_by_size
+    rnd = random.Random(1)
+    sizes = {f"g{i}": rnd.choice([1, 2, 5, 60]) for i in range(120)} | {"hot": 700}
+    rows = [(g, k) for g, n in sizes.items() for k in range(n)] + [(None, 0)] * 3
+    df = spark.createDataFrame(rows, "video_id string, split_no int")
+    out = assign_split_by_size(df, "video_id", (("train", 70), ("val", 20), ("test", 10)))
+    got = {(r.video_id, r.split): r.n for r in out.groupBy("video_id", "split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert len(got) == len(sizes) + 1 and got[None, "train"] == 3
+    total, at, per = sum(sizes.values()), 0, {"train": 0, "val": 0, "test": 0}
+    for g in sorted(sizes, key=lambda g: hashlib.md5(g.encode()).hexdigest()):
+        want = "train" if at * 100 < total * 70 else "val" if at * 100 < total * 90 else "test"
+        assert got[g, want] == sizes[g]
+        per[want] += sizes[g]
+        at += sizes[g]
+    assert abs(per["train"] - total * 0.7) < max(sizes.values()) and out.columns == ["video_id", "split_no", "split"]
+
+
+def test_sketches_merge_and_stay_within_bounds(spark):
+    from pyspark.sql import functions as F
+
+    from mise.operators.profile import class_sketches, merged_sketches
+    df = spark.range(60_000).select((F.col("id") % 7).cast("string").alias("split"), (F.sqrt("id") % 97).cast("int").alias("verb"),
+                                    F.when(F.col("id") % 5 > 0, F.col("id") % 20_000).alias("noun"))
+    states = class_sketches(df, ("verb", "noun"))
+    assert states.count() == 14
+    got = {r["column"]: r for r in merged_sketches(states, 3).collect()}
+    for col, k in (("verb", 3), ("noun", 0)):
+        exact = df.filter(F.col(col).isNotNull()).select(col).distinct().count()
+        assert abs(got[col].distinct - exact) <= 4 * 0.83 / 2 ** 6 * exact
+        if k:
+            top = df.groupBy(col).count().orderBy(F.desc("count"), col).limit(k).collect()
+            assert [r["count"] for r in got[col].top] == [r["count"] for r in top]

@@ -186,3 +186,12 @@ def test_scratch_folders_are_cleared(spark):
     local = path.removeprefix("file://").removeprefix("file:")
     assert os.path.isdir(local)
     assert clear_scratch(spark) >= 1 and not os.path.exists(local)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_dir):
+    left = SF.write_bucketed(spark.range(500).select(F.col("id").alias("clip_id"), F.lit(1).alias("a")), "test_left_features", f"{tmp_dir}/l", buckets=4)
+    right = SF.write_bucketed(spark.range(0, 900, 3).select(F.col("id").alias("clip_id"), F.lit(2).alias("b")), "test_right_features", f"{tmp_dir}/r", buckets=4)
+    joined = left.hint("merge").join(right, "clip_id")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 167
+    again = SF.write_bucketed(right, "test_left_features", f"{tmp_dir}/l2", buckets=4)  # a name written anew
+    assert again.count() == 300
