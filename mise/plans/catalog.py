@@ -290,6 +290,21 @@ def q_archive_stream(spark, d):
     return _from_archives(spark, d, streamed=True)
 
 
+@query("archive_source", oracle(["frames"], """
+select video_id, cast(frame_no as int) frame_no, cast(length(video_id || ':' || cast(frame_no as varchar)) as bigint) size from frames
+where video_id in ('V1', 'V3', 'V5') and frame_no >= 2"""))
+def q_archive_source(spark, d):
+    """Archives read as a data source: other videos' archives aren't opened, earlier frames' bytes not kept."""
+    from mise.plans.frame_files import write_frame_archives
+    from mise.sources.archive_source import read_archives
+    root = scratch_path(spark, "archive-source")
+    frames = S.frames(spark, d).select("video_id", "frame_no", F.encode(
+        F.concat_ws(":", "video_id", F.col("frame_no").cast("string")), "UTF-8").alias("content"))
+    write_frame_archives(frames, root, per_archive=50, gzip_odd=True).write.format("noop").mode("overwrite").save()
+    read = read_archives(spark, root).filter(F.col("video_id").isin("V1", "V3", "V5") & (F.col("frame_no") >= 2))
+    return read.select("video_id", "frame_no", F.octet_length("content").cast("long").alias("size"))
+
+
 #: Frames drawn as 8 x 8 grey images; every 41st file of the table is broken.
 _PIXEL = "least(greatest(floor(({v} + 1e0) * 128e0), 0e0), 255e0)"
 

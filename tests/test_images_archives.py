@@ -68,3 +68,33 @@ def test_contents_go_in_batches_of_bounded_bytes(monkeypatch):
     batches = list(SF._in_batches(("v", i, b"x" * n) for i, n in enumerate(sizes)))
     assert [list(b["frame_no"]) for b in batches] == [[0, 1], [2], [3], [4, 5], [6]]
     assert np.all([sum(map(len, b["content"])) <= 100 or len(b) == 1 for b in batches])
+
+
+def test_data_source_opens_only_what_filters_ask_for(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from mise.sources.archive_source import read_archives
+    for video, part, mode, numbers in (("A", "p0.tar", "w", range(5)), ("A", "p1.tar.gz", "w:gz", range(5, 9)), ("B", "p0.tar.bz2", "w:bz2", range(3))):
+        os.makedirs(f"{tmp_dir}/{video}", exist_ok=True)
+        with tarfile.open(f"{tmp_dir}/{video}/{part}", mode) as tar:
+            for n in numbers:
+                info = tarfile.TarInfo(f"frame_{n:04d}.jpg")
+                info.size = n
+                tar.addfile(info, io.BytesIO(b"x" * n))
+    os.makedirs(f"{tmp_dir}/C")
+    with open(f"{tmp_dir}/C/broken.tar", "wb") as out:
+        out.write(b"no archive")
+    read = read_archives(spark, tmp_dir)
+    assert read.filter("video_id = 'B'").count() == 3
+    of_a = read.filter("video_id = 'A'")
+    assert of_a.rdd.getNumPartitions() == 2
+    assert sorted((r.frame_no, len(r.content)) for r in of_a.collect()) == [(n, n) for n in range(9)]
+    some = read.filter(F.col("video_id").isin("A", "B") & (F.col("frame_no") > 1) & (F.col("frame_no") <= 6) & (F.octet_length("content") != 4))
+    assert sorted((r.video_id, r.frame_no) for r in some.collect()) == [("A", 2), ("A", 3), ("A", 5), ("A", 6), ("B", 2)]
+    assert read.filter("video_id = 'Z'").collect() == []
+    with pytest.raises(Exception, match="read"):
+        read.filter("video_id = 'C'").collect()
+    os.replace(f"{tmp_dir}/C/broken.tar", f"{tmp_dir}/C/broken.txt")
+    assert read.count() == 12  # the whole table, after plans with filters
