@@ -67,6 +67,62 @@ def test_boosting_and_threshold():
     assert X.fit([(0, 5, 0, 1, 0)], 2) is None
 
 
+def bank_number(rng, right=True):
+    digits = "".join(rng.choices("0123456789", k=18))
+    check = 98 - int(digits + "131400") % 97
+    return f"DE{check if right else check % 96 + 2:02d}{digits}"
+
+
+def test_planted_formats_are_found_and_decoys_left(frame):
+    """Formats that no base pattern covers: recall of each at least 0.9, no more than a twentieth of decoys."""
+    rng = random.Random(12)
+    words = "an in the reor thand esly ingo atio wasn buthe onst".split()
+
+    def around(text, before=""):
+        return f"{' '.join(rng.choices(words, k=6))} {before}{text} {' '.join(rng.choices(words, k=5))}."
+
+    def num(n):
+        return "".join(rng.choices("123456789", k=n))
+
+    rows = [(i, around(f"+1 ({num(3)}) 555-{num(4)}") + around(f"user{i}@mail{i % 9}.example.com") + around("4" + num(14) + "0")
+             + around(f"10.{rng.randrange(200)}.3.{rng.randrange(250)}")) for i in range(300)]
+    planted = {
+        "phone_local": lambda: f"({num(3)}) {num(3)}-{num(4)}", "phone_zero": lambda: f"0{num(3)} {num(7)}",
+        "email_spelt": lambda: f"{num(2)}joe (at) host{num(1)} (dot) org", "iban": lambda: bank_number(rng),
+        "national_id": lambda: f"{rng.randrange(101, 660)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}",
+        "ip6": lambda: ":".join(f"{rng.randrange(1 << 16):04x}" for _ in range(8)),
+    }
+    decoys = [lambda: around(f"{num(3)}-{num(3)}-{num(4)}", "order "), lambda: around(bank_number(rng, False)), lambda: around("look at them.this"),
+              lambda: around(f"000-{num(2)}-{num(4)}"), lambda: around(f"0{num(3)} {num(7)}", "invoice ")]
+    truth, at = {}, 1000
+    for kind, make in planted.items():
+        for _ in range(40):
+            rows.append((at, around(make())))
+            truth[at] = kind
+            at += 1
+    clean = range(at, at + 40 * len(decoys))
+    rows += [(i, decoys[i % len(decoys)]()) for i in clean]
+    got = {r["doc_id"]: r["spans"] for r in X.personal_data(frame(rows)).collect()}
+    for kind in planted:
+        mine = [i for i, k in truth.items() if k == kind]
+        assert sum(kind in got[i] for i in mine) >= 0.9 * len(mine), kind
+    assert sum(any(k in got[i] for k in X.MORE) for i in clean) <= len(clean) // 20
+
+
+def test_lessons_are_matches_of_their_generators(frame):
+    """What is taught looks like what the generators propose, and checks hold where they should."""
+    F = X.F
+    base = [("phone", "+1 (415) 555-7713"), ("email", "joe.b@mail.example.org"), ("card", "4111111111111111"), ("ip", "10.1.2.3")]
+    rows = frame([(i, m) for i, (_, m) in enumerate(base)])
+    kind = F.element_at(F.array(*[F.lit(k) for k, _ in base]), (F.col("doc_id") + 1).cast("int"))
+    made = rows.select(F.explode(X.lessons(kind, F.col("text"), F.lit("some words before "), F.lit(" after"))).alias("e")).select("e.*")
+    any_more = "|".join(f"(?:{p.replace('(?i)', '')})" for p in X.MORE.values())
+    got = made.select("match", "left", "good", X.iban_passes(F.col("match")).alias("iban"), F.concat(F.lit(" "), F.col("match"), F.lit(" ")).rlike(any_more).alias("hit")).collect()
+    assert {r["match"] for r in got if not r["hit"]} <= {"415.555.7713"} and len(got) > 30
+    assert {r["good"] for r in got if r["match"].startswith("DE")} == {True, False}
+    assert all(r["iban"] == r["good"] for r in got if r["match"].startswith("DE"))
+
+
 def test_odd_inputs(frame, empty):
     assert X.personal_data(empty).count() == 0 and X.redacted(empty).count() == 0
     rows = [(None, "me@x.org"), (1, "me@x.org"), (1, "me@x.org"), (1, "other 10.0.0.1")]
