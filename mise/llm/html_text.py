@@ -29,9 +29,9 @@ from mise.llm.common import text_of, written
 from mise.session import ship_library
 
 #: Hosts' winning paths that are broadcast at most; beyond it a salted join.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 16 << 20
 SALT = 64
-PATHS_PER_HOST = 8  # the feature: the few best paths of a host, the page's own comes after
+PATHS_PER_HOST = 8  # paths of a host that are kept with a single vote; all with more votes are
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|"
@@ -64,14 +64,49 @@ _SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 
 @dataclass
 class Node:
+    """An element; the blocks of text in it are those of the page from ``start`` to ``stop``."""
+
     tag: str
-    path: str
+    path: int  # number of its path in the page
     apart: bool
     article: bool
     parent: Node | None
+    start: int = 0
+    stop: int = 0
     mark: int = 0  # where the tag ends of the marked element around it, if that is why it is apart
     score: float = 0.0
+    holder: Node | None = None  # the nearest element around it, itself included, that isn't inline or a line
+
+
+@dataclass
+class Page:
+    """The elements in order, the blocks of text outside menus and the like, and the paths: the
+    number of a path by its parent's number and its last label (number 0 is the empty path)."""
+
+    nodes: list[Node] = field(default_factory=list)
     blocks: list[str] = field(default_factory=list)
+    paths: dict[tuple[int, str], int] = field(default_factory=dict)
+
+    def text(self, nodes: Sequence[Node]) -> str:
+        """The blocks of nodes that lie apart from one another, in page order."""
+        return "\n\n".join(b for n in nodes for b in self.blocks[n.start: n.stop])
+
+    def path_of(self, node: Node) -> str:
+        """The path in words: one pass over its parents."""
+        labels = {number: key for key, number in self.paths.items()}
+        words, at = [], node.path
+        while at:
+            at, label = labels[at]
+            words.append(label)
+        return ">".join(reversed(words))
+
+    def number_of(self, path: str) -> int | None:
+        at: int | None = 0
+        for label in path.split(">") if path else ():
+            at = self.paths.get((at, label))
+            if at is None:
+                return None
+        return at
 
 
 def _marked(rest: str) -> bool:
@@ -91,29 +126,34 @@ def _label(tag: str, rest: str) -> str:
     m = _CLASS_ONLY.search(rest) if rest else None
     if not m:
         return tag
-    names = sorted({re.sub(r"\d+", "#", w) for w in (m[1] or m[2] or m[3] or "").lower().split()})
+    names = sorted({re.sub(r"\d+", "#", w) for w in (m[1] or m[2] or m[3] or "").lower().replace(">", ".").split()})
     return ".".join([tag, *names])
 
 
-def parse(page: str) -> list[Node]:
-    """The page's elements in order, each with the blocks of text in it (also in
-    those below it) that are outside menus and the like, and its score.
+def parse(page: str) -> Page:
+    """The page's elements in order, each with its score and the blocks of text in it (also in
+    those below it) that are outside menus and the like.  Time and memory grow with the page and not
+    with its depth: blocks and paths are kept once, open elements are found by their names.
 
     If all of a page's articles lie in elements that are marked or hidden, those that hold them
     are read like others; they are known by where their tags end."""
     plain: set[int] = set()
     while True:
-        nodes, holders = _parse(page, plain)
+        read, holders = _parse(page, plain)
         if not holders:
-            return nodes
+            return read
         plain |= holders
 
 
-def _parse(page: str, plain: set[int]) -> tuple[list[Node], set[int]]:
-    """The elements, and the marked ones that hold articles if no article is elsewhere."""
-    free, holders = False, set()
-    root = Node("", "", False, False, None)
-    stack, nodes = [root], [root]
+def _parse(page: str, plain: set[int]) -> tuple[Page, set[int]]:
+    """The page, and the marked elements that hold articles if no article is elsewhere."""
+    free, marked_holders = False, set()
+    root = Node("", 0, False, False, None)
+    root.holder = root
+    read = Page([root])
+    stack, nodes, blocks, paths = [root], read.nodes, read.blocks, read.paths
+    opened: dict[str, list[int]] = defaultdict(list)  # places in the stack by name
+    open_blocks: list[int] = []
     text: list[str] = []
     linked = [0, 0]  # characters of the block: all, in links
     in_link = 0
@@ -129,13 +169,8 @@ def _parse(page: str, plain: set[int]) -> tuple[list[Node], set[int]]:
         here = stack[-1]
         if not block or here.apart:
             return
-        node = here
-        while node is not None:
-            node.blocks.append(block)
-            node = node.parent
-        own = here
-        while own.parent is not None and own.tag in _INLINE_OR_LINE:
-            own = own.parent
+        blocks.append(block)
+        own = here.holder
         worth = max(0.0, len(block) * (1 - 2 * links / max(total, 1)))
         own.score += worth
         if own.parent is not None:
@@ -151,9 +186,17 @@ def _parse(page: str, plain: set[int]) -> tuple[list[Node], set[int]]:
     def pop_to(i: int) -> None:
         nonlocal in_link
         while len(stack) > i:
-            if stack.pop().tag == "a":
+            gone = stack.pop()
+            gone.stop = len(blocks)
+            opened[gone.tag].pop()
+            if gone.tag in BLOCK:
+                open_blocks.pop()
+            if gone.tag == "a":
                 in_link = max(0, in_link - 1)
 
+    def nearest(names) -> int:
+        return max((opened[n][-1] for n in names if opened.get(n)), default=0)
+
     at = 0
     while True:
         m = _TAG.search(page, at)
@@ -169,33 +212,22 @@ def _parse(page: str, plain: set[int]) -> tuple[list[Node], set[int]]:
         if m["end"] or m["end2"]:
             if name in BLOCK:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == name:
-                    pop_to(i)
-                    break
-                if name not in BLOCK and stack[i].tag in BLOCK:
-                    break
+            i = nearest((name,))
+            if i and (name in BLOCK or not open_blocks or open_blocks[-1] < i):
+                pop_to(i)
             continue
         if name == "br":
             add(" ")
             continue
         if name in BLOCK:
             flush()
-            if name in _CLOSES_P:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == "p":
-                        pop_to(i)
-                        break
-                    if stack[i].tag in BLOCK:
-                        break
+            if name in _CLOSES_P and open_blocks and stack[open_blocks[-1]].tag == "p":
+                pop_to(open_blocks[-1])
         if name in _SIBLINGS:
             ends, holders = _SIBLINGS[name]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in holders:
-                    break
-                if stack[i].tag in ends:
-                    pop_to(i)
-                    break
+            i = nearest(ends)
+            if i > nearest(holders):
+                pop_to(i)
         if name in VOID:
             continue
         up = stack[-1]
@@ -206,26 +238,32 @@ def _parse(page: str, plain: set[int]) -> tuple[list[Node], set[int]]:
         if name in ("article", "main"):
             free = free or not apart
             if up.mark:
-                holders.add(up.mark)
+                marked_holders.add(up.mark)
         if name in BLOCK or apart != up.apart:
-            node = Node(name, f"{up.path}>{_label(name, rest)}" if up.path else _label(name, rest), apart,
-                        up.article or name in ("article", "main"), up)
+            path = paths.setdefault((up.path, _label(name, rest)), len(paths) + 1)
+            node = Node(name, path, apart, up.article or name in ("article", "main"), up)
             if apart and not up.apart and name not in BLOCK:
                 add(" ")
-            nodes.append(node)
         else:
             node = Node(name, up.path, apart, up.article, up)
-            nodes.append(node)
+        nodes.append(node)
+        node.start = node.stop = len(blocks)
+        node.holder = up.holder if name in _INLINE_OR_LINE else node
         node.mark = at if marked else 0 if always else up.mark
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
+        opened[name].append(len(stack))
+        if name in BLOCK:
+            open_blocks.append(len(stack))
         stack.append(node)
         if name == "a":
             in_link += 1
     flush()
-    return nodes, set() if free else holders
+    for node in stack:
+        node.stop = len(blocks)
+    return read, set() if free else marked_holders
 
 
 _INLINE_OR_LINE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th blockquote pre figcaption address".split()) | frozenset(
@@ -233,7 +271,7 @@ _INLINE_OR_LINE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th blockquote pr
 
 
 def _usable(node: Node) -> bool:
-    return bool(node.blocks) and not node.apart and node.tag in BLOCK and node.tag not in _INLINE_OR_LINE
+    return node.stop > node.start and not node.apart and node.tag in BLOCK and node.tag not in _INLINE_OR_LINE
 
 
 def best(nodes: Sequence[Node]) -> Node | None:
@@ -245,40 +283,27 @@ def best(nodes: Sequence[Node]) -> Node | None:
     return node or found
 
 
-def _join(nodes: Sequence[Node]) -> str:
-    """The blocks of the outermost of the nodes, in page order."""
-    picked: list[Node] = []
-    inside: set[int] = set()
-    for n in nodes:
-        up, nested = n.parent, False
-        while up is not None and not nested:
-            nested = id(up) in inside
-            up = up.parent
-        if not nested:
-            inside.add(id(n))
-            picked.append(n)
-    return "\n\n".join(b for n in picked for b in n.blocks)
-
-
 def vote(page: str) -> tuple[str, float] | None:
-    node = best(parse(page))
-    return (node.path, max(node.score, 1.0)) if node else None
+    read = parse(page)
+    node = best(read.nodes)
+    return (read.path_of(node), max(node.score, 1.0)) if node else None
 
 
 def extract(page: str, paths: Sequence[str] = ()) -> str:
     """The page's text by the first of the paths that it has, else its own best container."""
-    nodes = parse(page)
-    by_path: dict[str, list[Node]] = defaultdict(list)
-    for n in nodes:
+    read = parse(page)
+    by_path: dict[int, list[Node]] = defaultdict(list)
+    for n in read.nodes:
         if _usable(n):
             by_path[n.path].append(n)
-    for path in paths:
-        if path in by_path:
-            return _join(by_path[path])
-    node = best(nodes)
+    for path in paths:  # elements of one path are equally deep, so none lies in another
+        number = read.number_of(path)
+        if number in by_path:
+            return read.text(by_path[number])
+    node = best(read.nodes)
     if node is not None:
-        return _join(by_path.get(node.path, [node]))
-    return "\n\n".join(nodes[0].blocks)
+        return read.text(by_path.get(node.path, [node]))
+    return read.text(read.nodes[:1])
 
 
 def host_of(url) -> F.Column:
@@ -287,7 +312,8 @@ def host_of(url) -> F.Column:
 
 
 def host_paths(pages: DataFrame, keep: int = PATHS_PER_HOST) -> DataFrame:
-    """``host, paths``: each host's paths by votes, most first."""
+    """``host, paths``: each host's paths by votes, most first; all with two or more votes, and single
+    ones up to ``keep`` paths."""
     ship_library(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +334,7 @@ def host_paths(pages: DataFrame, keep: int = PATHS_PER_HOST) -> DataFrame:
             .mapInArrow(run, "host string, path string, pages long, score double"))
     votes = cast.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum(F.round("score")).alias("score"))
     order = Window.partitionBy("host").orderBy(F.desc("pages"), F.desc("score"), "path")
-    ranked = votes.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= keep)
+    ranked = votes.withColumn("place", F.row_number().over(order)).filter((F.col("place") <= keep) | (F.col("pages") > 1))
     return ranked.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "path"))).alias("best")) \
         .select("host", F.col("best.path").alias("paths"))
 
@@ -318,7 +344,9 @@ def main_text(pages: DataFrame, keep: int = PATHS_PER_HOST) -> DataFrame:
     paths = written(host_paths(pages, keep), "host-paths")
     source = pages.select(pages["page_id"], pages["url"], text_of(pages, "html").alias("html"),
                           host_of(pages["url"]).alias("host"))
-    if paths.count() <= BROADCAST_ROWS:  # checked: a row per host, a few short paths each
+    held = paths.agg(F.coalesce(F.sum(F.size("paths")), F.lit(0)),
+                     F.coalesce(F.sum(F.aggregate("paths", F.lit(0).cast("long"), lambda a, p: a + F.length(p))), F.lit(0))).first()
+    if held[0] <= BROADCAST_ROWS and held[1] <= BROADCAST_CHARS:  # checked: paths and their characters
         joined = source.join(F.broadcast(paths), "host", "left")
     else:
         spread = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))

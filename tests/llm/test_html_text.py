@@ -75,3 +75,27 @@ def test_wrappers_keep_their_article(wrap):
 def test_hidden_and_marked_elements_go(wrap):
     page = f"<body><article><p>The story.</p><div {wrap}><p>not this</p></div></article><div {wrap}><article><p>nor this</p></article></div></body>"
     assert X.extract(page) == "The story."
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+    began = time.monotonic()
+    assert X.extract("<div>" * 100_000 + "<p>deep</p>") == "deep"
+    assert X.extract("<div>x" * 50_000).count("x") == 50_000
+    assert X.extract("<div>" * 50_000 + "</section>" * 50_000 + "z") == "z"
+    X.vote("<b>" * 50_000 + "<p>y</p>" * 1_000)
+    assert time.monotonic() - began < 60
+
+
+def test_lists_and_tables_without_an_article():
+    """Reading such a page ends, whatever elements it has."""
+    assert X.extract("<div class=a><ul><li>one two three<li>four five six</ul></div>") == "one two three\n\nfour five six"
+    assert X.extract("<table><tr><td>seven<td>eight<tr><td>nine</table>") == "seven\n\neight\n\nnine"
+    assert X.vote("<ul hidden><li>a<main>b</main></ul>")
+
+
+def test_paths_in_words_and_numbers_agree():
+    page = X.parse('<div class="b2 a"><section id=x><p>text</p></section></div><div class="a b9"><p>more</p></div>')
+    paths = [page.path_of(n) for n in page.nodes]
+    assert paths == ["", "div.a.b#", "div.a.b#>section", "div.a.b#>section>p", "div.a.b#", "div.a.b#>p"]
+    assert [page.number_of(p) for p in paths] == [n.path for n in page.nodes] and page.number_of("div>nav") is None
