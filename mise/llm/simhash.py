@@ -146,9 +146,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def drop_near(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The documents without all but one of each component: that with the
-    smallest id stays; where no document of a component has an id, all stay."""
-    found = near_duplicates(docs, shingle, distance)
-    gone_id = with_suffix_free(docs, "gone_id")
-    gone = found.filter("component_id is not null and (doc_id is null or doc_id <> component_id)")
-    gone = gone.select(F.col("doc_id").alias(gone_id)).filter(F.col(gone_id).isNotNull()).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[gone_id], "left_anti").select(*[docs[c] for c in docs.columns])
+    smallest id stays, null ids last. Documents without an id are known by their text, so
+    of equal ones in a component that has no id one stays; rows with the same id and text stay or go together."""
+    key = with_suffix_free(docs, "near_key")
+    none = docs["doc_id"].isNull()
+    own = F.struct(none.alias("none"), docs["doc_id"].alias("id"),
+                   F.when(none, F.xxhash64(text_of(docs))).otherwise(F.lit(0).cast("long")).alias("text"))
+    keyed = docs.withColumn(key, own)
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), docs["text"]), shingle, distance)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    left = keyed.join(gone, key, "left_anti")
+    named = left.filter(~F.col(f"{key}.none"))
+    unnamed = left.filter(F.col(f"{key}.none")).dropDuplicates([key])
+    return named.unionByName(unnamed).select(*docs.columns)

@@ -125,3 +125,10 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(order[i], order[i + 1]) for i in range(n - 1)], "a long, b long")
     assert {tuple(r) for r in components(edges).collect()} == {(i, 0) for i in range(n)}
     assert components(edges.filter(F.lit(False))).count() == 0
+
+
+def test_one_of_each_component_stays_without_ids(frame):
+    far = " ".join(f"z{i}" for i in range(80))
+    rows = [(1, "a b c d e"), (None, "a b c d e"), (None, far), (None, far), (None, ""), (7, "  "), (9, "own words here"), (9, "own words here")]
+    got = sorted((str(r["doc_id"]), r["text"]) for r in X.drop_near(frame(rows)).collect())
+    assert got == sorted([("1", "a b c d e"), ("None", far), ("7", "  "), ("9", "own words here"), ("9", "own words here")])
