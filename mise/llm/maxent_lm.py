@@ -12,9 +12,10 @@ Training sees every training document: counts and features are gathered by
 Spark from the whole corpus; weights start from the observed feature counts,
 and in each round every task adds up, in sparse numpy batches, how often the model
 expects each class with each feature; the sums meet in Spark, and weights and bias
-move along the gradient (observed against expected), until the likelihood of the
-training tokens stops rising.  Model and updates have a fixed size; what the tasks send
-grows with the corpus.
+move along the gradient (observed against expected) with momentum, until the likelihood of the
+training tokens stops rising.  The history tokens and the buckets of pairs grow with the square
+root of the training tokens (``Size``), so the model grows with the corpus and the tables that
+meet in the driver grow more slowly than the input.
 
 Counts of the ``head`` most frequent tokens travel with the tasks; the others
 (whose number has no bound) are joined in Spark, so every text is scored against all counts.
@@ -42,19 +43,20 @@ from mise.session import ship_library
 
 END = b""  # no word is empty
 CLASSES, SINGLE = 64, 24
-OWN = 1_024  # tokens that stand for themselves in a history
-PAIRS = 4_096  # buckets of hashed pairs
+#: Tokens that stand for themselves in a history, and buckets of hashed pairs: the least, and
+#: how many for each square root of a training token.
+OWN, OWN_RATE = 1_024, 1 / 8
+PAIRS, PAIRS_RATE = 4_096, 2.0
+MOST_ROWS = 1 << 20  # of a model (256 MB as broadcast): reached beyond some 10 TB
 HEAD = 100_000
 BANDS = 8  # frequency bands for each doubling of a count
-GAIN = 5e-3  # nats a token by which a round must raise the training likelihood for another one
+GAIN = 5e-4  # nats a token by which a round must raise the training likelihood for another one
 DAMP, LEAST_DAMP = 0.5, 0.125
+MOMENTUM = 0.6  # share of the last move that is made again
 PRIOR = 20.0
 FLUSH = 200_000
 PART = 1 << 12
 LARGEST = 15.0
-_START = OWN + CLASSES  # what stands before a text
-_WIDTH = _START + 1
-ROWS = 3 * _WIDTH + PAIRS
 #: Scale of the first weights of: one before, two before, three before, the pair.
 _FIRST = (0.5, 0.25, 0.2, 0.35)
 _FIXED = 1 << 12  # expected counts are sent as whole multiples of this fraction
@@ -73,6 +75,35 @@ def shape_of(token: bytes) -> bytes:
     return token[:2] + (b"" if last.isalnum() or last in b".," or last >= b"\x80" else b"!")
 
 
+@dataclass(frozen=True)
+class Size:
+    """How many tokens stand for themselves in a history, and how many buckets pairs have."""
+
+    own: int = OWN
+    pairs: int = PAIRS
+
+    @classmethod
+    def of(cls, tokens: int) -> Size:
+        """For a corpus of that many training tokens."""
+        root = math.sqrt(tokens)
+        own, pairs = max(OWN, int(root * OWN_RATE)), max(PAIRS, int(root * PAIRS_RATE))
+        over = max(1.0, (3 * own + pairs) / (MOST_ROWS - 4 * CLASSES))
+        return cls(int(own / over), int(pairs / over))
+
+    @property
+    def start(self) -> int:
+        """The sign of what stands before a text."""
+        return self.own + CLASSES
+
+    @property
+    def width(self) -> int:
+        return self.start + 1
+
+    @property
+    def rows(self) -> int:
+        return 3 * self.width + self.pairs
+
+
 @dataclass
 class Vocabulary:
     """What the tasks need to know about tokens; its size is bounded by ``HEAD``."""
@@ -83,6 +114,7 @@ class Vocabulary:
     counts: dict[bytes, int]
     n: int = 0
     v: int = 0
+    size: Size = Size()
     mass: np.ndarray = field(default_factory=lambda: np.full(CLASSES, 0.1))
 
     def class_of(self, token: bytes) -> int:
@@ -92,14 +124,14 @@ class Vocabulary:
     def sign_of(self, token: bytes) -> int:
         """What the token is in a history; frequent ones are themselves."""
         own = self.own.get(token)
-        return OWN + self.class_of(token) if own is None else own
+        return self.size.own + self.class_of(token) if own is None else own
 
     def classes(self) -> np.ndarray:
         """The class of each sign."""
-        out = np.zeros(_WIDTH, np.int64)
+        out = np.zeros(self.size.width, np.int64)
         for token, i in self.own.items():
             out[i] = self.class_of(token)
-        out[OWN: OWN + CLASSES] = np.arange(CLASSES)
+        out[self.size.own: self.size.start] = np.arange(CLASSES)
         return out
 
 
@@ -160,8 +192,9 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
                                                         F.lit(b"!")).otherwise(F.lit(b"")))
     shapes = (counts.filter(~F.col("token").isin([bytearray(t) for t in single])).groupBy(shape.alias("shape")).agg(F.sum("c").alias("c"))
               .orderBy(F.desc("c"), "shape").limit(CLASSES - SINGLE - 1).collect())
-    return Vocabulary(single, {bytes(r["shape"]): SINGLE + i for i, r in enumerate(shapes)}, {t: i for i, t in enumerate(often[:OWN])},
-                      {t: r["c"] for t, r in zip(often, top, strict=True)}, total["n"] or 0, total["v"] or 0)
+    size = Size.of(total["n"] or 0)
+    return Vocabulary(single, {bytes(r["shape"]): SINGLE + i for i, r in enumerate(shapes)}, {t: i for i, t in enumerate(often[:size.own])},
+                      {t: r["c"] for t, r in zip(often, top, strict=True)}, total["n"] or 0, total["v"] or 0, size)
 
 
 def _encode(docs: DataFrame, shared) -> DataFrame:
@@ -193,13 +226,13 @@ def _encode(docs: DataFrame, shared) -> DataFrame:
                         own = [words.sign_of(t) if s is None else s for s, t in zip(own, tokens, strict=True)]
                     key += 1
                     keys.append(key)
-                    flat.append(np.array(own, np.int16))
+                    flat.append(np.array(own, np.int32))
                     ends.append(ends[-1] + len(own))
                     rare_ends.append(len(rare))
                     n.append(len(tokens))
                     known.append(head_known)
                     base.append(head_sum)
-                codes = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int16))
+                codes = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("held_out"), pa.array(keys, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), codes), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
@@ -207,25 +240,25 @@ def _encode(docs: DataFrame, shared) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pa.array(times, pa.int64()))],
                     ["doc_id", "held_out", "row_key", "signs", "n_tokens", "n_known", "logs", "rare", "times"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, held_out boolean, row_key long, signs array<short>, n_tokens long, n_known long, "
+    return docs.mapInArrow(run, f"doc_id {kind}, held_out boolean, row_key long, signs array<int>, n_tokens long, n_known long, "
                                 "logs double, rare array<binary>, times array<long>")
 
 
-def feature_rows(signs: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+def feature_rows(size: Size, signs: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The weight rows (4, tokens) that are on for each token of some texts."""
-    on = np.full((4, len(signs)), _START, np.int32)
+    on = np.full((4, len(signs)), size.start, np.int32)
     place = np.arange(len(signs), dtype=np.int32) - np.repeat(starts.astype(np.int32), lens)
     for k in (1, 2, 3):
         if k < len(signs):
             np.copyto(on[k - 1, k:], signs[:-k], where=place[k:] >= k, casting="unsafe")
-    return _as_rows(on)
+    return _as_rows(size, on)
 
 
-def _as_rows(on: np.ndarray) -> np.ndarray:
+def _as_rows(size: Size, on: np.ndarray) -> np.ndarray:
     """Signs one, two and three before (and a line to fill) as weight rows, in place."""
-    on[3] = 3 * _WIDTH + ((on[0] * 40_503 + on[1] * 65_599) >> 3) % PAIRS
-    on[1] += _WIDTH
-    on[2] += 2 * _WIDTH
+    on[3] = 3 * size.width + ((on[0] * 40_503 + on[1] * 65_599) >> 3) % size.pairs
+    on[1] += size.width
+    on[2] += 2 * size.width
     return on
 
 
@@ -254,11 +287,11 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values, ends[:-1], np.diff(ends)
 
 
-def _table(rows: DataFrame, per_batch, scale: float) -> np.ndarray:
-    """Sums over all rows of what ``per_batch`` adds to a (ROWS + 1, CLASSES) table: the
+def _table(rows: DataFrame, size: Size, per_batch, scale: float) -> np.ndarray:
+    """Sums over all rows of what ``per_batch`` adds to a (rows + 1, CLASSES) table: the
     model's rows, and one for the likelihood's sum."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((ROWS + 1, CLASSES))
+        table = np.zeros((size.rows + 1, CLASSES))
         for batch in batches:
             if batch.num_rows:
                 per_batch(table, batch)
@@ -270,31 +303,43 @@ def _table(rows: DataFrame, per_batch, scale: float) -> np.ndarray:
 
     sums = (rows.mapInArrow(run, "row int, v array<long>").groupBy("row")
             .agg(*[F.sum(F.get("v", F.lit(c))).alias(f"c{c}") for c in range(CLASSES)]))
-    out = np.zeros((ROWS + 1, CLASSES))
-    for r in sums.collect():  # bounded: the model's rows
-        out[r["row"]] = r[1:]
+    out = np.zeros((size.rows + 1, CLASSES))
+    got = sums.toArrow()  # bounded: the model's rows
+    at = got.column("row").to_numpy()
+    for c in range(CLASSES):
+        out[at, c] = got.column(f"c{c}").to_numpy()
     return out / scale
 
 
-def _contexts(rows: DataFrame) -> DataFrame:
-    """``key, n``: the histories (three signs in one number) of all tokens and how often each occurs."""
+def _contexts(rows: DataFrame, size: Size) -> DataFrame:
+    """``pair, key, n``: the histories (three signs in one number) of all tokens, how often each
+    occurs, and the bucket of its pair.  Tasks sum up first; then a bucket's histories
+    come together, so that in each round few tasks send the same bucket's row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
+            pair = _of_keys(size, keys)[3]
+            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(keys), pa.array(n.astype(np.int64))], ["pair", "key", "n"])
 
         for batch in batches:
             if batch.num_rows:
-                on = feature_rows(*_flat(batch.column("signs"))).astype(np.int64)
-                held.append((on[0] * _WIDTH + on[1] - _WIDTH) * _WIDTH + on[2] - 2 * _WIDTH)
+                on = feature_rows(size, *_flat(batch.column("signs"))).astype(np.int64)
+                held.append((on[0] * size.width + on[1] - size.width) * size.width + on[2] - 2 * size.width)
             if sum(map(len, held)) > 10 * FLUSH:
                 yield out()
         yield out()
 
-    return rows.select("signs").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return (rows.select("signs").mapInArrow(run, "pair int, key long, n long")
+            .repartition("pair").groupBy("pair", "key").agg(F.sum("n").alias("n")))
+
+
+def _of_keys(size: Size, key: np.ndarray) -> np.ndarray:
+    """The weight rows (4, histories) of histories in one number."""
+    w = size.width
+    return _as_rows(size, np.array([key // (w * w), key // w % w, key % w, key % w], np.int32))
 
 
 @dataclass
@@ -308,31 +353,32 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
     """The model of encoded rows, from all of them in every round.
 
     Rounds go on until the likelihood of the training tokens stops rising: a step that raises it by less than
-    ``gain`` is the last one, and one that lowers it is taken back and tried again half as long."""
+    ``gain`` is the last one, and one that lowers it is taken back and tried again without momentum, then half as long."""
     spark = rows.sparkSession
-    classes = words.classes()
+    classes, size = words.classes(), words.size
+    width, n_rows = size.width, size.rows
 
     def observed(table: np.ndarray, batch: pa.RecordBatch) -> None:
         signs, starts, lens = _flat(batch.column("signs"))
         flat = table.reshape(-1)
         of = classes[signs].astype(np.int32)
-        for on in feature_rows(signs, starts, lens):
+        for on in feature_rows(size, signs, starts, lens):
             flat += np.bincount(on * CLASSES + of, minlength=len(flat))
 
-    seen = _table(rows.select("signs"), observed, 1.0)[:ROWS]
-    prior = seen[:_WIDTH].sum(axis=0) + 0.1
+    seen = _table(rows.select("signs"), size, observed, 1.0)[:n_rows]
+    prior = seen[:width].sum(axis=0) + 0.1
     prior /= prior.sum()
     share = (seen + PRIOR * prior) / (seen.sum(axis=1, keepdims=True) + PRIOR)
-    scale = np.concatenate([np.full(n, s) for n, s in zip((_WIDTH, _WIDTH, _WIDTH, PAIRS), _FIRST, strict=True)])
+    scale = np.concatenate([np.full(n, s) for n, s in zip((width, width, width, size.pairs), _FIRST, strict=True)])
     first = np.clip(scale[:, None] * np.log(share / prior), -LARGEST, LARGEST)
     model = Model(first.astype(np.float32), np.log(prior).astype(np.float32))
-    tokens = seen[:_WIDTH].sum()
+    tokens = seen[:width].sum()
     if not tokens:
         return model
 
     # what is expected depends on the history alone: each is looked at once in a round, for all its tokens
-    contexts = written(_contexts(rows), "lm-contexts")
-    by_class = seen[:_WIDTH].sum(axis=0)
+    contexts = written(_contexts(rows, size), "lm-contexts")
+    by_class = seen[:width].sum(axis=0)
 
     def measured(now: Model) -> tuple[np.ndarray, float]:
         """How often the model expects each class with each feature, and the likelihood."""
@@ -340,39 +386,44 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
 
         def expected(table: np.ndarray, batch: pa.RecordBatch) -> None:
             key, times, now = batch.column("key").to_numpy(), batch.column("n").to_numpy(), shared.value
-            on = _as_rows(np.array([key // (_WIDTH * _WIDTH), key // _WIDTH % _WIDTH, key % _WIDTH, key], np.int32))
+            on = _of_keys(size, key)
             p = np.empty((CLASSES, len(key)))
             for at in range(0, len(key), PART):  # what fits a processor's cache
                 z = logits(on[:, at: at + PART], now.weights, now.bias)
                 np.exp(z, out=z)
                 total, n = z.sum(axis=1, keepdims=True), times[at: at + PART, None]
-                table[ROWS, 0] += (n * np.log(total, dtype=np.float64)).sum()
+                table[n_rows, 0] += (n * np.log(total, dtype=np.float64)).sum()
                 z *= (n / total).astype(np.float32)
                 p[:, at: at + PART] = z.T
-            for f, (first, size) in enumerate(((0, _WIDTH), (_WIDTH, _WIDTH), (2 * _WIDTH, _WIDTH), (3 * _WIDTH, PAIRS))):
+            for f, (first, many) in enumerate(((0, width), (width, width), (2 * width, width), (3 * width, size.pairs))):
                 ids = on[f] - first
                 for c in range(CLASSES):
-                    table[first: first + size, c] += np.bincount(ids, weights=p[c], minlength=size)
+                    table[first: first + many, c] += np.bincount(ids, weights=p[c], minlength=many)
 
-        out = _table(contexts, expected, _FIXED)
+        out = _table(contexts.select("key", "n"), size, expected, _FIXED)
         shared.unpersist()
-        return out[:ROWS], float(((seen * now.weights).sum() + by_class @ now.bias - out[ROWS, 0]) / tokens)
+        return out[:n_rows], float(((seen * now.weights).sum() + by_class @ now.bias - out[n_rows, 0]) / tokens)
 
     guess, reached = measured(model)
     model.likelihoods.append(reached)
-    damp = DAMP
+    damp, moved = DAMP, None
     while damp >= LEAST_DAMP:
-        # along the gradient: a row's step is the log ratio of observed to expected counts, damped where counts are few
+        # along the gradient: a row's step is the log ratio of observed to expected counts, damped where counts are few;
+        # a part of the last move is made again
         step = np.log((seen + PRIOR * prior) / (guess + PRIOR * prior)) * damp
-        shift = np.log((by_class + PRIOR * prior) / (guess[:_WIDTH].sum(axis=0) + PRIOR * prior)) * damp
+        shift = np.log((by_class + PRIOR * prior) / (guess[:width].sum(axis=0) + PRIOR * prior)) * damp
+        if moved is not None:
+            step, shift = step + MOMENTUM * moved[0], shift + MOMENTUM * moved[1]
         further = Model(np.clip(model.weights + step, -LARGEST, LARGEST).astype(np.float32),
                         np.clip(model.bias + shift, -LARGEST, LARGEST).astype(np.float32), model.likelihoods)
         there, now = measured(further)
         model.likelihoods.append(now)
         if now < reached:
-            damp /= 2
+            if moved is None:
+                damp /= 2
+            moved = None
             continue
-        risen, model, guess, reached = now - reached, further, there, now
+        risen, moved, model, guess, reached = now - reached, (step, shift), further, there, now
         if risen < gain:
             break
     return model
@@ -391,8 +442,8 @@ def scored(docs: DataFrame, held_out: Column, head: int = HEAD, gain: float = GA
     rows = written(_encode(own, shared), "lm-rows")
     model = train(rows.filter(~F.col("held_out")), words, gain)
     inside = np.log10(words.mass)
-    classes = words.classes()
-    weights = spark.sparkContext.broadcast((model, classes, inside))  # of fixed size
+    classes, size = words.classes(), words.size
+    weights = spark.sparkContext.broadcast((model, classes, inside))  # at most MOST_ROWS rows
     base_part = math.log10(words.n + 0.1 * (words.v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,7 +452,7 @@ def scored(docs: DataFrame, held_out: Column, head: int = HEAD, gain: float = GA
             if not batch.num_rows:
                 continue
             signs, starts, lens = _flat(batch.column("signs"))
-            on, of = feature_rows(signs, starts, lens), of_sign[signs]
+            on, of = feature_rows(size, signs, starts, lens), of_sign[signs]
             each = np.empty(len(signs))
             for at in range(0, len(signs), PART):
                 block = of[at: at + PART]

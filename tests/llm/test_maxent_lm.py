@@ -40,8 +40,9 @@ def test_base_matches_brute_force_and_the_model_is_better(frame):
 def test_probabilities_sum_to_one(spark, frame):
     """Classes sum to one after any history, words and unseen ones in each class."""
     rows = [(i, t) for i, t in sample() if i < 200]
-    weights = np.random.default_rng(1).normal(size=(X.ROWS, X.CLASSES)).astype(np.float32)
-    on = X.feature_rows(np.array([3, 4, 5, 6]), np.array([0, 2]), np.array([2, 2]))
+    size = X.Size()
+    weights = np.random.default_rng(1).normal(size=(size.rows, X.CLASSES)).astype(np.float32)
+    on = X.feature_rows(size, np.array([3, 4, 5, 6]), np.array([0, 2]), np.array([2, 2]))
     total = sum(np.exp(X.log_softmax(on, weights, np.zeros(X.CLASSES, np.float32), np.full(4, c))) for c in range(X.CLASSES))
     assert np.allclose(total, 1, atol=1e-4)
     assert (on[:, 0] == on[:, 2]).all() and on[0, 1] == 3  # nothing reaches over the start of a text
@@ -74,7 +75,7 @@ def test_training_goes_on_until_the_likelihood_stops_rising(spark, frame):
         each = []
         for r in rows.collect():
             signs = np.array(r["signs"], np.int64)
-            on = X.feature_rows(signs, np.array([0]), np.array([len(signs)]))
+            on = X.feature_rows(words.size, signs, np.array([0]), np.array([len(signs)]))
             each.extend(X.log_softmax(on, model.weights, model.bias, classes[signs]))
         return float(np.mean(each))
 
@@ -85,3 +86,35 @@ def test_training_goes_on_until_the_likelihood_stops_rising(spark, frame):
     assert likelihood(full) > likelihood(one) + X.GAIN
     again = X.train(rows, words, gain=X.GAIN / 5)  # what is left is small
     assert max(again.likelihoods) >= max(full.likelihoods)
+
+
+def test_score_matches_a_plain_scorer(frame, monkeypatch):
+    """Every text's score again, token by token, from the fitted weights and the counts alone."""
+    fitted = []
+    real = X.train
+    monkeypatch.setattr(X, "train", lambda rows, words, gain: fitted.append((real(rows, words, gain), words)) or fitted[-1][0])
+    rows = [*sample()[:80], (1000, None), (1001, ""), (1002, "UN1 Un1 never-seen\x0b\u00c9a")]
+    got = {r["doc_id"]: r["score"] for r in X.scored(frame(rows), F.when(F.col("doc_id") >= 1000, True).otherwise(F.col("doc_id") % 10 == 0)).collect()}
+    model, words = fitted[0]
+    size, weights, bias = words.size, model.weights.astype(float), model.bias.astype(float)
+    counts = Counter(t for i, text in rows if not held(i) for t in X.tokens_of(text or ""))
+    inside = Counter()
+    for t, c in counts.items():
+        inside[words.class_of(t)] += c + 0.1
+    for i, text in rows:
+        tokens, total = X.tokens_of(text or ""), 0.0
+        signs = [size.start] * 3 + [words.sign_of(t) for t in tokens]
+        for k, t in enumerate(tokens):
+            one, two, three = signs[k + 2], signs[k + 1], signs[k]
+            pair = 3 * size.width + ((one * 40_503 + two * 65_599) >> 3) % size.pairs
+            z = bias + weights[one] + weights[size.width + two] + weights[2 * size.width + three] + weights[pair]
+            of = words.class_of(t)
+            total += z[of] - math.log(np.exp(z).sum()) + math.log((counts[t] + 0.1) / (inside[of] + 0.1))
+        assert math.isclose(got[i], total / math.log(10), rel_tol=1e-4)
+
+
+def test_the_model_grows_with_the_corpus_and_stays_in_its_bound():
+    sizes = [X.Size.of(n) for n in (0, 10 ** 7, 10 ** 9, 10 ** 11, 10 ** 15)]
+    assert sizes[0] == X.Size(X.OWN, X.PAIRS)
+    assert all(a.rows <= b.rows for a, b in zip(sizes, sizes[1:], strict=False)) and sizes[1].rows < sizes[2].rows < sizes[3].rows
+    assert all(s.rows <= X.MOST_ROWS for s in sizes)
