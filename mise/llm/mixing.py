@@ -10,7 +10,8 @@ Defined results: a null text has size 0; a null source is a source of its own
 and comes last in the weight order; sources of size 0 get target 0 and rate 0;
 the extra copy depends on the seed and ``doc_id`` (the text where that is null)
 only, so reruns agree and rows repeated with the same id are treated alike; an empty table gives an
-empty result; further columns are carried along untouched.
+empty result; further columns are carried along untouched by ``mix``, whatever their names; ``mixed``
+replaces those that have the name of one of its results.
 """
 
 from __future__ import annotations
@@ -93,12 +94,15 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
           seed: int = SEED, extra: str = "copies") -> DataFrame:
     """``docs`` with ``size, source_size, target`` and the number of copies."""
+    made = {"size", "source_size", "target", extra}
+    docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() not in made])
     rows = docs.withColumn("size", size_of(text_of(docs)))
     sizes = cut_lineage(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
-    table = targets(sizes, weights, share, most).withColumnRenamed("source", "_source")
+    named = with_suffix_free(rows, "_source")
+    table = targets(sizes, weights, share, most).withColumnRenamed("source", named)
     if sizes.count() <= BROADCAST_SOURCES:  # checked: a row per source, a name and two numbers
         table = F.broadcast(table)
-    out = rows.join(table, rows["source"].eqNullSafe(table["_source"])).drop("_source")
+    out = rows.join(table, rows["source"].eqNullSafe(table[named])).drop(named)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     draw = draw_of(seed, F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
     base = F.floor(rate)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from mise.llm.common import text_of
+from mise.llm.common import text_of, with_suffix_free
 from mise.session import ship_library
 
 MODEL = "piece_bpe_32k.model"
@@ -291,14 +291,15 @@ def _rows(docs: DataFrame, model_file: str, make, fields: str, carry: list[str])
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     schema = ", ".join(x for x in (kinds, fields) if x)
     names = [*carry, *[f.strip().split(" ")[0] for f in fields.split(",")]]
-    source = docs.select(*[docs[c] for c in carry], text_of(docs).alias("__text"))
+    whole = with_suffix_free(docs, "whole")
+    source = docs.select(*[docs[c] for c in carry], text_of(docs).alias(whole))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(model_file)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = pieces.encode(t.as_py() for t in part.column("__text"))
+                ids = pieces.encode(t.as_py() for t in part.column(whole))
                 made = make(pieces, ids)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carry], *made], names)
 

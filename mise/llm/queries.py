@@ -28,7 +28,8 @@ _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 
 def _held_out(remainder: int, of: int):
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder
+    """Null ids are held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder, F.lit(True))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,3 +55,15 @@ def test_odd_inputs(spark, empty):
     assert out.columns == df.columns
     only = spark.createDataFrame([(1, "", "x"), (2, None, "y")], "doc_id long, text string, source string")
     assert {(r["size"], r["target"], r["copies"]) for r in X.mixed(only).collect()} == {(0, 0.0, 0)}
+
+
+def test_columns_named_like_results(frame):
+    from pyspark.sql import functions as F
+    docs = frame([(i, "a b c " * i, "s" if i % 2 else "t") for i in range(20)])
+    odd = docs.select("*", *[F.lit("mine").alias(c) for c in ("size", "Source_Size", "target", "copies", "_source", "_copy")])
+    want = {r["doc_id"]: (r["size"], r["target"], r["copies"]) for r in X.mixed(docs).collect()}
+    assert {r["doc_id"]: (r["size"], r["target"], r["copies"]) for r in X.mixed(odd).collect()} == want
+    assert {r["_source"] for r in X.mixed(odd).collect()} == {"mine"}
+    out = X.mix(odd)
+    assert out.columns == odd.columns
+    assert all(r[c] == "mine" for r in out.collect() for c in ("size", "Source_Size", "target", "copies", "_source", "_copy"))

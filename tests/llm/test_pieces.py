@@ -64,3 +64,11 @@ def test_frames(spark, frame, empty, library):
     assert X.digests(empty).count() == 0
     none = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert X.decoded(none).first()["text"] is None
+
+
+def test_columns_with_any_name_are_carried(frame):
+    from pyspark.sql import functions as F
+    docs = frame([(1, "a b"), (2, None)]).select("*", F.lit("x").alias("whole"), F.lit("y").alias("__text"))
+    got = X.digests(docs, carry=("doc_id", "whole", "__text")).collect()
+    want = {r["doc_id"]: r["ids_sha256"] for r in X.digests(docs).collect()}
+    assert {r["doc_id"]: r["ids_sha256"] for r in got} == want and {(r["whole"], r["__text"]) for r in got} == {("x", "y")}
