@@ -31,6 +31,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -203,42 +204,49 @@ def _encode(docs: DataFrame, shared) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
-        signs = {t: words.sign_of(t) for t in words.counts}
-        logs = {t: math.log10(c + 0.1) for t, c in words.counts.items()}
+        place = {t: i for i, t in enumerate(words.counts)}
+        signs = np.array([words.sign_of(t) for t in words.counts] or [0], np.int32)
+        logs = np.log10(np.array(list(words.counts.values()) or [1]) + 0.1)
         key = TaskContext.get().partitionId() << 40
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                keys, flat, ends, n, known, base, rare, times, rare_ends = [], [], [0], [], [], [], [], [], [0]
-                for value in batch.column("text"):
-                    tokens = tokens_of(value.as_py())
-                    own = [signs.get(t) for t in tokens]
-                    head_sum, head_known = 0.0, 0
-                    for t, k in Counter(tokens).items():
-                        found = logs.get(t)
-                        if found is None:
-                            rare.append(t)
-                            times.append(k)
-                        else:
-                            head_sum += k * found
-                            head_known += k
-                    if None in own:
-                        own = [words.sign_of(t) if s is None else s for s, t in zip(own, tokens, strict=True)]
-                    key += 1
-                    keys.append(key)
-                    flat.append(np.array(own, np.int32))
-                    ends.append(ends[-1] + len(own))
-                    rare_ends.append(len(rare))
-                    n.append(len(tokens))
-                    known.append(head_known)
-                    base.append(head_sum)
-                codes = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("held_out"), pa.array(keys, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), codes), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                     pa.array(base, pa.float64()), pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pa.array(rare, pa.binary())),
-                     pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pa.array(times, pa.int64()))],
-                    ["doc_id", "held_out", "row_key", "signs", "n_tokens", "n_known", "logs", "rare", "times"])
+
+        def made(part: pa.RecordBatch, tokens: list[bytes], lens: list[int]) -> pa.RecordBatch:
+            nonlocal key
+            ends = np.cumsum([0, *lens])
+            at = np.fromiter(map(place.get, tokens, repeat(-1)), np.int64, len(tokens))
+            head = at >= 0
+            codes = signs[at]
+            others = np.flatnonzero(~head)
+            codes[others] = [words.sign_of(tokens[i]) for i in others]
+            rare, times, rare_ends = [], [], [0]
+            of_text = np.searchsorted(others, ends)
+            for a, b in zip(of_text[:-1], of_text[1:], strict=True):
+                if a < b:
+                    found = Counter([tokens[i] for i in others[a:b]])
+                    rare.extend(found)
+                    times.extend(found.values())
+                rare_ends.append(len(rare))
+            starts = ends[:-1]  # every text has a token at least: the end
+            keys = np.arange(key + 1, key + 1 + len(lens))
+            key += len(lens)
+            return pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("held_out"), pa.array(keys, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)), pa.array(lens, pa.int64()),
+                 pa.array(np.add.reduceat(head.astype(np.int64), starts)), pa.array(np.add.reduceat(np.where(head, logs[at], 0.0), starts)),
+                 pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pa.array(rare, pa.binary())),
+                 pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pa.array(times, pa.int64()))],
+                ["doc_id", "held_out", "row_key", "signs", "n_tokens", "n_known", "logs", "rare", "times"])
+
+        for batch in batches:
+            first, tokens, lens = 0, [], []
+            for value in batch.column("text"):
+                text = tokens_of(value.as_py())
+                tokens += text
+                lens.append(len(text))
+                if len(tokens) > FLUSH:
+                    yield made(batch.slice(first, len(lens)), tokens, lens)
+                    first, tokens, lens = first + len(lens), [], []
+            if lens:
+                yield made(batch.slice(first, len(lens)), tokens, lens)
 
     return docs.mapInArrow(run, f"doc_id {kind}, held_out boolean, row_key long, signs array<int>, n_tokens long, n_known long, "
                                 "logs double, rare array<binary>, times array<long>")
