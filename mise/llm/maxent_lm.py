@@ -361,7 +361,8 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
     """The model of encoded rows, from all of them in every round.
 
     Rounds go on until the likelihood of the training tokens stops rising: a step that raises it by less than
-    ``gain`` is the last one, and one that lowers it is taken back and tried again without momentum, then half as long."""
+    ``gain`` is the last one if it is the first or had no momentum and the least length; else the next goes without
+    momentum, then half as long.  A step that lowers the likelihood is taken back and tried again in the same way."""
     spark = rows.sparkSession
     classes, size = words.classes(), words.size
     width, n_rows = size.width, size.rows
@@ -431,9 +432,13 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
                 damp /= 2
             moved = None
             continue
-        risen, moved, model, guess, reached = now - reached, (step, shift), further, there, now
-        if risen < gain:
-            break
+        little = now - reached < gain
+        if little and (len(model.likelihoods) == 2 or (moved is None and damp <= LEAST_DAMP)):
+            return further
+        # a move may overshoot and so rise a little only: the next is without momentum, or half as long
+        if little and moved is None:
+            damp /= 2
+        moved, model, guess, reached = None if little else (step, shift), further, there, now
     return model
 
 
