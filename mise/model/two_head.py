@@ -1,6 +1,7 @@
 """Class-weighted two-head classifier (verb head and noun head).
 
-Each head is an MLlib multinomial logistic regression trained with a
+Each head is a multinomial logistic regression (an MLlib model, fitted by
+``mise.model.softmax``) trained with a
 per-row weight taken from the inverse-frequency class weights.  This is a
 linear substitute for the reference's small neural trunk: same inputs, same
 weighting, same two heads, same class spaces; not the same numbers.
@@ -10,21 +11,23 @@ from __future__ import annotations
 
 import warnings
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+import numpy as np
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.linalg import DenseMatrix, DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mise.functions.columns import known
-from mise.model.linear import ABSENT_LOGIT
-from mise.operators.labels import class_weights, sized
-from mise.session import cut_lineage
+from mise.model.linear import ABSENT_LOGIT, _check_size
+from mise.model.softmax import counted, fit_softmax, packed
+from mise.operators.labels import class_weights
 
 
-#: Steps at most; training ends when the objective's change is within MLlib's tolerance.
+#: Steps at most; training ends when the objective's change is within the tolerance.
 MAX_ITER = 100
 
 
@@ -39,6 +42,7 @@ class TwoHeadModel:
     heads: dict[str, LogisticRegressionModel]
     n_classes: dict[str, int]
     features: str
+    history: dict[str, list[float]] = field(default_factory=dict)  # per head the objective before and after each step
 
     def transform(self, df: DataFrame, out: dict[str, str] | None = None) -> DataFrame:
         """Add one logits column per head (``array<double>`` padded to the
@@ -75,7 +79,7 @@ class TwoHeadModel:
 
     def training_curve(self, spark) -> DataFrame:
         """``head, step, loss``: the objective after each step of the optimiser."""
-        rows = [(h, i, float(v)) for h, m in self.heads.items() for i, v in enumerate(m.summary.objectiveHistory)]
+        rows = [(h, i, float(v)) for h, values in self.history.items() for i, v in enumerate(values)]
         return spark.createDataFrame(rows, "head string, step int, loss double")
 
 
@@ -88,7 +92,7 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     on (e.g. rows with a real visual vector), their weights are recomputed on
     that subset, while the class space (``n_classes``) stays that of the full
     training set (``present_only`` scales the weights over the classes the
-    subset has).  The training set is cached for the iterations; a fit
+    subset has).  The training set is packed and kept for the passes; a fit
     that ends at ``max_iter`` is reported as a warning.  The heads are fitted concurrently
     (``parallelism`` threads submitting Spark jobs, as MLlib's tuning does).
     """
@@ -97,27 +101,40 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
         n_classes = {h: int(row[h]) for h in labels}
     data = train.filter(require) if require is not None else train
     data = data.select(features, *labels.values()).withColumn("_x", as_vector(data, features))
-    # many passes follow: cached in the input's partitions, spread only if they are fewer than the cores
+    # many passes follow: kept in the input's partitions, spread only if they are fewer than the cores
     cores = train.sparkSession.sparkContext.defaultParallelism
-    data = (data.repartition(cores) if data.rdd.getNumPartitions() < cores else data).cache()
-    def fit(head_col):
-        head, col = head_col
-        # a row per class of the model: cut and checked once, then broadcast, so no row is shuffled by its label
-        w = cut_lineage(class_weights(data.filter(known(col)), col, n_classes[head], present_only=present_only))
-        w = sized(w.select(F.col("class_id").alias(col), F.col("w").alias("_cw")))
-        missing = F.raise_error(F.concat(F.lit(f"{col} outside the class space: "), F.col(col).cast("string"))).cast("double")
-        rows = (data.filter(known(col)).join(w, col, "left")
-                .withColumn("_w", F.when(F.col("_cw").isNull(), missing).otherwise(F.col("_cw"))))
-        lr = LogisticRegression(featuresCol="_x", labelCol=col, weightCol="_w", family="multinomial",
-                                maxIter=max_iter, regParam=reg, standardization=False)
-        model = lr.fit(rows.withColumn(col, F.col(col).cast("double")))
-        if model.summary.totalIterations >= max_iter:
+    data = data.repartition(cores) if data.rdd.getNumPartitions() < cores else data
+    blocks = packed(data, "_x", list(labels.values()))
+
+    def fit(place, head, col, counts, width):
+        # a row per class of the model reaches the driver, as its coefficients do
+        w = np.zeros(n_classes[head])
+        for r in class_weights(data.filter(known(col)).select(col), col, n_classes[head], present_only=present_only).collect():
+            w[r["class_id"]] = r["w"]
+        coefficients, intercepts, values, settled = fit_softmax(blocks, place, counts, w[: len(counts)], width, reg, max_iter)
+        if not settled:
             warnings.warn(f"{head}: {max_iter} steps taken, the objective had not settled", stacklevel=2)
-        return head, model
+        return head, _as_model(train.sparkSession, coefficients, intercepts), values
 
     try:
+        width, counts = counted(blocks, len(labels))
+        for (head, col), n in zip(labels.items(), counts):
+            if not len(n):
+                raise ValueError(f"{head}: no labelled rows to fit")
+            if len(n) > n_classes[head]:
+                raise ValueError(f"{col} outside the class space: {len(n) - 1}")
+            _check_size(len(n) * (width + 1))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            heads = dict(pool.map(fit, labels.items()))
+            fitted = list(pool.map(lambda a: fit(*a), [(i, h, c, counts[i], width) for i, (h, c) in enumerate(labels.items())]))
     finally:
-        data.unpersist()
-    return TwoHeadModel(heads, dict(n_classes), features)
+        blocks.unpersist()
+    return TwoHeadModel({h: m for h, m, _ in fitted}, dict(n_classes), features, {h: v for h, _, v in fitted})
+
+
+def _as_model(spark: SparkSession, coefficients: np.ndarray, intercepts: np.ndarray) -> LogisticRegressionModel:
+    """The coefficients as MLlib's own model, which scores vectors and is saved like any other."""
+    sc, (k, width) = spark.sparkContext, coefficients.shape
+    made = sc._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        f"softmax_{id(coefficients):x}", _py2java(sc, DenseMatrix(k, width, coefficients.ravel(order="F"))),
+        _py2java(sc, DenseVector(intercepts)), k, True)
+    return LogisticRegressionModel._from_java(made)
