@@ -185,9 +185,10 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
         if left < 0:
             break
         lowest = r["band"]
-    top = counts.filter(band >= lowest).collect() if lowest < math.inf else []  # bounded by `head`
-    top = sorted(top, key=lambda r: (-r["c"], bytes(r["token"])))
-    often = [bytes(r["token"]) for r in top]
+    # bounded by `head`; as Arrow columns, which take a tenth of the driver's memory that rows do
+    top = counts.filter(band >= lowest if lowest < math.inf else F.lit(False)).select("token", "c").toArrow()
+    top = sorted(zip(top.column("token").to_pylist(), top.column("c").to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
+    often = [t for t, _ in top]
     single = {t: i for i, t in enumerate([END, *[t for t in often if t != END]][:SINGLE])}
     shape = F.concat(F.substring("token", 1, 2), F.when(F.substring("token", -1, 1).cast("string").rlike(r"^[^0-9A-Za-z.,\x{80}-\x{10FFFF}]$"),
                                                         F.lit(b"!")).otherwise(F.lit(b"")))
@@ -195,7 +196,7 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
               .orderBy(F.desc("c"), "shape").limit(CLASSES - SINGLE - 1).collect())
     size = Size.of(total["n"] or 0)
     return Vocabulary(single, {bytes(r["shape"]): SINGLE + i for i, r in enumerate(shapes)}, {t: i for i, t in enumerate(often[:size.own])},
-                      {t: r["c"] for t, r in zip(often, top, strict=True)}, total["n"] or 0, total["v"] or 0, size)
+                      dict(top), total["n"] or 0, total["v"] or 0, size)
 
 
 def _encode(docs: DataFrame, shared) -> DataFrame:
@@ -316,7 +317,8 @@ def _table(rows: DataFrame, size: Size, per_batch, scale: float) -> np.ndarray:
     at = got.column("row").to_numpy()
     for c in range(CLASSES):
         out[at, c] = got.column(f"c{c}").to_numpy()
-    return out / scale
+    out /= scale
+    return out
 
 
 def _contexts(rows: DataFrame, size: Size) -> DataFrame:
@@ -377,10 +379,14 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
     seen = _table(rows.select("signs"), size, observed, 1.0)[:n_rows]
     prior = seen[:width].sum(axis=0) + 0.1
     prior /= prior.sum()
-    share = (seen + PRIOR * prior) / (seen.sum(axis=1, keepdims=True) + PRIOR)
-    scale = np.concatenate([np.full(n, s) for n, s in zip((width, width, width, size.pairs), _FIRST, strict=True)])
-    first = np.clip(scale[:, None] * np.log(share / prior), -LARGEST, LARGEST)
-    model = Model(first.astype(np.float32), np.log(prior).astype(np.float32))
+    # the tables are the driver's largest arrays: worked on in place
+    first = seen + PRIOR * prior
+    first /= seen.sum(axis=1, keepdims=True) + PRIOR
+    first /= prior
+    np.log(first, out=first)
+    first *= np.concatenate([np.full(n, s) for n, s in zip((width, width, width, size.pairs), _FIRST, strict=True)])[:, None]
+    model = Model(np.clip(first, -LARGEST, LARGEST, out=first).astype(np.float32), np.log(prior).astype(np.float32))
+    del first
     tokens = seen[:width].sum()
     if not tokens:
         return model
@@ -410,8 +416,8 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
                     table[first: first + many, c] += np.bincount(ids, weights=p[c], minlength=many)
 
         out = _table(contexts.select("key", "n"), size, expected, _FIXED)
-        shared.unpersist()
-        return out[:n_rows], float(((seen * now.weights).sum() + by_class @ now.bias - out[n_rows, 0]) / tokens)
+        shared.destroy()  # no later round needs it, and the driver would keep a copy of each
+        return out[:n_rows], float((np.einsum("ij,ij", seen, now.weights) + by_class @ now.bias - out[n_rows, 0]) / tokens)
 
     guess, reached = measured(model)
     model.likelihoods.append(reached)
@@ -419,10 +425,14 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
     while damp >= LEAST_DAMP:
         # along the gradient: a row's step is the log ratio of observed to expected counts, damped where counts are few;
         # a part of the last move is made again
-        step = np.log((seen + PRIOR * prior) / (guess + PRIOR * prior)) * damp
+        step = seen + PRIOR * prior
+        step /= guess + PRIOR * prior
+        np.log(step, out=step)
+        step *= damp
         shift = np.log((by_class + PRIOR * prior) / (guess[:width].sum(axis=0) + PRIOR * prior)) * damp
         if moved is not None:
-            step, shift = step + MOMENTUM * moved[0], shift + MOMENTUM * moved[1]
+            step += MOMENTUM * moved[0]
+            shift += MOMENTUM * moved[1]
         further = Model(np.clip(model.weights + step, -LARGEST, LARGEST).astype(np.float32),
                         np.clip(model.bias + shift, -LARGEST, LARGEST).astype(np.float32), model.likelihoods)
         there, now = measured(further)

@@ -118,3 +118,15 @@ def test_the_model_grows_with_the_corpus_and_stays_in_its_bound():
     assert sizes[0] == X.Size(X.OWN, X.PAIRS)
     assert all(a.rows <= b.rows for a, b in zip(sizes, sizes[1:], strict=False)) and sizes[1].rows < sizes[2].rows < sizes[3].rows
     assert all(s.rows <= X.MOST_ROWS for s in sizes)
+
+
+def test_a_rounds_weights_do_not_stay_in_the_driver(spark, monkeypatch):
+    import os
+    docs = spark.createDataFrame([(i, f"one two {'three' if i % 2 else 'four'} five") for i in range(40)], "doc_id long, text string")
+    counts = X._count(docs.select("text"))
+    words = X.vocabulary(counts)
+    rows = X._encode(docs.select("doc_id", F.lit(False).alias("held_out"), "text"), spark.sparkContext.broadcast(words)).cache()
+    made, real = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: made.append(real(value)) or made[-1])
+    X.train(rows, words, gain=1.0)
+    assert made and not any(os.path.exists(b._path) for b in made)
