@@ -82,7 +82,7 @@ def join_frames(samples: DataFrame, frames: DataFrame, vec: str = "embedding", k
 
 
 def pool_frames(joined: DataFrame, dim: int, key: str = "clip_id", vec: str = "embedding",
-                keep=(), dtype: str = "float", bounded: bool = True) -> DataFrame:
+                keep=(), dtype: str = "float", bounded: bool = True, value=None) -> DataFrame:
     """Element mean of the found frame vectors of each clip.
 
     ``bounded=True`` (frame samples): every clip has exactly ``n`` sampled
@@ -96,17 +96,20 @@ def pool_frames(joined: DataFrame, dim: int, key: str = "clip_id", vec: str = "e
     number found.  A clip with no frame found gets a zero vector (not NULL),
     mirroring the feature layout; ``found`` tells the two apart.  The mean is
     not re-normalised.  ``dtype`` is the element type of the result (float
-    for storage, double to keep full precision downstream).
+    for storage, double to keep full precision downstream).  ``value`` turns a
+    stored element into its number (a double by default): vectors whose elements
+    are narrow, such as pixels, stay so until they are added up.
     """
     v = F.col(vec)
+    value = value or (lambda x: x.cast("double"))
     counts = [F.count(v).alias("found"), F.count(F.lit(1)).alias("sampled")]
     if bounded:
         grouped = joined.groupBy(key, *keep).agg(*counts, F.collect_list(v).alias("_vs"))
         total = F.aggregate(F.col("_vs"), zero_vector(dim, "double"),
-                            lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b.cast("double")))
+                            lambda acc, x: F.zip_with(acc, x, lambda a, b: a + value(b)))
         mean = F.transform(total, lambda x: (x / F.col("found")).cast(dtype))
     else:
-        sums = [F.sum(v[i].cast("double")).alias(f"_s{i}") for i in range(dim)]
+        sums = [F.sum(value(v[i])).alias(f"_s{i}") for i in range(dim)]
         grouped = joined.groupBy(key, *keep).agg(*counts, *sums)
         mean = F.array(*[(F.col(f"_s{i}") / F.col("found")).cast(dtype) for i in range(dim)])
     pooled = F.when(F.col("found") > 0, mean).otherwise(zero_vector(dim, dtype))

@@ -342,8 +342,10 @@ select clips.clip_id, coalesce(n, 0) found, round(coalesce(n2, 0), {R6}) n2 from
 left join (select clip_id, max(n) n, sum(a * a) n2 from p group by clip_id) q on clips.clip_id = q.clip_id"""))
 def q_image_features(spark, d):
     """Mean pixels of the clips' sampled frames, from image files; broken files are missing frames."""
-    vectors = _images(spark, d).filter("ok").select("video_id", "frame_no", F.transform("pixels", lambda x: x / F.lit(255.0)).alias("embedding"))
-    pooled = FR.pool_frames(FR.join_frames(FR.explode_samples(S.clips(spark, d)), vectors), 64, dtype="double")
+    # a byte per pixel (less 128) until the pixels are added up
+    vectors = _images(spark, d).filter("ok").select("video_id", "frame_no", F.transform("pixels", lambda x: (x - 128).cast("tinyint")).alias("embedding"))
+    pooled = FR.pool_frames(FR.join_frames(FR.explode_samples(S.clips(spark, d)), vectors), 64, dtype="double",
+                            value=lambda x: (x.cast("int") + 128) / F.lit(255.0))
     return pooled.select("clip_id", "found", F.round(C.sq_norm("vec"), R6).alias("n2"))
 
 

@@ -135,3 +135,13 @@ def test_bitmaps_hold_every_sampled_frame(spark):
     every = spark.createDataFrame([(v, n + k) for v, n in rows for k in (-1, 0, 1)], "video_id string, frame_no long").distinct()
     kept = {(r.video_id, r.frame_no) for r in FR.prune_frames(every, samples).collect()}
     assert kept == set(rows)
+
+
+def test_narrow_elements_are_pooled_like_their_numbers(spark):
+    rows = [(1, [-128, 127]), (1, [0, 5]), (1, None), (2, None)]
+    joined = spark.createDataFrame(rows, "clip_id int, v array<tinyint>")
+    for bounded in (True, False):
+        got = {r.clip_id: (r.found, list(r.vec)) for r in FR.pool_frames(
+            joined, 2, vec="v", dtype="double", bounded=bounded, value=lambda x: (x.cast("int") + 128) / F.lit(255.0)).collect()}
+        assert got[1][0] == 2 and abs(got[1][1][0] - 64 / 255) < 1e-12 and abs(got[1][1][1] - (255 + 133) / 510) < 1e-12
+        assert got[2] == (0, [0.0, 0.0])
