@@ -20,6 +20,8 @@ from mise.session import cut_lineage
 #: Frame numbers that one bitmap holds (4 KB), and the bitmaps that are broadcast at most (64 MB).
 BITMAP_FRAMES = 32_768
 BROADCAST_BITMAPS = 16_384
+#: Bytes of frame vectors that are broadcast at most.
+BROADCAST_VECTORS = 64 << 20
 #: Frame numbers of one block of running sums.
 SCAN_BLOCK = 1_024
 
@@ -75,10 +77,57 @@ def join_frames(samples: DataFrame, frames: DataFrame, vec: str = "embedding", k
     measure the frame side at run time."""
     if not pruned:
         frames = prune_frames(frames, samples, keys)
-    # a frame listed twice counts once (the smallest vector, whichever file it came from)
-    right = (frames.groupBy(*keys, "frame_no").agg(F.min(F.col(vec)).alias(vec))
-             .withColumn("hit", F.lit(True)))
-    return samples.join(right, [*keys, "frame_no"], "left")
+    return samples.join(_listed_once(frames, vec, keys).withColumn("hit", F.lit(True)), [*keys, "frame_no"], "left")
+
+
+def _listed_once(frames: DataFrame, vec: str, keys) -> DataFrame:
+    """A frame listed twice counts once (the smallest vector, whichever file it came from)."""
+    return frames.groupBy(*keys, "frame_no").agg(F.min(F.col(vec)).alias(vec))
+
+
+def pool_samples(clips: DataFrame, frames: DataFrame, dim: int, n: int = FRAMES_PER_CLIP, key: str = "clip_id", vec: str = "embedding",
+                 keys=("video_id",), keep=(), dtype: str = "float", limit: int = BROADCAST_VECTORS) -> DataFrame:
+    """What ``explode_samples``, ``join_frames`` and ``pool_frames`` give together.
+
+    Where the sampled frames' vectors have at most ``limit`` bytes (measured), they go to the clips: a clip's
+    rows meet first, by its key and frame numbers alone, and its vectors are looked up and added up where it
+    is, so no vector is shuffled, sorted or spilled.  A key on several rows, and larger frame sets, take the join on
+    the frame key."""
+    samples = explode_samples(clips, n=n, key=key, keys=keys, keep=keep)
+    frames = prune_frames(frames, samples, keys)
+    if _vector_bytes(frames, vec) > limit:
+        return pool_frames(join_frames(samples, frames, vec, keys, pruned=True), dim, key, vec, keep, dtype)
+    right = F.broadcast(_listed_once(frames, vec, keys))
+    met = (clips.select(key, *keep, F.struct(*keys, sample_frames("start_frame", "stop_frame", n).alias("_at")).alias("_row"))
+           .groupBy(key, *keep).agg(F.collect_list("_row").alias("_rows")))
+    one = met.filter(F.size("_rows") == 1).select(key, *keep, F.col("_rows")[0].alias("_row"))
+    one = one.select(key, *keep, *[F.col("_row")[k].alias(f"_key_{k}") for k in keys], *[F.col("_row._at")[i].alias(f"_at{i}") for i in range(n)])
+    for i in range(n):
+        at = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("frame_no").alias(f"_at{i}"), F.col(vec).alias(f"_v{i}"))
+        one = one.join(at, [*[f"_key_{k}" for k in keys], f"_at{i}"], "left")
+    one = one.select(key, *keep, F.lit(n).cast("long").alias("sampled"),
+                     F.filter(F.array(*[f"_v{i}" for i in range(n)]), lambda x: x.isNotNull()).alias("_vs"))
+    one = one.withColumn("found", F.size("_vs").cast("long"))
+    more = (met.filter(F.size("_rows") > 1).select(key, *keep, F.explode("_rows").alias("_row"))
+            .select(key, *keep, *[F.col("_row")[k].alias(k) for k in keys], F.explode("_row._at").alias("frame_no")))
+    pooled = one.select(key, *keep, "found", "sampled", _mean_of(dim, dtype).alias("vec"))
+    return pooled.unionByName(pool_frames(more.join(right, [*keys, "frame_no"], "left"), dim, key, vec, keep, dtype))
+
+
+def _vector_bytes(frames: DataFrame, vec: str) -> int:
+    """Bytes of the frames' vectors, with what a row takes besides."""
+    of = frames.schema[vec].dataType
+    each = {"byte": 1, "short": 2, "integer": 4, "float": 4}.get(of.elementType.typeName(), 8)
+    row = frames.agg(F.count(F.lit(1)).alias("n"), F.sum(F.greatest(F.size(vec), F.lit(0))).alias("numbers")).first()
+    return 64 * row["n"] + each * (row["numbers"] or 0)
+
+
+def _mean_of(dim: int, dtype: str, value=lambda x: x.cast("double")) -> Column:
+    """The element mean of the vectors in ``_vs``, ``found`` in number; zeros if there are none."""
+    total = F.aggregate(F.col("_vs"), zero_vector(dim, "double"),
+                        lambda acc, x: F.zip_with(acc, x, lambda a, b: a + value(b)))
+    mean = F.transform(total, lambda x: (x / F.col("found")).cast(dtype))
+    return F.when(F.col("found") > 0, mean).otherwise(zero_vector(dim, dtype))
 
 
 def pool_frames(joined: DataFrame, dim: int, key: str = "clip_id", vec: str = "embedding",
@@ -105,14 +154,12 @@ def pool_frames(joined: DataFrame, dim: int, key: str = "clip_id", vec: str = "e
     counts = [F.count(v).alias("found"), F.count(F.lit(1)).alias("sampled")]
     if bounded:
         grouped = joined.groupBy(key, *keep).agg(*counts, F.collect_list(v).alias("_vs"))
-        total = F.aggregate(F.col("_vs"), zero_vector(dim, "double"),
-                            lambda acc, x: F.zip_with(acc, x, lambda a, b: a + value(b)))
-        mean = F.transform(total, lambda x: (x / F.col("found")).cast(dtype))
+        pooled = _mean_of(dim, dtype, value)
     else:
         sums = [F.sum(value(v[i])).alias(f"_s{i}") for i in range(dim)]
         grouped = joined.groupBy(key, *keep).agg(*counts, *sums)
         mean = F.array(*[(F.col(f"_s{i}") / F.col("found")).cast(dtype) for i in range(dim)])
-    pooled = F.when(F.col("found") > 0, mean).otherwise(zero_vector(dim, dtype))
+        pooled = F.when(F.col("found") > 0, mean).otherwise(zero_vector(dim, dtype))
     return grouped.select(key, *keep, "found", "sampled", pooled.alias("vec"))
 
 

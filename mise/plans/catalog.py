@@ -45,10 +45,7 @@ R6 = 6  # float results are rounded to 6 decimals on both sides
 
 def _pooled(spark, d, keep=("split",)):
     """Clip visual vectors: 3 sampled frames → frame join → mean pool."""
-    c = S.clips(spark, d)
-    samples = FR.explode_samples(c, keep=keep)
-    joined = FR.join_frames(samples, S.frames(spark, d), vec="embedding")
-    return FR.pool_frames(joined, dim=64, keep=keep, dtype="double")
+    return FR.pool_samples(S.clips(spark, d), S.frames(spark, d), dim=64, keep=keep, dtype="double")
 
 
 def _noun_mapping(spark, d):

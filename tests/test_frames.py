@@ -145,3 +145,18 @@ def test_narrow_elements_are_pooled_like_their_numbers(spark):
             joined, 2, vec="v", dtype="double", bounded=bounded, value=lambda x: (x.cast("int") + 128) / F.lit(255.0)).collect()}
         assert got[1][0] == 2 and abs(got[1][1][0] - 64 / 255) < 1e-12 and abs(got[1][1][1] - (255 + 133) / 510) < 1e-12
         assert got[2] == (0, [0.0, 0.0])
+
+
+def test_pooled_samples_shuffle_no_vector(spark):
+    """The same pools as by the joins, found, missing, repeated and null rows; small frame sets go to the clips."""
+    frames = _frames(spark).unionByName(spark.createDataFrame([("A", 5, [7.0, 7.0]), ("B", 4, None)], _frames(spark).schema))
+    clips = _clips(spark).unionByName(spark.createDataFrame([(1, "B", 0, 8), (4, "A", 4, 6), (None, "A", 0, 10), (None, None, 0, 10), (7, "A", None, 10),
+                                                             (8, "A", 10, 0)], _clips(spark).schema))
+    clips = clips.withColumn("split", F.when(F.col("clip_id") != 2, "train"))
+    joined = FR.join_frames(FR.explode_samples(clips, keep=("split",)), frames)
+    want = sorted(FR.pool_frames(joined, 2, keep=("split",), dtype="double").collect(), key=str)
+    for limit in (FR.BROADCAST_VECTORS, 0):
+        pooled = FR.pool_samples(clips, frames, 2, keep=("split",), dtype="double", limit=limit)
+        assert sorted(pooled.collect(), key=str) == want and pooled.columns == ["clip_id", "split", "found", "sampled", "vec"]
+    plan = FR.pool_samples(clips, frames, 2, keep=("split",), dtype="double")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 4
