@@ -28,8 +28,9 @@ rows each get a row; an empty table gives an empty result; texts of any length a
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import repeat
 
@@ -58,6 +59,7 @@ PRIOR = 20.0
 FLUSH = 200_000
 PART = 1 << 12
 LARGEST = 15.0
+MANY = 32  # lines of one id that are added up together at most
 #: Scale of the first weights of: one before, two before, three before, the pair.
 _FIRST = (0.5, 0.25, 0.2, 0.35)
 _FIXED = 1 << 12  # expected counts are sent as whole multiples of this fraction
@@ -271,7 +273,7 @@ def _as_rows(size: Size, on: np.ndarray) -> np.ndarray:
     return on
 
 
-def logits(on: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+def logits(on: Sequence[np.ndarray], weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Bias and the weights that are on, (tokens, classes); within float32's
     range for exp, as no weight is above ``LARGEST``."""
     z = np.take(weights, on[0], axis=0)
@@ -322,9 +324,10 @@ def _table(rows: DataFrame, size: Size, per_batch, scale: float) -> np.ndarray:
 
 
 def _contexts(rows: DataFrame, size: Size) -> DataFrame:
-    """``pair, key, n``: the histories (three signs in one number) of all tokens, how often each
-    occurs, and the bucket of its pair.  Tasks sum up first; then a bucket's histories
-    come together, so that in each round few tasks send the same bucket's row."""
+    """``block``: the histories (three signs in one number) of all tokens and how often each
+    occurs, as pickled ``Histories``.  Tasks sum up first; then the histories of a bucket of pairs
+    come together, so that in each round few tasks send the same bucket's row, and in order, so
+    that those with the same two signs before lie in one block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -342,8 +345,87 @@ def _contexts(rows: DataFrame, size: Size) -> DataFrame:
                 yield out()
         yield out()
 
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                made = Histories(size, batch.column("key").to_numpy(), batch.column("n").to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made, protocol=5)], pa.binary())], ["block"])
+
     return (rows.select("signs").mapInArrow(run, "pair int, key long, n long")
-            .repartition("pair").groupBy("pair", "key").agg(F.sum("n").alias("n")))
+            .repartition("pair").groupBy("pair", "key").agg(F.sum("n").alias("n"))
+            .sortWithinPartitions("key").select("key", "n").mapInArrow(packed, "block binary"))
+
+
+def _pieces(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lines in an order in which they can be added up by whole arrays: first a line of every id, the ids with
+    most lines first, then a second line of those that have one, and so on; how many there are
+    of each, and the ids.  An id with more than ``MANY`` lines comes several times."""
+    order = np.argsort(ids, kind="stable")
+    ids, at = ids[order], np.arange(len(ids))
+    turn = (at - np.maximum.accumulate(np.where(np.diff(ids, prepend=-1) != 0, at, 0))) % MANY
+    first = np.flatnonzero(turn == 0)
+    many = np.diff(first, append=len(ids))
+    by = np.argsort(-many, kind="stable")
+    rank = np.empty_like(by)
+    rank[by] = np.arange(len(by))
+    return order[np.lexsort((np.repeat(rank, many), turn))].astype(np.int32), np.bincount(turn), ids[first][by]
+
+
+def _steps(ids: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """``_pieces``, again until each id comes once: the orders and numbers, and the ids."""
+    steps = []
+    while True:
+        order, many, ids = _pieces(ids)
+        steps.append((order, many))
+        if len(np.unique(ids)) == len(ids):
+            return steps, ids
+
+
+def _added(lines: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The sums of lines in the order of ``_pieces``."""
+    out, at = lines[: many[0]].copy(), many[0]
+    for n in many[1:]:
+        out[:n] += lines[at: at + n]
+        at += n
+    return out
+
+
+class Histories:
+    """Some histories and how often each occurs.  Those with the same two signs before share three of
+    their four weight rows; how their sums are taken is worked out once, for all rounds."""
+
+    def __init__(self, size: Size, key: np.ndarray, times: np.ndarray):
+        two, third = np.divmod(key, size.width)
+        order, self.many, two = _pieces(two)
+        self.times, self.third = times[order], third[order].astype(np.int32)
+        self.of = np.concatenate([np.arange(n, dtype=np.int32) for n in self.many])
+        on = _of_keys(size, two * size.width)
+        self.on = [on[0], on[1], on[3]]
+        self.sums = [_steps(rows) for rows in self.on]
+        self.third_sums = _steps(self.third)
+
+    def add_expected(self, size: Size, now: Model, third: np.ndarray, table: np.ndarray) -> None:
+        """Add to the table how often the model expects each class with each feature, and to its last
+        row the log of the sums over classes; ``third`` is ``exp`` of the weights of three before."""
+        shared = logits(self.on, now.weights, now.bias)
+        np.exp(shared, out=shared)
+        left, right = np.take(shared, self.of, axis=0), np.take(third, self.third, axis=0)
+        total = np.einsum("ij,ij->i", left, right)
+        table[size.rows, 0] += self.times @ np.log(total, dtype=np.float64)
+        rate = (self.times / total).astype(np.float32)[:, None]
+        right *= rate
+        left *= rate
+        shared *= _added(right, self.many)
+        for steps, ids in self.sums:
+            self._add(table, ids, steps, shared)
+        steps, ids = self.third_sums
+        self._add(table, 2 * size.width + ids, steps, left, third[ids])
+
+    @staticmethod
+    def _add(table: np.ndarray, ids: np.ndarray, steps, lines: np.ndarray, times: np.ndarray | float = 1.0) -> None:
+        for order, many in steps:
+            lines = _added(np.take(lines, order, axis=0), many)
+        table[ids] += lines * times
 
 
 def _of_keys(size: Size, key: np.ndarray) -> np.ndarray:
@@ -397,25 +479,15 @@ def train(rows: DataFrame, words: Vocabulary, gain: float = GAIN) -> Model:
 
     def measured(now: Model) -> tuple[np.ndarray, float]:
         """How often the model expects each class with each feature, and the likelihood."""
-        shared = spark.sparkContext.broadcast(now)
+        # the logits of a history's last sign go in as factors
+        shared = spark.sparkContext.broadcast((now, np.exp(now.weights[2 * width: 3 * width])))
 
         def expected(table: np.ndarray, batch: pa.RecordBatch) -> None:
-            key, times, now = batch.column("key").to_numpy(), batch.column("n").to_numpy(), shared.value
-            on = _of_keys(size, key)
-            p = np.empty((CLASSES, len(key)))
-            for at in range(0, len(key), PART):  # what fits a processor's cache
-                z = logits(on[:, at: at + PART], now.weights, now.bias)
-                np.exp(z, out=z)
-                total, n = z.sum(axis=1, keepdims=True), times[at: at + PART, None]
-                table[n_rows, 0] += (n * np.log(total, dtype=np.float64)).sum()
-                z *= (n / total).astype(np.float32)
-                p[:, at: at + PART] = z.T
-            for f, (first, many) in enumerate(((0, width), (width, width), (2 * width, width), (3 * width, size.pairs))):
-                ids = on[f] - first
-                for c in range(CLASSES):
-                    table[first: first + many, c] += np.bincount(ids, weights=p[c], minlength=many)
-
-        out = _table(contexts.select("key", "n"), size, expected, _FIXED)
+            now, third = shared.value
+            for block in batch.column("block"):
+                pickle.loads(block.as_buffer()).add_expected(size, now, third, table)
+
+        out = _table(contexts, size, expected, _FIXED)
         shared.destroy()  # no later round needs it, and the driver would keep a copy of each
         return out[:n_rows], float((np.einsum("ij,ij", seen, now.weights) + by_class @ now.bias - out[n_rows, 0]) / tokens)
 

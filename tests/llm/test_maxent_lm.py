@@ -130,3 +130,25 @@ def test_a_rounds_weights_do_not_stay_in_the_driver(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: made.append(real(value)) or made[-1])
     X.train(rows, words, gain=1.0)
     assert made and not any(os.path.exists(b._path) for b in made)
+
+
+def test_expected_counts_of_shared_histories_match_a_plain_sum():
+    """Histories that share signs, some of them many times, against one softmax a history."""
+    size, rng = X.Size(own=40, pairs=32), np.random.default_rng(5)
+    signs = np.minimum(rng.integers(0, size.width, (3, 3000)), rng.integers(0, size.width, (3, 3000)))
+    signs[0, :900] = signs[1, :700] = 2
+    key = np.unique((signs[0] * size.width + signs[1]) * size.width + signs[2])
+    times = rng.integers(1, 9, len(key))
+    model = X.Model(rng.normal(size=(size.rows, X.CLASSES)).astype(np.float32), rng.normal(size=X.CLASSES).astype(np.float32))
+    on = X._of_keys(size, key)
+    z = np.exp(model.weights[on].sum(axis=0, dtype=float) + model.bias)
+    want = np.zeros((size.rows + 1, X.CLASSES))
+    for rows in on:
+        np.add.at(want, rows, z / z.sum(axis=1, keepdims=True) * times[:, None])
+    want[size.rows, 0] = times @ np.log(z.sum(axis=1))
+    got = np.zeros_like(want)
+    for part in (slice(0, 7), slice(7, 8), slice(8, None)):
+        held = X.Histories(size, key[part], times[part])
+        assert len(held.on[0]) < len(key[part]) or part.stop  # three of four rows are looked up once for several histories
+        held.add_expected(size, model, np.exp(model.weights[2 * size.width: 3 * size.width]), got)
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
