@@ -100,11 +100,11 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
         row = train.agg(*[(F.max(c) + 1).alias(h) for h, c in labels.items()]).first()
         n_classes = {h: int(row[h]) for h in labels}
     data = train.filter(require) if require is not None else train
-    data = data.select(features, *labels.values()).withColumn("_x", as_vector(data, features))
+    data = data.select(features, *labels.values())
     # many passes follow: kept in the input's partitions, spread only if they are fewer than the cores
     cores = train.sparkSession.sparkContext.defaultParallelism
     data = data.repartition(cores) if data.rdd.getNumPartitions() < cores else data
-    blocks = packed(data, "_x", list(labels.values()))
+    blocks = packed(data, features, list(labels.values()))
 
     def fit(place, head, col, counts, width):
         # a row per class of the model reaches the driver, as its coefficients do

@@ -132,3 +132,29 @@ def test_one_class_is_certain_and_broken_features_are_errors(spark):
         fit_two_head(df.withColumn("x", F.array(F.lit(float("nan")), F.lit(1.0))), "x", {"y": "y"})
     with pytest.raises(ValueError, match="no labelled rows"):
         fit_two_head(df.filter("y = -1"), "x", {"y": "y"}, n_classes={"y": 3})
+
+
+def test_many_rows_take_few_whole_passes_to_the_same_optimum(spark, monkeypatch):
+    """Steps are sought on some rows of each class and checked on all: the optimum is that of all rows, rare classes included."""
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from mise.model import softmax
+    rnd = np.random.default_rng(5)
+    label = rnd.choice(5, size=9_000, p=[0.4, 0.3, 0.2, 0.097, 0.003])
+    rows = rnd.normal(size=(9_000, 6)) @ rnd.normal(size=(6, 6))
+    rows[np.arange(9_000), label] += 2.0
+    rows[:, 5] *= rnd.random(9_000) < 0.1
+    known = [int(y) if i % 50 else None for i, y in enumerate(label)]
+    df = spark.createDataFrame([(x.tolist(), y) for x, y in zip(rows, known, strict=True)], "x array<double>, y int")
+    wide = F.udf(lambda x: Vectors.sparse(40, {i * 7: v for i, v in enumerate(x) if v}), VectorUDT())
+    df = df.withColumn("sparse", wide("x")).cache()
+    monkeypatch.setattr(softmax, "NEAR_LESS", 10**9)  # all steps on all rows
+    slow = fit_two_head(df, "x", {"y": "y"})
+    monkeypatch.undo()
+    monkeypatch.setattr(softmax, "NEAR_ROWS", 300)
+    for col in ("x", "sparse"):
+        fast = fit_two_head(df, col, {"y": "y"})
+        few, many = fast.history["y"], slow.history["y"]
+        assert abs(few[0] - np.log(5)) < 1e-9 and few == sorted(few, reverse=True)
+        assert len(few) <= 7 < len(many) and few[-1] <= many[-1] + 1e-6
+        a, b = (m.heads["y"].coefficientMatrix.toArray() for m in (fast, slow))
+        assert np.allclose(a if col == "x" else a[:, 0:36:7], b, atol=0.02)
