@@ -65,8 +65,11 @@ class Block:
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
         self.labels = labels[order]
-        row = np.repeat(place, lens)
         values = values.astype(np.float32)
+        if len(values) == len(lens) * width and (lens == width).all():  # every element is there, in order
+            self.dense = values.reshape(len(lens), width)
+            return
+        row = np.repeat(place, lens)
         if len(idx) >= DENSE * len(lens) * width:
             self.dense = np.zeros((len(lens), width), np.float32)
             np.add.at(self.dense, (row, idx), values)

@@ -21,10 +21,9 @@ from pyspark.ml.linalg import DenseMatrix, DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mise.functions.columns import known
 from mise.model.linear import ABSENT_LOGIT, _check_size
 from mise.model.softmax import counted, fit_softmax, packed
-from mise.operators.labels import class_weights
+from mise.operators.labels import weights_of_counts
 
 
 #: Steps at most; training ends when the objective's change is within the tolerance.
@@ -106,10 +105,11 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
     data = data.repartition(cores) if data.rdd.getNumPartitions() < cores else data
     blocks = packed(data, features, list(labels.values()))
 
-    def fit(place, head, col, counts, width):
-        # a row per class of the model reaches the driver, as its coefficients do
-        w = np.zeros(n_classes[head])
-        for r in class_weights(data.filter(known(col)).select(col), col, n_classes[head], present_only=present_only).collect():
+    def fit(place, head, counts, width):
+        # a row per class of the model reaches the driver, as its coefficients do; the rows were counted as they were packed
+        w, spark = np.zeros(n_classes[head]), train.sparkSession
+        had = spark.createDataFrame([(i, int(n)) for i, n in enumerate(counts) if n], "class_id long, _n long")
+        for r in weights_of_counts(had, n_classes[head], present_only=present_only).collect():
             w[r["class_id"]] = r["w"]
         coefficients, intercepts, values, settled = fit_softmax(blocks, place, counts, w[: len(counts)], width, reg, max_iter)
         if not settled:
@@ -125,7 +125,7 @@ def fit_two_head(train: DataFrame, features: str, labels: dict[str, str], n_clas
                 raise ValueError(f"{col} outside the class space: {len(n) - 1}")
             _check_size(len(n) * (width + 1))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = list(pool.map(lambda a: fit(*a), [(i, h, c, counts[i], width) for i, (h, c) in enumerate(labels.items())]))
+            fitted = list(pool.map(lambda a: fit(*a), [(i, h, counts[i], width) for i, h in enumerate(labels)]))
     finally:
         blocks.unpersist()
     return TwoHeadModel({h: m for h, m, _ in fitted}, dict(n_classes), features, {h: v for h, _, v in fitted})

@@ -128,10 +128,15 @@ def class_weights(df: DataFrame, col: str, n_classes, present_only: bool = False
     ``present_only=True``: absent classes get weight 0 and stay out of the
     scaling, so the present classes' weights sum to their number (otherwise a
     small masked subset leaves most of the sum to classes it never sees)."""
-    spark = df.sparkSession
+    counts = df.groupBy(F.col(col).cast("long").alias("class_id")).agg(F.count(F.lit(1)).alias("_n"))
+    return weights_of_counts(counts, n_classes, present_only)
+
+
+def weights_of_counts(counts: DataFrame, n_classes, present_only: bool = False) -> DataFrame:
+    """``class_weights`` of rows that are counted already (``class_id, _n``)."""
+    spark = counts.sparkSession
     n = F.lit(n_classes) if isinstance(n_classes, int) else n_classes
     ids = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("class_id"))
-    counts = df.groupBy(F.col(col).cast("long").alias("class_id")).agg(F.count(F.lit(1)).alias("_n"))
     cnt = F.coalesce(F.col("_n"), F.lit(0))
     raw = ids.join(counts, "class_id", "left").select(
         "class_id", (F.lit(1.0) / F.greatest(cnt, F.lit(1))).alias("_w"), (cnt > 0).alias("_present"))

@@ -158,3 +158,20 @@ def test_many_rows_take_few_whole_passes_to_the_same_optimum(spark, monkeypatch)
         assert len(few) <= 7 < len(many) and few[-1] <= many[-1] + 1e-6
         a, b = (m.heads["y"].coefficientMatrix.toArray() for m in (fast, slow))
         assert np.allclose(a if col == "x" else a[:, 0:36:7], b, atol=0.02)
+
+
+def test_planted_signal_is_worked_out_once_a_noun(spark):
+    """The chirp's table has a row per noun, and the vectors are those of the formula, to the bit, also without a verb or a noun."""
+    from mise.plans import catalog as K
+    rnd = np.random.default_rng(1)
+    classes = [(3, 5), (58, 5), (59, 7), (108, None), (None, 5), (-1, 400)]
+    rows = [(i, rnd.normal(size=64).tolist(), i % 4, *classes[i % 6]) for i in range(48)]
+    df = spark.createDataFrame(rows, "clip_id int, vec array<double>, found long, verb_class long, noun_class long")
+    place = F.when(F.col("verb_class") < 59, F.col("verb_class")).otherwise(59 + F.col("verb_class") % 5)
+    formula = F.transform("vec", lambda x, i: x + F.when(i == place, 6.0).otherwise(0.0)
+                          + 1.5 * F.cos((F.col("noun_class") + 1) * (i + 1).cast("double") * (i + 1)))
+    want = {r.clip_id: r.v for r in df.select("clip_id", F.when(F.col("found") > 0, formula).otherwise(F.col("vec")).alias("v")).collect()}
+    made = K._with_signal(df, df)
+    assert made.columns == df.columns and {r.clip_id: r.vec for r in made.collect()} == want
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "cos(" not in plan.lower()  # not among the clips' columns
