@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,7 @@ def clear_scratch(spark: SparkSession) -> int:
 
 
 _SHIPPED: set = set()
+_SHIPPING = threading.Lock()
 
 
 def ship_library(spark: SparkSession) -> None:
@@ -94,14 +96,15 @@ def ship_library(spark: SparkSession) -> None:
     ``addPyFile``, which distributes it to every executor.  Operators that
     run Python on executors call this before planning."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    import zipfile
-    from pathlib import Path
-    pkg = Path(__file__).resolve().parent
-    out = Path(tempfile.mkdtemp(prefix="mise-lib-")) / "mise_lib.zip"
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
-        for f in pkg.rglob("*.py"):
-            zf.write(f, str(Path("mise") / f.relative_to(pkg)))
-    sc.addPyFile(str(out))
-    _SHIPPED.add(sc.applicationId)
+    with _SHIPPING:  # models are fitted by several threads: one ships, the others wait for it
+        if sc.applicationId in _SHIPPED:
+            return
+        import zipfile
+        from pathlib import Path
+        pkg = Path(__file__).resolve().parent
+        out = Path(tempfile.mkdtemp(prefix="mise-lib-")) / "mise_lib.zip"
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for f in pkg.rglob("*.py"):
+                zf.write(f, str(Path("mise") / f.relative_to(pkg)))
+        sc.addPyFile(str(out))
+        _SHIPPED.add(sc.applicationId)

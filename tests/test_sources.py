@@ -195,3 +195,25 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_dir):
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 167
     again = SF.write_bucketed(right, "test_left_features", f"{tmp_dir}/l2", buckets=4)  # a name written anew
     assert again.count() == 300
+
+
+def test_library_is_shipped_once_by_several_threads(monkeypatch):
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+
+    from mise import session
+    monkeypatch.setattr(session, "_SHIPPED", set())
+    shipped = []
+
+    def add(path):
+        time.sleep(0.3)
+        shipped.append(path)
+
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="threads", addPyFile=add))
+
+    def there(_):
+        session.ship_library(spark)
+        return len(shipped)
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(there, range(4))) == [1, 1, 1, 1]
