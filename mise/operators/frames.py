@@ -22,6 +22,12 @@ BITMAP_FRAMES = 32_768
 BROADCAST_BITMAPS = 16_384
 #: Bytes of frame vectors that are broadcast at most.
 BROADCAST_VECTORS = 64 << 20
+#: Bytes of pooled vectors that one task makes, so that a sort of them (for a sink, say) stays in memory.
+POOLED_BYTES = 64 << 20
+#: Clips of one place that are looked up together.
+PLACE_CLIPS = 50_000
+#: Frame numbers of one block of a place: as many as a long has bits.
+PLACE_FRAMES = 64
 #: Frame numbers of one block of running sums.
 SCAN_BLOCK = 1_024
 
@@ -86,32 +92,77 @@ def _listed_once(frames: DataFrame, vec: str, keys) -> DataFrame:
 
 
 def pool_samples(clips: DataFrame, frames: DataFrame, dim: int, n: int = FRAMES_PER_CLIP, key: str = "clip_id", vec: str = "embedding",
-                 keys=("video_id",), keep=(), dtype: str = "float", limit: int = BROADCAST_VECTORS) -> DataFrame:
+                 keys=("video_id",), keep=(), dtype: str = "float", limit: int = BROADCAST_VECTORS, meet=None) -> DataFrame:
     """What ``explode_samples``, ``join_frames`` and ``pool_frames`` give together.
 
-    Where the sampled frames' vectors have at most ``limit`` bytes (measured), they go to the clips: a clip's
-    rows meet first, by its key and frame numbers alone, and its vectors are looked up and added up where it
-    is, so no vector is shuffled, sorted or spilled.  A key on several rows, and larger frame sets, take the join on
-    the frame key."""
-    samples = explode_samples(clips, n=n, key=key, keys=keys, keep=keep)
-    frames = prune_frames(frames, samples, keys)
-    if _vector_bytes(frames, vec) > limit:
-        return pool_frames(join_frames(samples, frames, vec, keys, pruned=True), dim, key, vec, keep, dtype)
-    right = F.broadcast(_listed_once(frames, vec, keys))
+    A clip's rows meet first, by its key and frame numbers alone; its vectors are looked up and added up where it
+    is, so no clip's vector is shuffled or spilled.  Where the sampled frames' vectors have at most ``limit`` bytes
+    (measured), they go to the clips; larger frame sets meet the clips by places (``_by_place``).  A key on several rows
+    takes the join on the frame key.  ``meet`` joins the clips' rows with what else is known of a clip, by its key, before
+    any vector is there; its columns come first."""
+    frames = prune_frames(frames, explode_samples(clips, n=n, key=key, keys=keys, keep=keep), keys)
+    small, right = _vector_bytes(frames, vec) <= limit, _listed_once(frames, vec, keys)
+    right = F.broadcast(right) if small else right
+    parts = max(clips.sparkSession.sparkContext.defaultParallelism, clips.count() * (8 * dim + 64) // POOLED_BYTES)
     met = (clips.select(key, *keep, F.struct(*keys, sample_frames("start_frame", "stop_frame", n).alias("_at")).alias("_row"))
-           .groupBy(key, *keep).agg(F.collect_list("_row").alias("_rows")))
+           .repartition(parts, key).groupBy(key, *keep).agg(F.collect_list("_row").alias("_rows")))
+    own, at = [f"_key_{k}" for k in keys], [f"_at{i}" for i in range(n)]
     one = met.filter(F.size("_rows") == 1).select(key, *keep, F.col("_rows")[0].alias("_row"))
-    one = one.select(key, *keep, *[F.col("_row")[k].alias(f"_key_{k}") for k in keys], *[F.col("_row._at")[i].alias(f"_at{i}") for i in range(n)])
-    for i in range(n):
-        at = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("frame_no").alias(f"_at{i}"), F.col(vec).alias(f"_v{i}"))
-        one = one.join(at, [*[f"_key_{k}" for k in keys], f"_at{i}"], "left")
-    one = one.select(key, *keep, F.lit(n).cast("long").alias("sampled"),
-                     F.filter(F.array(*[f"_v{i}" for i in range(n)]), lambda x: x.isNotNull()).alias("_vs"))
-    one = one.withColumn("found", F.size("_vs").cast("long"))
+    one = one.select(key, *keep, *[F.col("_row")[k].alias(o) for k, o in zip(keys, own)], *[F.col("_row._at")[i].alias(a) for i, a in enumerate(at)])
     more = (met.filter(F.size("_rows") > 1).select(key, *keep, F.explode("_rows").alias("_row"))
             .select(key, *keep, *[F.col("_row")[k].alias(k) for k in keys], F.explode("_row._at").alias("frame_no")))
-    pooled = one.select(key, *keep, "found", "sampled", _mean_of(dim, dtype).alias("vec"))
-    return pooled.unionByName(pool_frames(more.join(right, [*keys, "frame_no"], "left"), dim, key, vec, keep, dtype))
+    more = pool_frames(more.join(right, [*keys, "frame_no"], "left"), dim, key, vec, keep, dtype)
+    more = more.select(key, *keep, F.struct("found", "sampled", "vec").alias("_pooled"))
+    rows = one.unionByName(more, allowMissingColumns=True)
+    rows = meet(rows) if meet else rows
+    carried = [c for c in rows.columns if c not in {*own, *at, "_pooled"}]
+    if small:
+        for i, a in enumerate(at):
+            there = right.select(*[F.col(k).alias(o) for k, o in zip(keys, own)], F.col("frame_no").alias(a), F.col(vec).alias(f"_v{i}"))
+            rows = rows.join(there, [*own, a], "left")
+        found = [F.col(f"_v{i}") for i in range(n)]
+    else:
+        rows = _by_place(rows, one, right, key, vec, keys, own, at, parts)
+        found = [F.get("_vecs", (F.array_position("_nos", F.col(a)) - 1).cast("int")) for a in at]
+    # the array is a step of its own: a place's vectors must not be copied for every clip
+    rows = rows.select(*carried, "_pooled", F.array(*found).alias("_raw"))
+    rows = rows.select(*carried, "_pooled", F.filter("_raw", lambda x: x.isNotNull()).alias("_vs"),
+                       sum((F.get("_raw", F.lit(i)).isNotNull().cast("long") for i in range(n)), F.lit(0).cast("long")).alias("found"))
+    return rows.select(*carried, F.coalesce("_pooled.found", "found").alias("found"), F.coalesce("_pooled.sampled", F.lit(n).cast("long")).alias("sampled"),
+                       F.coalesce("_pooled.vec", _mean_of(dim, dtype)).alias("vec"))
+
+
+def _by_place(rows: DataFrame, one: DataFrame, frames: DataFrame, key: str, vec: str, keys, own, at, parts: int) -> DataFrame:
+    """The rows, each with the frames (``_nos``, ``_vecs``) that the clips of its place sample.
+
+    Clips whose samples are in the same blocks of ``PLACE_FRAMES`` frame numbers are at one place, which
+    so has at most that many frames a sample, whatever the clips.  A frame goes once to each place where it is sampled, not
+    to each clip; a place with more than ``PLACE_CLIPS`` clips is several."""
+    def placed(df):
+        return df.withColumns({f"_b{i}": F.coalesce(F.floor(F.col(a) / PLACE_FRAMES), F.lit(0)) for i, a in enumerate(at)})
+
+    blocks = [f"_b{i}" for i in range(len(at))]
+    place = [*own, *blocks]
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col(a), F.lit(PLACE_FRAMES)).cast("int")) for a in at]
+    sampled = placed(one).groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), *[F.bit_or(b).alias(f"_m{i}") for i, b in enumerate(bits)])
+    sampled = sampled.withColumn("_salts", F.ceil(F.col("_n") / PLACE_CLIPS))
+    offsets = F.sequence(F.lit(0), F.lit(PLACE_FRAMES - 1))
+
+    def numbers(mask, block):
+        return F.transform(F.filter(offsets, lambda x: F.getbit(F.coalesce(F.col(mask), F.lit(0).cast("long")), x) == 1),
+                           lambda x: F.col(block) * PLACE_FRAMES + x)
+
+    needed = F.array_distinct(F.concat(*[numbers(f"_m{i}", b) for i, b in enumerate(blocks)]))
+    held = sampled.select(*[F.col(o).alias(k) for k, o in zip(keys, own)], *blocks, "_salts", F.explode(needed).alias("frame_no"))
+    held = held.join(frames, [*keys, "frame_no"]).select(
+        *[F.col(k).alias(o) for k, o in zip(keys, own)], *blocks, F.struct("frame_no", vec).alias("_frame"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"))
+    held = held.repartition(parts, *place, "_salt").groupBy(*place, "_salt").agg(F.collect_list("_frame").alias("_held"))
+    held = held.select(*place, "_salt", F.col("_held.frame_no").alias("_nos"), F.col(f"_held.{vec}").alias("_vecs"))
+    hot = sampled.filter("_salts > 1").select(*place, "_salts")
+    salts = F.when(F.col("_pooled").isNotNull(), F.lit(parts).cast("long")).otherwise(F.coalesce("_salts", F.lit(1).cast("long")))
+    rows = placed(rows).join(F.broadcast(hot), place, "left").withColumn("_salt", F.pmod(F.xxhash64(key), salts)).drop("_salts")
+    return rows.repartition(parts, *place, "_salt").join(held, [*place, "_salt"], "left")
 
 
 def _vector_bytes(frames: DataFrame, vec: str) -> int:

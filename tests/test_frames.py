@@ -160,3 +160,29 @@ def test_pooled_samples_shuffle_no_vector(spark):
         assert sorted(pooled.collect(), key=str) == want and pooled.columns == ["clip_id", "split", "found", "sampled", "vec"]
     plan = FR.pool_samples(clips, frames, 2, keep=("split",), dtype="double")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 4
+
+
+def test_larger_frame_sets_meet_the_clips_by_places(spark, monkeypatch):
+    """The same pools by places as by joins on the frame, with places that many clips share; tasks follow the pooled bytes."""
+    import random
+    monkeypatch.setattr(FR, "PLACE_CLIPS", 7, raising=False)
+    monkeypatch.setattr(FR, "POOLED_BYTES", 1 << 11, raising=False)
+    rnd = random.Random(5)
+    frames = [(v, f, [float(rnd.randrange(-9, 9)), float(f)]) for v in "ABC" for f in range(-140, 300) if rnd.random() < 0.7]
+    frames += [("A", 400, None), ("C", -200, [1.0, 2.0]), ("C", -200, [1.0, 2.0])]
+    clips = [(i, rnd.choice("ABCD"), rnd.randrange(-200, 400), rnd.randrange(-200, 400)) for i in range(200)]
+    clips += [(300 + i, "A", 3, 20) for i in range(60)] + [(500, "A", None, 5), (501, "A", 400, 400), (502, None, 0, 9), (503, "B", 7, None)]
+    clips += [(i, "B", 5, 90) for i in range(9)] + [(None, "A", 1, 2), (None, "B", 1, 2)]
+    clips = spark.createDataFrame(clips, "clip_id long, video_id string, start_frame long, stop_frame long")
+    frames = spark.createDataFrame(frames, "video_id string, frame_no long, embedding array<float>")
+    want = FR.pool_frames(FR.join_frames(FR.explode_samples(clips), frames), 2, dtype="double")
+    pooled = FR.pool_samples(clips, frames, 2, dtype="double", limit=0)
+    assert sorted(pooled.collect(), key=str) == sorted(want.collect(), key=str)
+    plan = pooled._jdf.queryExecution().executedPlan().toString()
+    assert any("Join [" in line and "_b0" in line and "_salt" in line for line in plan.split("\n"))
+    assert pooled.rdd.getNumPartitions() >= 270 * 80 // (1 << 11)
+    texts = clips.select("clip_id", F.concat_ws("-", "video_id", "start_frame").alias("text"))
+    for limit in (FR.BROADCAST_VECTORS, 0):
+        met = FR.pool_samples(clips, frames, 2, dtype="double", limit=limit, meet=lambda rows: texts.join(rows, "clip_id"))
+        assert met.columns == ["clip_id", "text", "found", "sampled", "vec"]
+        assert sorted(met.collect(), key=str) == sorted(texts.join(want, "clip_id").collect(), key=str)
