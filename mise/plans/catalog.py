@@ -43,9 +43,9 @@ R6 = 6  # float results are rounded to 6 decimals on both sides
 
 # ------------------------------------------------------------------ helpers
 
-def _pooled(spark, d, keep=("split",)):
+def _pooled(spark, d, keep=("split",), meet=None):
     """Clip visual vectors: 3 sampled frames → frame join → mean pool."""
-    return FR.pool_samples(S.clips(spark, d), S.frames(spark, d), dim=64, keep=keep, dtype="double")
+    return FR.pool_samples(S.clips(spark, d), S.frames(spark, d), dim=64, keep=keep, dtype="double", meet=meet)
 
 
 def _noun_mapping(spark, d):
@@ -1091,9 +1091,10 @@ def _trained_inputs(spark, d):
     train = c.filter(F.col("split") == "train")
     vmap, nmap = _verb_mapping(spark, d), LB.fit_mapping(train, "noun_class")
     feats = FE.one_hot(FE.encode_text(c, "narration", "t", 384, as_vector=True), nmap, "noun_class", "o")
-    vis = _pooled(spark, d, keep=()).select("clip_id", "vec", "found")
-    lab = LB.encode_labels(LB.encode_labels(FE.align("clip_id", feats, vis), vmap, "verb_class", "yv"), nmap, "noun_class", "yn")
-    clear = LB.sized(cut_lineage(_clear_nouns(lab.filter("split = 'train'")))).withColumn("one", F.lit(True))
+    feats = LB.encode_labels(LB.encode_labels(feats, vmap, "verb_class", "yv"), nmap, "noun_class", "yn")
+    clear = LB.sized(cut_lineage(_clear_nouns(feats.filter("split = 'train' and clip_id is not null")))).withColumn("one", F.lit(True))
+    # aligned before a vector is there: none is shuffled
+    lab = _pooled(spark, d, keep=(), meet=lambda rows: FE.align("clip_id", feats, rows))
     lab = _with_signal(lab, c).join(clear, "yn", "left")
     found = F.coalesce("one", F.lit(False)) & (F.col("found") > 0) & (F.col("verb_class") < 59) & C.known("yv") & C.known("yn")
     path = scratch_path(spark, "trained-inputs")

@@ -175,3 +175,28 @@ def test_planted_signal_is_worked_out_once_a_noun(spark):
     assert made.columns == df.columns and {r.clip_id: r.vec for r in made.collect()} == want
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "cos(" not in plan.lower()  # not among the clips' columns
+
+
+def test_clips_are_aligned_before_they_have_vectors(spark, tmp_dir, monkeypatch):
+    """Aligned later, a vector as wide as the stream is shuffled for every clip; rows and vectors are the same."""
+    from mise.operators import features as FE
+    from mise.operators import frames as FR
+    from mise.plans import catalog
+    from mise.plans import standins as S
+    orders = [(k, (k * 7) % 200) for k in range(300)] + [(5, 35), (None, 3)]  # a clip twice, one without a key
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_dir}/orders.parquet")
+    frames = [(i, [float((i * j) % 13 - 6) for j in range(64)]) for i in range(0, 600, 2)]
+    spark.createDataFrame(frames, "vec_id long, embedding array<float>").write.parquet(f"{tmp_dir}/embeddings.parquet")
+    align, aligned = FE.align, []
+    monkeypatch.setattr(FE, "align", lambda key, *tables, **kw: aligned.extend(tables) or align(key, *tables, **kw))
+    monkeypatch.setattr(catalog, "_with_signal", lambda df, nouns: df)
+    got = []
+    for size in (0, 1 << 60):
+        monkeypatch.setattr(FR, "_vector_bytes", lambda *_, size=size: size)
+        data = catalog._trained_inputs(spark, tmp_dir)[0]
+        got.append(sorted(((r.clip_id, list(r.vec)) for r in data.select("clip_id", "vec").collect())))
+    assert len(aligned) == 4 and not any({"vec", "found"} & set(t.columns) for t in aligned)
+    pooled = FR.pool_samples(S.clips(spark, tmp_dir), S.frames(spark, tmp_dir), 64, dtype="double")
+    want = {r.clip_id: list(r.vec) for r in pooled.collect()}
+    assert got[0] == got[1] == sorted((k, want[k]) for k, _ in orders if k is not None)
+    assert sum(any(v) for _, v in got[0]) > 100
